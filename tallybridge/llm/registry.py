@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybridge.llm import bpe
+from tallybridge.llm import bpe, dac
 from tallybridge.llm.common import table
 
 
@@ -16,11 +16,16 @@ def tokenizer(name: str) -> str:
     return os.path.join(os.environ.get("TALLYBRIDGE_TOKENIZERS", "/opt/tokenizers"), name)
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dac.tokenise(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_token_files": op5_token_files,
     "op9_bpe_codec": op9_bpe_codec,
 }
 
