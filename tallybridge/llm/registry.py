@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallybridge.llm import bpe, dac
+from tallybridge.llm import bpe, dac, quality
 from tallybridge.llm.common import table
 
 
@@ -16,6 +17,13 @@ def tokenizer(name: str) -> str:
     return os.path.join(os.environ.get("TALLYBRIDGE_TOKENIZERS", "/opt/tokenizers"), name)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.classify(docs, net, ["doc_id"])
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.tokenise(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
 
@@ -25,6 +33,7 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
     "op5_token_files": op5_token_files,
     "op9_bpe_codec": op9_bpe_codec,
 }
