@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.llm import bpe, dac, quality
+from tallybridge.llm import bpe, dac, quality, substrings
 from tallybridge.llm.common import table
 
 
@@ -28,6 +28,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.tokenise(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -35,6 +40,7 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op5_token_files": op5_token_files,
+    "op8_substrings": op8_substrings,
     "op9_bpe_codec": op9_bpe_codec,
 }
 
