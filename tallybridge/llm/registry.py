@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.llm import bpe, dac, quality, substrings
+from tallybridge.llm import bpe, dac, ngram_join, quality, substrings
 from tallybridge.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.tokenise(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
 
@@ -39,6 +43,7 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
+    "op4_ngram_join": op4_ngram_join,
     "op5_token_files": op5_token_files,
     "op8_substrings": op8_substrings,
     "op9_bpe_codec": op9_bpe_codec,
