@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.llm import bpe, dac, ngram_join, quality, substrings
+from tallybridge.llm import bpe, dac, decontaminate, ngram_join, quality, substrings
 from tallybridge.llm.common import table
 
 
@@ -17,6 +17,10 @@ def tokenizer(name: str) -> str:
     return os.path.join(os.environ.get("TALLYBRIDGE_TOKENIZERS", "/opt/tokenizers"), name)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -42,6 +46,7 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_quality": op3_quality,
     "op4_ngram_join": op4_ngram_join,
     "op5_token_files": op5_token_files,
