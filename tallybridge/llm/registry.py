@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.llm import bpe, dac, decontaminate, ngram_join, quality, substrings
+from tallybridge.llm import bpe, dac, decontaminate, embeddings, ngram_join, quality, substrings
 from tallybridge.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.tokenise(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
 
 
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_ngram_join": op4_ngram_join,
     "op5_token_files": op5_token_files,
+    "op7_embeddings": op7_embeddings,
     "op8_substrings": op8_substrings,
     "op9_bpe_codec": op9_bpe_codec,
 }
