@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.llm import bpe, dac, decontaminate, embeddings, ngram_join, quality, substrings
+from tallybridge.llm import bpe, dac, decontaminate, embeddings, html_text, ngram_join, quality, substrings
 from tallybridge.llm.common import table
 
 
@@ -17,6 +17,10 @@ def tokenizer(name: str) -> str:
     return os.path.join(os.environ.get("TALLYBRIDGE_TOKENIZERS", "/opt/tokenizers"), name)
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +54,7 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": op1_html_text,
     "op2_decontaminate": op2_decontaminate,
     "op3_quality": op3_quality,
     "op4_ngram_join": op4_ngram_join,
