@@ -20,7 +20,8 @@ import functools
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -109,7 +110,8 @@ class Shard:
 
 #: Ends of a piece that are always pieces of their own after a letter or digit.
 _TAIL = ".,!?;:"
-_CACHE_ENTRIES = 400_000
+#: Words that a worker remembers at most in each of two generations.
+_CACHE_ENTRIES = 900_000
 _GAPS = re.compile("[ \n]")
 
 
@@ -126,44 +128,66 @@ class WordEncoder:
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
         self._library.no_padding()
+        # A word of letters only is one piece, whose last token alone ends a word; so many such
+        # words can be encoded in one call and told apart.
+        marked = {i: t.endswith("</w>") for t, i in self._library.get_vocab().items()}
+        self._closes = np.array([marked.get(i, False) for i in range(max(marked) + 1)]) if any(marked.values()) else None
         self._known: dict[str, bytes] = {"": b""}
         self._old: dict[str, bytes] = {}
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: Iterable[str]) -> None:
         if len(self._known) >= _CACHE_ENTRIES:
             self._old, self._known = self._known, {"": b""}
-        known, old, split = self._known, self._old, {}
+        known, old, split = self._known, self._old, []
         fresh: set[str] = set()
+
+        def ask(w: str) -> None:
+            if w not in known:
+                if (have := old.get(w)) is None:
+                    fresh.add(w)
+                else:
+                    known[w] = have
+
         for w in words:
             if (have := old.get(w)) is not None:
                 known[w] = have
                 continue
             core = w.rstrip(_TAIL)
-            if core != w and core[-1:].lower().isalnum():
-                split[w] = core, w[len(core) :]
-                fresh |= {x for x in split[w] if x not in known}
+            if len(core) < len(w) and core[-1:].lower().isalnum():
+                tail = w[len(core) :]
+                split.append((w, core, tail))
+                ask(core)
+                ask(tail)
             else:
                 fresh.add(w)
-        order = list(fresh)
-        for at in range(0, len(order), 4096):
-            some = order[at : at + 4096]
+        letters = [w for w in fresh if w.lower().isalpha()] if self._closes is not None else []
+        alone = list(fresh.difference(letters))
+        for at in range(0, len(letters), 256):
+            some = letters[at : at + 256]
+            ids = np.array(self._library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self._closes[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                raw, ends = ids.tobytes(), (ends * 4).tolist()
+                known.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+            else:
+                alone += some
+        for at in range(0, len(alone), 4096):
+            some = alone[at : at + 4096]
             for w, e in zip(some, self._library.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 known[w] = np.array(e.ids, np.uint32).tobytes()
-        for w, (core, tail) in split.items():
+        for w, core, tail in split:
             known[w] = known[core] + known[tail]
 
     def encode(self, texts: list[str | None], end: bytes = b"") -> list[bytes]:
         """Ids of each text as uint32 bytes, with ``end`` after each."""
         pieces = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        missing = set().union(*pieces).difference(self._known)
-        if missing:
-            self._learn(missing)
         look = self._known.__getitem__
-        try:
-            return [b"".join(map(look, p)) + end for p in pieces]
-        except KeyError:  # the cache has just begun anew
-            self._learn(set().union(*pieces).difference(self._known))
-            return [b"".join(map(look, p)) + end for p in pieces]
+        if missing := set(filterfalse(self._known.__contains__, chain.from_iterable(pieces))):
+            self._learn(missing)
+            if look.__self__ is not self._known:  # the memory has just begun anew
+                self._learn(set(filterfalse(self._known.__contains__, chain.from_iterable(pieces))))
+                look = self._known.__getitem__
+        return [b"".join(map(look, p)) + end for p in pieces]
 
 
 @functools.cache
