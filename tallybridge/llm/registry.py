@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.llm import bpe, dac, decontaminate, embeddings, html_text, ngram_join, quality, substrings
+from tallybridge.llm import bpe, dac, decontaminate, embeddings, html_text, ngram_join, quality, secrets, substrings
 from tallybridge.llm.common import table
 
 
@@ -40,6 +40,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.tokenise(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.fit(docs))
+
+
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_ngram_join": op4_ngram_join,
     "op5_token_files": op5_token_files,
+    "op6_secrets": op6_secrets,
     "op7_embeddings": op7_embeddings,
     "op8_substrings": op8_substrings,
     "op9_bpe_codec": op9_bpe_codec,
