@@ -179,20 +179,6 @@ def digest_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def count_documents(docs: DataFrame, path: str, keep: list[str], text_col: str = "text", out: str = "n_tokens") -> DataFrame:
-    """The columns ``keep`` and the number of ids of every whole text."""
-    chosen = docs.select(*keep, text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
-        for batch in batches:
-            n = [len(bpe.encode(t.as_py())) for t in batch.column(len(keep))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(n, pa.int64())], names=[*keep, out])
-
-    fields = ", ".join(f"`{c}` {t}" for c, t in chosen.select(*keep).dtypes)
-    return chosen.mapInArrow(run, f"{fields}, {out} long")
-
-
 def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)

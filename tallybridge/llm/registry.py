@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.llm import bpe, dac, decontaminate, embeddings, html_text, ngram_join, quality, secrets, substrings
-from tallybridge.llm.common import table
+from tallybridge.llm import bpe, dac, decontaminate, embeddings, html_text, ngram_join, quality, secrets, substrings, token_counts
+from tallybridge.llm.common import fresh_path, stored, table
 
 
 def tokenizer(name: str) -> str:
@@ -58,6 +58,12 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("copy", F.sha2(F.coalesce("text", F.lit("")), 256))
+    counted = stored(dac.count_documents(docs, tokenizer("word_bpe_49k.json"), ["doc_id", "source", "lang", "copy"]), "token-counts")
+    return token_counts.maintained_totals(spark, counted, fresh_path(spark, "token-rollup"), "word_bpe_49k")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_decontaminate": op2_decontaminate,
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_embeddings": op7_embeddings,
     "op8_substrings": op8_substrings,
     "op9_bpe_codec": op9_bpe_codec,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
