@@ -1,6 +1,371 @@
-"""Registered queries of the catalogue reconciliation operators."""
+"""Registered queries of the catalogue reconciliation operators, over whole tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallybridge.functions import text as T
+from tallybridge.operators import audit, categories, match, missing, pricing, rejects, summary
+from tallybridge.plans.oracle import ORACLE
+from tallybridge.sinks import export
+from tallybridge.sources import feeds, views
+from tallybridge.streaming import missing_stream
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _offers(spark: SparkSession, sf: str) -> DataFrame:
+    rows = views.offers(spark, sf)
+    return rows.withColumns({
+        "identity_warnings": F.when(F.col("identity_warning").isNotNull(), F.array("identity_warning")).otherwise(F.array().cast("array<string>")),
+        "source_price": (F.col("price_cents") / F.lit(100).cast("decimal(4,0)")).cast("decimal(20,4)"),
+        "category_path": F.array("category_1", "category_2"),
+    })
+
+
+def _catalog(spark: SparkSession, sf: str) -> DataFrame:
+    return views.catalog(spark, sf).withColumn("current_price", (F.col("price_cents") / F.lit(100).cast("decimal(4,0)")).cast("decimal(20,4)"))
+
+
+def _policy(offers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A policy and rates for each supplier; the last digit of its id breaks one rule in four."""
+    last = F.col("supplier") % 10
+    each = offers.select("supplier").distinct()
+    policy = each.select(
+        "supplier",
+        F.when(last == 7, "unknown").otherwise("included").alias("vat_basis"),
+        F.when(last != 8, F.lit("base")).alias("rule_id"),
+        F.lit("1").alias("rule_version"),
+        F.lit(True).alias("approved"),
+        F.when(last == 9, F.lit("0")).otherwise("1.10").cast("decimal(9,4)").alias("multiplier"),
+        F.lit(25).cast("decimal(9,2)").alias("max_delta_pct"),
+        F.lit(1).alias("min_items"),
+        F.lit(100_000_000).alias("max_items"),
+    )
+    rates = each.select("supplier", F.lit("RUR").alias("currency"), F.when(last == 6, F.lit("2")).otherwise("1").cast("decimal(18,8)").alias("rub_per_unit"))
+    return policy, rates
+
+
+class _Run:
+    """The tables of one run, each built once for the query that asks."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.offers, self.catalog = _offers(spark, sf), _catalog(spark, sf)
+        self.matches = match.match(self.offers, self.catalog)
+
+    def missing(self) -> DataFrame:
+        return match.catalog_missing(self.catalog, self.matches)
+
+    def proposals(self) -> DataFrame:
+        return pricing.propose(self.offers, self.matches, self.catalog, *_policy(self.offers))
+
+    def mapped(self) -> DataFrame:
+        return categories.mapping(self.offers, self.matches, self.catalog)
+
+    def products(self) -> DataFrame:
+        return categories.product_proposals(self.offers, self.matches, self.mapped())
+
+
+def _e4(c: str):
+    return (F.col(c) * 10000).cast("long")
+
+
+def match_cascade(spark, sf):
+    m = _Run(spark, sf).matches
+    return m.select("supplier", "supplier_item_id", "catalog_product_id", "status", (F.col("confidence") * 100).cast("long").alias("confidence_pct"), F.coalesce("matched_by", F.lit("")).alias("matched_by"), F.array_join("warnings", ",").alias("warnings"))
+
+
+def match_status_counts(spark, sf):
+    return _Run(spark, sf).matches.groupBy("status", F.coalesce("matched_by", F.lit("")).alias("matched_by")).agg(F.count("*").alias("n"))
+
+
+def catalog_missing(spark, sf):
+    return _Run(spark, sf).missing()
+
+
+def _multiplicity(tables: dict[str, DataFrame], column: str) -> DataFrame:
+    out = None
+    for kind, t in tables.items():
+        one = t.groupBy(column).agg(F.count("*").alias("n_keys")).select(F.lit(kind).alias("key_kind"), column, "n_keys")
+        out = one if out is None else out.union(one)
+    return out
+
+
+def match_key_multiplicity(spark, sf):
+    return _multiplicity(match.catalog_keys(_catalog(spark, sf)), "hits")
+
+
+def own_key_counts(spark, sf):
+    return _multiplicity(match.own_keys(_offers(spark, sf)), "own")
+
+
+def price_proposals(spark, sf):
+    return _Run(spark, sf).proposals().select("supplier", "supplier_item_id", "catalog_product_id", _e4("proposed_price").alias("proposed_e4"), _e4("delta_abs").alias("delta_e4"), "status", F.coalesce("warning", F.lit("")).alias("warning"))
+
+
+def proposal_status_counts(spark, sf):
+    counts = summary.status_counts(_Run(spark, sf).proposals())
+    return counts.select("supplier", F.explode("counts").alias("status", "n"))
+
+
+def price_compare(spark, sf):
+    r = _Run(spark, sf)
+    return summary.price_compare(r.offers, r.matches, r.catalog)
+
+
+def availability_compare(spark, sf):
+    r = _Run(spark, sf)
+    return summary.availability_compare(r.offers, r.matches, r.catalog)
+
+
+def category_mapping(spark, sf):
+    m = _Run(spark, sf).mapped()
+    return m.select("supplier", F.col("category_path")[0].alias("category_1"), F.col("category_path")[1].alias("category_2"), "source_total", "source_only_products", "exact_support", "suggested_category_ids", "suggested_categories", "dominant_support", F.size("alternatives").cast("long").alias("n_alternatives"), "mapping_status")
+
+
+def product_category_proposals(spark, sf):
+    return _Run(spark, sf).products().select("supplier", "supplier_item_id", "suggested_categories", "mapping_status", "proposal_status")
+
+
+def category_summary(spark, sf):
+    r = _Run(spark, sf)
+    return categories.summary(r.mapped(), r.products()).select("supplier", "source_categories", "strong", "review", "ambiguous", "unmapped", "source_only_products")
+
+
+def review_queue(spark, sf):
+    r = _Run(spark, sf)
+    return summary.review_queue(r.offers, r.matches, r.catalog).select("supplier", "supplier_item_id", "status", "source_ean", "catalog_ean", "source_mpn", "catalog_model")
+
+
+def source_only(spark, sf):
+    r = _Run(spark, sf)
+    return summary.source_only(r.offers, r.matches).select("supplier", "supplier_item_id", "name", "price_cents")
+
+
+def identity_coverage(spark, sf):
+    return summary.identity_coverage(_offers(spark, sf))
+
+
+def feed_completeness(spark, sf):
+    r = _Run(spark, sf)
+    return summary.completeness(r.offers, r.catalog, r.missing()).select("supplier", "source_items", "scope", "missing", "feed_status")
+
+
+def run_summary(spark, sf):
+    r = _Run(spark, sf)
+    return summary.run_summary(r.offers, r.matches, r.proposals(), r.missing())
+
+
+def _presence(spark: SparkSession, sf: str) -> DataFrame:
+    """A row for each product and run; runs are months (83 of them, whatever the scale)."""
+    seen = views.seen(spark, sf)
+    runs = seen.agg(F.max("run").alias("last"))
+    products = seen.select("supplier", "product_id").distinct()
+    every = products.join(F.broadcast(runs)).select("supplier", "product_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("run"))
+    happened = F.broadcast(seen.select("run").distinct())
+    marked = every.join(happened, "run").join(seen.withColumn("there", F.lit(True)), ["supplier", "product_id", "run"], "left")
+    return marked.select("supplier", "product_id", "run", F.col("there").isNull().alias("missing"), (F.col("run") % 7 != 6).alias("complete"))
+
+
+def missing_streaks(spark, sf):
+    """Of each product over all complete runs: the longest absence, the present one, the runs."""
+    rows = missing.streaks(_presence(spark, sf))
+    n = F.col("consecutive_missing_runs")
+    return rows.groupBy("supplier", "product_id").agg(F.max(n).alias("longest"), F.max_by(n, "run").alias("present"), F.count("*").alias("n_runs"))
+
+
+def missing_state_step(spark, sf):
+    rows = _presence(spark, sf).withColumn("sku", F.concat_ws("-", "supplier", "product_id"))
+    state = spark.createDataFrame([], missing.STATE)
+    for run in range(4):
+        one = rows.where(F.col("run") == run)
+        state = missing.step(state, one.where("missing").select("supplier", "product_id", "sku"), one.groupBy("supplier", "run").agg(F.bool_and("complete").alias("complete")))
+    # A product that was never missing has no state: its count is 0.
+    every = rows.select("supplier", "product_id").distinct()
+    return every.join(state, ["supplier", "product_id"], "left").select("supplier", "product_id", F.coalesce("consecutive_missing_runs", F.lit(0)).cast("long").alias("n"))
+
+
+def _folder(spark: SparkSession, what: str) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallybridge-")
+    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+def missing_state_stream(spark, sf):
+    rows = _presence(spark, sf).where("run < 4").withColumn("sku", F.concat_ws("-", "supplier", "product_id"))
+    folder = _folder(spark, "missing-stream")
+    rows.write.parquet(f"{folder}/landed")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/landed")
+    query = missing_stream.run(stream, f"{folder}/state", f"{folder}/checkpoint")
+    query.awaitTermination()
+    last = (query.lastProgress or {}).get("batchId", 0)
+    state = missing_stream.read_state(spark, f"{folder}/state", last)
+    every = rows.select("supplier", "product_id").distinct()
+    return every.join(state, ["supplier", "product_id"], "left").select("supplier", "product_id", F.coalesce("consecutive_missing_runs", F.lit(0)).cast("long").alias("n"))
+
+
+def quarantine_proposals(spark, sf):
+    presence = _presence(spark, sf)
+    state = missing.streaks(presence).groupBy("supplier", "product_id").agg(F.max("run").alias("run"), F.max_by("consecutive_missing_runs", "run").cast("int").alias("consecutive_missing_runs"))
+    state = state.withColumn("sku", F.concat_ws("-", "supplier", "product_id")).withColumn("last_missing_run", F.when(F.col("consecutive_missing_runs") > 0, F.col("run")))
+    runs = presence.where("complete").groupBy("supplier").agg(F.max("run").alias("run")).withColumn("complete", F.lit(True))
+    policy = runs.select("supplier", F.lit("quarantine").alias("action"), F.lit(70).alias("threshold"))
+    acts = missing.actions(state.drop("run"), runs, policy)
+    return acts.select("supplier", "product_id", F.col("consecutive_missing_runs").cast("long").alias("n"))
+
+
+def category_paths(spark, sf):
+    return categories.paths(views.categories(spark, sf)).where("broken is null").select("id", F.array_join("path", "/").alias("path"))
+
+
+def reject_duplicates(spark, sf):
+    rows = views.star(spark, sf, "lineitem")["lineitem"].select(F.col("l_suppkey").alias("supplier"), "l_partkey")
+    return rejects.duplicates(rows, "duplicate_product", "l_partkey")
+
+
+def reject_referential(spark, sf):
+    return rejects.unknown(_catalog(spark, sf), "sku", _offers(spark, sf), "catalog_sku", "product_not_offered", ["supplier"])
+
+
+def reject_row_rules(spark, sf):
+    return rejects.required(_offers(spark, sf), ["manufacturer", "mpn", "ean"], "supplier_item_id")
+
+
+def _price_rejects(offers: DataFrame) -> DataFrame:
+    free = offers.where("source_price <= 0 and currency = 'USD'")
+    return free.select("supplier", F.lit("free_in_usd").alias("rule"), F.col("supplier_item_id").alias("row_key"))
+
+
+def blocked_snapshots(spark, sf):
+    return rejects.blocked(_price_rejects(_offers(spark, sf))).select("supplier", "n_rejects")
+
+
+def batch_status(spark, sf):
+    offers = _offers(spark, sf)
+    checks = offers.groupBy("supplier").agg((F.count("*") > 0).alias("passed"))
+    return rejects.batch_status(offers, _price_rejects(offers), checks)
+
+
+def _offer_xml(offers: DataFrame) -> DataFrame:
+    """Offers as the XML of a feed, one fragment a row, tags of a repeated kind twice."""
+    tag = lambda name, c: F.when(c.isNotNull(), F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>"))).otherwise("")
+    price = F.format_string("%d.%02d", F.floor(F.col("price_cents") / 100).cast("long"), (F.col("price_cents") % 100).cast("long"))
+    cats = [F.concat(F.lit('<param name="cat">'), c, F.lit("</param>")) for c in ("category_1", "category_2")]
+    body = [F.lit('<offer id="'), F.col("supplier_item_id"), F.lit('" available="'), F.col("available").cast("string"), F.lit('">'), tag("price", price), tag("name", F.col("name")), tag("vendor", F.col("manufacturer")), tag("vendorCode", F.col("mpn")), tag("barcode", F.col("ean")), *cats, F.lit("</offer>")]
+    return offers.select("supplier", "supplier_item_id", "price_cents", F.concat(*body).alias("fragment"))
+
+
+def xml_offer_roundtrip(spark, sf):
+    mapping = feeds.DIALECTS["11"]
+    xml = _offer_xml(_offers(spark, sf))
+    raw = xml.select("supplier", F.from_xml("fragment", feeds.offer_schema(mapping)).alias("x")).select("supplier", "x.*")
+    typed = feeds.normalise(raw.withColumn("_id", F.concat_ws("/", "supplier", "_id")), mapping)
+    key = F.split("supplier_item_id", "/")
+    return typed.select(key[0].cast("long").alias("supplier"), key[1].alias("supplier_item_id"), "ean", "mpn", (F.col("source_price") * 100).cast("long").alias("price_cents"), "available")
+
+
+def xml_attribute_map(spark, sf):
+    xml = _offer_xml(_offers(spark, sf))
+    maps = feeds.fragment_elements(xml).select("supplier", "supplier_item_id", "price_cents", feeds.attribute_map(F.col("elements")).alias("m"))
+    rows = maps.select("supplier", "supplier_item_id", "price_cents", F.explode("m").alias("k", "v")).where("k in ('@id', 'price', 'param:cat', 'param:cat#2')")
+    cents = (F.col("v").try_cast("decimal(20,2)") * 100).cast("long").cast("string")
+    return rows.select("supplier", "supplier_item_id", "k", F.when(F.col("k") == "price", cents).otherwise(F.col("v")).alias("v"))
+
+
+def _properties(spark: SparkSession, sf: str) -> DataFrame:
+    part = views.star(spark, sf, "part")["part"]
+    cells = part.select(F.col("p_partkey").alias("item_id"), F.col("p_brand").alias("p1"), F.when(F.col("p_size") % 7 == 0, "-").otherwise(F.col("p_type")).alias("p2"), F.when(F.col("p_size") % 5 == 0, "").otherwise(F.col("p_name")).alias("p3"))
+    observed = cells.unpivot("item_id", ["p1", "p2", "p3"], "property_id", "value")
+    definitions = spark.createDataFrame([("p1", "brand"), ("p2", "type")], "property_id string, property_name string")
+    return feeds.property_observations(observed, definitions)
+
+
+def property_long(spark, sf):
+    return _properties(spark, sf).select("item_id", "property_id", "value", "missing")
+
+
+def property_stats(spark, sf):
+    return feeds.property_stats(_properties(spark, sf))
+
+
+def availability_resolve(spark, sf):
+    rows = views.star(spark, sf, "lineitem")["lineitem"]
+    attribute = T.boolean_token(F.when(F.col("l_partkey") % 3 == 0, " YES "))
+    raw = F.when(F.col("l_partkey") % 4 == 0, "***").otherwise((F.col("l_quantity") - 25).cast("int").cast("string"))
+    gone = T.boolean_token(F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "R"), "1").otherwise("0"))
+    return rows.select("l_orderkey", "l_linenumber", T.available(attribute, T.quantity(raw), raw.isin("*", "**", "***"), gone).alias("available"))
+
+
+def token_parse(spark, sf):
+    rows = views.star(spark, sf, "events")["events"]
+    token = F.get(F.array(F.lit(" Yes"), F.lit("0"), F.lit("+\t"), F.lit("FALSE"), F.lit("maybe")), (F.col("event_id") % 5).cast("int"))
+    stock = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(" "), F.col("event_id").cast("string"))).when(F.col("event_id") % 3 == 1, "**").otherwise("12x")
+    return rows.select("event_id", T.boolean_token(token).alias("flag"), T.quantity(stock).alias("quantity"))
+
+
+def table_digest(spark, sf):
+    """The digest of a table and of the same rows dealt out anew: equal."""
+    rows = views.star(spark, sf, "lineitem")["lineitem"]
+    a, b = audit.table_digest(rows), audit.table_digest(rows.repartition(7, "l_partkey"))
+    return a.select(F.lit("stored").alias("copy"), "n_rows", "digest").union(b.select(F.lit("dealt anew").alias("copy"), "n_rows", "digest"))
+
+
+def seal_diff(spark, sf):
+    part = views.star(spark, sf, "part")["part"]
+    n = F.col("p_partkey") % 10
+    listing = part.select(F.concat(F.lit("bundle/"), F.col("p_partkey").cast("string")).alias("path"), F.sha2(F.col("p_name"), 256).alias("sha256"), F.col("p_partkey").alias("size"), n.alias("n"))
+    seal = listing.where("n <> 1").drop("n")
+    present = listing.where("n <> 0").withColumn("size", F.when(F.col("n") == 2, F.col("size") + 1).otherwise(F.col("size"))).drop("n")
+    return audit.seal_diff(seal, present).groupBy("status").agg(F.count("*").alias("n"))
+
+
+def ledger_dedupe(spark, sf):
+    rows = views.star(spark, sf, "lineitem")["lineitem"].select(F.col("l_suppkey").alias("supplier"), F.col("l_partkey").alias("content_sha256"), F.col("l_shipdate").cast("string").alias("feed_date"), F.col("l_returnflag").alias("flag"), F.lit("v1").alias("contract"))
+    new, _ = audit.ledger_append(rows.where("flag = 'A'"), rows.where("flag = 'N'"), ["contract"])
+    return new.select("supplier", F.col("content_sha256").alias("content"))
+
+
+def latest_snapshot(spark, sf):
+    orders = views.star(spark, sf, "orders")["orders"]
+    # Ties on the date go to the largest content, compared as a number.
+    ledger = orders.select(F.col("o_custkey").alias("supplier"), F.col("o_orderkey").alias("content_sha256"), F.col("o_orderdate").alias("feed_date"), (F.col("o_orderstatus") != "P").alias("accepted"))
+    return audit.latest_snapshot(ledger).select("supplier", F.col("content_sha256").cast("string").alias("content_sha256"))
+
+
+def csv_safe_text(spark, sf):
+    docs = views.star(spark, sf, "documents")["documents"]
+    starts = F.get(F.array(F.lit("="), F.lit(" +"), F.lit("\t-"), F.lit("@"), F.lit("")), (F.col("doc_id") % 5).cast("int"))
+    both = docs.select("doc_id", "text").union(docs.select("doc_id", F.concat(starts, "text")))
+    return export.csv_cells(both.withColumnRenamed("text", "cell"), ["cell", "doc_id"]).select(F.col("doc_id").cast("long").alias("doc_id"), "cell")
+
+
+def inline_secret_scan(spark, sf):
+    docs = views.star(spark, sf, "documents")["documents"]
+    return docs.select("doc_id", T.has_inline_secret(F.replace("text", F.lit('"'), F.lit(": "))).alias("has_secret"))
+
+
+def url_allowlist(spark, sf):
+    pages = views.star(spark, sf, "pages")["pages"]
+    return pages.select("page_id", T.url_allowed(F.col("url"), ["www.ththhe.example.com", "thther.example.org"]).alias("allowed"))
+
+
+def verify_checks(spark, sf):
+    r = _Run(spark, sf)
+    return audit.roll_up(audit.verify(r.offers, r.matches, r.proposals(), r.mapped()))
+
+
+_ALL = [
+    match_cascade, match_status_counts, catalog_missing, match_key_multiplicity, own_key_counts, price_proposals, proposal_status_counts, price_compare,
+    availability_compare, category_mapping, product_category_proposals, category_summary, review_queue, source_only, identity_coverage, feed_completeness,
+    run_summary, missing_streaks, missing_state_step, missing_state_stream, quarantine_proposals, category_paths, reject_duplicates, reject_referential,
+    reject_row_rules, blocked_snapshots, batch_status, xml_offer_roundtrip, xml_attribute_map, property_long, property_stats, availability_resolve,
+    token_parse, table_digest, seal_diff, ledger_dedupe, latest_snapshot, csv_safe_text, inline_secret_scan, url_allowlist, verify_checks,
+]
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in _ALL}
+
+__all__ = ["ORACLE", "QUERIES"]

@@ -1,0 +1,225 @@
+"""Supplier feeds: XML and CSV scans into typed rows, raw attributes kept.
+
+A feed dialect is data (``Mapping``), not code.  Typed columns come from the XML source with every
+repeatable scalar declared an array, so a conflict is seen; the open attribute map comes from offer
+fragments, read as text split at the closing tag.
+"""
+
+from __future__ import annotations
+
+import io
+import re
+import xml.etree.ElementTree as ET
+import zipfile
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallybridge.functions.text import available, boolean_token, images, one_or_conflict, plain_text, quantity, strict_decimal
+
+#: Header names a catalogue file must have (fixed value).
+CATALOG_HEADERS = "product_id model sku ean name manufacturer price quantity status category_ids categories".split()
+
+
+@dataclass(frozen=True)
+class Mapping:
+    """Which elements of an offer feed which field, and the rules that differ by dialect."""
+
+    sku_prefix: str
+    price: str = "price"
+    name: str = "name"
+    manufacturer: str = "vendor"
+    mpn: str | None = "vendorCode"
+    ean: str = "barcode"
+    stock: str | None = None
+    out_of_production: str | None = None
+    pictures: tuple[str, ...] = ("picture",)
+    unknown_stock: tuple[str, ...] = ()
+    ean_conflict_warns: bool = True
+    stock_decides: bool = False
+    extra: tuple[str, ...] = field(default=("currencyId", "categoryId", "url", "description"))
+
+
+#: The three dialects (fixed values: prefixes and element names).
+DIALECTS = {
+    "11": Mapping("11"),
+    "31": Mapping("31", price="priceE", manufacturer="Vendor", mpn="PN", ean="GTIN", stock="count", out_of_production="OutOfProd", pictures=("picture", "picture2", "picture3"), unknown_stock=("*", "**", "***"), ean_conflict_warns=False, stock_decides=True),
+    "41": Mapping("41", mpn=None, stock="quantity", ean_conflict_warns=False, stock_decides=True),
+}
+
+
+def offer_schema(m: Mapping) -> str:
+    names = [m.price, m.name, m.manufacturer, m.mpn, m.ean, m.stock, m.out_of_production, *m.pictures, *m.extra]
+    return ", ".join(["_id string", "_available string", *[f"`{n}` array<string>" for n in dict.fromkeys(names) if n]])
+
+
+def read_offers(spark: SparkSession, path: str, m: Mapping, encoding: str = "utf-8") -> DataFrame:
+    """Raw offers of the files under path, one row each; ``source_file`` tells the file."""
+    return spark.read.format("xml").option("rowTag", "offer").option("encoding", encoding).schema(offer_schema(m)).load(path).withColumn("source_file", F.input_file_name())
+
+
+def normalise(raw: DataFrame, m: Mapping) -> DataFrame:
+    """Typed offers of raw ones, and ``conflicts``, the fields whose repeated elements differ."""
+
+    def values(name: str) -> Column:
+        return F.filter(F.transform(F.coalesce(F.col(f"`{name}`"), F.array().cast("array<string>")), plain_text), lambda v: v != "")
+
+    def scalar(name: str | None) -> tuple[Column, Column]:
+        return one_or_conflict(values(name)) if name else (F.lit(None).cast("string"), F.lit(False))
+
+    found = {k: scalar(getattr(m, k)) for k in ("price", "name", "manufacturer", "mpn", "stock", "out_of_production")}
+    found |= {k: scalar(k) for k in m.extra}
+    ean, several = one_or_conflict(values(m.ean))
+    attribute = boolean_token(F.col("_available"))
+    if m.stock_decides:
+        stock = quantity(found["stock"][0], m.unknown_stock)
+        symbol = found["stock"][0].isin(*m.unknown_stock) if m.unknown_stock else F.lit(False)
+        is_available = available(attribute, stock, symbol, boolean_token(found["out_of_production"][0]))
+    else:
+        stock, is_available = F.lit(None).cast("int"), F.coalesce(attribute, F.lit(False))
+    conflicts = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, (_, c) in found.items()]))
+    warnings = F.when(several, F.array(F.lit("ambiguous_ean"))).otherwise(F.array().cast("array<string>")) if m.ean_conflict_warns else F.array().cast("array<string>")
+    return raw.select(
+        F.col("_id").alias("supplier_item_id"),
+        F.concat(F.lit(m.sku_prefix), "_id").alias("catalog_sku"),
+        *[found[k][0].alias(k) for k in ("name", "manufacturer", "mpn")],
+        ean.alias("ean"),
+        warnings.alias("identity_warnings"),
+        strict_decimal(found["price"][0]).alias("source_price"),
+        stock.alias("quantity"),
+        is_available.alias("available"),
+        *[found[k][0].alias(k) for k in m.extra],
+        images(*[values(p) for p in m.pictures]).alias("image_urls"),
+        conflicts.alias("conflicts"),
+    )
+
+
+def read_categories(spark: SparkSession, path: str) -> DataFrame:
+    rows = spark.read.format("xml").option("rowTag", "category").schema("_id string, _parentId string, _VALUE string").load(path)
+    return rows.select(F.col("_id").alias("id"), plain_text(F.col("_VALUE")).alias("name"), F.col("_parentId").alias("parent_id"))
+
+
+def read_currencies(spark: SparkSession, path: str) -> DataFrame:
+    """Declared currencies; a rate that is not given is 1."""
+    rows = spark.read.format("xml").option("rowTag", "currency").schema("_id string, _rate string").load(path)
+    return rows.select(F.col("_id").alias("currency"), strict_decimal(F.coalesce("_rate", F.lit("1")), "decimal(18,8)").alias("rate"))
+
+
+def read_header(spark: SparkSession, path: str, root: str = "yml_catalog") -> DataFrame:
+    return spark.read.format("xml").option("rowTag", root).schema("_date string").load(path).select(F.col("_date").alias("feed_date"))
+
+
+def read_bytes(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """(path, size, sha256) of files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
+    return files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+
+
+def read_fragments(spark: SparkSession, path: str, closing: str = "</offer>") -> DataFrame:
+    """(source_file, fragment): raw offers as text, split by the closing tag; splittable files."""
+    lines = spark.read.option("lineSep", closing).text(path)
+    start = F.regexp_extract("value", r"(?s)<offer\b.*$", 0)
+    return lines.select(F.input_file_name().alias("source_file"), F.concat(start, F.lit(closing)).alias("fragment")).where(start != "")
+
+
+def fragment_elements(fragments: DataFrame, text_col: str = "fragment") -> DataFrame:
+    """Adds ``elements``: array<struct<key, value>> in document order, names as in the raw map:
+    @attr of the offer, child tag, tag@attr, and param:<name>; unparsable fragments give null."""
+    schema = "elements array<struct<key:string,value:string>>"
+
+    def parse(text: str | None):
+        try:
+            root = ET.fromstring(text or "")
+        except ET.ParseError:
+            return None
+        out = [{"key": f"@{k}", "value": v} for k, v in root.attrib.items()]
+        for child in root:
+            key = f"param:{child.attrib.get('name') or 'unnamed'}" if child.tag == "param" else child.tag
+            out.append({"key": key, "value": "".join(child.itertext()).strip()})
+            out += [{"key": f"{key}@{k}", "value": v} for k, v in child.attrib.items() if child.tag != "param"]
+        return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf["elements"] = [parse(t) for t in pdf[text_col]]
+            yield pdf
+
+    return fragments.mapInPandas(run, ", ".join([*(f"`{c}` {t}" for c, t in fragments.dtypes), schema]))
+
+
+def attribute_map(elements: Column) -> Column:
+    """Map of elements; a name that comes again is numbered #2, #3 ..."""
+    numbered = F.transform(elements, lambda e, i: F.struct(e["key"].alias("key"), e["value"].alias("value"), F.size(F.filter(F.slice(elements, F.lit(1), i + 1), lambda x: x["key"] == e["key"])).alias("n")))
+    return F.map_from_entries(F.transform(numbered, lambda e: F.struct(F.when(e["n"] > 1, F.concat(e["key"], F.lit("#"), e["n"].cast("string"))).otherwise(e["key"]), e["value"])))
+
+
+def read_zipped(spark: SparkSession, path: str, member: str, max_bytes: int = 128 << 20, closing: str = "</offer>") -> DataFrame:
+    """Fragments of archives that hold exactly the one expected file; (source_file, fragment,
+    problem), problem naming why an archive was refused.  One task inflates one archive."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for name, content in zip(pdf["path"], pdf["content"], strict=True):
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as z:
+                        infos = z.infolist()
+                        if [i.filename for i in infos] != [member]:
+                            raise ValueError("unexpected_members")
+                        if infos[0].flag_bits & 1:
+                            raise ValueError("encrypted")
+                        if infos[0].file_size > max_bytes:
+                            raise ValueError("too_large")
+                        text = z.read(member).decode(_declared(z.open(member).read(200)), "replace")
+                except (ValueError, zipfile.BadZipFile, LookupError) as e:
+                    yield pd.DataFrame({"source_file": [name], "fragment": [None], "problem": [str(e) if isinstance(e, ValueError) else "bad_archive"]})
+                    continue
+                parts = [m.group(0) + closing for p in text.split(closing)[:-1] if (m := re.search(r"(?s)<offer\b.*$", p))]
+                for at in range(0, len(parts), 2000):
+                    some = parts[at : at + 2000]
+                    yield pd.DataFrame({"source_file": name, "fragment": some, "problem": [None] * len(some)})
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInPandas(run, "source_file string, fragment string, problem string")
+
+
+def _declared(head: bytes) -> str:
+    found = re.search(rb'encoding="([^"]+)"', head)
+    return found.group(1).decode() if found else "utf-8"
+
+
+def read_properties(spark: SparkSession, path: str, encoding: str = "windows-1251") -> tuple[DataFrame, DataFrame]:
+    """(definitions: property_id, property_name; observations: item_id, property_id, value)."""
+    definitions = spark.read.format("xml").option("rowTag", "property").option("encoding", encoding).schema("_id string, _VALUE string").load(path)
+    lines = spark.read.option("lineSep", "</item>").option("encoding", encoding).text(path)
+    item = F.regexp_extract("value", r"""<item\b[^>]*\bid="([^"]*)"[^>]*>""", 1)
+    cells = F.regexp_extract_all("value", F.lit(r"(?s)<(p[1-9][0-9]*)>.*?</\1>"), F.lit(0))
+    rows = lines.select(item.alias("item_id"), F.explode(cells).alias("cell")).where("item_id <> ''")
+    observed = rows.select("item_id", F.regexp_extract("cell", "^<(p[0-9]+)>", 1).alias("property_id"), plain_text(F.col("cell")).alias("value"))
+    return definitions.select(F.col("_id").alias("property_id"), plain_text(F.col("_VALUE")).alias("property_name")), observed
+
+
+def property_observations(observed: DataFrame, definitions: DataFrame) -> DataFrame:
+    rows = observed.join(definitions, "property_id", "left")
+    return rows.select("item_id", "property_id", "property_name", "value", F.trim("value").isin("", "-").alias("missing"), F.col("property_name").isNull().alias("definition_missing"))
+
+
+def property_stats(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.countDistinct("item_id").alias("items"), F.count("*").alias("observations"), F.count_if("missing").alias("missing"), F.count_if("definition_missing").alias("undefined"), F.countDistinct(F.when(F.col("definition_missing"), F.col("property_id"))).alias("undefined_properties"))
+
+
+def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """Catalogue rows as strings; ``_corrupt`` holds lines of wrong arity.
+
+    The header is read first: names must be non-blank, unique, unpadded and hold the required ones.
+    """
+    head = spark.read.text(path).first()
+    names = [x.strip('"') for x in (head[0] if head else "").removeprefix("﻿").split(",")]
+    if any(not n or n != n.strip() for n in names) or len(set(names)) != len(names):
+        raise ValueError("catalogue header has blank, padded or repeated names")
+    if lacking := [h for h in CATALOG_HEADERS if h not in names]:
+        raise ValueError(f"catalogue header lacks {lacking}")
+    schema = ", ".join([*(f"`{n}` string" for n in names), "_corrupt string"])
+    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("enforceSchema", True).csv(path)
