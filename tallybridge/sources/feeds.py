@@ -190,15 +190,28 @@ def _declared(head: bytes) -> str:
     return found.group(1).decode() if found else "utf-8"
 
 
+def _encoded_fragments(spark: SparkSession, path: str, tag: str, encoding: str) -> DataFrame:
+    """(fragment): elements of files that are not UTF-8; the text source reads nothing else. One
+    task decodes one file."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        element = re.compile(rf"<{tag}\b[^>]*?(?:/>|>.*?</{tag}>)", re.S)
+        for pdf in batches:
+            for content in pdf["content"]:
+                found = [m.group(0) for m in element.finditer(content.decode(encoding, "replace"))]
+                for at in range(0, len(found), 5000):
+                    yield pd.DataFrame({"fragment": found[at : at + 5000]})
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "fragment string")
+
+
 def read_properties(spark: SparkSession, path: str, encoding: str = "windows-1251") -> tuple[DataFrame, DataFrame]:
     """(definitions: property_id, property_name; observations: item_id, property_id, value)."""
-    definitions = spark.read.format("xml").option("rowTag", "property").option("encoding", encoding).schema("_id string, _VALUE string").load(path)
-    lines = spark.read.option("lineSep", "</item>").option("encoding", encoding).text(path)
-    item = F.regexp_extract("value", r"""<item\b[^>]*\bid="([^"]*)"[^>]*>""", 1)
-    cells = F.regexp_extract_all("value", F.lit(r"(?s)<(p[1-9][0-9]*)>.*?</\1>"), F.lit(0))
-    rows = lines.select(item.alias("item_id"), F.explode(cells).alias("cell")).where("item_id <> ''")
-    observed = rows.select("item_id", F.regexp_extract("cell", "^<(p[0-9]+)>", 1).alias("property_id"), plain_text(F.col("cell")).alias("value"))
-    return definitions.select(F.col("_id").alias("property_id"), plain_text(F.col("_VALUE")).alias("property_name")), observed
+    named, items = (_encoded_fragments(spark, path, tag, encoding) for tag in ("property", "item"))
+    definitions = named.select(F.regexp_extract("fragment", 'id="(p[1-9][0-9]*)"', 1).alias("property_id"), plain_text(F.col("fragment")).alias("property_name")).where("property_id <> ''")
+    cells = F.regexp_extract_all("fragment", F.lit(r"(?s)<(p[1-9][0-9]*)>.*?</\1>"), F.lit(0))
+    rows = items.select(F.regexp_extract("fragment", '^<item\\b[^>]*\\bid="([1-9][0-9]*)"', 1).alias("item_id"), F.explode(cells).alias("cell")).where("item_id <> ''")
+    return definitions, rows.select("item_id", F.regexp_extract("cell", "^<(p[0-9]+)>", 1).alias("property_id"), plain_text(F.col("cell")).alias("value"))
 
 
 def property_observations(observed: DataFrame, definitions: DataFrame) -> DataFrame:
