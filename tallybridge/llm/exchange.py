@@ -17,9 +17,11 @@ PACKED = "bucket int, owners binary, counts binary, keys binary, extra binary"
 PACKED_NAMES = ["bucket", "owners", "counts", "keys", "extra"]
 
 
-def scatter(owners: np.ndarray, counts: np.ndarray, keys: np.ndarray, n_buckets: int, extra: np.ndarray | None = None) -> pa.RecordBatch:
-    """Rows of PACKED. counts: keys of each owner, in order; extra: one row of bytes-like values a key."""
-    bucket = ((keys >> np.uint64(40)) % np.uint64(n_buckets)).astype(np.uint16 if n_buckets < 65536 else np.uint32)
+def scatter(owners: np.ndarray, counts: np.ndarray, keys: np.ndarray, n_buckets: int, extra: np.ndarray | None = None, deal: np.ndarray | None = None) -> pa.RecordBatch:
+    """Rows of PACKED. counts: keys of each owner, in order; extra: a fixed-width value a
+    key; deal: another hash of what a key stands for, to deal by instead of the key (equal keys
+    then also agree in the bucket, as if the key had that many bits more)."""
+    bucket = (((keys if deal is None else deal) >> np.uint64(40)) % np.uint64(n_buckets)).astype(np.uint16 if n_buckets < 65536 else np.uint32)
     order = np.argsort(bucket, kind="stable")
     at = np.repeat(np.arange(len(owners)), counts)[order]
     ends = np.cumsum(np.bincount(bucket, minlength=n_buckets))
@@ -61,8 +63,9 @@ def answer(owner: np.ndarray, values: np.ndarray, n_buckets: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["bucket", "owners", "counts", "answer"])
 
 
-def unpack(width: int):
-    """For groupBy("bucket").applyInArrow: one row (owner, answer) for each owner."""
+def unpack(width: int, fold=bytes):
+    """For groupBy("bucket").applyInArrow: one row (owner, answer) for each owner; fold makes the
+    answer of an owner's values."""
 
     def run(rows: pa.Table) -> pa.Table:
         owner = np.repeat(_concat(rows.column("owners"), np.int64), _concat(rows.column("counts"), np.uint32))
@@ -71,6 +74,6 @@ def unpack(width: int):
         owner, values = owner[order], values[order]
         who, first = np.unique(owner, return_index=True)
         cut = np.append(first, len(owner)).tolist()
-        return pa.Table.from_arrays([pa.array(who, pa.int64()), pa.array([values[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["owner", "answer"])
+        return pa.Table.from_arrays([pa.array(who, pa.int64()), pa.array([fold(values[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["owner", "answer"])
 
     return run

@@ -4,8 +4,9 @@
    of each document go to buckets by name; a bucket tells every document which of its names other
    documents hold too.
 2. A window that holds a decided symbol of no other document cannot repeat.  The windows that
-   are left are the candidates; they are verified by 96-bit fingerprints of their whole word
-   sequence, again in buckets, which tell each document the windows that start in a smaller one.
+   are left are the candidates; they are verified by fingerprints of their whole word sequence (64
+   bits, and a second one that deals them out), again in buckets, which tell each document the
+   windows that start in a smaller one.
 3. The words those windows cover are removed.
 
 What crosses the network is packed (``exchange``); buckets follow the session's shuffle partitions.
@@ -27,18 +28,14 @@ from tallybridge.llm.kernels import steps, windows, words
 WINDOW, ROUNDS = 13, 3
 _STEP = 1 << 20
 _LOW = np.uint64(0xFFFFFFFF)
-#: Where a window starts in its document, with 32 bits more of its fingerprint.
-_PLACE = np.dtype([("check", "<u4"), ("at", "<u4")])
 
 
-def _repeated(keys: np.ndarray, owner: np.ndarray, more: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Per entry: do several owners have its key (and second key), does a smaller one?"""
-    order = np.lexsort((owner, keys) if more is None else (owner, more, keys))
+def _repeated(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per entry: do several owners have its key, does a smaller one?"""
+    order = np.lexsort((owner, keys))
     k, o = keys[order], owner[order]
     new = np.ones(len(k), bool)
     new[1:] = k[1:] != k[:-1]
-    if more is not None:
-        new[1:] |= more[order][1:] != more[order][:-1]
     first, group = np.flatnonzero(new), np.cumsum(new) - 1
     least, most = o[first], o[np.append(first[1:], len(o)) - 1] if len(o) else o
     several, smaller = np.zeros(len(k), bool), np.zeros(len(k), bool)
@@ -82,6 +79,7 @@ def _shared_names(n_buckets: int):
 def _send_windows(n_buckets: int, window: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
             ids, told = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
             for a, b, data, offsets in steps(batch, "text", _STEP):
                 w, doc, s = _parsed(data, offsets, rounds)
@@ -96,36 +94,54 @@ def _send_windows(n_buckets: int, window: int, rounds: int):
                 fits = np.arange(n) + window <= w.first[1:][doc] if n else np.zeros(0, bool)
                 start = np.flatnonzero(fits & ~recompress.windows_with(s, use[~there], window, n)) if n else np.zeros(0, np.int64)
                 if len(start):
-                    extra = np.empty(len(start), _PLACE)
-                    extra["check"] = windows(w.hashes, window, 1)[start] & _LOW
-                    extra["at"] = start - w.first[:-1][doc[start]]
-                    yield exchange.scatter(ids[a:b], np.bincount(doc[start], minlength=b - a), windows(w.hashes, window)[start], n_buckets, extra)
+                    at = (start - w.first[:-1][doc[start]]).astype(np.uint32)
+                    deal = windows(w.hashes, window, 1)[start]
+                    yield exchange.scatter(ids[a:b], np.bincount(doc[start], minlength=b - a), windows(w.hashes, window)[start], n_buckets, at, deal)
 
     return run
 
 
 def _repeated_windows(n_buckets: int):
     def run(rows: pa.Table) -> pa.Table:
-        keys, owner, extra = exchange.gather(rows, _PLACE)
-        hit = np.flatnonzero(_repeated(keys, owner, extra["check"])[1])
-        return exchange.answer(owner[hit], extra[hit], n_buckets)
+        keys, owner, at = exchange.gather(rows, "<u4")
+        hit = np.flatnonzero(_repeated(keys, owner)[1])
+        return exchange.answer(owner[hit], at[hit], n_buckets)
 
     return run
 
 
-def _told(packed: DataFrame, stage, width: int) -> DataFrame:
+def _covered(window: int):
+    """Window starts of one document -> first and end word of each stretch they cover."""
+
+    def fold(starts: bytes) -> bytes:
+        at = np.unique(np.frombuffer(starts, "<u4")).astype(np.int64)
+        new = np.append(True, at[1:] > at[:-1] + window)
+        last = np.append(np.flatnonzero(new)[1:] - 1, len(at) - 1)
+        return np.stack([at[new], at[last] + window], 1).astype("<u4").tobytes()
+
+    return fold
+
+
+def _told(packed: DataFrame, stage, fold=bytes) -> DataFrame:
     """Ask the buckets; (owner, answer) with one row for each owner that has an answer."""
     asked = packed.groupBy("bucket").applyInArrow(stage, exchange.ANSWER)
-    return asked.groupBy("bucket").applyInArrow(exchange.unpack(width), "owner long, answer binary")
+    return asked.groupBy("bucket").applyInArrow(exchange.unpack(4, fold), "owner long, answer binary")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(owner, text). Both joins below read it in this one form, so Spark shuffles the texts once."""
+    return docs.select(F.col(id_col).cast("long").alias("owner"), F.col(text_col).alias("text"))
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """(owner, answer): for each document with repeated windows, where they start (_PLACE)."""
+    """(owner, answer): for each document with repeated windows, the stretches of words they cover, as
+    pairs of uint32 (first word, end)."""
     n = parts(docs.sparkSession)
-    texts = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("owner"), F.col(text_col).alias("text"))
-    names = _told(texts.mapInArrow(_send_names(n, window, rounds), exchange.PACKED), _shared_names(n), 4)
+    texts = _texts(docs, id_col, text_col)
+    known = texts.where(F.col("owner").isNotNull() & F.col("text").isNotNull())
+    names = _told(known.mapInArrow(_send_names(n, window, rounds), exchange.PACKED), _shared_names(n))
     asked = texts.join(names, "owner", "left").select("owner", "text", "answer")
-    return _told(asked.mapInArrow(_send_windows(n, window, rounds), exchange.PACKED), _repeated_windows(n), _PLACE.itemsize)
+    return _told(asked.mapInArrow(_send_windows(n, window, rounds), exchange.PACKED), _repeated_windows(n), _covered(window))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
@@ -134,32 +150,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A window is ``window`` consecutive words of one document; it is repeated if its word sequence
     also starts in a document with a smaller id (an integer).  Null and empty texts have no words;
     rows with a null id are kept as they are and count for no other; rows that share an id
-    are never smaller than each other; other columns are ignored; an empty table
+    are one row repeated: never smaller than each other, and alike in what is removed; other columns are ignored; an empty table
     gives an empty result.
     """
     kind = dict(docs.dtypes)[id_col]
     starts = find_repeats(docs, id_col, text_col, window, rounds)
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(id_col).cast("long").alias("owner"), F.col(text_col).alias("text")).join(starts, "owner", "left")
+    rows = _texts(docs, id_col, text_col).join(starts, "owner", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in steps(batch, "text", _STEP):
                 w = words(data, offsets, fold_case=False)
                 raw, removed, kept = w.data.tobytes(), [], []
-                check = (windows(w.hashes, window, 1) & _LOW).astype(np.uint32)
                 for i, told in enumerate(batch.column(2)[a:b]):
                     lo, hi = int(w.first[i]), int(w.first[i + 1])
                     keep = np.ones(hi - lo, bool)
                     if told.is_valid:
-                        told = np.frombuffer(told.as_py(), _PLACE)
-                        told = told[told["at"].astype(np.int64) + window <= hi - lo]
-                        at = told["at"].astype(np.int64)
-                        at = at[check[at + lo] == told["check"]]
-                        cover = np.bincount(at, minlength=hi - lo + 1) - np.bincount(at + window, minlength=hi - lo + 1)
-                        keep = np.cumsum(cover)[:-1] == 0
+                        for first, end in np.frombuffer(told.as_py(), "<u4").reshape(-1, 2).tolist():
+                            keep[first:end] = False
                     removed.append(int((~keep).sum()))
                     at = np.flatnonzero(keep) + lo
                     kept.append(b" ".join([raw[s:e] for s, e in zip(w.starts[at].tolist(), w.ends[at].tolist(), strict=True)]).decode())
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(np.diff(w.first), pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=[id_col, "n_words", "n_removed", "kept"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(np.diff(w.first), pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["owner", "n_words", "n_removed", "kept"])
 
-    return rows.select("__id", "text", "answer").mapInArrow(run, f"{id_col} {kind}, n_words long, n_removed long, kept string")
+    done = rows.select("owner", "text", "answer").mapInArrow(run, "owner long, n_words long, n_removed long, kept string")
+    return done.select(F.col("owner").cast(kind).alias(id_col), "n_words", "n_removed", "kept")
