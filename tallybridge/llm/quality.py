@@ -24,6 +24,8 @@ DIM, FILTERS, HIDDEN = 8, 48, 16
 #: Bound of the learning sample: labelled documents, and bytes of one of them. Scoring has no bound.
 SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 2400, 200_000
 THRESHOLD = 0.7
+#: Steps of learning at least, where rows are few.
+LEAST_STEPS = 500
 _STEP = 384 << 10
 
 
@@ -138,11 +140,11 @@ def learn(texts: list[bytes], labels: np.ndarray, epochs: int = 14, batch: int =
         net.last[:] = 0
         net.last_bias[:] = 6 if not len(labels) or labels[0] else -6
         return net
-    share = labels.mean()
-    weight = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
+    weight = np.ones(len(labels), np.float32)
     first = {k: np.zeros_like(getattr(net, k)) for k in net.names}
     second = {k: np.zeros_like(getattr(net, k)) for k in net.names}
-    t, total = 0, max(1, epochs * -(-len(texts) // batch))
+    epochs = max(epochs, -(-LEAST_STEPS * batch // len(texts)))
+    t, total = 0, epochs * -(-len(texts) // batch)
     for _ in range(epochs):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), batch):
