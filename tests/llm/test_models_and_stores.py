@@ -1,0 +1,200 @@
+"""Pages, classifier, secrets, embeddings, token counts and the pipeline."""
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tallybridge.llm import components, embeddings, html_text, quality, registry, secrets, token_counts
+
+
+def test_pages(spark):
+    body = lambda i: f'<html><head><title>t</title></head><body><div class="x"><p>Join our club today</p></div><div id="c{i}"><p>Story {i} &amp; &lt;more&gt;<br>line<p>second   <b>bold</b>\n text {i}</p></div><ul class="nav-menu"><li>Home</ul><footer>foot {i}</footer><!-- no --><script>var t="</p>";</script></body></html>'
+    pages = [(i, f"https://h.example/{i}", body(i), "clash") for i in range(10)]
+    pages += [(20, None, body(20), "x"), (21, "https://h.example/z", None, "x"), (22, "https://other.example/", "", "x"), (23, "https://o.example/", '<body>a<article><h1>T</h1>b<div class="user-comments">no</div></article>c', "x"), (24, "u", "<p>open <b>never closed", "x"), (3, "https://h.example/3", body(3), "x")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, text string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(df).collect()}
+    assert got[4] == "Story 4 & <more> line\nsecond bold text 4"
+    assert got[20] == "Join our club today\nStory 20 & <more> line\nsecond bold text 20"
+    assert got[21] == got[22] == "" and got[23] == "T\nb" and got[24] == "open never closed"
+    assert html_text.extract(df).count() == len(pages) and html_text.extract(df.limit(0)).count() == 0
+    assert all(r["n_chars"] == len(r["text"]) and r["url"] == r["url"] for r in html_text.extract(df).collect())
+
+
+def test_pages_joined_by_host_give_the_same(spark, sf, monkeypatch):
+    a = {tuple(r) for r in registry.op1_html_text(spark, sf).collect()}
+    monkeypatch.setattr(html_text, "BROADCAST_ROWS", -1)
+    assert {tuple(r) for r in registry.op1_html_text(spark, sf).collect()} == a
+
+
+def test_network_gradient():
+    """Backpropagation against finite differences."""
+    rng = np.random.default_rng(0)
+    texts = [bytes(rng.integers(1, 255, n).astype(np.uint8)) for n in (0, 3, 250, 700)]
+    labels, weight = np.array([1, 0, 1, 0], np.float32), np.ones(4, np.float32)
+    net = quality.learn(texts, labels, epochs=1)
+    for k in net.names:
+        setattr(net, k, getattr(net, k).astype(np.float64))
+
+    def loss():
+        p = quality.score(net, *quality._join(texts))
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+
+    g = quality._gradient(net, texts, labels, weight)
+    for k in ("last", "hidden", "bias", "filters"):
+        flat = getattr(net, k).reshape(-1)
+        at = int(np.abs(g[k].reshape(-1)).argmax())
+        old, step = flat[at], 1e-5
+        flat[at] = old + step
+        up = loss()
+        flat[at] = old - step
+        down = loss()
+        flat[at] = old
+        assert np.isclose((up - down) / (2 * step), g[k].reshape(-1)[at], rtol=0.05, atol=1e-4)
+
+
+def test_quality_on_held_out_rows(spark, sf):
+    sf = sf.replace("sf0.001", "sf0.01")
+    got = registry.op3_quality(spark, sf)
+    rows = {r["doc_id"]: r for r in got.collect()}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for i, r in rows.items())
+    held = [(labels[i], r["predicted"]) for i, r in rows.items() if r["held_out"] and i in labels]
+    assert np.mean([a == b for a, b in held]) > 0.88
+
+
+def test_quality_edge_cases(spark):
+    docs = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (2, "", "y"), (3, "text " * 9000, "z")], "doc_id long, text string, score string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    net = quality.fit(docs, none)
+    got = quality.classify(docs, net, ["doc_id"]).collect()
+    assert len(got) == 4 and {r["predicted"] for r in got} == {1}
+    assert quality.classify(docs.limit(0), net, ["doc_id"]).count() == 0
+    one = spark.createDataFrame([(1, 0), (1, None), (None, 1)], "doc_id long, quality int")
+    assert quality.score_texts(quality.fit(docs, one), ["a", ""]).max() < 0.5
+
+
+def test_secrets(spark):
+    key = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+    rows = [(1, f'x token = "{key}" y {key}', "src"), (2, "card 4556737586899855 paid", None), (3, None, None), (4, "", ""), (5, "commit 9fceb02d0ae598e95dc970b74767f19372d61af8 done", "log"), (None, f"secret: {key}", "a"), (1, f'x token = "{key}" y {key}', "src")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("score", F.lit("clash"))
+    forest = secrets.train(secrets.seed_findings(spark))
+    got = secrets.scan(docs, forest)
+    found = {(r["doc_id"], r["word_no"], r["predicted"]) for r in got.collect()}
+    assert (1, 3, 1) in found and (2, 1, 0) in found and (5, 1, 0) in found and (None, 1, 1) in found
+    assert got.where("doc_id = 1").count() == 4 and secrets.scan(docs.limit(0), forest).count() == 0
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs, forest).collect()}
+    assert key not in clean[1] and "[SECRET]" in clean[1] and clean[2] == rows[1][1] and clean[3] is None
+    assert secrets.redact(docs, forest).columns == docs.columns
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_secret_findings_equal_a_regular_expression(spark, sf):
+    import re
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    forest = secrets.fit(docs)
+    got = sorted((r["doc_id"], r["secret"]) for r in secrets.scan(docs, forest).collect())
+    want = sorted((r["doc_id"], v) for r in docs.collect() for v in re.findall(secrets.CANDIDATE, r["text"] or "", re.A))
+    assert got == want
+
+
+@pytest.mark.parametrize("unit_rows", [2000, 20])
+def test_embeddings(spark, monkeypatch, unit_rows):
+    monkeypatch.setattr(embeddings, "UNIT_ROWS", unit_rows)
+    rng = np.random.default_rng(2)
+    centre = rng.normal(size=(6, 32))
+    v = np.concatenate([centre[[i]] + rng.normal(size=(n, 32)) * s for i, (n, s) in enumerate([(60, 0.1), (40, 0.22), (5, 0.05), (1, 0), (8, 0.3), (9, 0)])]).astype(np.float32)
+    v = np.concatenate([v, v[:3] * 2])
+    rows = [(i * 2, x.tolist(), "c", 0) for i, x in enumerate(v)]
+    bad = [(1001, None, "c", 0), (1003, [], "c", 0), (1005, [0.0] * 32, "c", 0), (1007, [float("nan")] * 32, "c", 0), (1009, [None] + [1.0] * 31, "c", 0), (1011, [float("inf")] + [1.0] * 31, "c", 0), (1013, v[0].tolist()[:16], "c", 0), (None, v[0].tolist(), "c", 0)]
+    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, rep string, n int")
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(df).collect()}
+    u = v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None]
+    near = u @ u.T >= 0.95
+    np.fill_diagonal(near, False)
+    label = np.arange(len(v))
+    for _ in range(len(v)):
+        label = np.minimum(label, np.where(near, label[None, :], len(v)).min(1))
+    assert [got[i * 2]["n_links"] for i in range(len(v))] == near.sum(1).tolist()
+    assert [got[i * 2]["component_id"] for i in range(len(v))] == (label * 2).tolist()
+    assert all(got[b[0]]["n_links"] == 0 and got[b[0]]["component_id"] == b[0] for b in bad)
+    assert all(r["kept"] == (r["vec_id"] is not None and r["vec_id"] == r["component_id"]) for r in got.values())
+    assert embeddings.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_embedding_recall_on_the_table(spark, sf):
+    df = spark.read.parquet(f"{sf}/embeddings.parquet")
+    noisy = df.select((F.col("vec_id") + 1_000_000).alias("vec_id"), F.transform("embedding", lambda x: (x + F.sin(F.col("vec_id") + x * 999) * 0.03).cast("float")).alias("embedding"))
+    both = df.select("vec_id", "embedding").union(noisy)
+    rows = sorted((r["vec_id"], r["embedding"]) for r in both.collect())
+    v = np.array([e for _, e in rows], float)
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    want = int(((v @ v.T) >= 0.95).sum()) - len(v)
+    got = embeddings.near_duplicates(both).agg(F.sum("n_links")).first()[0]
+    assert want > 0 and want * 0.99 <= got <= want
+
+
+def test_hadamard_keeps_length():
+    x = np.random.default_rng(1).normal(size=(5, 64))
+    y = embeddings.hadamard(x)
+    assert np.allclose(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)) and np.allclose(embeddings.hadamard(y), x)
+
+
+def test_components(spark):
+    links = spark.createDataFrame([(i + 1, i) for i in range(30)] + [(50, 60), (60, 50), (60, 70), (9, 9), (None, 4)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components.components(links).collect()}
+    assert got == {i: 0 for i in range(1, 31)} | {60: 50, 70: 50}
+    assert components.components(links.limit(0)).count() == 0
+
+
+def test_rollup(spark, tmp_path):
+    rollup = token_counts.Rollup(spark, str(tmp_path / "r"))
+    kind = "change string, doc_id long, source string, lang string, tokenizer string, n_tokens long, n_docs string"
+    rows = lambda *r: spark.createDataFrame([(*x, "clash") for x in r], kind)
+    totals = lambda: {tuple(r)[:3]: tuple(r)[3:] for r in rollup.totals().collect()}
+    assert totals() == {}
+    first = rows(("insert", 1, "a", "en", "t1", 10), ("insert", 2, "a", None, "t1", 5), ("insert", 1, "a", "en", "t1", 10), ("insert", None, "a", "en", "t1", None))
+    assert rollup.apply("b1", first) and not rollup.apply("b1", first)
+    assert totals() == {("a", "en", "t1"): (2, 10), ("a", None, "t1"): (1, 5)}
+    change = rows(("revise", 1, "b", "en", "t1", 12), ("delete", 2, "zzz", None, "t1", None), ("delete", 99, "a", "en", "t1", 7))
+    (tmp_path / "r" / "deltas" / "batch=b2").mkdir(parents=True)
+    assert rollup.apply("b2", change) and not rollup.apply("b2", change)
+    assert totals() == {("a", "en", "t1"): (1, 0), ("b", "en", "t1"): (1, 12)}
+    assert rollup.apply("b3", rows().limit(0)) and totals() == {("a", "en", "t1"): (1, 0), ("b", "en", "t1"): (1, 12)}
+
+
+def test_rollup_ignores_what_was_not_committed(spark, tmp_path):
+    rollup = token_counts.Rollup(spark, str(tmp_path / "r"))
+    kind = "change string, doc_id long, source string, lang string, tokenizer string, n_tokens long"
+    rollup.apply("b1", spark.createDataFrame([("insert", 1, "a", "en", "t", 3)], kind))
+    spark.createDataFrame([("a", "en", "t", 9, 9)], "source string, lang string, tokenizer string, n_docs long, n_tokens long").write.parquet(str(tmp_path / "r" / "deltas" / "batch=broken"))
+    assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "t", 1, 3)]
+
+
+def test_token_counts_query(spark, sf):
+    import collections
+
+    tokenizers = pytest.importorskip("tokenizers")
+    library = tokenizers.Tokenizer.from_file(registry.tokenizer("word_bpe_49k.json"))
+    want, seen = collections.Counter(), set()
+    for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect():
+        if r["text"] not in seen:
+            seen.add(r["text"])
+            want[r["source"], r["lang"], "word_bpe_49k" + "+end" * (r["lang"] == "en")] += len(library.encode(r["text"], add_special_tokens=False).ids) + 1
+    assert {tuple(r)[:3]: r["n_tokens"] for r in registry.op10_token_counts(spark, sf).collect()} == dict(want)
+
+
+def test_pipeline(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, kept, sf)
+        assert after.columns == docs.columns
+        assert 0.6 * kept.count() < after.count() <= kept.count()
+        kept = after
+    out = corpus_pipeline.run(spark, sf)
+    assert out.columns == ["doc_id", "n_tokens", "ids"] and {r["doc_id"] for r in out.collect()} == {r["doc_id"] for r in kept.collect()}
