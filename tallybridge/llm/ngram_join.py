@@ -11,10 +11,11 @@ indexed.  For each size band the cheaper of two allocations is taken (``allocate
 * neighbourhoods: ceil((H + 1) / 2) larger segments, each indexed whole and with any one n-gram
   left out; one of them differs by at most one.
 
-A set goes into its own band and, if a larger partner may sit there, into the next one.  Sets that
+A set goes into its own band and into the next ones as far as a larger partner may sit there.  Sets that
 are equal form one class before any pair is made.  Candidates are verified by exact intersection;
-a group of sets with one signature is first joined as a star, and only members that are then in
-different components are compared with each other.
+a group of sets with one signature is first joined as a star.  Members that are then in different
+components are compared with each other inside tasks, block by block, by a profile of counts that
+bounds their difference from below; what it leaves open is verified as well.
 """
 
 from __future__ import annotations
@@ -39,6 +40,11 @@ BAND_GROWTH = 1.25
 FREQUENT = 1024
 #: Bound of the list of frequent signatures (8 bytes each); which ones it holds changes the cost only.
 FREQUENT_MOST = 200_000
+#: Ids of sets to rebuild that are broadcast (16 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 250_000
+#: Slots of the profile that rules out pairs before they become rows, and members of a group that
+#: are compared in one piece (a larger group is cut into blocks, every pair of blocks a unit).
+PROFILE, UNIT_ROWS = 128, 1024
 _STEP = 1 << 20
 
 
@@ -57,7 +63,7 @@ def bands(percent: int) -> np.ndarray:
 
 
 @functools.cache
-def allocate(upper: int, percent: int, repeat_rate: float = 0.35, candidate_cost: float = 400.0) -> tuple[bool, int, int]:
+def allocate(upper: int, percent: int, repeat_rate: float = 0.35, candidate_cost: float = 150.0) -> tuple[bool, int, int]:
     """(neighbourhoods?, segments, signatures to keep) of the band whose largest size is upper.
 
     Cost: signatures sent, and candidates that arise because each n-gram of a segment is found
@@ -85,9 +91,11 @@ def signatures(sets: list[np.ndarray], percent: int, frequent: np.ndarray) -> tu
     own = np.searchsorted(uppers, size)
     largest_partner = size * 100 // percent
     signs, owners = [], []
-    for shift in (0, 1):
+    for shift in range(len(uppers)):
         band = own + shift
-        use = np.flatnonzero((size > 0) & (band < len(uppers)) & ((shift == 0) | (largest_partner > uppers[np.minimum(own, len(uppers) - 1)])))
+        use = np.flatnonzero((size > 0) & (band < len(uppers)) & ((shift == 0) | (largest_partner > uppers[np.minimum(band - 1, len(uppers) - 1)])))
+        if not len(use):
+            break
         plan = [allocate(int(uppers[band[i]]), percent) for i in use.tolist()]
         near = np.array([p[0] for p in plan], bool)
         for i, p in zip(use[near].tolist(), [p for p in plan if p[0]], strict=True):
@@ -139,11 +147,17 @@ def _describe(ngram: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, sets in _each_step(batch, ngram):
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array([len(x) for x in sets], pa.int64()), pa.array([_set_id(x) for x in sets], pa.int64())], names=["id", "n_shingles", "set_id"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array([len(x) for x in sets], pa.int64()), pa.array([_set_id(x) for x in sets], pa.int64()), pa.array([_profile(x) for x in sets], pa.binary())], names=["id", "n_shingles", "set_id", "profile"])
 
     return run
 
 
+def _profile(grams: np.ndarray) -> bytes:
+    """How many n-grams fall into each of PROFILE slots, at most 255. The differences of two
+    profiles add up to no more than the sets' symmetric difference."""
+    return np.minimum(np.bincount((mix(grams) % np.uint64(PROFILE)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8).tobytes()
+
+
 def _send(ngram: int, percent: int, n_buckets: int, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,7 +224,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram:
     spark = docs.sparkSession
     n = parts(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    described = stored(rows.mapInArrow(_describe(ngram, ""), f"id {dict(rows.dtypes)['id']}, n_shingles long, set_id long"), "ngram-sets")
+    described = stored(rows.mapInArrow(_describe(ngram, ""), f"id {dict(rows.dtypes)['id']}, n_shingles long, set_id long, profile binary"), "ngram-sets")
     texts = rows.where(F.col("text").isNotNull())
 
     def grouped(skip: np.ndarray) -> DataFrame:
@@ -226,7 +240,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram:
     star = groups.select(F.explode(F.slice("members", 2, 2**31 - 1)).alias("b"), F.col("members")[0].alias("a")).select("a", "b").distinct()
     checked = _checked(star, described, texts, ngram, percent)
     joined = components(checked)
-    rest = _across(groups, joined)
+    rest = _across(groups, joined, described, percent, n)
     links = checked.union(_checked(rest, described, texts, ngram, percent)) if rest is not None else checked
     return described, links
 
@@ -236,25 +250,60 @@ def _checked(pairs: DataFrame, described: DataFrame, rows: DataFrame, ngram: int
     pairs = stored(pairs, "ngram-pairs")
     wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
     first = described.groupBy("set_id").agg(F.min("id").alias("id")).join(wanted, "set_id", "left_semi").select("id")
-    sets = rows.join(first, "id", "left_semi").select("id", "text").mapInArrow(_sets(ngram), "set_id long, grams binary")
-    sets = stored(sets.dropDuplicates(["set_id"]), "ngram-grams")
+    first = stored(first, "ngram-wanted")
+    few = first.count() <= BROADCAST_IDS
+    chosen = rows.join(F.broadcast(first) if few else first.hint("merge"), "id", "left_semi")
+    sets = stored(chosen.select("id", "text").mapInArrow(_sets(ngram), "set_id long, grams binary"), "ngram-grams")
     with_b = pairs.join(sets.select(F.col("set_id").alias("b"), F.col("grams").alias("of_b")), "b")
     with_both = with_b.join(sets.select(F.col("set_id").alias("a"), F.col("grams").alias("of_a")), "a").select("a", "b", "of_a", "of_b")
     return cut(with_both.mapInArrow(_verify(percent), "a long, b long"))
 
 
-def _across(groups: DataFrame, joined: DataFrame) -> DataFrame | None:
-    """Pairs of one group whose members are in different components; its first member has been
-    compared with all.  None if there is no such pair."""
+def _across(groups: DataFrame, joined: DataFrame, described: DataFrame, percent: int, n_packs: int) -> DataFrame | None:
+    """Pairs of one group whose members are in different components and whose profiles allow the
+    similarity; its first member has been compared with all.  None if there is no such pair.
+
+    Members are compared in tasks, in units of at most two blocks; only pairs that the profiles
+    leave open become rows, each once.
+    """
     open_ = groups.where(F.size("members") > 2).select(F.xxhash64("members").alias("g"), F.explode(F.slice("members", 2, 2**31 - 1)).alias("node"))
     placed = open_.join(joined, "node", "left").select("g", "node", F.coalesce("component", "node").alias("part"))
-    several = placed.groupBy("g").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("g")
-    placed = cut(placed.join(several, "g", "left_semi").distinct())
-    if placed.isEmpty():
-        return None
-    one, other = placed.alias("one"), placed.alias("other")
-    pairs = one.join(other, (F.col("one.g") == F.col("other.g")) & (F.col("one.node") < F.col("other.node")) & (F.col("one.part") != F.col("other.part")))
-    return pairs.select(F.col("one.node").alias("a"), F.col("other.node").alias("b")).distinct()
+    several = placed.groupBy("g").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count("*").alias("n")).where("x <> y").select("g", F.ceil(F.col("n") / UNIT_ROWS).alias("blocks"))
+    placed = placed.distinct().join(several, "g")
+    facts = described.groupBy("set_id").agg(F.first("n_shingles").alias("size"), F.first("profile").alias("profile"))
+    rows = placed.join(facts, F.col("node") == F.col("set_id"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    dealt = rows.withColumn("own", own).select("g", "node", "part", "size", "profile", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    units = dealt.select(F.xxhash64("g", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "node", "part", "size", "profile", (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high"))
+    packed = units.withColumn("pack", F.pmod("unit", F.lit(n_packs)).cast("int"))
+    pairs = cut(packed.groupBy("pack").applyInArrow(_allowed(percent), "a long, b long").distinct())
+    return None if pairs.isEmpty() else pairs
+
+
+def _allowed(percent: int):
+    def run(rows: pa.Table) -> pa.Table:
+        unit, node, part, size = (rows.column(c).to_numpy() for c in ("unit", "node", "part", "size"))
+        low, high = (rows.column(c).to_numpy() for c in ("low", "high"))
+        profile = np.frombuffer(b"".join(rows.column("profile").to_pylist()), np.uint8).reshape(-1, PROFILE).astype(np.int16)
+        order = np.argsort(unit, kind="stable")
+        cut_at = np.flatnonzero(np.diff(unit[order], prepend=~unit[order][:1]) != 0).tolist()
+        found = []
+        for a, b in zip(cut_at, [*cut_at[1:], len(order)], strict=True):
+            here = order[a:b]
+            left, right = here[low[here]], here[high[here]]
+            for at in range(0, len(left), 64):
+                some = left[at : at + 64]
+                i, j = np.nonzero((part[some][:, None] != part[right][None, :]) & ((100 - percent) * size[right][None, :] + (100 - percent) * size[some][:, None] >= (100 + percent) * np.abs(size[right][None, :] - size[some][:, None])))
+                i, j = some[i], right[j]
+                for k in range(0, len(i), 1 << 16):
+                    x, y = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
+                    least = np.abs(profile[x] - profile[y]).sum(1, dtype=np.int64)
+                    ok = least * (100 + percent) <= (size[x] + size[y]) * (100 - percent)
+                    found.append(np.stack([np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])], 1))
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        return pa.Table.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
+
+    return run
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
