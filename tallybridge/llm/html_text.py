@@ -252,7 +252,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     lows = stored(low_parts(pages, url_col, html_col, min_pages, low), "low-parts")
     by_host = lows.groupBy(F.col("host").alias("__host")).agg(F.collect_set("part").alias("__low"))
     rows = pages.select(F.col(id_col).alias("__id"), F.col(url_col).alias("__url"), F.col(html_col).alias("__html")).withColumn("__host", _host(F.col("__url")))
-    small = lows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    small = lows.count() <= BROADCAST_ROWS
     joined = rows.join(F.broadcast(by_host) if small else by_host.hint("merge"), "__host", "left").select("__id", "__url", "__html", "__low")
     types = dict(pages.dtypes)
 
