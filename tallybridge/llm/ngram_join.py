@@ -44,7 +44,7 @@ FREQUENT_MOST = 200_000
 BROADCAST_IDS = 250_000
 #: Slots of the profile that rules out pairs before they become rows, and members of a group that
 #: are compared in one piece (a larger group is cut into blocks, every pair of blocks a unit).
-PROFILE, UNIT_ROWS = 128, 1024
+PROFILE, COARSE, UNIT_ROWS = 512, 64, 1024
 _STEP = 1 << 20
 
 
@@ -266,17 +266,19 @@ def _across(groups: DataFrame, joined: DataFrame, described: DataFrame, percent:
     Members are compared in tasks, in units of at most two blocks; only pairs that the profiles
     leave open become rows, each once.
     """
-    open_ = groups.where(F.size("members") > 2).select(F.xxhash64("members").alias("g"), F.explode(F.slice("members", 2, 2**31 - 1)).alias("node"))
-    placed = open_.join(joined, "node", "left").select("g", "node", F.coalesce("component", "node").alias("part"))
+    open_ = groups.where(F.size("members") > 2).select(F.xxhash64("members").alias("g"), F.col("members")[0].alias("head"), F.explode(F.slice("members", 2, 2**31 - 1)).alias("node"))
+    placed = open_.join(joined, "node", "left").select("g", "head", "node", F.coalesce("component", "node").alias("part"))
     several = placed.groupBy("g").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count("*").alias("n")).where("x <> y").select("g", F.ceil(F.col("n") / UNIT_ROWS).alias("blocks"))
     placed = placed.distinct().join(several, "g")
     facts = described.groupBy("set_id").agg(F.first("n_shingles").alias("size"), F.first("profile").alias("profile"))
     rows = placed.join(facts, F.col("node") == F.col("set_id"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    dealt = rows.withColumn("own", own).select("g", "node", "part", "size", "profile", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    units = dealt.select(F.xxhash64("g", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "node", "part", "size", "profile", (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high"))
-    packed = units.withColumn("pack", F.pmod("unit", F.lit(n_packs)).cast("int"))
-    pairs = cut(packed.groupBy("pack").applyInArrow(_allowed(percent), "a long, b long").distinct())
+    dealt = rows.withColumn("own", own).select("g", "head", "node", "part", "size", "profile", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    # Groups of near copies overlap: dealt by their first member they mostly meet in one task, which
+    # then passes on a pair once; block pairs of large groups are spread.
+    blocks = [F.least("own", "other"), F.greatest("own", "other")]
+    units = dealt.select(F.xxhash64("g", *blocks).alias("unit"), F.pmod(F.xxhash64("head", *blocks), F.lit(n_packs)).cast("int").alias("pack"), "node", "part", "size", "profile", (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high"))
+    pairs = cut(units.groupBy("pack").applyInArrow(_allowed(percent), "a long, b long").distinct())
     return None if pairs.isEmpty() else pairs
 
 
@@ -285,6 +287,7 @@ def _allowed(percent: int):
         unit, node, part, size = (rows.column(c).to_numpy() for c in ("unit", "node", "part", "size"))
         low, high = (rows.column(c).to_numpy() for c in ("low", "high"))
         profile = np.frombuffer(b"".join(rows.column("profile").to_pylist()), np.uint8).reshape(-1, PROFILE).astype(np.int16)
+        coarse = profile.reshape(len(profile), COARSE, -1).sum(2, dtype=np.int16)  # sums bound no less
         order = np.argsort(unit, kind="stable")
         cut_at = np.flatnonzero(np.diff(unit[order], prepend=~unit[order][:1]) != 0).tolist()
         found = []
@@ -297,9 +300,11 @@ def _allowed(percent: int):
                 i, j = some[i], right[j]
                 for k in range(0, len(i), 1 << 16):
                     x, y = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
-                    least = np.abs(profile[x] - profile[y]).sum(1, dtype=np.int64)
-                    ok = least * (100 + percent) <= (size[x] + size[y]) * (100 - percent)
-                    found.append(np.stack([np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])], 1))
+                    for level in (coarse, profile):
+                        least = np.abs(level[x] - level[y]).sum(1, dtype=np.int64)
+                        ok = least * (100 + percent) <= (size[x] + size[y]) * (100 - percent)
+                        x, y = x[ok], y[ok]
+                    found.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], 1))
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
         return pa.Table.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
 
