@@ -5,25 +5,27 @@ class and id; its style nodes are the sequences of children it has on different
 features are the text blocks right below it.  Importance is an entropy over the host's pages:
 
 * presentation, NodeImp(E) = - sum p_i log_m p_i over the style nodes of E on m pages;
-* content, 1 - mean of H(a) over its blocks, H(a) = log k / log m for a block on k of m pages;
+* content, 1 - mean of k / m over its blocks, for a block on k of m pages;
 * composite, CompImp(E) = (1 - g^l) NodeImp(E) + g^l * mean of what is below (l style nodes, g = 0.9).
 
 Branches whose importance, times a prior for what markup itself declares (menus, footers, adverts,
-comments ... have prior 0), does not exceed a threshold are removed from each page, and so are
-single blocks that nearly all pages of the host repeat.  Where a page has an article element, the
-branches beside it have prior 0 as well.  A host with fewer than MIN_PAGES pages gives no evidence:
-only the priors act there.
+comments ... have prior 0), does not exceed a threshold, nor that of anything below them, are
+removed from each page, and so are single blocks that nearly all pages of the host repeat: a fixed
+share of them, whatever the size of the host.  Nothing inside an article element is removed for
+being repeated.  Where a page has an article element, the branches beside it have prior 0 as well.
+Pages of one host with the same blocks are copies and count as one page.  A host with fewer than
+MIN_PAGES pages gives no evidence: only the priors act there.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from zlib import crc32
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 from tallybridge.llm.common import stored
 
 MIN_PAGES, LOW, DAMPING = 8, 0.1, 0.9
+#: Share of the pages with its node from which a single block counts as repeated.
+REPEATED = 0.85
 #: Low branches and blocks of all hosts that are broadcast; more are joined by host.
 BROADCAST_ROWS = 50_000
 
@@ -76,11 +80,12 @@ class Page:
     """One page: its text blocks, and with ``tree`` what it adds to the style tree of its host."""
 
     def __init__(self, source: str, low: frozenset = frozenset(), tree: bool = False):
-        self.blocks: list[tuple[int, str, bool, bool]] = []  # node, text, declared noise, in an article
+        self.blocks: list[tuple[int, str, bool, bool]] = []  # node, text, noise, in an article or main element
+        self.lasting: set[int] = set()  # blocks inside an article, which stay however often repeated
         self.nodes: dict[int, tuple[int, int]] = {}  # node -> parent, depth
         self.styles: set[tuple[int, int]] = set()
         self._low, self._tree = low, tree
-        self._open: list[list] = [["#root", 1, False, False, 0]]  # tag, node, noise, in article, last child
+        self._open: list[list] = [["#root", 1, False, False, 0, False, False]]  # tag, node, declared noise, in article or main, last child, low, in article
         self._style: list[int] = [0]
         self._text: list[str] = []
         self._parse(source)
@@ -93,8 +98,10 @@ class Page:
                 at = len(self._open) - 1
                 while at and self._open[at][0] in INLINE_TAGS:
                     at -= 1
-                _, node, noise, inside, _ = self._open[at]
-                self.blocks.append((node, text, noise or self._open[-1][2], inside))
+                _, node, noise, inside, _, low, article = self._open[at]
+                if article:
+                    self.lasting.add(len(self.blocks))
+                self.blocks.append((node, text, noise or self._open[-1][2] or low, inside))
 
     def _close(self, upto: int) -> None:
         while len(self._open) > upto:
@@ -118,7 +125,7 @@ class Page:
         sign, noise = _signature(tag, attrs)
         parent = self._open[-1]
         if inline:
-            self._open.append([tag, parent[1], parent[2] or noise, parent[3], 0])
+            self._open.append([tag, parent[1], parent[2] or noise, parent[3], 0, parent[5], parent[6]])
             self._style.append(0)
             return
         at = len(self._open) - 1
@@ -129,10 +136,11 @@ class Page:
         if sign != above[4]:  # a run of equal children is one
             self._style[at] = (self._style[at] * 0x2545F4914F6CDD1D + sign) & _MASK
             above[4] = sign
-        noise = noise or parent[2] or node in self._low
+        noise = noise or parent[2]
+        article = parent[6] or (tag == "article" and not noise)
         if self._tree and node not in self.nodes:
             self.nodes[node] = above[1], len(self._open)
-        self._open.append([tag, node, noise, parent[3] or (tag in ("article", "main") and not noise), 0])
+        self._open.append([tag, node, noise, parent[3] or (tag in ("article", "main") and not noise), 0, not article and (parent[5] or node in self._low), article])
         self._style.append(0)
 
     def _end_of(self, tags: tuple, stop: tuple) -> None:
@@ -182,7 +190,7 @@ class Page:
         article = any(b[3] and not b[2] for b in self.blocks)
         kept = [text for node, text, noise, inside in self.blocks if not noise and (inside or not article)]
         if low_blocks:
-            kept = [text for node, text, noise, inside in self.blocks if not noise and (inside or not article) and (node ^ _text_id(text)) not in low_blocks]
+            kept = [text for i, (node, text, noise, inside) in enumerate(self.blocks) if not noise and (inside or not article) and (i in self.lasting or (node ^ _text_id(text)) not in low_blocks)]
         return "\n".join(kept)
 
 
@@ -191,41 +199,62 @@ def _host(url):
 
 
 _SEEN = "host string, node long, kind int, value long, depth int, n long"
+_PART = np.dtype([("node", "<i8"), ("kind", "<i4"), ("value", "<i8"), ("depth", "<i4")])
 
 
 def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: pages with the node (value: its parent); 1: with a style node; 2: with a block."""
+    """Of each page: its host, a digest of its blocks, and what it adds to the tree as packed parts.
+
+    Kind 0: it has the node (value: its parent); 1: a style node; 2: a block.
+    """
     for batch in batches:
-        seen: Counter = Counter()
+        hosts, digests, packed = [], [], []
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             page = Page(source, tree=True)
-            found = {(host, n, 0, parent, depth) for n, (parent, depth) in page.nodes.items()}
-            found |= {(host, n, 1, style, 0) for n, style in page.styles if n in page.nodes}
-            found |= {(host, n, 2, _text_id(text), 0) for n, text, _, _ in page.blocks if n in page.nodes}
-            seen.update(found)
-        yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in seen], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32()))] + [pa.array(list(seen.values()), pa.int64())], names=["host", "node", "kind", "value", "depth", "n"])
+            found = {(n, 0, parent, depth) for n, (parent, depth) in page.nodes.items()}
+            found |= {(n, 1, style, 0) for n, style in page.styles if n in page.nodes}
+            found |= {(n, 2, _text_id(text), 0) for n, text, _, _ in page.blocks if n in page.nodes}
+            hosts.append(host)
+            digests.append(blake2b("\n".join(f"{n} {text}" for n, text, _, _ in page.blocks).encode(), digest_size=16).digest())
+            packed.append(np.array(sorted(found), _PART).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(digests, pa.binary()), pa.array(packed, pa.binary())], names=["host", "digest", "parts"])
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages of each part, within a batch."""
+    for batch in batches:
+        packed = batch.column(1).to_pylist()
+        parts = np.frombuffer(b"".join(packed), _PART)
+        of = np.repeat(np.arange(len(packed)), [len(x) // _PART.itemsize for x in packed])
+        rows = pa.table({"host": batch.column(0).take(pa.array(of))} | {k: np.ascontiguousarray(parts[k]) for k in _PART.names})
+        counted = rows.group_by(["host", *_PART.names], use_threads=False).aggregate([([], "count_all")])
+        yield from counted.rename_columns([*counted.column_names[:-1], "n"] if counted.column_names[-1] == "count_all" else ["n", *counted.column_names[1:]]).select(["host", *_PART.names, "n"]).to_batches()
 
 
 def _composite(rows: pd.DataFrame) -> pd.DataFrame:
-    """CompImp of the nodes of one host, from the leaves up; a row for each distinct path."""
-    below = {n: [0.0, 0.0] for n in rows.node}
+    """CompImp of the nodes of one host, from the leaves up, or of the most important node below;
+    a row for each distinct path."""
+    below = {n: [0.0, 0.0, 0.0] for n in rows.node}
     value = {}
     for r in rows.sort_values("depth", ascending=False).itertuples():
-        total, weight = below[r.node]
+        total, weight, most = below[r.node]
         if r.n_texts > 0:
             total, weight = total + r.content * r.m, weight + r.m
         keep = DAMPING ** max(1, r.n_styles)
-        value[r.node] = r.presentation if not weight else (1 - keep) * r.presentation + keep * total / weight
+        own = r.presentation if not weight else (1 - keep) * r.presentation + keep * total / weight
+        # Many style nodes, or many low branches, do not hide one that matters.
+        value[r.node] = max(own, most, r.content)
         if r.parent in below:
-            below[r.parent][0] += value[r.node] * r.m
-            below[r.parent][1] += r.m
+            up = below[r.parent]
+            up[:] = up[0] + own * r.m, up[1] + r.m, max(up[2], value[r.node])
     return pd.DataFrame({"host": rows.host, "node": rows.node, "importance": rows.node.map(value)})
 
 
 def low_parts(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
     """(host, part): nodes, and blocks as node xor block number, of low importance on their host."""
     rows = pages.select(_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("host <> '' and html is not null")
-    seen = stored(rows.mapInArrow(_observe, _SEEN).groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n"), F.max("depth").alias("depth")), "style-tree")
+    pages_once = rows.mapInArrow(_observe, "host string, digest binary, parts binary").groupBy("host", "digest").agg(F.min("parts").alias("parts"))
+    seen = stored(pages_once.select("host", "parts").mapInArrow(_count, _SEEN).groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n"), F.max("depth").alias("depth")), "style-tree")
     pages_with = seen.where("kind = 0").select("host", "node", F.col("value").alias("parent"), "depth", F.col("n").alias("m")).where(F.col("m") >= min_pages)
     of = seen.where("kind > 0").join(pages_with.select("host", "node", "m"), ["host", "node"])
     share = F.col("n") / F.col("all")
@@ -233,11 +262,11 @@ def low_parts(pages: DataFrame, url_col: str = "url", html_col: str = "html", mi
     total = styles.groupBy("host", "node").agg(F.sum("n").alias("all"), F.count("*").alias("n_styles"))
     presentation = styles.join(total, ["host", "node"]).groupBy("host", "node", "n_styles").agg((-F.sum(share * F.log(share) / F.log("m"))).alias("presentation"))
     blocks = of.where("kind = 2")
-    content = blocks.groupBy("host", "node").agg(F.avg(1 - F.log("n") / F.log("m")).alias("content"), F.count("*").alias("n_texts"))
+    content = blocks.groupBy("host", "node").agg(F.avg(1 - F.col("n") / F.col("m")).alias("content"), F.count("*").alias("n_texts"))
     nodes = pages_with.join(presentation, ["host", "node"], "left").join(content, ["host", "node"], "left").na.fill(0)
     scored = nodes.groupBy("host").applyInPandas(_composite, "host string, node long, importance double")
     branches = scored.where(F.col("importance") <= low).select("host", F.col("node").alias("part"))
-    repeated = blocks.where(1 - F.log("n") / F.log("m") <= low).select("host", F.expr("node ^ value").alias("part"))
+    repeated = blocks.where(F.col("n") >= REPEATED * F.col("m")).select("host", F.expr("node ^ value").alias("part"))
     return branches.union(repeated)
 
 
@@ -246,7 +275,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Character references are decoded, white space inside a block becomes one space.  A null or
     empty page has an empty text; a null url, or one without a host, gives and gets no evidence
-    of a site; rows that repeat are extracted each (and count as pages of their site); other
+    of a site; rows that repeat are extracted each (and count as one page of their site); other
     columns are ignored; an empty table gives an empty result.
     """
     lows = stored(low_parts(pages, url_col, html_col, min_pages, low), "low-parts")

@@ -23,6 +23,28 @@ def test_pages(spark):
     assert all(r["n_chars"] == len(r["text"]) and r["url"] == r["url"] for r in html_text.extract(df).collect())
 
 
+@pytest.mark.parametrize("copies", [8, 1000])
+def test_copies_of_a_page_are_no_evidence(spark, copies):
+    """Copies alone, among other pages of their host, and headings that articles share."""
+    page = lambda a, b: f"<body><p>Shop of the town</p><div><h2>{a}</h2><p>{b}</p></div></body>"
+    story = lambda i: f"<body><p>Shop of the town</p><article><h2>In short</h2><p>Story {'abcdefghij'[i % 10] * (i // 10 + 1)}</p></article></body>"
+    rows = [(i, f"https://copy.example/{i}", page("One", "text of all")) for i in range(copies)]
+    rows += [(10_000 + i, f"https://mixed.example/{i}", page("One", "text of many")) for i in range(copies)]
+    rows += [(20_000 + i, f"https://mixed.example/x{i}", page(f"Head {'abcdefghij'[i]}", f"own text {i}")) for i in range(9)]
+    rows += [(30_000 + i, f"https://story.example/{i}", story(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(df).collect()}
+    assert {got[i] for i in range(copies)} == {"Shop of the town\nOne\ntext of all"}
+    assert {got[10_000 + i] for i in range(copies)} == {"One\ntext of many"}
+    assert got[20_003] == "Head d\nown text 3" and got[30_012] == "In short\nStory cc"
+
+
+def test_blocks_are_judged_by_share_at_every_host_size(spark):
+    rows = [(i, f"https://big.example/{i}", f"<body><div><p>{'Seen on half' if i % 2 else 'Seen on the other half'}</p></div><p>Seen on all</p><section>own {i}</section></body>") for i in range(3000)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[7] == "Seen on half\nown 7" and got[8] == "Seen on the other half\nown 8"
+
+
 def test_pages_joined_by_host_give_the_same(spark, sf, monkeypatch):
     a = {tuple(r) for r in registry.op1_html_text(spark, sf).collect()}
     monkeypatch.setattr(html_text, "BROADCAST_ROWS", -1)
