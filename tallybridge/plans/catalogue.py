@@ -179,33 +179,75 @@ def missing_streaks(spark, sf):
     return rows.groupBy("supplier", "product_id").agg(F.max(n).alias("longest"), F.max_by(n, "run").alias("present"), F.count("*").alias("n_runs"))
 
 
-def missing_state_step(spark, sf):
+def _folder(spark: SparkSession, what: str) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallybridge-")
+    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+#: Runs that are stepped through in one plan, and in one micro-batch, before the state is written.
+RUNS_A_STEP = 8
+
+
+def _landed(spark: SparkSession, sf: str, folder: str) -> tuple[DataFrame, list[int]]:
+    """The presence rows with their sku, written once by run, and the runs in order."""
     rows = _presence(spark, sf).withColumn("sku", F.concat_ws("-", "supplier", "product_id"))
-    state = spark.createDataFrame([], missing.STATE)
-    for run in range(4):
-        one = rows.where(F.col("run") == run)
-        state = missing.step(state, one.where("missing").select("supplier", "product_id", "sku"), one.groupBy("supplier", "run").agg(F.bool_and("complete").alias("complete")))
+    rows.write.partitionBy("run").parquet(f"{folder}/presence")
+    landed = spark.read.schema(rows.schema).parquet(f"{folder}/presence").select(*rows.columns)
+    return landed, [r["run"] for r in landed.select("run").distinct().orderBy("run").collect()]
+
+
+def _counts(rows: DataFrame, state: DataFrame) -> DataFrame:
     # A product that was never missing has no state: its count is 0.
     every = rows.select("supplier", "product_id").distinct()
     return every.join(state, ["supplier", "product_id"], "left").select("supplier", "product_id", F.coalesce("consecutive_missing_runs", F.lit(0)).cast("long").alias("n"))
 
 
-def _folder(spark: SparkSession, what: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallybridge-")
-    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+def _step_through(spark: SparkSession, sf: str, last: int | None = None) -> DataFrame:
+    """The state after run ``last``, or after every run."""
+    folder = _folder(spark, "missing-step")
+    rows, runs = _landed(spark, sf, folder)
+    runs = [run for run in runs if last is None or run <= last]
+    state = spark.createDataFrame([], missing.STATE)
+    for i, run in enumerate(runs, 1):
+        one = rows.where(F.col("run") == run)
+        state = missing.step(state, one.where("missing").select("supplier", "product_id", "sku"), one.groupBy("supplier", "run").agg(F.bool_and("complete").alias("complete")))
+        if i % RUNS_A_STEP == 0 or i == len(runs):
+            state.write.parquet(f"{folder}/state/v={i}")
+            state = spark.read.schema(missing.STATE).parquet(f"{folder}/state/v={i}")
+    return _counts(rows, state)
 
 
-def missing_state_stream(spark, sf):
-    rows = _presence(spark, sf).where("run < 4").withColumn("sku", F.concat_ws("-", "supplier", "product_id"))
+def _stream_through(spark: SparkSession, sf: str, last: int | None = None) -> DataFrame:
+    """The same by a stream: the runs land in order, some for each micro-batch."""
     folder = _folder(spark, "missing-stream")
-    rows.write.parquet(f"{folder}/landed")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/landed")
-    query = missing_stream.run(stream, f"{folder}/state", f"{folder}/checkpoint")
-    query.awaitTermination()
-    last = (query.lastProgress or {}).get("batchId", 0)
-    state = missing_stream.read_state(spark, f"{folder}/state", last)
-    every = rows.select("supplier", "product_id").distinct()
-    return every.join(state, ["supplier", "product_id"], "left").select("supplier", "product_id", F.coalesce("consecutive_missing_runs", F.lit(0)).cast("long").alias("n"))
+    rows, runs = _landed(spark, sf, folder)
+    runs = [run for run in runs if last is None or run <= last]
+    number = -1
+    for i in range(0, len(runs), RUNS_A_STEP):
+        rows.where(F.col("run").isin(runs[i : i + RUNS_A_STEP])).write.mode("append").parquet(f"{folder}/landed")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/landed")
+        query = missing_stream.run(stream, f"{folder}/state", f"{folder}/checkpoint")
+        query.awaitTermination()
+        number = query.lastProgress["batchId"]
+    return _counts(rows, missing_stream.read_state(spark, f"{folder}/state", number))
+
+
+def missing_state_step(spark, sf):
+    """The state after run 3, which is what the SQL of this name asks for."""
+    return _step_through(spark, sf, 3)
+
+
+def missing_state_step_all(spark, sf):
+    return _step_through(spark, sf)
+
+
+def missing_state_stream(spark, sf):
+    """The state after run 3, which is what the SQL of this name asks for."""
+    return _stream_through(spark, sf, 3)
+
+
+def missing_state_stream_all(spark, sf):
+    return _stream_through(spark, sf)
 
 
 def quarantine_proposals(spark, sf):
@@ -361,7 +403,7 @@ def verify_checks(spark, sf):
 _ALL = [
     match_cascade, match_status_counts, catalog_missing, match_key_multiplicity, own_key_counts, price_proposals, proposal_status_counts, price_compare,
     availability_compare, category_mapping, product_category_proposals, category_summary, review_queue, source_only, identity_coverage, feed_completeness,
-    run_summary, missing_streaks, missing_state_step, missing_state_stream, quarantine_proposals, category_paths, reject_duplicates, reject_referential,
+    run_summary, missing_streaks, missing_state_step, missing_state_step_all, missing_state_stream, missing_state_stream_all, quarantine_proposals, category_paths, reject_duplicates, reject_referential,
     reject_row_rules, blocked_snapshots, batch_status, xml_offer_roundtrip, xml_attribute_map, property_long, property_stats, availability_resolve,
     token_parse, table_digest, seal_diff, ledger_dedupe, latest_snapshot, csv_safe_text, inline_secret_scan, url_allowlist, verify_checks,
 ]
