@@ -13,6 +13,8 @@ comments ... have prior 0), does not exceed a threshold, nor that of anything be
 removed from each page, and so are single blocks that nearly all pages of the host repeat: a fixed
 share of them, whatever the size of the host.  Nothing inside an article element is removed for
 being repeated.  Where a page has an article element, the branches beside it have prior 0 as well.
+A word of a class, id or role declares nothing on html, body, main
+and article, nor in a modifier such as has-sidebar, nor on a branch with most of a page's text.
 Pages of one host with the same blocks are copies and count as one page.  A host with fewer than
 MIN_PAGES pages gives no evidence: only the priors act there.
 """
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from zlib import crc32
@@ -44,6 +47,9 @@ NOISE_TAGS = frozenset("nav header footer aside form script style noscript templ
 NOISE_WORDS = frozenset(
     "nav navbar navigation menu menubar header masthead footer sidebar aside ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription social share sharing breadcrumb breadcrumbs comment comments disqus reply replies related recommended recommendations widget toolbar pagination pager login signup search skip copyright legal alert complementary contentinfo form hidden".split()
 )
+#: Elements whose class, id or role declares nothing, and class names that only modify a layout.
+FRAME_TAGS = frozenset("html body main article".split())
+_MODIFIER = re.compile(r"(?:has|with|without|no|is|not)[-_].*|.*[-_](?:open|opened|closed|on|off|left|right|layout|enabled|disabled)", re.I)
 RAW_TAGS = frozenset("script style textarea title noscript iframe template xmp".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE_TAGS = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br nobr".split())
@@ -56,17 +62,19 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _MASK = (1 << 62) - 1
 
 
-def _signature(tag: str, attrs: str, memo: dict = {}) -> tuple[int, bool]:  # noqa: B006
-    """Number of a tag with its class and id, and whether they declare it as no main text."""
+def _signature(tag: str, attrs: str, memo: dict = {}) -> tuple[int, bool, bool]:  # noqa: B006
+    """Number of a tag with its class and id, whether it is no main text, and whether a word of
+    its class, id or role says so."""
     key = (tag, attrs)
     found = memo.get(key)
     if found is None:
         named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if "=" in attrs else {}
         said = " ".join(named.get(k, "") for k in ("class", "id", "role"))
-        noise = tag in NOISE_TAGS or not NOISE_WORDS.isdisjoint(w.lower() for w in _WORDS.findall(said))
+        soft = tag not in FRAME_TAGS and any(not NOISE_WORDS.isdisjoint(w.lower() for w in _WORDS.findall(x)) for x in said.split() if not _MODIFIER.fullmatch(x))
+        noise = tag in NOISE_TAGS
         noise |= named.get("aria-hidden") == "true" or "display:none" in named.get("style", "").replace(" ", "") or re.search(r"(?:^|\s)hidden(?:$|[\s=])", attrs) is not None
         shown = re.sub(r"\d+", "0", f"{tag} {named.get('class', '')} {named.get('id', '')}")
-        found = crc32(shown.encode()), noise
+        found = crc32(shown.encode()), noise, soft
         if len(memo) < 50_000:
             memo[key] = found
     return found
@@ -85,7 +93,9 @@ class Page:
         self.nodes: dict[int, tuple[int, int]] = {}  # node -> parent, depth
         self.styles: set[tuple[int, int]] = set()
         self._low, self._tree = low, tree
-        self._open: list[list] = [["#root", 1, False, False, 0, False, False]]  # tag, node, declared noise, in article or main, last child, low, in article
+        self._soft: list[tuple] = []  # of each block, the elements above it that a word declares as noise
+        self._softs = 0
+        self._open: list[list] = [["#root", 1, False, False, 0, False, False, ()]]  # tag, node, noise, in article or main, last child, low, in article, declared by a word
         self._style: list[int] = [0]
         self._text: list[str] = []
         self._parse(source)
@@ -98,10 +108,11 @@ class Page:
                 at = len(self._open) - 1
                 while at and self._open[at][0] in INLINE_TAGS:
                     at -= 1
-                _, node, noise, inside, _, low, article = self._open[at]
+                _, node, noise, inside, _, low, article, _ = self._open[at]
                 if article:
                     self.lasting.add(len(self.blocks))
                 self.blocks.append((node, text, noise or self._open[-1][2] or low, inside))
+                self._soft.append(self._open[-1][7])
 
     def _close(self, upto: int) -> None:
         while len(self._open) > upto:
@@ -122,10 +133,14 @@ class Page:
             self._text.append(" ")
         if tag in VOID_TAGS:
             return
-        sign, noise = _signature(tag, attrs)
+        sign, noise, soft = _signature(tag, attrs)
         parent = self._open[-1]
+        softs = parent[7]
+        if soft:
+            self._softs += 1
+            softs = (*softs, self._softs)
         if inline:
-            self._open.append([tag, parent[1], parent[2] or noise, parent[3], 0, parent[5], parent[6]])
+            self._open.append([tag, parent[1], parent[2] or noise, parent[3], 0, parent[5], parent[6], softs])
             self._style.append(0)
             return
         at = len(self._open) - 1
@@ -140,7 +155,7 @@ class Page:
         article = parent[6] or (tag == "article" and not noise)
         if self._tree and node not in self.nodes:
             self.nodes[node] = above[1], len(self._open)
-        self._open.append([tag, node, noise, parent[3] or (tag in ("article", "main") and not noise), 0, not article and (parent[5] or node in self._low), article])
+        self._open.append([tag, node, noise, parent[3] or (tag in ("article", "main") and not noise), 0, not article and (parent[5] or node in self._low), article, softs])
         self._style.append(0)
 
     def _end_of(self, tags: tuple, stop: tuple) -> None:
@@ -185,6 +200,22 @@ class Page:
         self._text.append(source[at:])
         self._flush()
         self._close(0)
+        if self._softs:
+            self._judge()
+
+    def _judge(self) -> None:
+        """Branches that a word declares as noise are, unless one holds most of the page's distinct
+        text and no article or main element has text outside of such branches."""
+        shown = [i for i, b in enumerate(self.blocks) if not b[2]]
+        meant: set[int] = set()
+        if not any(self.blocks[i][3] and not self._soft[i] for i in shown):
+            size, held = 0, Counter()
+            for i in {self.blocks[i][1]: i for i in shown}.values():
+                n = len(self.blocks[i][1])
+                size += n
+                held.update({s: n for s in self._soft[i]})
+            meant = {s for s, n in held.items() if 2 * n > size}
+        self.blocks = [(node, text, noise or not meant.issuperset(soft), inside) for (node, text, noise, inside), soft in zip(self.blocks, self._soft, strict=True)]
 
     def main_text(self, low_blocks: frozenset = frozenset()) -> str:
         article = any(b[3] and not b[2] for b in self.blocks)

@@ -45,6 +45,13 @@ def test_blocks_are_judged_by_share_at_every_host_size(spark):
     assert got[7] == "Seen on half\nown 7" and got[8] == "Seen on the other half\nown 8"
 
 
+def test_noise_words_on_what_holds_the_page(spark):
+    text = "<p>The long story of the page, told in full.</p>"
+    bodies = [f'<body class="has-sidebar">{text}</body>', f'<body><main class="with-sidebar">{text}</main></body>', f'<body><div id="content" class="nav-open">{text}</div></body>', f'<body><article class="post comments-open">{text}<div class="comments">no</div></article></body>', f'<body><div class="sidebar-page">{text}<div class="menu">Home</div></div></body>']
+    df = spark.createDataFrame([(i, f"https://n{i}.example/", b) for i, b in enumerate(bodies)], "page_id long, url string, html string")
+    assert {r["text"] for r in html_text.extract(df).collect()} == {"The long story of the page, told in full."}
+
+
 def test_pages_joined_by_host_give_the_same(spark, sf, monkeypatch):
     a = {tuple(r) for r in registry.op1_html_text(spark, sf).collect()}
     monkeypatch.setattr(html_text, "BROADCAST_ROWS", -1)
