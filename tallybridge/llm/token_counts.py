@@ -88,7 +88,9 @@ def maintained_totals(spark: SparkSession, counted: DataFrame, path: str, tokeni
     which closes each document with one id more; the others' counts revised for such an id; and
     the second batch replayed, which changes nothing.
 
-    counted: (doc_id, source, lang, copy, n_tokens), copy telling equal texts.
+    counted: (doc_id, source, lang, copy, n_tokens), copy telling equal texts.  A null lang is one of
+    the others.  A document with a null id is inserted and, as it cannot be found again, not changed
+    after that; such documents of equal source, lang and tokens count as one.
     """
     rollup = Rollup(spark, path)
     rows = counted.withColumn("tokenizer", F.lit(tokenizer))
@@ -100,6 +102,6 @@ def maintained_totals(spark: SparkSession, counted: DataFrame, path: str, tokeni
     left = joined.where("doc_id = first")
     rollup.apply("3-retire", left.withColumn("change", F.lit("delete")).where("lang = 'en'"))
     rollup.apply("4-closing-id", left.where("lang = 'en'").withColumn("change", F.lit("insert")).withColumn("tokenizer", F.lit(f"{tokenizer}+end")).withColumn("n_tokens", F.col("n_tokens") + 1))
-    rollup.apply("5-recount", left.where("lang <> 'en'").withColumn("change", F.lit("revise")).withColumn("n_tokens", F.col("n_tokens") + 1))
+    rollup.apply("5-recount", left.where("NOT (lang <=> 'en')").withColumn("change", F.lit("revise")).withColumn("n_tokens", F.col("n_tokens") + 1))
     rollup.apply("2-copies", copies)
     return rollup.totals()
