@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def paths(categories: DataFrame, max_depth: int = 32) -> DataFrame:
+def paths(categories: DataFrame) -> DataFrame:
     """(id, path array root first, broken): walk of the parent pointers, a join for each level.
 
-    broken is unknown_parent or cycle; a walk over max_depth levels counts as a cycle.  Categories
+    broken is unknown_parent or cycle; a sound walk may have any number of levels.  Categories
     of other suppliers or snapshots need an id that tells them apart.
     """
     parents = categories.select(F.col("id").alias("p_id"), F.col("name").alias("p_name"), F.col("parent_id").alias("p_parent"))
     walk = categories.select("id", F.array("name").alias("path"), F.array("id").alias("seen"), F.col("parent_id").alias("up"), F.lit(None).cast("string").alias("broken"))
     done = None
-    for _ in range(max_depth):
+    for level in count(1):
         ended = walk.where("up is null or broken is not null")
         done = ended if done is None else done.union(ended)
         open_ = walk.where("up is not null and broken is null")
@@ -30,7 +32,8 @@ def paths(categories: DataFrame, max_depth: int = 32) -> DataFrame:
             F.col("p_parent").alias("up"),
             F.when(cycle, "cycle").when(unknown, "unknown_parent").alias("broken"),
         )
-    return done.union(walk.withColumn("broken", F.coalesce("broken", F.lit("cycle")))).select("id", "path", "broken")
+        if level % 8 == 0:  # a deep walk is not planned anew from its start
+            walk = walk.localCheckpoint()
 
 
 def mapping(offers: DataFrame, matches: DataFrame, catalog: DataFrame) -> DataFrame:
