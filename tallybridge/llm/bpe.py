@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Split of a byte-level vocabulary into pieces that merges never cross (fixed value).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -137,8 +138,9 @@ def load(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids array<int>, decoded) of every whole text.
+def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = True) -> DataFrame:
+    """(id, n_tokens, ids array<int>) of every whole text, and the text decoded from its ids
+    unless that is not wanted.
 
     Null and empty texts give no ids and an empty text; a null id stays null; rows that repeat
     are encoded each; other columns are ignored, whatever their names; no row, no result.
@@ -152,12 +154,12 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                 ids = [bpe.encode(t) for t in rows.column(1).to_pylist()]
                 ends = np.cumsum([0, *map(len, ids)])
                 flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(np.diff(ends), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array([bpe.decode(x.tolist()) for x in ids], pa.string())],
-                    names=[id_col, "n_tokens", "ids", "decoded"],
-                )
+                made = [rows.column(0), pa.array(np.diff(ends), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)]
+                if decoded:
+                    made.append(pa.array([bpe.decode(x.tolist()) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(made, names=[id_col, "n_tokens", "ids", "decoded"][: len(made)])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, n_tokens long, ids array<int>, decoded string")
+    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids array<int>" + (", decoded string" if decoded else ""))
 
 
 def digest_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,7 +178,7 @@ def digest_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                 of_text.append(hashlib.sha256(bpe.decode(ids.tolist()).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:

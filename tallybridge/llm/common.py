@@ -21,10 +21,13 @@ def _own_folder() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where a session has none (local tests) a temporary folder is made.
+    A session on one machine (local tests) may have none and gets a temporary folder; on a cluster
+    that is an error, for executors do not see each other's folders.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         found = _own_folder()
         if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
             spark.sparkContext.setCheckpointDir(found)
@@ -45,9 +48,24 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives executors."""
     path = fresh_path(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables whose last reader is done."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def parts(spark: SparkSession, least: int = 12) -> int:
     """Number of shuffle partitions that the session asks for."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def buckets(spark: SparkSession, n_bytes: int, bucket_bytes: int = 24 << 20) -> int:
+    """Buckets for so many packed bytes: as the session asks, and more where one would grow large."""
+    return max(parts(spark), -(-int(n_bytes) // bucket_bytes))

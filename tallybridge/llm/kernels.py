@@ -2,8 +2,9 @@
 
 A word is a maximal run of bytes outside ``[\\x20\\x09-\\x0D]``; UTF-8 never uses
 those bytes inside a character, so bytes and characters give the same words.
-Fingerprints are 64 bits: a polynomial over the bytes of a word, mixed, then a
-polynomial over the words of a shingle, mixed.  They are the same on every machine.
+Fingerprints are 64 bits: a sum over the bytes of a word, each times a factor of its place, mixed;
+then the like over the words of a shingle.  They are the same on every machine.  They choose
+candidates; where a result depends on equality, operators compare the words or more bits.
 """
 
 from __future__ import annotations
@@ -16,9 +17,6 @@ import pyarrow as pa
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of text that one vectorised step handles at a time (bounds memory; no text is cut).
 STEP_BYTES = 2 << 20
 
@@ -38,19 +36,17 @@ def _byte_codes(fold_case: bool) -> np.ndarray:
     return codes
 
 
-_powers: dict[int, np.ndarray] = {}
+_place_keys: dict[int, np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    have = _powers.get(base)
+def _at_place(n: int, salt: int) -> np.ndarray:
+    """A random-looking factor for each of the first n places of a word."""
+    have = _place_keys.get(salt)
     if have is None or len(have) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        steps = np.full(size, base & _MASK, np.uint64)
-        steps[0] = 1
-        have = _powers[base] = np.multiply.accumulate(steps)
-        for other in [b for b in _powers if b not in (_BASE, _INVERSE)]:
-            _powers.pop(other)
+        size = 1 << max(8, (n - 1).bit_length())
+        have = mix(mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) + np.uint64(salt))
+        if size <= 1 << 20:
+            _place_keys[salt] = have
     return have[:n]
 
 
@@ -62,15 +58,32 @@ class Words:
     def __init__(self, data, hashes, starts, ends, first):
         self.data, self.hashes, self.starts, self.ends, self.first = data, hashes, starts, ends, first
 
+    def spelled(self, i: int, fold_case: bool) -> list[bytes]:
+        """The words of document i themselves."""
+        raw = self.data[self.starts[self.first[i]] : self.ends[self.first[i + 1] - 1]].tobytes() if self.first[i] < self.first[i + 1] else b""
+        return (raw.translate(_LOWER) if fold_case else raw).split()
+
+
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
+def _word_hashes(letters: np.ndarray, length: np.ndarray, fold_case: bool, salt: int) -> np.ndarray:
+    """A factor of its own for every place of a word: no two texts cancel out by their structure,
+    as they do in a polynomial modulo 2**64."""
+    begin = np.cumsum(length) - length
+    place = np.arange(len(letters)) - np.repeat(begin, length)
+    terms = _byte_codes(fold_case)[letters] * _at_place(int(length.max()), salt)[place]
+    return mix(np.add.reduceat(terms, begin) + length.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+
 
 def words(data: np.ndarray, offsets: np.ndarray, fold_case: bool) -> Words:
     """data: bytes of all documents; offsets: n + 1 bounds inside data."""
     n_docs, data = len(offsets) - 1, data[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
-    if not len(data):
+    inside = ~_SPACE[data]
+    if not inside.any():
         none = np.zeros(0, np.int64)
         return Words(data, np.zeros(0, np.uint64), none, none, np.zeros(n_docs + 1, np.int64))
-    inside = ~_SPACE[data]
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
     end = np.zeros(len(data) + 1, bool)
@@ -81,11 +94,7 @@ def words(data: np.ndarray, offsets: np.ndarray, fold_case: bool) -> Words:
     begin[cuts] = True
     end[cuts] = True
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_byte_codes(fold_case)[data] * _power(_BASE, len(data)), out=sums[1:])
-    h = (sums[ends] - sums[starts]) * _power(_INVERSE, len(data))[starts]
-    h = mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
-    return Words(data, h, starts, ends, np.searchsorted(starts, offsets))
+    return Words(data, _word_hashes(data[inside], ends - starts, fold_case, 0), starts, ends, np.searchsorted(starts, offsets))
 
 
 @functools.cache

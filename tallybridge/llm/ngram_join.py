@@ -11,17 +11,23 @@ indexed.  For each size band the cheaper of two allocations is taken (``allocate
 * neighbourhoods: ceil((H + 1) / 2) larger segments, each indexed whole and with any one n-gram
   left out; one of them differs by at most one.
 
-A set goes into its own band and into the next ones as far as a larger partner may sit there.  Sets that
-are equal form one class before any pair is made.  Candidates are verified by exact intersection;
-a group of sets with one signature is first joined as a star.  Members that are then in different
+A set goes into its own band and into the next ones as far as a larger partner may sit there.  Sets
+that are equal (128 bits of a fingerprint) form one class before any pair is made, and of a class
+that holds more than a ten-thousandth of the rows one row alone sends signatures.  Signatures that
+a sample of the classes shows to be frequent are dealt out in salted pieces, each with a head of
+its own, and the heads are joined; the sample changes the cost, never the result.
+
+A group of sets with one signature is first joined as a star.  Members that are then in different
 components are compared with each other inside tasks, block by block, by a profile of counts that
-bounds their difference from below; what it leaves open is verified as well.
+bounds their difference from below; what it leaves open is verified as well.  To verify is to
+compare the words of the shingles themselves.
 """
 
 from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,22 +35,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybridge.llm import exchange
-from tallybridge.llm.common import cut, parts, stored
+from tallybridge.llm.common import buckets, cut, discard, stored
 from tallybridge.llm.components import components
 from tallybridge.llm.kernels import document_sets, mix, steps, words
 
 NGRAM, PERCENT = 4, 85
 #: Size bands grow by this factor.
 BAND_GROWTH = 1.25
-#: A signature that more classes than this share is skipped where the allocation can skip.
-FREQUENT = 1024
-#: Bound of the list of frequent signatures (8 bytes each); which ones it holds changes the cost only.
+#: Classes that show which signatures are frequent: one of so many. FREQUENT: classes that share one.
+SAMPLE, FREQUENT = 16, 1024
+#: Bound of the list of frequent signatures (16 bytes each); which ones it holds changes the cost only.
 FREQUENT_MOST = 200_000
+#: A class of more than one row in so many (and of 64) sends once: at most so many are broadcast.
+LARGE_CLASS = 10_000
+#: One n-gram in so many tells how often sets of unlike sizes share one.
+RATE_SAMPLE = 128
 #: Ids of sets to rebuild that are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 250_000
-#: Slots of the profile that rules out pairs before they become rows, and members of a group that
-#: are compared in one piece (a larger group is cut into blocks, every pair of blocks a unit).
-PROFILE, COARSE, UNIT_ROWS = 512, 64, 1024
+#: Slots of the profile that rules out pairs before they become rows, members of a group that are
+#: compared in one piece (of a larger group every pair of pieces is a unit of work), and rows that
+#: the units of one head may bring to one task.
+PROFILE, COARSE, UNIT_ROWS, PACK_ROWS = 512, 64, 4096, 8192
+#: Bytes that a signature takes on the wire, and a word of a text that is verified.
+SIGNATURE_BYTES, WORD_BYTES = 20, 7
 _STEP = 1 << 20
 
 
@@ -63,18 +76,19 @@ def bands(percent: int) -> np.ndarray:
 
 
 @functools.cache
-def allocate(upper: int, percent: int, repeat_rate: float = 0.35, candidate_cost: float = 150.0) -> tuple[bool, int, int]:
+def allocate(upper: int, percent: int, repeat_rate: float = 0.1) -> tuple[bool, int, int]:
     """(neighbourhoods?, segments, signatures to keep) of the band whose largest size is upper.
 
-    Cost: signatures sent, and candidates that arise because each n-gram of a segment is found
-    elsewhere at repeat_rate by chance.
+    Cost in bytes: signatures sent, and the texts of candidates that arise because each n-gram of
+    a segment stands in an unlike set too, at repeat_rate (measured on the data) by chance.
     """
     h = most_different(upper, percent)
     if h == 0:
         return False, 0, 0  # only equal sets are similar enough
     few, many = -(-(h + 1) // 2), 2 * h + 1
-    subsets = (h + 1) * (1 + candidate_cost * repeat_rate ** (1.3 * upper / many))
-    neighbours = upper + few + candidate_cost * few * repeat_rate ** (upper / few - 1)
+    candidate = 2 * upper * WORD_BYTES + 2 * SIGNATURE_BYTES
+    subsets = (h + 1) * (SIGNATURE_BYTES + candidate * repeat_rate ** (1.3 * upper / many))
+    neighbours = (upper + few) * SIGNATURE_BYTES + few * candidate * repeat_rate ** (upper / few - 1)
     return (True, few, few) if neighbours < subsets else (False, many, h + 1)
 
 
@@ -84,7 +98,7 @@ def _segment_hashes(grams: np.ndarray, at: np.ndarray, total: int) -> tuple[np.n
     return sums, np.bincount(at, minlength=total)
 
 
-def signatures(sets: list[np.ndarray], percent: int, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(sets: list[np.ndarray], percent: int, frequent: np.ndarray, repeat_rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """(signature, index of its set) of several sets; frequent: sorted signatures to skip first."""
     uppers = bands(percent)
     size = np.array([len(x) for x in sets], np.int64)
@@ -96,7 +110,7 @@ def signatures(sets: list[np.ndarray], percent: int, frequent: np.ndarray) -> tu
         use = np.flatnonzero((size > 0) & (band < len(uppers)) & ((shift == 0) | (largest_partner > uppers[np.minimum(band - 1, len(uppers) - 1)])))
         if not len(use):
             break
-        plan = [allocate(int(uppers[band[i]]), percent) for i in use.tolist()]
+        plan = [allocate(int(uppers[band[i]]), percent, repeat_rate) for i in use.tolist()]
         near = np.array([p[0] for p in plan], bool)
         for i, p in zip(use[near].tolist(), [p for p in plan if p[0]], strict=True):
             signs.append(_neighbourhoods(sets[i], int(band[i]), p[1]))
@@ -133,9 +147,19 @@ def _neighbourhoods(grams: np.ndarray, band: int, segments: int) -> np.ndarray:
     return np.unique(mix(whole ^ mix(np.uint64(band) << np.uint64(40) | place | np.uint64(1 << 39))))
 
 
-def _set_id(grams: np.ndarray) -> int:
-    """Fingerprint of a whole set, as a signed long."""
-    return int(mix(mix(grams).sum(keepdims=True) + np.uint64(len(grams))).view(np.int64)[0]) if len(grams) else 0
+def _set_id(grams: np.ndarray) -> tuple[int, int]:
+    """Fingerprint of a whole set: 128 bits as two signed longs, of which the first names its class."""
+    if not len(grams):
+        return 0, 0
+    sums = np.array([mix(grams).sum(), mix(grams ^ np.uint64(0x1B873593CC9E2D51)).sum()], np.uint64)
+    one, two = mix(sums + np.uint64(len(grams))).view(np.int64).tolist()
+    return one, two
+
+
+def _class_of(grams: np.ndarray, apart: dict) -> int:
+    """The class of a set; apart: classes of different sets whose first 64 bits are equal."""
+    one, two = _set_id(grams)
+    return apart.get((one, two), one) if apart else one
 
 
 def _each_step(batch: pa.RecordBatch, ngram: int):
@@ -143,11 +167,17 @@ def _each_step(batch: pa.RecordBatch, ngram: int):
         yield a, b, list(document_sets(words(data, offsets, fold_case=True), ngram))
 
 
-def _describe(ngram: int, kind: str):
+def _describe(ngram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, sets in _each_step(batch, ngram):
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array([len(x) for x in sets], pa.int64()), pa.array([_set_id(x) for x in sets], pa.int64()), pa.array([_profile(x) for x in sets], pa.binary())], names=["id", "n_shingles", "set_id", "profile"])
+                ids = np.array([_set_id(x) for x in sets], np.int64).reshape(-1, 2)
+                some = [x[mix(x) % np.uint64(RATE_SAMPLE) == 0].view(np.int64) for x in sets]
+                ends = np.cumsum([0, *map(len, some)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[a:b], pa.array([len(x) for x in sets], pa.int64()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array([_profile(x) for x in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(some)))],
+                    names=["id", "n_shingles", "set_id", "more_id", "profile", "some"],
+                )
 
     return run
 
@@ -158,21 +188,50 @@ def _profile(grams: np.ndarray) -> bytes:
     return np.minimum(np.bincount((mix(grams) % np.uint64(PROFILE)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8).tobytes()
 
 
-def _send(ngram: int, percent: int, n_buckets: int, frequent):
+@dataclass
+class _Plan:
+    """What all tasks know: small tables of a stated bound."""
+
+    ngram: int
+    percent: int
+    repeat_rate: float
+    apart: dict  # (first, second 64 bits) -> class, of classes that would share a name
+    senders: dict  # class of many rows -> the id that sends for it
+    hot: np.ndarray  # frequent signatures, sorted
+    pieces: np.ndarray  # of each, how many pieces it is dealt out in
+
+
+def _send(plan, n_buckets: int, sample: int = 1):
+    """Signatures of the classes to the buckets; with ``sample``, of one class in so many."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = plan.value
         for batch in batches:
-            for _, _, sets in _each_step(batch, ngram):
-                ids = np.array([_set_id(x) for x in sets], np.int64)
-                _, once = np.unique(ids, return_index=True)
-                sign, at = signatures([sets[i] for i in once.tolist()], percent, frequent.value)
+            for a, _, sets in _each_step(batch, p.ngram):
+                ids = np.array([_class_of(x, p.apart) for x in sets], np.int64)
+                own = batch.column(0)[a : a + len(sets)].to_pylist() if p.senders else ids
+                use = np.array([len(x) > 0 and (s not in p.senders or p.senders[s] == i) for x, s, i in zip(sets, ids.tolist(), own, strict=True)], bool)
+                if sample > 1:
+                    use &= mix(ids.view(np.uint64)) % np.uint64(sample) == 0
+                some = np.flatnonzero(use)
+                if not len(some):
+                    continue
+                some = some[np.unique(ids[some], return_index=True)[1]]
+                sign, at = signatures([sets[i] for i in some.tolist()], p.percent, p.hot, p.repeat_rate)
                 order = np.argsort(at, kind="stable")
-                yield exchange.scatter(ids[once], np.bincount(at, minlength=len(once)), sign[order], n_buckets)
+                sign, at = sign[order], at[order]
+                deal = sign
+                if len(p.hot):
+                    place = np.minimum(np.searchsorted(p.hot, sign), len(p.hot) - 1)
+                    n = np.where(p.hot[place] == sign, p.pieces[place], 1).astype(np.uint64)
+                    deal = np.where(n > 1, mix(sign + mix(ids[some][at].view(np.uint64)) % n), sign)
+                yield exchange.scatter(ids[some], np.bincount(at, minlength=len(some)), sign, n_buckets, None, deal)
 
     return run
 
 
-def _groups(rows: pa.Table) -> pa.Table:
-    """Signatures that several classes share, with those classes in order; equal lists once."""
+def _runs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a bucket: signatures and classes in order, each once, and the bounds of each signature."""
     keys, owner, _ = exchange.gather(rows)
     order = np.lexsort((owner, keys))
     keys, owner = keys[order], owner[order]
@@ -180,41 +239,99 @@ def _groups(rows: pa.Table) -> pa.Table:
     once[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
     keys, owner = keys[once], owner[once]
     first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0) if len(keys) else np.zeros(0, np.int64)
-    n = np.diff(np.append(first, len(keys)))
-    first, n = first[n > 1], n[n > 1]
-    seen: dict[bytes, int] = {}
-    for at, k in zip(first.tolist(), n.tolist(), strict=True):
-        seen.setdefault(owner[at : at + k].tobytes(), at)
-    lists = [np.frombuffer(x, np.int64) for x in seen]
-    ends = np.cumsum([0, *map(len, lists)])
-    flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-    return pa.Table.from_arrays([pa.array(keys[list(seen.values())].view(np.int64)), pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(flat)).cast(pa.list_(pa.int64()))], names=["signature", "members"])
-
-
-def _sets(ngram: int):
+    return keys, owner, first, np.diff(np.append(first, len(keys)))
+
+
+def _often(least: int):
+    def run(rows: pa.Table) -> pa.Table:
+        keys, _, first, n = _runs(rows)
+        some = n > least
+        return pa.Table.from_arrays([pa.array(keys[first[some]].view(np.int64)), pa.array(n[some])], names=["signature", "n"])
+
+    return run
+
+
+def _groups(plan):
+    """Signatures that several classes share, and pieces of frequent ones, with those classes in
+    order, in rows of at most UNIT_ROWS; equal lists of a bucket once."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        hot = plan.value.hot
+        keys, owner, first, n = _runs(rows)
+        parted = hot[np.minimum(np.searchsorted(hot, keys[first]), len(hot) - 1)] == keys[first] if len(hot) else np.zeros(len(first), bool)
+        seen: dict[bytes, int] = {}
+        for at, k, whole in zip(first.tolist(), n.tolist(), (~parted).tolist(), strict=True):
+            if k > 1 and whole:
+                seen.setdefault(owner[at : at + k].tobytes(), at)
+        cuts = [(a, at, min(UNIT_ROWS, len(x) // 8 - at)) for x, a in seen.items() for at in range(0, len(x) // 8, UNIT_ROWS)]
+        cuts += [(a, at, min(UNIT_ROWS, k - at)) for a, k in zip(first[parted].tolist(), n[parted].tolist(), strict=True) for at in range(0, k, UNIT_ROWS)]
+        lists = [owner[a + at : a + at + k] for a, at, k in cuts]
+        ends = np.cumsum([0, *map(len, lists)])
+        flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+        which = np.array([a for a, _, _ in cuts], np.int64)
+        return pa.Table.from_arrays(
+            [pa.array(keys[which].view(np.int64)), pa.array(owner[which]), pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(flat)).cast(pa.list_(pa.int64()))],
+            names=["signature", "head", "members"],
+        )
+
+    return run
+
+
+def _folded(plan):
+    """Of the chosen rows: the class, and the words in lower case with one space between."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = plan.value
         for batch in batches:
-            for _, _, sets in _each_step(batch, ngram):
-                yield pa.RecordBatch.from_arrays([pa.array([_set_id(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["set_id", "grams"])
+            for _, _, data, offsets in steps(batch, "text", _STEP):
+                w = words(data, offsets, fold_case=True)
+                ids = [_class_of(x, p.apart) for x in document_sets(w, p.ngram)]
+                texts = [b" ".join(w.spelled(i, True)) for i in range(len(ids))]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary())], names=["set_id", "folded"])
 
     return run
 
 
-def _verify(percent: int):
+def _shingles(folded: bytes, ngram: int) -> frozenset:
+    spelled = folded.split(b" ")
+    k = min(ngram, len(spelled))
+    return frozenset(b" ".join(spelled[i : i + k]) for i in range(len(spelled) - k + 1))
+
+
+def _verify(ngram: int, percent: int):
+    """Pairs whose sets are similar enough: first by fingerprints, then by the words of both."""
+
+    def sets_of(column: pa.Array) -> list[np.ndarray]:
+        data, offsets = np.frombuffer(b"".join(column.to_pylist()), np.uint8), np.cumsum([0, *(len(x) for x in column.to_pylist())])
+        return list(document_sets(words(data, offsets, fold_case=False), ngram))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = functools.lru_cache(64)(lambda folded: _shingles(folded, ngram))
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for some in (batch.slice(at, 64) for at in range(0, batch.num_rows, 64)):
+                keep = []
+                for x, y, of_x, of_y in zip(sets_of(some.column(2)), sets_of(some.column(3)), some.column(2).to_pylist(), some.column(3).to_pylist(), strict=True):
+                    x, y = (x, y) if len(x) <= len(y) else (y, x)
+                    at = np.searchsorted(y, x)
+                    both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+                    ok = 100 * both >= percent * (len(x) + len(y) - both)
+                    if ok:
+                        left, right = known(of_x), known(of_y)
+                        both = len(left & right)
+                        ok = 100 * both >= percent * (len(left) + len(right) - both)
+                    keep.append(ok)
+                yield pa.RecordBatch.from_arrays(some.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
+def _rate(described: DataFrame, percent: int) -> float:
+    """How often an n-gram of a set stands in a set of such another size that they cannot be similar."""
+    grams = described.select(F.explode("some").alias("gram"), "n_shingles").groupBy("gram").agg(F.count("*").alias("n"), F.min("n_shingles").alias("x"), F.max("n_shingles").alias("y"))
+    found = grams.agg(F.sum(F.when(100 * F.col("x") < percent * F.col("y"), F.col("n"))).alias("shared"), F.sum("n").alias("n")).first()
+    return round((found["shared"] or 0) / (found["n"] or 1), 3)
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Classes and links: (id, n_shingles, set_id) of every row, and pairs (a, b) of set ids.
 
@@ -222,41 +339,65 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram:
     with that same set.
     """
     spark = docs.sparkSession
-    n = parts(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    described = stored(rows.mapInArrow(_describe(ngram, ""), f"id {dict(rows.dtypes)['id']}, n_shingles long, set_id long, profile binary"), "ngram-sets")
-    texts = rows.where(F.col("text").isNotNull())
-
-    def grouped(skip: np.ndarray) -> DataFrame:
-        sent = spark.sparkContext.broadcast(skip)
-        packed = texts.mapInArrow(_send(ngram, percent, n, sent), exchange.PACKED)
-        return stored(packed.groupBy("bucket").applyInArrow(_groups, "signature long, members array<long>"), "ngram-groups")
-
-    groups = grouped(np.zeros(0, np.uint64))
-    often = groups.where(F.size("members") > FREQUENT).orderBy(F.size("members").desc(), "signature").limit(FREQUENT_MOST).select("signature").toArrow()
-    if often.num_rows:
-        groups = grouped(np.sort(often.column(0).to_numpy().view(np.uint64)))
-
-    star = groups.select(F.explode(F.slice("members", 2, 2**31 - 1)).alias("b"), F.col("members")[0].alias("a")).select("a", "b").distinct()
-    checked = _checked(star, described, texts, ngram, percent)
+    kind = dict(rows.dtypes)["id"]
+    first = stored(rows.mapInArrow(_describe(ngram), f"id {kind}, n_shingles long, set_id long, more_id long, profile binary, some array<long>"), "ngram-sets")
+    # Two sets of the same first 64 bits: about n * n / 2 ** 65 such rows among n sets.
+    apart = {
+        (r["set_id"], r["more_id"]): int(mix(np.array([r["set_id"] ^ r["more_id"]], np.int64).view(np.uint64)).view(np.int64)[0])
+        for r in first.groupBy("set_id").agg(F.min("more_id").alias("x"), F.max("more_id").alias("y")).where("x <> y").join(first, "set_id").where("more_id <> x").select("set_id", "more_id").distinct().collect()
+    }
+    described = first
+    if apart:
+        renamed = spark.createDataFrame([(*k, v) for k, v in apart.items()], "set_id long, more_id long, other long")
+        described = first.join(F.broadcast(renamed), ["set_id", "more_id"], "left").withColumn("set_id", F.coalesce("other", "set_id")).drop("other")
+    classes = described.where("n_shingles > 0 and id is not null").groupBy("set_id")
+    n_rows, n_grams = described.agg(F.count("*"), F.sum("n_shingles")).first()
+    large = classes.agg(F.count("*").alias("n"), F.min("id").alias("id")).where(F.col("n") > max(64, n_rows // LARGE_CLASS)).toArrow()
+    senders = dict(zip(large.column("set_id").to_pylist(), large.column("id").to_pylist(), strict=True))
+    texts = rows.where(F.col("text").isNotNull() & F.col("id").isNotNull())
+    plan = _Plan(ngram, percent, _rate(described, percent), apart, senders, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    n = buckets(spark, (n_grams or 0) * SIGNATURE_BYTES // 3)
+
+    def packed(step: _Plan, sample: int, last, kinds: str) -> DataFrame:
+        sent = spark.sparkContext.broadcast(step)
+        return texts.mapInArrow(_send(sent, n, sample), exchange.PACKED).groupBy("bucket").applyInArrow(last(sent), kinds)
+
+    often = packed(plan, SAMPLE, lambda _: _often(FREQUENT // SAMPLE), "signature long, n long").orderBy(F.col("n").desc(), "signature").limit(FREQUENT_MOST).toArrow()
+    hot = often.column(0).to_numpy().view(np.uint64)
+    order = np.argsort(hot)
+    plan = replace(plan, hot=hot[order], pieces=-(-often.column(1).to_numpy()[order] * SAMPLE // UNIT_ROWS))
+    groups = stored(packed(plan, 1, _groups, "signature long, head long, members array<long>"), "ngram-groups")
+
+    star = groups.select(F.explode("members").alias("b"), F.col("head").alias("a")).where("a <> b").select("a", "b")
+    tops = groups.groupBy("signature").agg(F.min("head").alias("a"), F.max("head").alias("z")).where("a <> z")
+    heads = groups.join(tops, "signature").where("head <> a").select("a", F.col("head").alias("b"))
+    known = spark.sparkContext.broadcast(plan)
+    checked = _checked(star.union(heads).distinct(), described, texts, known)
     joined = components(checked)
     rest = _across(groups, joined, described, percent, n)
-    links = checked.union(_checked(rest, described, texts, ngram, percent)) if rest is not None else checked
-    return described, links
+    if rest is not None:
+        checked = checked.union(_checked(rest, described, texts, known))
+    discard(groups)
+    return described.select("id", "n_shingles", "set_id"), checked
 
 
-def _checked(pairs: DataFrame, described: DataFrame, rows: DataFrame, ngram: int, percent: int) -> DataFrame:
-    """The pairs of set ids that are similar enough. Only sets of some pair are rebuilt and sent."""
+def _checked(pairs: DataFrame, described: DataFrame, rows: DataFrame, plan) -> DataFrame:
+    """The pairs of set ids that are similar enough. Only texts of some pair are read again and sent."""
     pairs = stored(pairs, "ngram-pairs")
     wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    first = described.groupBy("set_id").agg(F.min("id").alias("id")).join(wanted, "set_id", "left_semi").select("id")
+    first = described.where("id is not null").groupBy("set_id").agg(F.min("id").alias("id")).join(wanted, "set_id", "left_semi").select("id")
     first = stored(first, "ngram-wanted")
     few = first.count() <= BROADCAST_IDS
     chosen = rows.join(F.broadcast(first) if few else first.hint("merge"), "id", "left_semi")
-    sets = stored(chosen.select("id", "text").mapInArrow(_sets(ngram), "set_id long, grams binary"), "ngram-grams")
-    with_b = pairs.join(sets.select(F.col("set_id").alias("b"), F.col("grams").alias("of_b")), "b")
-    with_both = with_b.join(sets.select(F.col("set_id").alias("a"), F.col("grams").alias("of_a")), "a").select("a", "b", "of_a", "of_b")
-    return cut(with_both.mapInArrow(_verify(percent), "a long, b long"))
+    # Rows that repeat an id may have other texts: of each class one is enough, of any other none is asked for.
+    sets = stored(chosen.select("id", "text").mapInArrow(_folded(plan), "set_id long, folded binary"), "ngram-texts")
+    once = sets.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("folded").alias("folded")) if first.count() < sets.count() else sets
+    with_b = pairs.join(once.select(F.col("set_id").alias("b"), F.col("folded").alias("of_b")), "b")
+    with_both = with_b.join(once.select(F.col("set_id").alias("a"), F.col("folded").alias("of_a")), "a").select("a", "b", "of_a", "of_b")
+    out = cut(with_both.mapInArrow(_verify(plan.value.ngram, plan.value.percent), "a long, b long"))
+    discard(pairs, first, sets)
+    return out
 
 
 def _across(groups: DataFrame, joined: DataFrame, described: DataFrame, percent: int, n_packs: int) -> DataFrame | None:
@@ -266,18 +407,23 @@ def _across(groups: DataFrame, joined: DataFrame, described: DataFrame, percent:
     Members are compared in tasks, in units of at most two blocks; only pairs that the profiles
     leave open become rows, each once.
     """
-    open_ = groups.where(F.size("members") > 2).select(F.xxhash64("members").alias("g"), F.col("members")[0].alias("head"), F.explode(F.slice("members", 2, 2**31 - 1)).alias("node"))
-    placed = open_.join(joined, "node", "left").select("g", "head", "node", F.coalesce("component", "node").alias("part"))
+    # Groups of the same members count once, whatever buckets they come from.
+    lists = groups.groupBy("signature").agg(F.min("head").alias("head"), F.sum(F.xxhash64("members").cast("decimal(38,0)")).alias("of"), F.sum(F.size("members")).alias("n"))
+    one = lists.where("n > 2").groupBy("head", "of", "n").agg(F.min("signature").alias("signature")).select("signature", "head", "n")
+    # Rows of a head are dealt out once they are many; groups of near copies overlap, and together
+    # in a task they pass on a pair once.
+    width = one.groupBy("head").agg(F.ceil(F.sum("n") / PACK_ROWS).alias("split"))
+    one = one.join(width, "head").select("signature", F.col("head").alias("top"), F.pmod(F.xxhash64("signature"), F.col("split")).alias("turn"))
+    open_ = groups.join(one, "signature").select(F.col("signature").alias("g"), "top", "turn", F.explode("members").alias("node"))
+    placed = open_.join(joined, "node", "left").select("g", "top", "turn", "node", F.coalesce("component", "node").alias("part"))
     several = placed.groupBy("g").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count("*").alias("n")).where("x <> y").select("g", F.ceil(F.col("n") / UNIT_ROWS).alias("blocks"))
-    placed = placed.distinct().join(several, "g")
+    placed = placed.join(several, "g")
     facts = described.groupBy("set_id").agg(F.first("n_shingles").alias("size"), F.first("profile").alias("profile"))
     rows = placed.join(facts, F.col("node") == F.col("set_id"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    dealt = rows.withColumn("own", own).select("g", "head", "node", "part", "size", "profile", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    # Groups of near copies overlap: dealt by their first member they mostly meet in one task, which
-    # then passes on a pair once; block pairs of large groups are spread.
+    dealt = rows.withColumn("own", own).select("g", "top", "turn", "node", "part", "size", "profile", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     blocks = [F.least("own", "other"), F.greatest("own", "other")]
-    units = dealt.select(F.xxhash64("g", *blocks).alias("unit"), F.pmod(F.xxhash64("head", *blocks), F.lit(n_packs)).cast("int").alias("pack"), "node", "part", "size", "profile", (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high"))
+    units = dealt.select(F.xxhash64("g", *blocks).alias("unit"), F.pmod(F.xxhash64("top", "turn", *blocks), F.lit(n_packs)).cast("int").alias("pack"), "node", "part", "size", "profile", (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high"))
     pairs = cut(units.groupBy("pack").applyInArrow(_allowed(percent), "a long, b long").distinct())
     return None if pairs.isEmpty() else pairs
 
@@ -316,9 +462,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     A-Z count as a-z; a text of fewer words than ``ngram`` is one shingle; null, empty and blank
     texts have no shingle and are linked with nothing; equal sets are linked.  component_id is the
-    smallest id that links reach; rows with a null id have none (null) but link others all the
-    same only through their equal texts; rows that repeat share their id and component; other
-    columns are ignored; an empty table gives an empty result.
+    smallest id that links reach; rows with a null id have none (null) and link no others; rows
+    that repeat share their id and component; other columns are ignored; an empty table gives an
+    empty result.
     """
     described, links = link(docs, id_col, text_col, ngram, percent)
     classes = described.where("n_shingles > 0 and id is not null").groupBy("set_id").agg(F.min("id").alias("first"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +13,8 @@ from tallybridge.llm.common import fresh_path, stored, table
 
 
 def tokenizer(name: str) -> str:
-    """Place of a public vocabulary file; TALLYBRIDGE_TOKENIZERS names another folder."""
-    return os.path.join(os.environ.get("TALLYBRIDGE_TOKENIZERS", "/opt/tokenizers"), name)
+    """Place of a public vocabulary file."""
+    return public_tokenizers.path(name)
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
