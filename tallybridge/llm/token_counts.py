@@ -1,85 +1,166 @@
 """Delta-maintained token counts (operator 10).
 
-The store is two Parquet tables in one folder, both partitioned by batch: ``deltas`` holds additive
-totals (source, lang, tokenizer -> documents, tokens), ``ledger`` the signed count of every document
-that a batch touched.  A batch of changes is turned into signed rows - an insert adds, a delete
-takes away what the ledger holds, a revision does both - which are summed before they are written.
-Totals are the sum of the deltas of the committed batches.
-
-A batch is committed by a row in ``commits``, written last and in one piece.  A batch that is
-already there changes nothing, so a retried or replayed batch counts once; what a broken run left
-without a commit is never read and is overwritten by the retry.
+The store is a folder of Parquet tables.  A batch of changes is turned into signed rows - an insert
+adds, a delete takes away what the ledger holds, a revision does both - which are summed before they
+are written: ``deltas`` holds additive totals (source, lang, tokenizer -> documents, tokens), ``ledger``
+the signed count of every document the batch touched, in buckets of the document id.  Totals are the
+sum of the deltas; a batch looks up its own documents in their buckets only, so its cost follows the
+batch and not the history.  After COMPACT_AFTER batches the tables are summed into one.
+
+A batch is committed by one small file, created under a name that only one writer can create and
+naming the folder it wrote.  A batch that is already there changes nothing, so a retried or replayed
+batch counts once, and of two writers of one batch one counts; what a broken run left without a
+commit is never read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybridge.llm.common import discard, stored
+
 KEYS = ["source", "lang", "tokenizer"]
-_LEDGER = "doc_id long, source string, lang string, tokenizer string, n_docs long, n_tokens long, batch string"
-_DELTAS = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch string"
-_COMMITS = "batch string, number long"
+SUMS = ["n_docs", "n_tokens"]
+BUCKETS, COMPACT_AFTER = 32, 32
+#: A group of copies of more than one row in so many (and of 64) is joined by a broadcast: at most so many.
+LARGE_GROUP = 10_000
+_LEDGER = "doc_id long, source string, lang string, tokenizer string, n_docs long, n_tokens long, bucket int"
+_DELTAS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
+_COMMITS = "batch string, folder string, replaces array<string>"
 
 
 class Rollup:
     """Token totals in the folder ``path`` of a store that driver and executors share."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, n_buckets: int = BUCKETS, compact_after: int = COMPACT_AFTER):
+        self.spark, self.path, self.n_buckets, self.compact_after = spark, path.rstrip("/"), n_buckets, compact_after
 
-    def _exists(self, name: str) -> bool:
+    def _at(self, name: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def _table(self, name: str, schema: str) -> DataFrame:
-        if not self._exists(name):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+    def _exists(self, name: str) -> bool:
+        fs, path = self._at(name)
+        return fs.exists(path)
+
+    def _bucket(self) -> Column:
+        """Documents without an id are never looked up: they are dealt by what else they have."""
+        return F.pmod(F.coalesce(F.xxhash64(F.col("doc_id")) + F.when(F.col("doc_id").isNotNull(), 0), F.xxhash64(*KEYS, "n_tokens")), F.lit(self.n_buckets)).cast("int")
+
+    def _commit_name(self, batch: str) -> str:
+        return f"commits/{hashlib.sha256(batch.encode()).hexdigest()}.json"
+
+    def _commit(self, batch: str, folder: str, replaces: list[str]) -> bool:
+        fs, path = self._at(self._commit_name(batch))
+        if fs.exists(path):
+            return False
+        try:
+            out = fs.create(path, False)
+        except Exception:  # another writer was first
+            if fs.exists(path):
+                return False
+            raise
+        out.write(json.dumps({"batch": batch, "folder": folder, "replaces": replaces}).encode())
+        out.close()
+        return True
 
     def commits(self) -> DataFrame:
-        return self._table("commits", _COMMITS)
+        if not self._exists("commits"):
+            return self.spark.createDataFrame([], _COMMITS)
+        return self.spark.read.schema(_COMMITS).json(f"{self.path}/commits")
 
-    def _committed(self, name: str, schema: str) -> DataFrame:
-        return self._table(name, schema).join(F.broadcast(self.commits().select("batch").distinct()), "batch", "left_semi")
+    def folders(self) -> list[str]:
+        """Folders that count: committed and not summed up in another (COMPACT_AFTER or so)."""
+        every = self.commits()
+        gone = every.select(F.explode("replaces").alias("folder"))
+        return sorted(r[0] for r in every.join(gone, "folder", "left_anti").select("folder").collect())
 
-    def current(self) -> DataFrame:
-        """(doc_id, source, lang, tokenizer, n_docs, n_tokens): what the ledger holds."""
-        return self._committed("ledger", _LEDGER).groupBy("doc_id", *KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0")
+    def _table(self, name: str, schema: str) -> DataFrame:
+        paths = [f"{self.path}/{f}/{name}" for f in self.folders()]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        parts = [self.spark.read.schema(schema).parquet(p) for p in paths]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.union(p)
+        return out
+
+    def held(self, rows: DataFrame) -> DataFrame:
+        """(doc_id, source, lang, tokenizer, n_docs, n_tokens): what the ledger holds of the documents
+        and tokenizers in ``rows``; only their buckets are read."""
+        asked = rows.where("doc_id is not null").select(F.col("doc_id").alias("d"), F.col("tokenizer").alias("t"), self._bucket().alias("b")).distinct()
+        some = [r[0] for r in asked.select("b").distinct().collect()]  # at most n_buckets
+        ledger = self._table("ledger", _LEDGER).where(F.col("bucket").isin(some))
+        found = ledger.join(asked, (ledger["doc_id"] == asked["d"]) & ledger["tokenizer"].eqNullSafe(asked["t"]), "left_semi")
+        return found.groupBy("doc_id", *KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where("n_docs <> 0 or n_tokens <> 0")
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) over the committed batches; groups of no
         document are left out."""
-        return self._committed("deltas", _DELTAS).groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
+        return self._table("deltas", _DELTAS).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where("n_docs <> 0 or n_tokens <> 0")
+
+    def _write(self, folder: str, signed: DataFrame) -> None:
+        at = f"{self.path}/{folder}"
+        signed.withColumn("bucket", self._bucket()).repartition("bucket").write.partitionBy("bucket").parquet(f"{at}/ledger")
+        written = self.spark.read.schema(_LEDGER).parquet(f"{at}/ledger")
+        written.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).write.parquet(f"{at}/deltas")
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
         """Commit a batch of (change, doc_id, source, lang, tokenizer, n_tokens); False if it was
         there before.
 
-        change is insert, delete or revise.  A delete or revision takes away what the ledger holds
-        of that document and tokenizer (nothing if it holds none), whatever source and lang the
-        row gives; a revision then adds its own row, as an insert does.  Null keys are groups of
-        their own; a null doc_id or n_tokens counts as a document of 0 tokens that cannot be found
-        again (nulls) or adds none; rows that repeat within a batch count once; other columns
-        are ignored; an empty batch is committed without effect.
+        change is insert, delete or revise; others, and null, change nothing.  Each takes away what
+        the ledger holds of that document and tokenizer (nothing if it holds none), whatever source
+        and lang the row gives; an insert and a revision then add their own row.  So a document
+        that is inserted again counts once, by its last insert.  Rows of a document that repeat
+        within a batch count once; rows of one document that differ are added each.  A null doc_id
+        is a document of its own on every row, which cannot be found again: it can be inserted,
+        not deleted or revised.  Null keys are groups of their own; a null n_tokens adds 0; other
+        columns are ignored; an empty batch is committed without effect; a batch may have any name.
         """
-        if self.commits().where(F.col("batch") == batch).limit(1).count():
+        if self._exists(self._commit_name(batch)):
             return False
-        rows = changes.select("change", F.col("doc_id").cast("long").alias("doc_id"), *[F.col(k).cast("string").alias(k) for k in KEYS], F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)).alias("n_tokens")).distinct()
-        added = rows.where("change in ('insert', 'revise')").select("doc_id", *KEYS, F.lit(1).cast("long").alias("n_docs"), "n_tokens")
-        signed = added
+        rows = changes.where("change in ('insert', 'delete', 'revise')").select("change", F.col("doc_id").cast("long").alias("doc_id"), *[F.col(k).cast("string").alias(k) for k in KEYS], F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)).alias("n_tokens"))
+        known = rows.where("doc_id is not null").distinct()
+        added = known.where("change <> 'delete'").drop("change").distinct().union(rows.where("doc_id is null and change = 'insert'").drop("change"))
+        signed = added.select("doc_id", *KEYS, F.lit(1).cast("long").alias("n_docs"), "n_tokens")
         if self._exists("commits"):
-            gone = rows.where("change in ('delete', 'revise') and doc_id is not null").select(F.col("doc_id").alias("d"), F.col("tokenizer").alias("t")).distinct()
-            held = self.current()
-            taken = held.join(gone, (held["doc_id"] == gone["d"]) & held["tokenizer"].eqNullSafe(gone["t"]), "left_semi")
-            signed = added.union(taken.select("doc_id", *KEYS, -F.col("n_docs"), -F.col("n_tokens")))
-        ledger, deltas = f"{self.path}/ledger/batch={batch}", f"{self.path}/deltas/batch={batch}"
-        signed.write.mode("overwrite").parquet(ledger)
-        written = self.spark.read.schema(_LEDGER.rsplit(",", 1)[0]).parquet(ledger)
-        written.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.mode("overwrite").parquet(deltas)
-        number = self.commits().count()
-        self.spark.createDataFrame([(batch, number)], _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
-        return True
+            signed = signed.union(self.held(known).select("doc_id", *KEYS, -F.col("n_docs"), -F.col("n_tokens")))
+        folder = f"data-{uuid.uuid4().hex}"
+        self._write(folder, signed)
+        done = self._commit(batch, folder, [])
+        if done and len(self.folders()) > self.compact_after:
+            self.compact()
+        return done
+
+    def compact(self) -> bool:
+        """Sum the folders that count into one; batches stay known by name."""
+        folders, folder = self.folders(), f"data-{uuid.uuid4().hex}"
+        ledger = self._table("ledger", _LEDGER)
+        known = ledger.where("doc_id is not null").groupBy("doc_id", *KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where("n_docs <> 0 or n_tokens <> 0")
+        self._write(folder, known.union(ledger.where("doc_id is null").drop("bucket")))
+        # Two writers that sum the same folders make the same name, and one of them counts.
+        return self._commit("compact " + " ".join(folders), folder, folders)
+
+
+def marked_copies(counted: DataFrame) -> DataFrame:
+    """counted and ``is_copy``: has another row of its text a smaller doc_id?  Null ids: null.
+
+    Groups of a large share of the rows are few and are broadcast, so that none makes a hot key.
+    """
+    groups = counted.where("doc_id is not null").groupBy("copy").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    bound = max(64, counted.count() // LARGE_GROUP)
+    large = groups.where(F.col("n") > bound).select(F.col("copy").alias("__copy"), F.col("first").alias("of_large"))
+    small = groups.where((F.col("n") > 1) & (F.col("n") <= bound)).select("copy", "first")
+    rows = counted.join(F.broadcast(large), F.col("copy").eqNullSafe(F.col("__copy")), "left").drop("__copy")
+    rest = rows.where("of_large is null").join(small, "copy", "left").withColumn("first", F.coalesce("first", "doc_id"))
+    every = rest.drop("of_large").unionByName(rows.where("of_large is not null").withColumnRenamed("of_large", "first"))
+    return every.withColumn("is_copy", F.col("doc_id") > F.col("first")).drop("first")
 
 
 def maintained_totals(spark: SparkSession, counted: DataFrame, path: str, tokenizer: str) -> DataFrame:
@@ -90,18 +171,18 @@ def maintained_totals(spark: SparkSession, counted: DataFrame, path: str, tokeni
 
     counted: (doc_id, source, lang, copy, n_tokens), copy telling equal texts.  A null lang is one of
     the others.  A document with a null id is inserted and, as it cannot be found again, not changed
-    after that; such documents of equal source, lang and tokens count as one.
+    after that.
     """
     rollup = Rollup(spark, path)
-    rows = counted.withColumn("tokenizer", F.lit(tokenizer))
-    first = counted.groupBy("copy").agg(F.min("doc_id").alias("first"))
-    joined = rows.join(first, "copy")
-    copies = joined.where("doc_id <> first").withColumn("change", F.lit("delete"))
+    rows = stored(marked_copies(counted).withColumn("tokenizer", F.lit(tokenizer)), "token-copies")
+    copies = rows.where("is_copy").withColumn("change", F.lit("delete"))
     rollup.apply("1-insert", rows.withColumn("change", F.lit("insert")))
     rollup.apply("2-copies", copies)
-    left = joined.where("doc_id = first")
-    rollup.apply("3-retire", left.withColumn("change", F.lit("delete")).where("lang = 'en'"))
-    rollup.apply("4-closing-id", left.where("lang = 'en'").withColumn("change", F.lit("insert")).withColumn("tokenizer", F.lit(f"{tokenizer}+end")).withColumn("n_tokens", F.col("n_tokens") + 1))
-    rollup.apply("5-recount", left.where("NOT (lang <=> 'en')").withColumn("change", F.lit("revise")).withColumn("n_tokens", F.col("n_tokens") + 1))
+    left = rows.where("not is_copy")
+    english = F.col("lang").eqNullSafe("en")
+    rollup.apply("3-retire", left.where(english).withColumn("change", F.lit("delete")))
+    rollup.apply("4-closing-id", left.where(english).withColumn("change", F.lit("insert")).withColumn("tokenizer", F.lit(f"{tokenizer}+end")).withColumn("n_tokens", F.col("n_tokens") + 1))
+    rollup.apply("5-recount", left.where(~english).withColumn("change", F.lit("revise")).withColumn("n_tokens", F.col("n_tokens") + 1))
     rollup.apply("2-copies", copies)
+    discard(rows)
     return rollup.totals()
