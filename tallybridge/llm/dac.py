@@ -111,8 +111,7 @@ class Shard:
 #: Ends of a piece that are always pieces of their own after a letter or digit.
 _TAIL = ".,!?;:"
 #: Words that a worker remembers at most in each of two generations.
-_CACHE_ENTRIES = 900_000
-_GAPS = re.compile("[ \n]")
+_CACHE_ENTRIES = 500_000
 
 
 class WordEncoder:

@@ -9,26 +9,53 @@ A pair is counted once: in the first table where one of the two probes the other
 leaves a bucket are counts and a spanning set of links, never all pairs.  A bucket with more than
 UNIT_ROWS entries is cut into blocks and every pair of blocks is a unit of work of its own, so no
 task holds a whole bucket and no pair of it is lost.
+
+The number of hashes of a table follows the logarithm of the number of vectors, so that a bucket
+holds a few of them at any size; tables and probes follow the hashes, so that recall stays (see
+``setting``).
 """
 
 from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybridge.llm.common import parts, stored
+from tallybridge.llm.common import buckets, cut, discard, stored
 from tallybridge.llm.components import components
 from tallybridge.llm.kernels import mix
 
-#: Recall at a cosine of exactly 0.95 in 64 dimensions is 0.9999 with these (see the README).
-TABLES, PROBES, HASHES = 6, 4, 2
 MIN_COSINE = 0.95
-UNIT_ROWS = 2000
+#: Vectors that a bucket is to hold in the mean, and entries of one that are compared in one piece.
+BUCKET_ROWS, UNIT_ROWS = 16, 2000
+#: At most so many buckets (16 bytes each) are told to the tasks as large: those of more than
+#: UNIT_ROWS entries and of more than one entry in so many.
+LARGE_BUCKETS = 100_000
+#: A class of more than one row in so many (and of 64) is joined by a broadcast: at most so many.
+LARGE_CLASS = 10_000
+
+
+@dataclass(frozen=True)
+class Setting:
+    hashes: int
+    tables: int
+    probes: int
+
+
+@functools.cache
+def setting(n: float, width: int) -> Setting:
+    """For so many buckets of vectors of one length. Simulated recall at a cosine of exactly 0.95 in 64 dimensions:
+    1.0000 of 3000 pairs for each of 1 to 4 hashes; a table alone finds 0.98, 0.80, 0.73, 0.67."""
+    axes = 2 << max(1, (width - 1).bit_length())
+    hashes, most = 1, max(1, 54 // (axes.bit_length() - 1))
+    while axes**hashes < n and hashes < most:
+        hashes += 1
+    return Setting(hashes, 2 + 2 * hashes, max(4, 1 << hashes))
 
 
 @functools.cache
@@ -56,7 +83,7 @@ def _nearest_axes(x: np.ndarray, table: int, which: int, most: int) -> tuple[np.
     return axes * 2 + (at < 0), np.abs(at)
 
 
-def codes(unit: np.ndarray, tables: int = TABLES, probes: int = PROBES, hashes: int = HASHES) -> np.ndarray:
+def codes(unit: np.ndarray, tables: int, probes: int, hashes: int) -> np.ndarray:
     """rows x tables x probes bucket numbers of unit vectors; the first probe is the own bucket."""
     n, width = unit.shape
     dim = 1 << max(1, (width - 1).bit_length())
@@ -101,37 +128,46 @@ def _keys(code: np.ndarray, width: int) -> np.ndarray:
     return mix(code.astype(np.uint64) << np.uint64(8) | t) ^ mix(np.array([width], np.uint64))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, _, v in _by_width(batch):
-            key = _keys(codes(_unit(v)), v.shape[1])
-            first = np.ones(key.shape, bool)
-            for p in range(1, key.shape[2]):
-                first[:, :, p] = (key[:, :, p : p + 1] != key[:, :, :p]).all(2)
-            bucket, n = np.unique(key[first], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(n, pa.int64())], names=["bucket", "n"])
+def _codes(v: np.ndarray, n: float) -> np.ndarray:
+    at = setting(n, v.shape[1])
+    return codes(_unit(v), at.tables, at.probes, at.hashes)
+
+
+def _entries(v: np.ndarray, n: float) -> tuple[np.ndarray, ...]:
+    """Buckets of the vectors, each once a vector: its number, the row, is it the own one, the table."""
+    code = _codes(v, n)
+    key = _keys(code, v.shape[1])
+    first = np.ones(key.shape, bool)
+    for p in range(1, key.shape[2]):
+        first[:, :, p] = (key[:, :, p : p + 1] != key[:, :, :p]).all(2)
+    own = np.zeros(key.shape, bool)
+    own[:, :, 0] = True
+    row = np.broadcast_to(np.arange(len(v))[:, None, None], key.shape)
+    table = np.broadcast_to(np.arange(key.shape[1], dtype=np.uint64)[None, :, None], key.shape)
+    return key[first], row[first], own[first], table[first]
+
+
+def _count(n: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, v in _by_width(batch):
+                bucket, times = np.unique(_entries(v, n)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(times, pa.int64())], names=["bucket", "n"])
+
+    return run
 
 
-_UNITS = "pack int, width int, unit binary, ids binary, weights binary, role binary, codes binary, vectors binary"
+_UNITS = "pack int, width int, unit binary, ids binary, weights binary, role binary, vectors binary"
 
 
-def _deal(n_packs: int, hot):
+def _deal(wanted: float, n_packs: int, hot):
     """Send every vector to the units of work of its buckets: role 1 stored, 2 probing, 3 both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, blocks = hot.value
         for batch in batches:
             for ids, weights, v in _by_width(batch):
-                code = codes(_unit(v))
-                key = _keys(code, v.shape[1])
-                row = np.broadcast_to(np.arange(len(ids))[:, None, None], key.shape)
-                own = np.zeros(key.shape, bool)
-                own[:, :, 0] = True
-                first = np.ones(key.shape, bool)
-                for p in range(1, key.shape[2]):
-                    first[:, :, p] = (key[:, :, p : p + 1] != key[:, :, :p]).all(2)
-                table = np.broadcast_to(np.arange(TABLES, dtype=np.uint64)[None, :, None], key.shape)
-                key, row, own, table = key[first], row[first], own[first], table[first]
+                key, row, own, table = _entries(v, wanted)
                 at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
                 n = np.where(keys[at] == key, blocks[at], 1) if len(keys) else np.ones(len(key), np.int64)
                 place = (mix(ids[row].astype(np.uint64)) % n.astype(np.uint64)).astype(np.int64)
@@ -153,7 +189,7 @@ def _deal(n_packs: int, hot):
                 for k in np.unique(pack).tolist():
                     i = np.flatnonzero(pack == k)
                     r = row[i]
-                    blobs = [unit[i], ids[r].astype(np.int64), weights[r].astype(np.int64), role[i].astype(np.int8), code[r].astype(np.int64), v[r]]
+                    blobs = [unit[i], ids[r].astype(np.int64), weights[r].astype(np.int64), role[i].astype(np.int8), v[r]]
                     yield pa.RecordBatch.from_arrays([pa.array([int(k)], pa.int32()), pa.array([v.shape[1]], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in blobs]], names=[c.split()[0] for c in _UNITS.split(", ")])
 
     return run
@@ -184,12 +220,11 @@ def _spanning(pairs: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _compare(dtype: str, min_cosine: float):
+def _compare(dtype: str, min_cosine: float, wanted: float):
     def run(rows: pa.Table) -> pa.Table:
         width = rows.column("width")[0].as_py()
         take = lambda c, kind: np.frombuffer(b"".join(rows.column(c).to_pylist()), kind)
         unit, ids, weights, role = take("unit", np.uint64), take("ids", np.int64), take("weights", np.int64), take("role", np.int8)
-        code = take("codes", np.int64).reshape(len(unit), TABLES, PROBES)
         raw = take("vectors", dtype).reshape(len(unit), width)
         order = np.lexsort((ids, unit))
         cut = np.flatnonzero(np.diff(unit[order], prepend=~unit[order][:1]) != 0)
@@ -212,7 +247,9 @@ def _compare(dtype: str, min_cosine: float):
                 if not len(q):
                     continue
                 met.append(np.stack([q, s], 1))
-                once = _counted_here(code[q], code[s], table, ids[q] < ids[s])
+                some, at_some = np.unique(np.concatenate([q, s]), return_inverse=True)
+                code = _codes(raw[some], wanted)
+                once = _counted_here(code[at_some[: len(q)]], code[at_some[len(q) :]], table, ids[q] < ids[s])
                 np.add.at(count, q[once], weights[s[once]])
                 np.add.at(count, s[once], weights[q[once]])
             if met:
@@ -246,23 +283,32 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     fine = F.col("id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     good = rows.where(fine)
     classes = stored(good.groupBy("v").agg(F.min("id").cast("long").alias("rep"), F.count("*").alias("weight")).select("rep", "weight", "v"), "vector-classes")
-    n = parts(spark)
-    sizes = classes.mapInArrow(_count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    # At most TABLES * (2 * dim) ** HASHES buckets exist, whatever the number of vectors.
-    large = sizes.where(F.col("n") > UNIT_ROWS).toArrow()
+    n_classes, n_rows, width = classes.agg(F.count("*"), F.sum("weight"), F.max(F.size("v"))).first()
+    wanted = n_classes / BUCKET_ROWS
+    at = setting(wanted, width or 1)
+    n = buckets(spark, n_classes * at.tables * at.probes * (32 + (width or 1) * (8 if number == "double" else 4)), 64 << 20)
+    sizes = classes.mapInArrow(_count(wanted), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    most = max(UNIT_ROWS, n_classes * at.tables * at.probes // LARGE_BUCKETS)
+    large = sizes.where(F.col("n") > most).toArrow()
     keys = large.column(0).to_numpy().view(np.uint64)
     order = np.argsort(keys)
     blocks = -(-large.column(1).to_numpy()[order] // UNIT_ROWS)
     hot = spark.sparkContext.broadcast((keys[order], blocks))
-    found = stored(classes.mapInArrow(_deal(n, hot), _UNITS).groupBy("pack", "width").applyInArrow(_compare("<f8" if number == "double" else "<f4", min_cosine), "a long, b long, n long"), "vector-links")
+    found = stored(classes.mapInArrow(_deal(wanted, n, hot), _UNITS).groupBy("pack", "width").applyInArrow(_compare("<f8" if number == "double" else "<f4", min_cosine, wanted), "a long, b long, n long"), "vector-links")
     counts = found.where("n is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     joined = components(found.where("b is not null"))
-    placed = (
+    placed = cut(
         classes.join(counts, "rep", "left")
         .join(joined, F.col("rep") == F.col("node"), "left")
-        .select(F.col("v").alias("__v"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+        .select(F.col("v").alias("__v"), "weight", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     )
-    linked = good.join(placed, F.col("v") == F.col("__v")).select("id", "n_links", "component_id")
+    discard(found, classes)
+    # Vectors that a large share of the rows repeat are few; those rows are not shuffled.
+    bound = max(64, (n_rows or 0) // LARGE_CLASS)
+    often = placed.where(F.col("weight") > bound).select(F.col("__v").alias("__often"), F.col("n_links").alias("n_often"), F.col("component_id").alias("of_often"))
+    good = good.join(F.broadcast(often), F.col("v") == F.col("__often"), "left")
+    rare = good.where("n_often is null").select("id", "v").join(placed.where(F.col("weight") <= bound), F.col("v") == F.col("__v"))
+    linked = rare.select("id", "n_links", "component_id").union(good.where("n_often is not null").select("id", "n_often", "of_often"))
     alone = rows.where(~F.coalesce(fine, F.lit(False))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").cast("long").alias("component_id"))
     every = linked.union(alone)
     return every.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))

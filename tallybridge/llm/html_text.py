@@ -8,96 +8,126 @@ features are the text blocks right below it.  Importance is an entropy over the
 * content, 1 - mean of k / m over its blocks, for a block on k of m pages;
 * composite, CompImp(E) = (1 - g^l) NodeImp(E) + g^l * mean of what is below (l style nodes, g = 0.9).
 
-Branches whose importance, times a prior for what markup itself declares (menus, footers, adverts,
-comments ... have prior 0), does not exceed a threshold, nor that of anything below them, are
-removed from each page, and so are single blocks that nearly all pages of the host repeat: a fixed
-share of them, whatever the size of the host.  Nothing inside an article element is removed for
-being repeated.  Where a page has an article element, the branches beside it have prior 0 as well.
-A word of a class, id or role declares nothing on html, body, main
-and article, nor in a modifier such as has-sidebar, nor on a branch with most of a page's text.
-Pages of one host with the same blocks are copies and count as one page.  A host with fewer than
-MIN_PAGES pages gives no evidence: only the priors act there.
+What m pages say weighs (m - 1) / m: one page says nothing, and there is no least number of pages.
+The importance of a branch is the largest composite importance in it.  Times its prior - 0 for
+what markup itself declares (menus, footers, adverts, comments ... and, on a page with an article,
+what lies beside it), 1 for the rest - it must exceed LOW for the branch to stay; a single block
+must not stand on nearly all pages of the host.  Nothing inside an article goes for being repeated.
+
+A class, id or role declares something by the word it is, or the head of its compound (site-footer;
+not post-with-ads, related-work); it declares nothing on html, body, main and article, nor where the
+branch holds the page's only article or most of its text.  Pages of one host with the same
+blocks are copies and count as one page.  The tree is summed in Spark by (host, node): composites go up it
+by doubled steps, so no task holds a host.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybridge.llm.common import stored
+from tallybridge.llm.common import cut, discard, stored
 
-MIN_PAGES, LOW, DAMPING = 8, 0.1, 0.9
-#: Share of the pages with its node from which a single block counts as repeated.
+LOW, DAMPING = 0.1, 0.9
+#: Share of the pages with its node, weighed, from which a single block counts as repeated.
 REPEATED = 0.85
-#: Low branches and blocks of all hosts that are broadcast; more are joined by host.
-BROADCAST_ROWS = 50_000
+#: Distinct pages with low parts that are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 20_000
 
-#: Elements that are never main text, and words in class, id or role that say the same.
-NOISE_TAGS = frozenset("nav header footer aside form script style noscript template iframe button select option textarea svg canvas object embed dialog menu input head title math audio video map fieldset label".split())
+#: Elements that are never main text, and words of class, id or role that say the same.
+NOISE_TAGS = frozenset("nav header footer aside script style noscript template iframe button select option textarea svg canvas object embed dialog menu input head title math audio video map label".split())
+SOFT_TAGS = frozenset("form fieldset".split())
 NOISE_WORDS = frozenset(
-    "nav navbar navigation menu menubar header masthead footer sidebar aside ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription social share sharing breadcrumb breadcrumbs comment comments disqus reply replies related recommended recommendations widget toolbar pagination pager login signup search skip copyright legal alert complementary contentinfo form hidden".split()
+    "nav navbar navigation menu menubar header masthead footer sidebar aside ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription social share sharing breadcrumb breadcrumbs comment comments disqus reply replies related recommended recommendations widget toolbar pagination pager login signup search skip copyright legal alert complementary contentinfo hidden".split()
 )
-#: Elements whose class, id or role declares nothing, and class names that only modify a layout.
+#: Words after which a compound has no other meaning, words that only modify a layout, and those
+#: whose header belongs to the text.
+QUALIFIERS = frozenset("area bar block bottom box container content fixed group inner item items left link links list main outer panel primary right secondary section top wrap wrapper".split())
+MODIFIERS = frozenset("has with without no is not closed disabled enabled layout off on open opened".split())
+TEXT_WORDS = frozenset("article entry post story".split())
+#: Elements whose class, id or role declares nothing.
 FRAME_TAGS = frozenset("html body main article".split())
-_MODIFIER = re.compile(r"(?:has|with|without|no|is|not)[-_].*|.*[-_](?:open|opened|closed|on|off|left|right|layout|enabled|disabled)", re.I)
 RAW_TAGS = frozenset("script style textarea title noscript iframe template xmp".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE_TAGS = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br nobr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSES_SELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
-_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile(r"""[>]|=\s*["']""")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW_TAGS}
 _MASK = (1 << 62) - 1
+_ROOT = 1
+
+
+def declares(name: str) -> bool:
+    """Does a class, id or role say that its element is no main text?"""
+    said = [w.lower() for w in _WORDS.findall(name)]
+    if not MODIFIERS.isdisjoint(said):
+        return False
+    while len(said) > 1 and said[-1] in QUALIFIERS:
+        said.pop()
+    return bool(said) and said[-1] in NOISE_WORDS and not (said[-1] == "header" and len(said) > 1 and said[-2] in TEXT_WORDS)
 
 
 def _signature(tag: str, attrs: str, memo: dict = {}) -> tuple[int, bool, bool]:  # noqa: B006
-    """Number of a tag with its class and id, whether it is no main text, and whether a word of
-    its class, id or role says so."""
+    """Number of a tag with its class and id, whether it is no main text, and whether a form or
+    a word of its class, id or role says so."""
     key = (tag, attrs)
     found = memo.get(key)
     if found is None:
         named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if "=" in attrs else {}
         said = " ".join(named.get(k, "") for k in ("class", "id", "role"))
-        soft = tag not in FRAME_TAGS and any(not NOISE_WORDS.isdisjoint(w.lower() for w in _WORDS.findall(x)) for x in said.split() if not _MODIFIER.fullmatch(x))
+        soft = tag in SOFT_TAGS or tag not in FRAME_TAGS and any(map(declares, said.split()))
         noise = tag in NOISE_TAGS
         noise |= named.get("aria-hidden") == "true" or "display:none" in named.get("style", "").replace(" ", "") or re.search(r"(?:^|\s)hidden(?:$|[\s=])", attrs) is not None
         shown = re.sub(r"\d+", "0", f"{tag} {named.get('class', '')} {named.get('id', '')}")
         found = crc32(shown.encode()), noise, soft
-        if len(memo) < 50_000:
+        if len(memo) < 50_000 and len(attrs) < 1000:
             memo[key] = found
     return found
 
 
 def _text_id(text: str) -> int:
-    return int.from_bytes(blake2b(text.encode(), digest_size=8).digest(), "little") & _MASK
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") & _MASK
+
+
+class _Frame:
+    """An open element."""
+
+    __slots__ = ("tag", "node", "noise", "inside", "article", "soft", "last", "style")
+
+    def __init__(self, tag, node, noise, inside, article, soft):
+        self.tag, self.node, self.noise, self.inside, self.article, self.soft = tag, node, noise, inside, article, soft
+        self.last, self.style = 0, 0  # the child before, and the sequence of children so far
 
 
 class Page:
-    """One page: its text blocks, and with ``tree`` what it adds to the style tree of its host."""
+    """The text blocks of a page, and what it adds to the style tree of its host.
+
+    Every step looks at the end of some stack, so a page costs its length, however deep or broken.
+    """
 
-    def __init__(self, source: str, low: frozenset = frozenset(), tree: bool = False):
-        self.blocks: list[tuple[int, str, bool, bool]] = []  # node, text, noise, in an article or main element
-        self.lasting: set[int] = set()  # blocks inside an article, which stay however often repeated
+    def __init__(self, source: str):
+        self.blocks: list[tuple[int, str, bool, bool, bool]] = []  # node, text, noise, in an article or main element, in an article
         self.nodes: dict[int, tuple[int, int]] = {}  # node -> parent, depth
         self.styles: set[tuple[int, int]] = set()
-        self._low, self._tree = low, tree
-        self._soft: list[tuple] = []  # of each block, the elements above it that a word declares as noise
-        self._softs = 0
-        self._open: list[list] = [["#root", 1, False, False, 0, False, False, ()]]  # tag, node, noise, in article or main, last child, low, in article, declared by a word
-        self._style: list[int] = [0]
+        self._open = [_Frame("#root", _ROOT, False, False, False, 0)]
+        self._solid = [0]  # places of the open elements that are not inline
+        self._at: dict[str, list[int]] = {}  # places of the open elements of each tag
         self._text: list[str] = []
+        self._softs = [0]  # of each branch that a word declares as noise, the one around it
+        self._soft_of: list[int] = []  # of each block, the innermost such branch
         self._parse(source)
 
     def _flush(self) -> None:
@@ -105,21 +135,24 @@ class Page:
             text = " ".join(html.unescape("".join(self._text)).split())
             self._text = []
             if text:
-                at = len(self._open) - 1
-                while at and self._open[at][0] in INLINE_TAGS:
-                    at -= 1
-                _, node, noise, inside, _, low, article, _ = self._open[at]
-                if article:
-                    self.lasting.add(len(self.blocks))
-                self.blocks.append((node, text, noise or self._open[-1][2] or low, inside))
-                self._soft.append(self._open[-1][7])
+                own = self._open[self._solid[-1]]
+                self.blocks.append((own.node, text, own.noise, own.inside, own.article))
+                self._soft_of.append(own.soft)
 
     def _close(self, upto: int) -> None:
         while len(self._open) > upto:
             frame = self._open.pop()
-            style = self._style.pop()
-            if self._tree and frame[0] not in INLINE_TAGS:
-                self.styles.add((frame[1], style))
+            self._at[frame.tag].pop()
+            if self._solid[-1] == len(self._open):
+                self._solid.pop()
+                self.styles.add((frame.node, frame.style))
+
+    def _place(self, tags: tuple) -> int:
+        return max((at[-1] for t in tags if (at := self._at.get(t))), default=0)
+
+    def _push(self, tag: str, frame: _Frame) -> None:
+        self._at.setdefault(tag, []).append(len(self._open))
+        self._open.append(frame)
 
     def _start(self, tag: str, attrs: str) -> None:
         inline = tag in INLINE_TAGS
@@ -134,95 +167,125 @@ class Page:
         if tag in VOID_TAGS:
             return
         sign, noise, soft = _signature(tag, attrs)
-        parent = self._open[-1]
-        softs = parent[7]
+        above = self._open[-1]
+        around = above.soft
         if soft:
-            self._softs += 1
-            softs = (*softs, self._softs)
+            self._softs.append(around)
+            around = len(self._softs) - 1
         if inline:
-            self._open.append([tag, parent[1], parent[2] or noise, parent[3], 0, parent[5], parent[6], softs])
-            self._style.append(0)
+            self._push(tag, _Frame(tag, above.node, above.noise or noise or soft, above.inside, above.article, above.soft))
             return
-        at = len(self._open) - 1
-        while self._open[at][0] in INLINE_TAGS:
-            at -= 1
-        above = self._open[at]
-        node = (above[1] * 0x5851F42D4C957F2D + sign) & _MASK
-        if sign != above[4]:  # a run of equal children is one
-            self._style[at] = (self._style[at] * 0x2545F4914F6CDD1D + sign) & _MASK
-            above[4] = sign
-        noise = noise or parent[2]
-        article = parent[6] or (tag == "article" and not noise)
-        if self._tree and node not in self.nodes:
-            self.nodes[node] = above[1], len(self._open)
-        self._open.append([tag, node, noise, parent[3] or (tag in ("article", "main") and not noise), 0, not article and (parent[5] or node in self._low), article, softs])
-        self._style.append(0)
+        solid = self._open[self._solid[-1]]
+        node = (solid.node * 0x5851F42D4C957F2D + sign) & _MASK
+        if sign != solid.last:  # a run of equal children is one
+            solid.style = (solid.style * 0x2545F4914F6CDD1D + sign) & _MASK
+            solid.last = sign
+        noise = noise or above.noise
+        self.nodes.setdefault(node, (solid.node, len(self._solid)))
+        self._solid.append(len(self._open))
+        self._push(tag, _Frame(tag, node, noise, above.inside or (tag in ("article", "main") and not noise), above.article or (tag == "article" and not noise), around))
 
     def _end_of(self, tags: tuple, stop: tuple) -> None:
-        for at in range(len(self._open) - 1, 0, -1):
-            tag = self._open[at][0]
-            if tag in tags:
-                self._close(at)
-                return
-            if tag in stop:
-                return
+        at = self._place(tags)
+        if at and at > self._place(stop):
+            self._close(at)
 
     def _end(self, tag: str) -> None:
         if tag not in INLINE_TAGS:
             self._flush()
-        for at in range(len(self._open) - 1, 0, -1):
-            if self._open[at][0] == tag:
-                self._close(at)
-                return
-            if tag in INLINE_TAGS and self._open[at][0] not in INLINE_TAGS:
-                return
+        at = self._place((tag,))
+        if at and (tag not in INLINE_TAGS or at > self._solid[-1]):
+            self._close(at)
+
+    def _say(self, text: str) -> None:
+        # What an inline element hides is not part of the block around it.
+        if not self._open[-1].noise or self._open[self._solid[-1]].noise:
+            self._text.append(text)
 
     def _parse(self, source: str) -> None:
-        at, find = 0, _TOKEN.search
-        while (m := find(source, at)) is not None:
-            if m.start() > at:
-                self._text.append(source[at : m.start()])
-            at = m.end()
-            tag = m[2] or m[5]
-            if tag is None:
+        at, last_end = 0, source.rfind(">")
+        unclosed: set[str] = set()
+        while 0 <= (open_ := source.find("<", at)) < last_end:
+            if open_ > at:
+                self._say(source[at:open_])
+            if source.startswith("<!--", open_):
+                end = source.find("-->", open_ + 4)
+                at = end + 3 if end >= 0 else len(source)
+                continue
+            close = source.startswith("/", open_ + 1)
+            name = _NAME.match(source, open_ + 1 + close)
+            if name is None:
+                if source[open_ + 1] in "!?/":
+                    at = source.index(">", open_) + 1
+                else:
+                    self._say("<")
+                    at = open_ + 1
                 continue
-            tag, attrs = tag.lower(), m[3] or m[6] or ""
-            if m[1] or m[4]:
+            tag = name[0].lower()
+            end = self._tag_end(source, name.end(), unclosed)
+            attrs, at = source[name.end() : end], end + 1
+            if close:
                 self._end(tag)
             elif tag in RAW_TAGS:
                 self._flush()
-                end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
-                at = end.end() if end else len(source)
+                found = _RAW_END[tag].search(source, at)
+                at = found.end() if found else len(source)
             else:
                 self._start(tag, attrs)
-                if attrs.endswith("/") and tag not in VOID_TAGS and tag in ("svg", "math"):
+                if attrs.endswith("/") and tag in ("svg", "math"):
                     self._end(tag)
-        self._text.append(source[at:])
+        comment = source.find("<!--", at)
+        self._say(source[at:] if comment < 0 else source[at:comment])
         self._flush()
-        self._close(0)
-        if self._softs:
+        self._close(1)
+        self.styles.add((_ROOT, self._open[0].style))
+        if len(self._softs) > 1:
             self._judge()
 
+    @staticmethod
+    def _tag_end(source: str, at: int, unclosed: set[str]) -> int:
+        """Place of the > that ends a tag: one outside of quoted values, or else the next."""
+        first = at
+        while (m := _STOP.search(source, at)) is not None:
+            if m[0] == ">":
+                return m.start()
+            at, quote = m.end(), m[0][-1]
+            if quote not in unclosed:
+                end = source.find(quote, at)
+                if end < 0:
+                    unclosed.add(quote)
+                else:
+                    at = end + 1
+        return source.index(">", first)
+
     def _judge(self) -> None:
-        """Branches that a word declares as noise are, unless one holds most of the page's distinct
-        text and no article or main element has text outside of such branches."""
+        """Branches that a word declares as noise are, unless one holds all article text of the page
+        or, where no article or main element has any, most of the page's distinct text."""
         shown = [i for i, b in enumerate(self.blocks) if not b[2]]
-        meant: set[int] = set()
-        if not any(self.blocks[i][3] and not self._soft[i] for i in shown):
-            size, held = 0, Counter()
-            for i in {self.blocks[i][1]: i for i in shown}.values():
-                n = len(self.blocks[i][1])
-                size += n
-                held.update({s: n for s in self._soft[i]})
-            meant = {s for s, n in held.items() if 2 * n > size}
-        self.blocks = [(node, text, noise or not meant.issuperset(soft), inside) for (node, text, noise, inside), soft in zip(self.blocks, self._soft, strict=True)]
-
-    def main_text(self, low_blocks: frozenset = frozenset()) -> str:
+        articles = [i for i in shown if self.blocks[i][3]]
+        held, size = [0] * len(self._softs), 0
+        if not any(not self._soft_of[i] for i in articles):
+            for i in {self.blocks[i][1]: i for i in (articles or shown)}.values():
+                size += len(self.blocks[i][1])
+                held[self._soft_of[i]] += len(self.blocks[i][1])
+        lost = [False] * len(self._softs)
+        for s in range(len(held) - 1, 0, -1):
+            held[self._softs[s]] += held[s]
+        for s in range(1, len(held)):
+            lost[s] = lost[self._softs[s]] or 2 * held[s] <= size
+        self.blocks = [(node, text, noise or lost[s], inside, article) for (node, text, noise, inside, article), s in zip(self.blocks, self._soft_of, strict=True)]
+
+    def kept(self) -> list[tuple[int, str, bool]]:
+        """(node, text, lasting) of the blocks that their prior lets stay."""
         article = any(b[3] and not b[2] for b in self.blocks)
-        kept = [text for node, text, noise, inside in self.blocks if not noise and (inside or not article)]
-        if low_blocks:
-            kept = [text for i, (node, text, noise, inside) in enumerate(self.blocks) if not noise and (inside or not article) and (i in self.lasting or (node ^ _text_id(text)) not in low_blocks)]
-        return "\n".join(kept)
+        return [(node, text, lasting) for node, text, noise, inside, lasting in self.blocks if not noise and (inside or not article)]
+
+    def main_text(self, low: frozenset = frozenset()) -> str:
+        """low: nodes, and blocks as node xor block number, that the tree tells to remove."""
+        return "\n".join(text for node, text, lasting in self.kept() if lasting or not low or not (node in low or (node ^ _text_id(text)) in low))
+
+    def digest(self) -> bytes:
+        return blake2b("\n".join(f"{n} {text}" for n, text, *_ in self.blocks).encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
 def _host(url):
@@ -236,93 +299,160 @@ _PART = np.dtype([("node", "<i8"), ("kind", "<i4"), ("value", "<i8"), ("depth",
 def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each page: its host, a digest of its blocks, and what it adds to the tree as packed parts.
 
-    Kind 0: it has the node (value: its parent); 1: a style node; 2: a block.
+    Kind 0: it has the node (value: its parent); 1: a style node; 2: a block; 3: a block that its
+    prior lets stay and that may go (value: as it is told to be low).
     """
     for batch in batches:
         hosts, digests, packed = [], [], []
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            page = Page(source, tree=True)
-            found = {(n, 0, parent, depth) for n, (parent, depth) in page.nodes.items()}
-            found |= {(n, 1, style, 0) for n, style in page.styles if n in page.nodes}
-            found |= {(n, 2, _text_id(text), 0) for n, text, _, _ in page.blocks if n in page.nodes}
+            page = Page(source)
+            found = {(n, 0, parent, depth) for n, (parent, depth) in page.nodes.items()} | {(_ROOT, 0, 0, 0)}
+            found |= {(n, 1, style, 0) for n, style in page.styles}
+            found |= {(n, 2, _text_id(text), 0) for n, text, *_ in page.blocks}
+            found |= {(n, 3, n ^ _text_id(text), 0) for n, text, lasting in page.kept() if not lasting}
             hosts.append(host)
-            digests.append(blake2b("\n".join(f"{n} {text}" for n, text, _, _ in page.blocks).encode(), digest_size=16).digest())
+            digests.append(page.digest())
             packed.append(np.array(sorted(found), _PART).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(digests, pa.binary()), pa.array(packed, pa.binary())], names=["host", "digest", "parts"])
 
 
+def _unpacked(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Parts of several pages, and the page of each."""
+    return np.frombuffer(b"".join(packed), _PART), np.repeat(np.arange(len(packed)), [len(x) // _PART.itemsize for x in packed])
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages of each part, within a batch."""
     for batch in batches:
-        packed = batch.column(1).to_pylist()
-        parts = np.frombuffer(b"".join(packed), _PART)
-        of = np.repeat(np.arange(len(packed)), [len(x) // _PART.itemsize for x in packed])
+        parts, of = _unpacked(batch.column(1).to_pylist())
+        parts, of = parts[parts["kind"] < 3], of[parts["kind"] < 3]
         rows = pa.table({"host": batch.column(0).take(pa.array(of))} | {k: np.ascontiguousarray(parts[k]) for k in _PART.names})
         counted = rows.group_by(["host", *_PART.names], use_threads=False).aggregate([([], "count_all")])
         yield from counted.rename_columns([*counted.column_names[:-1], "n"] if counted.column_names[-1] == "count_all" else ["n", *counted.column_names[1:]]).select(["host", *_PART.names, "n"]).to_batches()
 
 
-def _composite(rows: pd.DataFrame) -> pd.DataFrame:
-    """CompImp of the nodes of one host, from the leaves up, or of the most important node below;
-    a row for each distinct path."""
-    below = {n: [0.0, 0.0, 0.0] for n in rows.node}
-    value = {}
-    for r in rows.sort_values("depth", ascending=False).itertuples():
-        total, weight, most = below[r.node]
-        if r.n_texts > 0:
-            total, weight = total + r.content * r.m, weight + r.m
-        keep = DAMPING ** max(1, r.n_styles)
-        own = r.presentation if not weight else (1 - keep) * r.presentation + keep * total / weight
-        # Many style nodes, or many low branches, do not hide one that matters.
-        value[r.node] = max(own, most, r.content)
-        if r.parent in below:
-            up = below[r.parent]
-            up[:] = up[0] + own * r.m, up[1] + r.m, max(up[2], value[r.node])
-    return pd.DataFrame({"host": rows.host, "node": rows.node, "importance": rows.node.map(value)})
-
-
-def low_parts(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
-    """(host, part): nodes, and blocks as node xor block number, of low importance on their host."""
-    rows = pages.select(_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("host <> '' and html is not null")
-    pages_once = rows.mapInArrow(_observe, "host string, digest binary, parts binary").groupBy("host", "digest").agg(F.min("parts").alias("parts"))
-    seen = stored(pages_once.select("host", "parts").mapInArrow(_count, _SEEN).groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n"), F.max("depth").alias("depth")), "style-tree")
-    pages_with = seen.where("kind = 0").select("host", "node", F.col("value").alias("parent"), "depth", F.col("n").alias("m")).where(F.col("m") >= min_pages)
-    of = seen.where("kind > 0").join(pages_with.select("host", "node", "m"), ["host", "node"])
+def _removable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, digest, part) of the blocks that may go: their node, and the block itself."""
+    for batch in batches:
+        parts, of = _unpacked(batch.column(2).to_pylist())
+        use = np.flatnonzero(parts["kind"] == 3)
+        if len(use):
+            pages = pa.array(np.repeat(of[use], 2))
+            which = np.stack([parts["node"][use], parts["value"][use]], 1).ravel()
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pages), batch.column(1).take(pages), pa.array(which)], names=["host", "digest", "part"])
+
+
+def weighed(importance, m):
+    """Importance by the evidence of m pages: 1 for one page, itself for very many."""
+    return 1 - (1 - importance) * (m - 1) / m
+
+
+def _double(step: DataFrame) -> DataFrame:
+    """Twice as far up: every node hands its sum to the node it points at and takes over its way."""
+    given = step.where("jump <> 0").groupBy("host", F.col("jump").alias("node")).agg(F.sum(F.col("product") * F.col("sum")).alias("given"))
+    way = step.where("jump <> 0").select("host", F.col("node").alias("jump"), F.col("jump").alias("further"), F.col("product").alias("times"))
+    both = step.join(given, ["host", "node"], "left").join(way, ["host", "jump"], "left")
+    return both.select("host", "node", "parent", F.coalesce("further", F.lit(0)).alias("jump"), "depth", "m", "content", (F.col("sum") + F.coalesce("given", F.lit(0.0))).alias("sum"), (F.col("product") * F.coalesce("times", F.lit(0.0))).alias("product"))
+
+
+def _double_most(step: DataFrame) -> DataFrame:
+    given = step.where("jump <> 0").groupBy("host", F.col("jump").alias("node")).agg(F.max("most").alias("given"))
+    way = step.where("jump <> 0").select("host", F.col("node").alias("jump"), F.col("jump").alias("further"))
+    both = step.join(given, ["host", "node"], "left").join(way, ["host", "jump"], "left")
+    return both.select("host", "node", "parent", F.coalesce("further", F.lit(0)).alias("jump"), "depth", F.greatest("most", F.coalesce("given", F.lit(0.0))).alias("most"))
+
+
+def importance(seen: DataFrame) -> DataFrame:
+    """(host, node, importance): of each node the largest composite importance in its branch.
+
+    seen: (host, node, kind, value, depth, n), as pages tell it.  With k the weight of a node in the
+    mean of its parent, CompImp(E) is the sum over the nodes D below of their own term times the product
+    of k from D up to E.  Sums and products go up by 1, 2, 4 ... steps at once.
+    """
+    nodes = seen.where("kind = 0").groupBy("host", "node").agg(F.first("value").alias("parent"), F.max("depth").alias("depth"), F.sum("n").alias("m"))
     share = F.col("n") / F.col("all")
-    styles = of.where("kind = 1")
+    styles = seen.where("kind = 1")
     total = styles.groupBy("host", "node").agg(F.sum("n").alias("all"), F.count("*").alias("n_styles"))
-    presentation = styles.join(total, ["host", "node"]).groupBy("host", "node", "n_styles").agg((-F.sum(share * F.log(share) / F.log("m"))).alias("presentation"))
-    blocks = of.where("kind = 2")
-    content = blocks.groupBy("host", "node").agg(F.avg(1 - F.col("n") / F.col("m")).alias("content"), F.count("*").alias("n_texts"))
-    nodes = pages_with.join(presentation, ["host", "node"], "left").join(content, ["host", "node"], "left").na.fill(0)
-    scored = nodes.groupBy("host").applyInPandas(_composite, "host string, node long, importance double")
-    branches = scored.where(F.col("importance") <= low).select("host", F.col("node").alias("part"))
-    repeated = blocks.where(F.col("n") >= REPEATED * F.col("m")).select("host", F.expr("node ^ value").alias("part"))
+    presentation = styles.join(total, ["host", "node"]).groupBy("host", "node", "n_styles", "all").agg((-F.sum(share * F.log(share))).alias("entropy"))
+    texts = seen.where("kind = 2").join(nodes.select("host", "node", "m"), ["host", "node"]).groupBy("host", "node").agg(F.avg(1 - F.col("n") / F.col("m")).alias("content"))
+    below = nodes.groupBy("host", F.col("parent").alias("node")).agg(F.sum("m").alias("m_below"))
+    joined = nodes.join(presentation, ["host", "node"], "left").join(texts, ["host", "node"], "left").join(below, ["host", "node"], "left")
+    # A node may have several style nodes on one page: the logarithm is to the base of all of them.
+    own = joined.select(
+        "host", "node", "parent", "depth", "m",
+        F.when(F.col("all") > 1, F.col("entropy") / F.log("all")).otherwise(0.0).alias("presentation"),
+        F.pow(F.lit(DAMPING), F.greatest(F.lit(1), F.coalesce("n_styles", F.lit(1)))).alias("keep"),
+        "content",
+        (F.coalesce("m_below", F.lit(0)) + F.when(F.col("content").isNotNull(), F.col("m")).otherwise(0)).alias("weight"),
+    )
+    below_all = F.nullif("weight", F.lit(0))
+    inner = F.col("keep") * F.coalesce("content", F.lit(0.0)) * F.col("m") / below_all
+    terms = own.select("host", "node", "parent", "depth", "m", F.when(F.col("weight") == 0, F.col("presentation")).otherwise((1 - F.col("keep")) * F.col("presentation") + inner).alias("own"), (F.col("keep") / below_all).alias("per_page"), "content")
+    up = terms.select("host", F.col("node").alias("parent"), F.col("per_page").alias("above"))
+    step = cut(terms.join(up, ["host", "parent"], "left").select("host", "node", "parent", F.col("parent").alias("jump"), "depth", "m", "content", F.col("own").alias("sum"), (F.col("m") * F.col("above")).alias("product")))
+    rounds = int(np.ceil(np.log2((step.agg(F.max("depth")).first()[0] or 0) + 1)))
+    for _ in range(rounds):
+        step = cut(_double(step))
+    # Many style nodes, or many low branches, do not hide one that matters.
+    most = cut(step.select("host", "node", "parent", F.col("parent").alias("jump"), "depth", F.greatest(weighed(F.col("sum"), F.col("m")), weighed(F.coalesce("content", F.lit(0.0)), F.col("m"))).alias("most")))
+    for _ in range(rounds):
+        most = cut(_double_most(most))
+    return most.select("host", "node", F.col("most").alias("importance"))
+
+
+def low_parts(seen: DataFrame, low: float = LOW) -> DataFrame:
+    """(host, part): nodes, and blocks as node xor block number, of low importance on their host."""
+    branches = importance(seen).where(F.col("importance") <= low).select("host", F.col("node").alias("part"))
+    pages_with = seen.where("kind = 0").groupBy("host", "node").agg(F.sum("n").alias("m"))
+    blocks = seen.where("kind = 2").join(pages_with, ["host", "node"])
+    repeated = blocks.where(weighed(1 - F.col("n") / F.col("m"), F.col("m")) <= 1 - REPEATED).select("host", F.expr("node ^ value").alias("part"))
     return branches.union(repeated)
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", low: float = LOW, tree: bool = True) -> DataFrame:
     """(id, url, text, n_chars) of every row: the main text, a line for each block.
 
     Character references are decoded, white space inside a block becomes one space.  A null or
     empty page has an empty text; a null url, or one without a host, gives and gets no evidence
     of a site; rows that repeat are extracted each (and count as one page of their site); other
-    columns are ignored; an empty table gives an empty result.
+    columns are ignored; an empty table gives an empty result.  Without ``tree`` the priors act alone.
     """
-    lows = stored(low_parts(pages, url_col, html_col, min_pages, low), "low-parts")
-    by_host = lows.groupBy(F.col("host").alias("__host")).agg(F.collect_set("part").alias("__low"))
-    rows = pages.select(F.col(id_col).alias("__id"), F.col(url_col).alias("__url"), F.col(html_col).alias("__html")).withColumn("__host", _host(F.col("__url")))
-    small = lows.count() <= BROADCAST_ROWS
-    joined = rows.join(F.broadcast(by_host) if small else by_host.hint("merge"), "__host", "left").select("__id", "__url", "__html", "__low")
     types = dict(pages.dtypes)
+    rows = pages.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{url_col}`").alias("__url"), F.col(f"`{html_col}`").alias("__html")).withColumn("__host", _host(F.col("__url")))
+    names, kinds = [id_col, url_col, "text", "n_chars"], f"`{id_col}` {types[id_col]}, `{url_col}` {types[url_col]}, text string, n_chars long"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def finished(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=names)
+
+    def plainly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for source, parts in zip(batch.column(2), batch.column(3), strict=True):
-                source = source.as_py()
-                parts = frozenset(parts.as_py()) if parts.is_valid else frozenset()
-                texts.append(Page(source, parts).main_text(parts) if source else "")
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[id_col, url_col, "text", "n_chars"])
-
-    return joined.mapInArrow(run, f"{id_col} {types[id_col]}, {url_col} {types[url_col]}, text string, n_chars long")
+            yield finished(batch, [Page(x).main_text() if x else "" for x in batch.column(2).to_pylist()])
+
+    plain = rows.select("__id", "__url", "__html")
+    if not tree:
+        return plain.mapInArrow(plainly, kinds)
+    known = rows.where("__host <> '' and __html is not null").select(F.col("__host").alias("host"), F.col("__html").alias("html"))
+    once = stored(known.mapInArrow(_observe, "host string, digest binary, parts binary").groupBy("host", "digest").agg(F.min("parts").alias("parts")), "pages-once")
+    seen = stored(once.select("host", "parts").mapInArrow(_count, _SEEN).groupBy("host", "node", "kind", "value", "depth").agg(F.sum("n").alias("n")), "style-tree")
+    may_go = once.mapInArrow(_removable, "host string, digest binary, part long").join(low_parts(seen, low), ["host", "part"])
+    flagged = stored(may_go.groupBy("host", "digest").agg(F.collect_set("part").alias("low")), "low-parts")
+    discard(once, seen)
+
+    n_flagged = flagged.count()
+    if not n_flagged:
+        return plain.mapInArrow(plainly, kinds)
+    parsed = rows.mapInArrow(_parsed, f"__id {types[id_col]}, __url {types[url_col]}, __host string, digest binary, blocks array<struct<node:long,whole:long,text:string,lasting:boolean>>")
+    told = flagged.select(F.col("host").alias("__host"), "digest", "low")
+    joined = parsed.join(F.broadcast(told) if n_flagged <= BROADCAST_ROWS else told, ["__host", "digest"], "left")
+    stays = lambda b: b["lasting"] | F.col("low").isNull() | ~(F.array_contains("low", b["node"]) | F.array_contains("low", b["whole"]))
+    text = F.array_join(F.transform(F.filter("blocks", stays), lambda b: b["text"]), "\n")
+    return joined.select(F.col("__id").alias(id_col), F.col("__url").alias(url_col), text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, url, host, digest, blocks) of the pages: what their priors let stay."""
+    kind = pa.list_(pa.struct([("node", pa.int64()), ("whole", pa.int64()), ("text", pa.string()), ("lasting", pa.bool_())]))
+    for batch in batches:
+        pages = [Page(x or "") for x in batch.column(2).to_pylist()]
+        blocks = [[{"node": n, "whole": n ^ _text_id(text), "text": text, "lasting": lasting} for n, text, lasting in p.kept()] for p in pages]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array([p.digest() for p in pages], pa.binary()), pa.array(blocks, kind)], names=["__id", "__url", "__host", "digest", "blocks"])

@@ -27,6 +27,8 @@ THRESHOLD = 0.7
 #: Steps of learning at least, where rows are few.
 LEAST_STEPS = 500
 _STEP = 384 << 10
+#: Bytes that are looked at at once (a multiple of a block).
+_PIECE = 256 << 10
 
 
 @dataclass
@@ -89,7 +91,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def score(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Probability of label 1 for each document."""
     padded, first = _layout(data, offsets)
-    pooled = np.maximum(_windows(net, padded, first).max(axis=1), 0)
+    # Long texts go through in pieces of whole blocks, each with the stride that follows it.
+    pieces = []
+    for at in range(0, len(padded), _PIECE):
+        piece = padded[at : at + _PIECE + STRIDE * BLOCK]
+        begins = first[(first * (BLOCK * STRIDE) >= at) & (first * (BLOCK * STRIDE) < at + len(piece))] - at // (BLOCK * STRIDE)
+        pieces.append(_windows(net, piece, begins)[: _PIECE // (BLOCK * STRIDE)].max(axis=1))
+    pooled = np.maximum(np.concatenate(pieces), 0) if pieces else np.zeros((0, FILTERS), np.float32)
     return _sigmoid(_combined(net, pooled, first)[-1] @ net.last + net.last_bias)
 
 
@@ -160,7 +168,8 @@ def learn(texts: list[bytes], labels: np.ndarray, epochs: int = 14, batch: int =
 
 
 def held_out(id_col: str = "doc_id"):
-    return F.crc32(F.col(id_col).cast("string")) % 4 == 2
+    """Rows that learning must not see; a null id is none of them (and never learned from)."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS, sample_text_bytes: int = SAMPLE_TEXT_BYTES) -> Network:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybridge.llm import bpe, dac, decontaminate, embeddings, html_text, ngram_join, quality, secrets, substrings, token_counts
 from tallybridge.llm.common import fresh_path, stored, table
+from tallybridge.llm.oracle import ORACLE
 
 
 def tokenizer(name: str) -> str:
@@ -42,7 +43,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return secrets.scan(docs, secrets.fit(docs))
+    return secrets.scan(docs, secrets.fit(spark))
 
 
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +65,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.maintained_totals(spark, counted, fresh_path(spark, "token-rollup"), "word_bpe_49k")
 
 
+__all__ = ["ORACLE", "QUERIES", "tokenizer"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_decontaminate": op2_decontaminate,
@@ -76,5 +79,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe_codec": op9_bpe_codec,
     "op10_token_counts": op10_token_counts,
 }
-
-ORACLE: dict[str, str] = {}
