@@ -36,8 +36,10 @@ def boolean_token(x: Column) -> Column:
 
 
 def strict_decimal(x: Column, kind: str = "decimal(20,4)") -> Column:
-    """Null where the text is no finite number that fits."""
-    return strip(x).try_cast(kind)
+    """Null where the text is no finite number that fits as it is: none is rounded."""
+    text = strip(x)
+    value = text.try_cast(kind)
+    return F.when(value == text.try_cast("decimal(38,18)"), value)
 
 
 def quantity(x: Column, unknown: tuple[str, ...] = ("*", "**", "***")) -> Column:
@@ -58,12 +60,48 @@ def one_or_conflict(values: Column) -> tuple[Column, Column]:
     return F.when(F.size(distinct) == 1, F.get(distinct, F.lit(0))), F.size(distinct) > 1
 
 
+#: A tag of inner markup; a < that no name follows is text.
+TAG = r"</?[A-Za-z_:][^<>]*>"
+
+
+def element_text(x: Column) -> Column:
+    """Text of an element that a parser has read: tags of inner markup off, stripped. References
+    have been decoded by then and are not decoded again."""
+    return strip(F.regexp_replace(x, TAG, ""))
+
+
+def leading_text(x: Column) -> Column:
+    """Text before the first inner tag, stripped."""
+    return strip(F.regexp_replace(x, rf"(?s){TAG}.*$", ""))
+
+
 def plain_text(x: Column) -> Column:
-    """Text of an element with inner markup: tags off, the five entities decoded, stripped."""
-    x = F.regexp_replace(x, "<[^>]*>", "")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+    """Text of raw markup: CDATA unwrapped, tags off, references decoded once, stripped."""
+    kept = F.regexp_replace(x, r"(?s)<!--.*?-->", "")
+    # What stands in CDATA is text: its own marks are turned into references before tags go.
+    cdata = F.regexp_extract_all(kept, F.lit(r"(?s)<!\[CDATA\[(.*?)\]\]>"), F.lit(1))
+
+    def unwrap(text: Column, inner: Column) -> Column:
+        escaped = F.replace(F.replace(F.replace(inner, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+        return F.replace(text, F.concat(F.lit("<![CDATA["), inner, F.lit("]]>")), escaped)
+
+    x = F.regexp_replace(F.aggregate(cdata, kept, unwrap), TAG, "")
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")):
         x = F.replace(x, F.lit(entity), F.lit(char))
-    return strip(x)
+    references = F.array_distinct(F.regexp_extract_all(x, F.lit("&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(0)))
+
+    def decode(text: Column, reference: Column) -> Column:
+        hexadecimal = reference.rlike("^&#[xX]")
+        digits = F.regexp_extract(reference, "([0-9A-Fa-f]+);", 1)
+        code = F.lpad(F.when(hexadecimal, digits).otherwise(F.hex(digits.try_cast("long"))), 8, "0")
+        return F.replace(text, reference, F.coalesce(F.decode(F.unhex(code), "UTF-32"), reference))
+
+    return strip(F.replace(F.aggregate(references, x, decode), F.lit("&amp;"), F.lit("&")))
+
+
+def category_key(x: Column) -> Column:
+    """Category path as the text of a JSON array; text that is none is one part of a path."""
+    return F.to_json(F.coalesce(F.when(F.trim(x).startswith("["), F.from_json(x, "array<string>")), F.array(x)))
 
 
 def csv_safe(x: Column) -> Column:

@@ -7,20 +7,66 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybridge.functions.store import stored
 from tallybridge.functions.text import canonical_json
 
 
-def table_digest(df: DataFrame, buckets: int = 256) -> DataFrame:
+#: Distinct rows that a bucket of a digest is to hold in the mean, and hex digits folded at once.
+DIGEST_ROWS, DIGEST_FOLD = 1024, 3
+
+
+def digest_width(n_distinct: int) -> int:
+    """Hex digits of a row hash that name its bucket, for so many distinct rows."""
+    width = 0
+    while 16**width * DIGEST_ROWS < n_distinct:
+        width += 1
+    return width
+
+
+def table_digest(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(n_rows, digest): the same for any order of the rows, another if a row repeats or differs.
 
-    Row hashes are sorted and hashed in buckets of their first byte, then the buckets' hashes.
+    Rows are hashed and equal hashes counted; ``hash:count`` lines are sorted and hashed within
+    buckets of the hash's first digits, and the buckets' lines again until one is left.  Buckets
+    follow the number of distinct rows, so what a task sorts is bounded; a row that repeats
+    often is one line.
     """
-    rows = df.select(F.sha2(canonical_json(df.columns), 256).alias("h"))
-    # A 128-bit sum of each row's hash halves keeps a bucket's state fixed, whatever its rows.
-    part = lambda i: F.conv(F.substring("h", 1 + 12 * i, 12), 16, 10).cast("decimal(38,0)")
-    bucket = rows.groupBy(F.substring("h", 1, 2).alias("b")).agg(F.count("*").alias("n"), *[F.sum(part(i)).alias(f"s{i}") for i in range(5)])
-    line = F.concat_ws(":", "b", "n", *[f"s{i}" for i in range(5)])
-    return bucket.agg(F.sum("n").alias("n_rows"), F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list(line))), 256).alias("digest"))
+    counted = df.select(F.sha2(canonical_json(columns or df.columns), 256).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    counted = stored(counted, "digest")
+    n_distinct, n_rows = counted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    width = digest_width(n_distinct)
+    lines = counted.select(F.substring("h", 1, width).alias("b"), F.concat_ws(":", "h", "n").alias("line"))
+    while True:
+        folded = lines.groupBy("b").agg(F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list("line"))), 256).alias("d"))
+        if width == 0:
+            break
+        width = max(0, width - DIGEST_FOLD)
+        lines = folded.select(F.substring("b", 1, width).alias("b"), F.concat_ws(":", "b", "d").alias("line"))
+    one = df.sparkSession.createDataFrame([(n_rows,)], "n_rows long")
+    return one.join(folded.select(F.col("d").alias("digest")), F.lit(True), "left").withColumn("digest", F.coalesce("digest", F.sha2(F.lit(""), 256)))
+
+
+def parity(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(position, status) of two lists (position, id) where they do not agree."""
+    both = first.select("position", F.col("id").alias("a"), F.lit(True).alias("in_a")).join(second.select("position", F.col("id").alias("b"), F.lit(True).alias("in_b")), "position", "full")
+    status = F.when(F.col("in_b").isNull(), "only_first").when(F.col("in_a").isNull(), "only_second").when(~F.col("a").eqNullSafe(F.col("b")), "differs")
+    return both.select("position", status.alias("status")).where("status is not null")
+
+
+def shared_skus(offers: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(supplier, n): SKUs of the catalogue that the supplier's feed generates."""
+    ours = offers.select("supplier", F.col("catalog_sku").alias("sku"))
+    return catalog.select("supplier", "sku").distinct().join(ours, ["supplier", "sku"], "left_semi").groupBy("supplier").agg(F.count("*").alias("n"))
+
+
+def manifest_inputs(manifest: DataFrame, bundle: DataFrame, external: DataFrame) -> DataFrame:
+    """(path, status) of the inputs that a manifest records, against the files of its bundle and the
+    files they were copied from; all (path, sha256, size)."""
+    side = lambda df, n: df.select("path", F.col("sha256").alias(f"{n}_sha256"), F.col("size").alias(f"{n}_size"), F.lit(True).alias(f"in_{n}"))
+    rows = manifest.join(side(bundle, "bundle"), "path", "left").join(side(external, "external"), "path", "left")
+    same = lambda n: F.col("sha256").eqNullSafe(F.col(f"{n}_sha256")) & F.col("size").eqNullSafe(F.col(f"{n}_size"))
+    status = F.when(F.col("in_bundle").isNull(), "not_in_bundle").when(~same("bundle"), "bundle_differs").when(F.col("in_external").isNull(), "no_external_file").when(~same("external"), "external_differs").otherwise("ok")
+    return rows.select("path", status.alias("status"))
 
 
 def seal_diff(seal: DataFrame, present: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from itertools import count
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybridge.functions.store import checkpointed
+
 
 def paths(categories: DataFrame) -> DataFrame:
     """(id, path array root first, broken): walk of the parent pointers, a join for each level.
@@ -33,7 +35,7 @@ def paths(categories: DataFrame) -> DataFrame:
             F.when(cycle, "cycle").when(unknown, "unknown_parent").alias("broken"),
         )
         if level % 8 == 0:  # a deep walk is not planned anew from its start
-            walk = walk.localCheckpoint()
+            walk = checkpointed(walk)
 
 
 def mapping(offers: DataFrame, matches: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Identity match of supplier offers with catalogue products: SKU, then EAN, then brand and model.
 
 One plan over all suppliers.  The catalogue is counted by each key once (blank keys stay out, so
-they form no hot key), offers are joined to the three counted tables, and one CASE decides.
+they form no hot key; offers with a blank one carry a key of their own), offers are joined to the
+three counted tables, one CASE decides, and the product that it names is looked up once.
 """
 
 from __future__ import annotations
@@ -11,20 +12,16 @@ from pyspark.sql import functions as F
 
 from tallybridge.functions.text import identity_key, non_blank
 
-_PRODUCT = ["product_id", "ean", "model", "manufacturer"]
-
-
 def _brand_model(manufacturer: Column, model: Column) -> Column:
     brand, name = identity_key(manufacturer), identity_key(model)
     return F.when((brand != "") & (name != ""), F.concat_ws("|", brand, name))
 
 
 def catalog_keys(catalog: DataFrame) -> dict[str, DataFrame]:
-    """By sku, ean and brand_model: (supplier, key, hits, product), product being one of the hits."""
+    """By sku, ean and brand_model: (supplier, key, hits, product_id), the smallest id of the hits."""
     keys = {"sku": F.col("sku"), "ean": non_blank(F.col("ean")), "brand_model": _brand_model(F.col("manufacturer"), F.col("model"))}
-    product = F.struct(*_PRODUCT)
     return {
-        name: catalog.select("supplier", key.alias("key"), product.alias("product")).where("key is not null").groupBy("supplier", "key").agg(F.count("*").alias("hits"), F.min_by("product", "product.product_id").alias("product"))
+        name: catalog.select("supplier", key.alias("key"), "product_id").where("key is not null").groupBy("supplier", "key").agg(F.count("*").alias("hits"), F.min("product_id").alias("product_id"))
         for name, key in keys.items()
     }
 
@@ -39,22 +36,26 @@ def offer_brand_model() -> Column:
     return _brand_model(F.col("manufacturer"), F.coalesce(F.nullif("mpn", F.lit("")), "model"))
 
 
-def match(offers: DataFrame, catalog: DataFrame) -> DataFrame:
+def match(offers: DataFrame, catalog: DataFrame, repeated_products: bool = False) -> DataFrame:
     """(supplier, supplier_item_id, feed_pos, catalog_sku, catalog_product_id, status, confidence,
     matched_by, warnings) of every offer.
 
     offers needs identity_warnings (array); the first offer in feed_pos order claims a product, a
-    later one with the same candidate is ambiguous.  Keys are compared inside one supplier.
+    later one with the same candidate is ambiguous.  Keys are compared inside one supplier.  Product
+    ids (0 or more) and item ids are unique in a supplier, as the duplicate rules see to before; a catalogue
+    that repeats an id needs ``repeated_products``.
     """
     hits, own = catalog_keys(catalog), own_keys(offers)
-    rows = offers.withColumn("k_ean", non_blank(F.col("ean"))).withColumn("k_bm", offer_brand_model())
-    for name, key, short in (("sku", "catalog_sku", "s"), ("ean", "k_ean", "e"), ("brand_model", "k_bm", "b")):
+    # A key that no catalogue row has, another for each offer: null keys would meet in one task.
+    none = F.concat(F.lit("\u0000"), F.col("feed_pos").cast("string"))
+    rows = offers.select("supplier", "supplier_item_id", "feed_pos", "catalog_sku", "ean", "mpn", "manufacturer", "identity_warnings", F.coalesce("catalog_sku", none).alias("k_sku"), F.coalesce(non_blank(F.col("ean")), none).alias("k_ean"), F.coalesce(offer_brand_model(), none).alias("k_bm"))
+    for name, key, short in (("sku", "k_sku", "s"), ("ean", "k_ean", "e"), ("brand_model", "k_bm", "b")):
         side = hits[name]
         if name in own:  # both are dealt by (supplier, key): counted and joined in place
             side = side.join(own[name], ["supplier", "key"], "left")
         else:
             side = side.withColumn("own", F.lit(1))
-        side = side.select("supplier", F.col("key").alias(key), F.col("hits").alias(f"{short}_hits"), F.col("own").alias(f"{short}_own"), F.col("product").alias(f"{short}_product"))
+        side = side.select("supplier", F.col("key").alias(key), F.col("hits").alias(f"{short}_hits"), F.col("own").alias(f"{short}_own"), F.col("product_id").alias(f"{short}_product"))
         rows = rows.join(side, ["supplier", key], "left")
     n = {c: F.coalesce(f"{c}_hits", F.lit(0)) for c in "seb"}
     flagged = F.size(F.coalesce("identity_warnings", F.array())) > 0
@@ -69,11 +70,14 @@ def match(offers: DataFrame, catalog: DataFrame) -> DataFrame:
         .when(n["b"] >= 1, "manufacturer_model_not_unique"),
     )
     product = F.when(F.col("way") == "sku", F.col("s_product")).when(F.col("way") == "ean_unique", F.col("e_product")).when(F.col("way") == "manufacturer_model_unique", F.col("b_product"))
-    rows = rows.withColumn("p", product)
+    rows = rows.withColumn("pid", product)
     # Offers without a candidate get a key of their own: the window has no hot null group.
-    claim = Window.partitionBy("supplier", F.coalesce("p.product_id", -1 - F.col("feed_pos"))).orderBy("feed_pos")
+    claim = Window.partitionBy("supplier", F.coalesce("pid", -1 - F.col("feed_pos"))).orderBy("feed_pos")
     rows = rows.withColumn("turn", F.row_number().over(claim))
-    found = F.col("p").isNotNull()
+    facts = catalog.select("supplier", F.col("product_id").alias("pid"), F.struct("ean", "model", "manufacturer").alias("p"))
+    once = facts.groupBy("supplier", "pid").agg(F.first("p").alias("p")) if repeated_products else facts
+    rows = rows.withColumn("pid", F.coalesce("pid", -1 - F.col("feed_pos"))).join(once, ["supplier", "pid"], "left").withColumn("pid", F.when(F.col("pid") >= 0, F.col("pid")))
+    found = F.col("pid").isNotNull()
     reused, claimed = found & (F.col("turn") > 1), found & (F.col("turn") == 1)
     differ = lambda a, b, f: (F.coalesce(a, F.lit("")) != "") & (F.coalesce(b, F.lit("")) != "") & (f(a) != f(b))
     mismatches = F.array_compact(
@@ -102,7 +106,7 @@ def match(offers: DataFrame, catalog: DataFrame) -> DataFrame:
         .when(claimed, F.col("mismatches"))
         .otherwise(F.array(way))
     )
-    return rows.select("supplier", "supplier_item_id", "feed_pos", "catalog_sku", F.when(claimed, F.col("p.product_id")).alias("catalog_product_id"), status.alias("status"), confidence.cast("decimal(3,2)").alias("confidence"), matched_by.alias("matched_by"), warnings.alias("warnings"))
+    return rows.select("supplier", "supplier_item_id", "feed_pos", "catalog_sku", F.when(claimed, F.col("pid")).alias("catalog_product_id"), status.alias("status"), confidence.cast("decimal(3,2)").alias("confidence"), matched_by.alias("matched_by"), warnings.alias("warnings"))
 
 
 def catalog_missing(catalog: DataFrame, matches: DataFrame) -> DataFrame:

@@ -10,11 +10,26 @@ STATE = "supplier long, product_id long, sku string, consecutive_missing_runs in
 
 def streaks(presence: DataFrame) -> DataFrame:
     """(supplier, product_id, run, consecutive_missing_runs) from (supplier, product_id, run,
-    missing, complete): islands between sightings. Incomplete runs neither add nor reset."""
-    product = Window.partitionBy("supplier", "product_id").orderBy("run").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    island = Window.partitionBy("supplier", "product_id", "island").orderBy("run").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = presence.where("complete").withColumn("island", F.count_if(~F.col("missing")).over(product))
-    return rows.withColumn("consecutive_missing_runs", F.count_if("missing").over(island)).select("supplier", "product_id", "run", "consecutive_missing_runs")
+    missing, complete): how far the last sighting lies back. Incomplete runs neither add nor reset."""
+    product = Window.partitionBy("supplier", "product_id").orderBy("run")
+    so_far = product.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = presence.where("complete").withColumn("at", F.row_number().over(product))
+    return rows.withColumn("consecutive_missing_runs", (F.col("at") - F.coalesce(F.max(F.when(~F.col("missing"), F.col("at"))).over(so_far), F.lit(0))).cast("long")).select("supplier", "product_id", "run", "consecutive_missing_runs")
+
+
+def gaps(seen: DataFrame, runs: DataFrame) -> DataFrame:
+    """(supplier, product_id, longest, present, n_runs): absences of every product of ``seen``
+    (supplier, product_id, run) over the complete runs (run, place: 1, 2 ...).
+
+    Only sightings are kept: between two of them the places tell how many runs lack the product.
+    """
+    n = runs.count()
+    placed = seen.join(F.broadcast(runs.select("run", "place")), "run", "left")  # as many rows as runs
+    at = placed.groupBy("supplier", "product_id").agg(F.array_sort(F.collect_set("place")).alias("at"))
+    walk = F.aggregate("at", F.struct(F.lit(0).alias("last"), F.lit(0).alias("most")), lambda acc, x: F.struct(x.alias("last"), F.greatest(acc["most"], x - acc["last"] - 1).alias("most")))
+    walked = at.select("supplier", "product_id", walk.alias("w"))
+    present = F.lit(n) - F.col("w.last")
+    return walked.select("supplier", "product_id", F.greatest("w.most", present).cast("long").alias("longest"), present.cast("long").alias("present"), F.lit(n).cast("long").alias("n_runs"))
 
 
 def step(state: DataFrame, missing: DataFrame, runs: DataFrame) -> DataFrame:

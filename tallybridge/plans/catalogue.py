@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybridge.functions import text as T
+from tallybridge.functions.store import fresh_folder, stored
 from tallybridge.operators import audit, categories, match, missing, pricing, rejects, summary
-from tallybridge.plans.oracle import ORACLE
+from tallybridge.plans.oracle import CATALOG as ORACLE
 from tallybridge.sinks import export
 from tallybridge.sources import feeds, views
 from tallybridge.streaming import missing_stream
@@ -19,7 +18,7 @@ from tallybridge.streaming import missing_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _offers(spark: SparkSession, sf: str) -> DataFrame:
+def offers_of(spark: SparkSession, sf: str) -> DataFrame:
     rows = views.offers(spark, sf)
     return rows.withColumns({
         "identity_warnings": F.when(F.col("identity_warning").isNotNull(), F.array("identity_warning")).otherwise(F.array().cast("array<string>")),
@@ -28,7 +27,7 @@ def _offers(spark: SparkSession, sf: str) -> DataFrame:
     })
 
 
-def _catalog(spark: SparkSession, sf: str) -> DataFrame:
+def catalog_of(spark: SparkSession, sf: str) -> DataFrame:
     return views.catalog(spark, sf).withColumn("current_price", (F.col("price_cents") / F.lit(100).cast("decimal(4,0)")).cast("decimal(20,4)"))
 
 
@@ -52,20 +51,29 @@ def _policy(offers: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 class _Run:
-    """The tables of one run, each built once for the query that asks."""
+    """The tables of one run, each written once for the query that asks."""
 
     def __init__(self, spark: SparkSession, sf: str):
-        self.offers, self.catalog = _offers(spark, sf), _catalog(spark, sf)
-        self.matches = match.match(self.offers, self.catalog)
+        self.offers, self.catalog = stored(offers_of(spark, sf), "offers"), stored(catalog_of(spark, sf), "catalog")
+        self._made: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = stored(make(), name)
+        return self._made[name]
+
+    @property
+    def matches(self) -> DataFrame:
+        return self._once("matches", lambda: match.match(self.offers, self.catalog))
 
     def missing(self) -> DataFrame:
-        return match.catalog_missing(self.catalog, self.matches)
+        return self._once("missing", lambda: match.catalog_missing(self.catalog, self.matches))
 
     def proposals(self) -> DataFrame:
-        return pricing.propose(self.offers, self.matches, self.catalog, *_policy(self.offers))
+        return self._once("proposals", lambda: pricing.propose(self.offers, self.matches, self.catalog, *_policy(self.offers)))
 
     def mapped(self) -> DataFrame:
-        return categories.mapping(self.offers, self.matches, self.catalog)
+        return self._once("mapped", lambda: categories.mapping(self.offers, self.matches, self.catalog))
 
     def products(self) -> DataFrame:
         return categories.product_proposals(self.offers, self.matches, self.mapped())
@@ -76,7 +84,8 @@ def _e4(c: str):
 
 
 def match_cascade(spark, sf):
-    m = _Run(spark, sf).matches
+    r = _Run(spark, sf)
+    m = match.match(r.offers, r.catalog)
     return m.select("supplier", "supplier_item_id", "catalog_product_id", "status", (F.col("confidence") * 100).cast("long").alias("confidence_pct"), F.coalesce("matched_by", F.lit("")).alias("matched_by"), F.array_join("warnings", ",").alias("warnings"))
 
 
@@ -97,11 +106,11 @@ def _multiplicity(tables: dict[str, DataFrame], column: str) -> DataFrame:
 
 
 def match_key_multiplicity(spark, sf):
-    return _multiplicity(match.catalog_keys(_catalog(spark, sf)), "hits")
+    return _multiplicity(match.catalog_keys(catalog_of(spark, sf)), "hits")
 
 
 def own_key_counts(spark, sf):
-    return _multiplicity(match.own_keys(_offers(spark, sf)), "own")
+    return _multiplicity(match.own_keys(offers_of(spark, sf)), "own")
 
 
 def price_proposals(spark, sf):
@@ -148,7 +157,7 @@ def source_only(spark, sf):
 
 
 def identity_coverage(spark, sf):
-    return summary.identity_coverage(_offers(spark, sf))
+    return summary.identity_coverage(offers_of(spark, sf))
 
 
 def feed_completeness(spark, sf):
@@ -161,27 +170,25 @@ def run_summary(spark, sf):
     return summary.run_summary(r.offers, r.matches, r.proposals(), r.missing())
 
 
+def _complete_runs(seen: DataFrame) -> DataFrame:
+    """(run, place) of the complete runs there were; runs are months (83, whatever the scale)."""
+    happened = seen.select("run").distinct().where("run % 7 <> 6").coalesce(1)
+    return happened.withColumn("place", F.row_number().over(Window.orderBy("run")))
+
+
 def _presence(spark: SparkSession, sf: str) -> DataFrame:
-    """A row for each product and run; runs are months (83 of them, whatever the scale)."""
-    seen = views.seen(spark, sf)
-    runs = seen.agg(F.max("run").alias("last"))
-    products = seen.select("supplier", "product_id").distinct()
-    every = products.join(F.broadcast(runs)).select("supplier", "product_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("run"))
+    """A row for each product and run."""
+    seen = stored(views.seen(spark, sf), "seen")
     happened = F.broadcast(seen.select("run").distinct())
-    marked = every.join(happened, "run").join(seen.withColumn("there", F.lit(True)), ["supplier", "product_id", "run"], "left")
+    every = seen.select("supplier", "product_id").distinct().join(happened)
+    marked = every.join(seen.withColumn("there", F.lit(True)), ["supplier", "product_id", "run"], "left")
     return marked.select("supplier", "product_id", "run", F.col("there").isNull().alias("missing"), (F.col("run") % 7 != 6).alias("complete"))
 
 
 def missing_streaks(spark, sf):
     """Of each product over all complete runs: the longest absence, the present one, the runs."""
-    rows = missing.streaks(_presence(spark, sf))
-    n = F.col("consecutive_missing_runs")
-    return rows.groupBy("supplier", "product_id").agg(F.max(n).alias("longest"), F.max_by(n, "run").alias("present"), F.count("*").alias("n_runs"))
-
-
-def _folder(spark: SparkSession, what: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallybridge-")
-    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    seen = stored(views.seen(spark, sf), "seen")
+    return missing.gaps(seen, _complete_runs(seen))
 
 
 #: Runs that are stepped through in one plan, and in one micro-batch, before the state is written.
@@ -191,22 +198,22 @@ RUNS_A_STEP = 8
 def _landed(spark: SparkSession, sf: str, folder: str) -> tuple[DataFrame, list[int]]:
     """The presence rows with their sku, written once by run, and the runs in order."""
     rows = _presence(spark, sf).withColumn("sku", F.concat_ws("-", "supplier", "product_id"))
-    rows.write.partitionBy("run").parquet(f"{folder}/presence")
+    rows.repartition("run").write.partitionBy("run").parquet(f"{folder}/presence")
     landed = spark.read.schema(rows.schema).parquet(f"{folder}/presence").select(*rows.columns)
     return landed, [r["run"] for r in landed.select("run").distinct().orderBy("run").collect()]
 
 
-def _counts(rows: DataFrame, state: DataFrame) -> DataFrame:
+def _states(rows: DataFrame, state: DataFrame) -> DataFrame:
     # A product that was never missing has no state: its count is 0.
     every = rows.select("supplier", "product_id").distinct()
-    return every.join(state, ["supplier", "product_id"], "left").select("supplier", "product_id", F.coalesce("consecutive_missing_runs", F.lit(0)).cast("long").alias("n"))
+    both = every.join(state, ["supplier", "product_id"], "left")
+    return both.select("supplier", "product_id", F.coalesce("consecutive_missing_runs", F.lit(0)).cast("long").alias("n"), "last_seen_run", "last_missing_run")
 
 
-def _step_through(spark: SparkSession, sf: str, last: int | None = None) -> DataFrame:
-    """The state after run ``last``, or after every run."""
-    folder = _folder(spark, "missing-step")
+def missing_state_step(spark, sf):
+    """The state after every run, stepped from run to run; written every RUNS_A_STEP runs."""
+    folder = fresh_folder(spark, "missing-step")
     rows, runs = _landed(spark, sf, folder)
-    runs = [run for run in runs if last is None or run <= last]
     state = spark.createDataFrame([], missing.STATE)
     for i, run in enumerate(runs, 1):
         one = rows.where(F.col("run") == run)
@@ -214,14 +221,13 @@ def _step_through(spark: SparkSession, sf: str, last: int | None = None) -> Data
         if i % RUNS_A_STEP == 0 or i == len(runs):
             state.write.parquet(f"{folder}/state/v={i}")
             state = spark.read.schema(missing.STATE).parquet(f"{folder}/state/v={i}")
-    return _counts(rows, state)
+    return _states(rows, state)
 
 
-def _stream_through(spark: SparkSession, sf: str, last: int | None = None) -> DataFrame:
+def missing_state_stream(spark, sf):
     """The same by a stream: the runs land in order, some for each micro-batch."""
-    folder = _folder(spark, "missing-stream")
+    folder = fresh_folder(spark, "missing-stream")
     rows, runs = _landed(spark, sf, folder)
-    runs = [run for run in runs if last is None or run <= last]
     number = -1
     for i in range(0, len(runs), RUNS_A_STEP):
         rows.where(F.col("run").isin(runs[i : i + RUNS_A_STEP])).write.mode("append").parquet(f"{folder}/landed")
@@ -229,34 +235,27 @@ def _stream_through(spark: SparkSession, sf: str, last: int | None = None) -> Da
         query = missing_stream.run(stream, f"{folder}/state", f"{folder}/checkpoint")
         query.awaitTermination()
         number = query.lastProgress["batchId"]
-    return _counts(rows, missing_stream.read_state(spark, f"{folder}/state", number))
-
-
-def missing_state_step(spark, sf):
-    """The state after run 3, which is what the SQL of this name asks for."""
-    return _step_through(spark, sf, 3)
+    return _states(rows, missing_stream.read_state(spark, f"{folder}/state", number))
 
 
 def missing_state_step_all(spark, sf):
-    return _step_through(spark, sf)
-
-
-def missing_state_stream(spark, sf):
-    """The state after run 3, which is what the SQL of this name asks for."""
-    return _stream_through(spark, sf, 3)
+    return missing_state_step(spark, sf)
 
 
 def missing_state_stream_all(spark, sf):
-    return _stream_through(spark, sf)
+    return missing_state_stream(spark, sf)
 
 
 def quarantine_proposals(spark, sf):
-    presence = _presence(spark, sf)
-    state = missing.streaks(presence).groupBy("supplier", "product_id").agg(F.max("run").alias("run"), F.max_by("consecutive_missing_runs", "run").cast("int").alias("consecutive_missing_runs"))
-    state = state.withColumn("sku", F.concat_ws("-", "supplier", "product_id")).withColumn("last_missing_run", F.when(F.col("consecutive_missing_runs") > 0, F.col("run")))
-    runs = presence.where("complete").groupBy("supplier").agg(F.max("run").alias("run")).withColumn("complete", F.lit(True))
+    """Products missing for the last 70 complete runs or more."""
+    seen = stored(views.seen(spark, sf), "seen")
+    complete = _complete_runs(seen)
+    last = complete.agg(F.max("run").alias("run"))
+    runs = seen.select("supplier").distinct().join(F.broadcast(last)).withColumn("complete", F.lit(True))
+    gaps = missing.gaps(seen, complete).join(F.broadcast(last))
+    state = gaps.select("supplier", "product_id", F.concat_ws("-", "supplier", "product_id").alias("sku"), F.col("present").cast("int").alias("consecutive_missing_runs"), F.when(F.col("present") > 0, F.col("run")).alias("last_missing_run"))
     policy = runs.select("supplier", F.lit("quarantine").alias("action"), F.lit(70).alias("threshold"))
-    acts = missing.actions(state.drop("run"), runs, policy)
+    acts = missing.actions(state, runs, policy)
     return acts.select("supplier", "product_id", F.col("consecutive_missing_runs").cast("long").alias("n"))
 
 
@@ -270,11 +269,11 @@ def reject_duplicates(spark, sf):
 
 
 def reject_referential(spark, sf):
-    return rejects.unknown(_catalog(spark, sf), "sku", _offers(spark, sf), "catalog_sku", "product_not_offered", ["supplier"])
+    return rejects.unknown(catalog_of(spark, sf), "sku", offers_of(spark, sf), "catalog_sku", "product_not_offered", ["supplier"])
 
 
 def reject_row_rules(spark, sf):
-    return rejects.required(_offers(spark, sf), ["manufacturer", "mpn", "ean"], "supplier_item_id")
+    return rejects.required(offers_of(spark, sf), ["manufacturer", "mpn", "ean"], "supplier_item_id")
 
 
 def _price_rejects(offers: DataFrame) -> DataFrame:
@@ -283,11 +282,11 @@ def _price_rejects(offers: DataFrame) -> DataFrame:
 
 
 def blocked_snapshots(spark, sf):
-    return rejects.blocked(_price_rejects(_offers(spark, sf))).select("supplier", "n_rejects")
+    return rejects.blocked(_price_rejects(offers_of(spark, sf))).select("supplier", "n_rejects")
 
 
 def batch_status(spark, sf):
-    offers = _offers(spark, sf)
+    offers = offers_of(spark, sf)
     checks = offers.groupBy("supplier").agg((F.count("*") > 0).alias("passed"))
     return rejects.batch_status(offers, _price_rejects(offers), checks)
 
@@ -303,7 +302,7 @@ def _offer_xml(offers: DataFrame) -> DataFrame:
 
 def xml_offer_roundtrip(spark, sf):
     mapping = feeds.DIALECTS["11"]
-    xml = _offer_xml(_offers(spark, sf))
+    xml = _offer_xml(offers_of(spark, sf))
     raw = xml.select("supplier", F.from_xml("fragment", feeds.offer_schema(mapping)).alias("x")).select("supplier", "x.*")
     typed = feeds.normalise(raw.withColumn("_id", F.concat_ws("/", "supplier", "_id")), mapping)
     key = F.split("supplier_item_id", "/")
@@ -311,7 +310,7 @@ def xml_offer_roundtrip(spark, sf):
 
 
 def xml_attribute_map(spark, sf):
-    xml = _offer_xml(_offers(spark, sf))
+    xml = _offer_xml(offers_of(spark, sf))
     maps = feeds.fragment_elements(xml).select("supplier", "supplier_item_id", "price_cents", feeds.attribute_map(F.col("elements")).alias("m"))
     rows = maps.select("supplier", "supplier_item_id", "price_cents", F.explode("m").alias("k", "v")).where("k in ('@id', 'price', 'param:cat', 'param:cat#2')")
     cents = (F.col("v").try_cast("decimal(20,2)") * 100).cast("long").cast("string")
@@ -351,7 +350,7 @@ def token_parse(spark, sf):
 
 def table_digest(spark, sf):
     """The digest of a table and of the same rows dealt out anew: equal."""
-    rows = views.star(spark, sf, "lineitem")["lineitem"]
+    rows = views.star(spark, sf, "lineitem")["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
     a, b = audit.table_digest(rows), audit.table_digest(rows.repartition(7, "l_partkey"))
     return a.select(F.lit("stored").alias("copy"), "n_rows", "digest").union(b.select(F.lit("dealt anew").alias("copy"), "n_rows", "digest"))
 

@@ -80,9 +80,15 @@ presence AS (SELECT p.supplier, p.product_id, r.run, s.run IS NULL AS missing FR
 isl AS (SELECT *, sum(CASE WHEN missing THEN 0 ELSE 1 END) OVER (PARTITION BY supplier, product_id ORDER BY run ROWS UNBOUNDED PRECEDING) AS island FROM presence),
 streaks AS (SELECT supplier, product_id, run, sum(CASE WHEN missing THEN 1 ELSE 0 END) OVER (PARTITION BY supplier, product_id, island ORDER BY run ROWS UNBOUNDED PRECEDING) AS n FROM isl)"""
 
+#: The counter after the last complete run; when a product that was ever missing was last seen
+#: since, and last missing.
+_STATE = f"""{STREAK}, first_gone AS (SELECT supplier, product_id, min(run) AS gone FROM presence WHERE missing GROUP BY ALL)
+SELECT p.supplier, p.product_id, CAST(arg_max(s.n, p.run) AS BIGINT) AS n, CAST(max(p.run) FILTER (NOT p.missing AND p.run > gone) AS BIGINT) AS last_seen_run, CAST(max(p.run) FILTER (p.missing) AS BIGINT) AS last_missing_run
+FROM presence p JOIN streaks s ON s.supplier = p.supplier AND s.product_id = p.product_id AND s.run = p.run LEFT JOIN first_gone g ON g.supplier = p.supplier AND g.product_id = p.product_id GROUP BY ALL"""
+
 _N = "CAST(count(*) FILTER ({}) AS BIGINT)"
 
-ORACLE: dict[str, str] = {
+CATALOG: dict[str, str] = {
     "match_cascade": f"{MATCH} SELECT supplier, supplier_item_id, catalog_product_id, status, CAST(confidence_pct AS BIGINT) AS confidence_pct, coalesce(matched_by, '') AS matched_by, warnings FROM matches",
     "match_status_counts": f"{MATCH} SELECT status, coalesce(matched_by, '') AS matched_by, count(*) AS n FROM matches GROUP BY ALL",
     "catalog_missing": f"{MISSING} SELECT supplier, product_id, sku FROM missing",
@@ -101,8 +107,10 @@ ORACLE: dict[str, str] = {
     "feed_completeness": f"{MISSING} SELECT c.supplier, (SELECT count(*) FROM offers o WHERE o.supplier = c.supplier) AS source_items, count(*) AS scope, (SELECT count(*) FROM missing m WHERE m.supplier = c.supplier) AS missing, CASE WHEN (SELECT count(*) FROM missing m WHERE m.supplier = c.supplier) = 0 THEN 'complete' ELSE 'incomplete' END AS feed_status FROM catalog c GROUP BY c.supplier",
     "run_summary": PRICES.replace("proposals AS (", "missing AS (SELECT c.supplier, c.product_id FROM catalog c WHERE NOT EXISTS (SELECT 1 FROM matches m WHERE m.supplier = c.supplier AND m.catalog_product_id = c.product_id)), proposals AS (") + f" SELECT p.supplier, count(*) AS source_items, {_N.format('available')} AS source_available, {_N.format("ms = 'exact'")} AS exact, {_N.format("ms = 'unmatched'")} AS source_only, {_N.format("ms IN ('conflict', 'high_confidence', 'ambiguous')")} AS review, {_N.format("status = 'ready_for_review'")} AS ready, (SELECT count(*) FROM missing m WHERE m.supplier = p.supplier) AS missing FROM proposals p GROUP BY p.supplier",
     "missing_streaks": f"{STREAK} SELECT supplier, product_id, CAST(max(n) AS BIGINT) AS longest, CAST(arg_max(n, run) AS BIGINT) AS present, count(*) AS n_runs FROM streaks GROUP BY ALL",
-    "missing_state_step": f"{STREAK} SELECT supplier, product_id, CAST(n AS BIGINT) AS n FROM streaks WHERE run = 3",
-    "missing_state_stream": f"{STREAK} SELECT supplier, product_id, CAST(n AS BIGINT) AS n FROM streaks WHERE run = 3",
+    "missing_state_step": _STATE,
+    "missing_state_step_all": _STATE,
+    "missing_state_stream": _STATE,
+    "missing_state_stream_all": _STATE,
     "quarantine_proposals": f"{STREAK} SELECT supplier, product_id, CAST(n AS BIGINT) AS n FROM streaks WHERE run = (SELECT max(run) FROM streaks) AND n >= 70",
     "category_paths": f"WITH RECURSIVE cats AS ({CATEGORIES_SQL}), walk AS (SELECT id, name AS path FROM cats WHERE parent_id IS NULL UNION ALL SELECT c.id, w.path || '/' || c.name FROM cats c JOIN walk w ON c.parent_id = w.id) SELECT id, path FROM walk",
     "reject_duplicates": "SELECT l_suppkey AS supplier, 'duplicate_product' AS rule, CAST(l_partkey AS VARCHAR) AS row_key FROM lineitem GROUP BY l_suppkey, l_partkey HAVING count(*) > 1",
@@ -113,7 +121,7 @@ ORACLE: dict[str, str] = {
     "xml_offer_roundtrip": f"{BASE} SELECT supplier, supplier_item_id, ean, mpn, price_cents, available FROM offers",
     "xml_attribute_map": f"{BASE} SELECT supplier, supplier_item_id, 'price' AS k, CAST(price_cents AS VARCHAR) AS v FROM offers UNION ALL SELECT supplier, supplier_item_id, 'param:cat', category_1 FROM offers UNION ALL SELECT supplier, supplier_item_id, 'param:cat#2', category_2 FROM offers UNION ALL SELECT supplier, supplier_item_id, '@id', supplier_item_id FROM offers",
     "property_long": "SELECT p_partkey AS item_id, prop AS property_id, val AS value, val IN ('', '-') AS missing FROM (SELECT p_partkey, unnest(['p1', 'p2', 'p3']) AS prop, unnest([p_brand, CASE WHEN p_size % 7 = 0 THEN '-' ELSE p_type END, CASE WHEN p_size % 5 = 0 THEN '' ELSE p_name END]) AS val FROM part)",
-    "property_stats": "SELECT count(DISTINCT p_partkey) AS items, 3 * count(*) AS observations, CAST(count(*) FILTER (p_size % 7 = 0) + count(*) FILTER (p_size % 5 = 0) AS BIGINT) AS missing, count(*) AS undefined, CAST(1 AS BIGINT) AS undefined_properties FROM part",
+    "property_stats": "SELECT CAST(3 AS BIGINT) AS properties, count(*) + count(*) FILTER (p_size % 7 <> 0) AS known_values, count(DISTINCT p_partkey) AS items_with_values, count(DISTINCT p_partkey) AS items, 3 * count(*) AS observations, CAST(count(*) FILTER (p_size % 7 = 0) + count(*) FILTER (p_size % 5 = 0) AS BIGINT) AS missing, count(*) AS undefined, CAST(1 AS BIGINT) AS undefined_properties FROM part",
     "availability_resolve": "SELECT l_orderkey, l_linenumber, CASE WHEN l_linestatus = 'O' AND l_returnflag = 'R' OR l_quantity - 25 <= 0 AND l_partkey % 4 <> 0 THEN false WHEN l_partkey % 3 = 0 THEN true WHEN l_partkey % 4 <> 0 THEN l_quantity - 25 > 0 ELSE true END AS available FROM lineitem",
     "token_parse": "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN true WHEN event_id % 5 = 1 THEN false WHEN event_id % 5 = 2 THEN true WHEN event_id % 5 = 3 THEN false END AS flag, CASE WHEN event_id % 3 = 0 THEN CAST(event_id AS INTEGER) END AS quantity FROM events",
     "seal_diff": "SELECT status, count(*) AS n FROM (SELECT CASE WHEN p_partkey % 10 = 0 THEN 'missing' WHEN p_partkey % 10 = 1 THEN 'extra' WHEN p_partkey % 10 = 2 THEN 'changed' ELSE 'unchanged' END AS status FROM part) GROUP BY status",
@@ -122,5 +130,12 @@ ORACLE: dict[str, str] = {
     "csv_safe_text": "SELECT doc_id, CASE WHEN regexp_matches(t, '^[ \\t\\r\\n]*[=+\\-@]') THEN '''' || t ELSE t END AS cell FROM (SELECT doc_id, text AS t FROM documents UNION ALL SELECT doc_id, concat(CASE doc_id % 5 WHEN 0 THEN '=' WHEN 1 THEN ' +' WHEN 2 THEN chr(9) || '-' WHEN 3 THEN '@' ELSE '' END, text) FROM documents)",
     "inline_secret_scan": "SELECT doc_id, regexp_matches(replace(text, '\"', ': '), '(^|\\n)\\s*(?i:password|passwd|token|api[_-]?key|secret)\\s*:\\s*[''\"]?\\S+') AS has_secret FROM documents",
     "url_allowlist": "SELECT page_id, regexp_matches(url, '^https://(?:www\\.ththhe\\.example\\.com|thther\\.example\\.org)(?::443)?/[^?#]*$') AS allowed FROM pages",
+    "table_digest": """WITH rows_ AS (SELECT sha256('{"l_linenumber":' || l_linenumber || ',"l_orderkey":' || l_orderkey || ',"l_partkey":' || l_partkey || ',"l_returnflag":"' || l_returnflag || '"}') AS h FROM lineitem),
+counted AS (SELECT h, count(*) AS n FROM rows_ GROUP BY h), wide AS (SELECT CAST(greatest(0, ceil(log(count(*) / 1024.0) / log(16))) AS INTEGER) AS w FROM counted),
+buckets AS (SELECT substring(h, 1, w) AS b, sha256(string_agg(h || ':' || n, chr(10) ORDER BY h)) AS d, any_value(w) AS w FROM counted, wide GROUP BY substring(h, 1, w)),
+root AS (SELECT CASE WHEN max(w) = 0 THEN max(d) ELSE sha256(string_agg(b || ':' || d, chr(10) ORDER BY b)) END AS digest FROM buckets)
+SELECT copy, (SELECT CAST(sum(n) AS BIGINT) FROM counted) AS n_rows, digest FROM root, (SELECT 'stored' AS copy UNION ALL SELECT 'dealt anew')""",
     "verify_checks": f"{BASE} SELECT DISTINCT supplier, 'PASS' AS status, CAST(10 AS BIGINT) AS n_passed, CAST(0 AS BIGINT) AS n_failed FROM offers",
 }
+
+RUN_SUMMARY = CATALOG["run_summary"]

@@ -7,6 +7,7 @@ fragments, read as text split at the closing tag.
 
 from __future__ import annotations
 
+import csv
 import io
 import re
 import xml.etree.ElementTree as ET
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.functions.text import available, boolean_token, images, one_or_conflict, plain_text, quantity, strict_decimal
+from tallybridge.functions.text import available, boolean_token, element_text, images, leading_text, one_or_conflict, plain_text, quantity, strict_decimal, strip
 
 #: Header names a catalogue file must have (fixed value).
 CATALOG_HEADERS = "product_id model sku ean name manufacturer price quantity status category_ids categories".split()
@@ -40,12 +41,14 @@ class Mapping:
     unknown_stock: tuple[str, ...] = ()
     ean_conflict_warns: bool = True
     stock_decides: bool = False
+    leading_text: bool = False
+    free_price: bool = False
     extra: tuple[str, ...] = field(default=("currencyId", "categoryId", "url", "description"))
 
 
 #: The three dialects (fixed values: prefixes and element names).
 DIALECTS = {
-    "11": Mapping("11"),
+    "11": Mapping("11", leading_text=True, free_price=True),
     "31": Mapping("31", price="priceE", manufacturer="Vendor", mpn="PN", ean="GTIN", stock="count", out_of_production="OutOfProd", pictures=("picture", "picture2", "picture3"), unknown_stock=("*", "**", "***"), ean_conflict_warns=False, stock_decides=True),
     "41": Mapping("41", mpn=None, stock="quantity", ean_conflict_warns=False, stock_decides=True),
 }
@@ -62,10 +65,13 @@ def read_offers(spark: SparkSession, path: str, m: Mapping, encoding: str = "utf
 
 
 def normalise(raw: DataFrame, m: Mapping) -> DataFrame:
-    """Typed offers of raw ones, and ``conflicts``, the fields whose repeated elements differ."""
+    """Typed offers of raw ones; ``conflicts``, the fields whose repeated elements differ; and
+    ``refused``, the rules that a value breaks: a token or a number that is none, a price that
+    is not above 0 (type 1: an absent price is 0), a blank or unclean id."""
 
     def values(name: str) -> Column:
-        return F.filter(F.transform(F.coalesce(F.col(f"`{name}`"), F.array().cast("array<string>")), plain_text), lambda v: v != "")
+        read = leading_text if m.leading_text else element_text
+        return F.filter(F.transform(F.coalesce(F.col(f"`{name}`"), F.array().cast("array<string>")), read), lambda v: v != "")
 
     def scalar(name: str | None) -> tuple[Column, Column]:
         return one_or_conflict(values(name)) if name else (F.lit(None).cast("string"), F.lit(False))
@@ -81,6 +87,19 @@ def normalise(raw: DataFrame, m: Mapping) -> DataFrame:
     else:
         stock, is_available = F.lit(None).cast("int"), F.coalesce(attribute, F.lit(False))
     conflicts = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, (_, c) in found.items()]))
+    filled = lambda c: F.coalesce(strip(c), F.lit("")) != ""
+    price = strict_decimal(found["price"][0])
+    if m.free_price:
+        price = F.when(~filled(found["price"][0]) & ~found["price"][1], F.lit(0).cast("decimal(20,4)")).otherwise(price)
+    rules = [
+        ("available_token", filled(F.col("_available")) & attribute.isNull()),
+        ("price_decimal", filled(found["price"][0]) & strict_decimal(found["price"][0]).isNull()),
+        ("item_id", ~filled(F.col("_id")) | F.col("_id").rlike(r"(?U)[\s\p{Cntrl}]")),
+    ]
+    if m.stock_decides:
+        symbol_ok = found["stock"][0].isin(*m.unknown_stock) if m.unknown_stock else F.lit(False)
+        rules += [("price_not_positive", ~F.coalesce(price > 0, F.lit(False))), ("stock_number", filled(found["stock"][0]) & stock.isNull() & ~symbol_ok), ("out_of_production_token", filled(found["out_of_production"][0]) & boolean_token(found["out_of_production"][0]).isNull())]
+    refused = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules]))
     warnings = F.when(several, F.array(F.lit("ambiguous_ean"))).otherwise(F.array().cast("array<string>")) if m.ean_conflict_warns else F.array().cast("array<string>")
     return raw.select(
         F.col("_id").alias("supplier_item_id"),
@@ -88,12 +107,13 @@ def normalise(raw: DataFrame, m: Mapping) -> DataFrame:
         *[found[k][0].alias(k) for k in ("name", "manufacturer", "mpn")],
         ean.alias("ean"),
         warnings.alias("identity_warnings"),
-        strict_decimal(found["price"][0]).alias("source_price"),
+        price.alias("source_price"),
         stock.alias("quantity"),
         is_available.alias("available"),
         *[found[k][0].alias(k) for k in m.extra],
         images(*[values(p) for p in m.pictures]).alias("image_urls"),
         conflicts.alias("conflicts"),
+        refused.alias("refused"),
     )
 
 
@@ -131,6 +151,8 @@ def fragment_elements(fragments: DataFrame, text_col: str = "fragment") -> DataF
     schema = "elements array<struct<key:string,value:string>>"
 
     def parse(text: str | None):
+        if re.search(r"<!(?!--)", re.sub(r"(?s)<!\[CDATA\[.*?\]\]>", "", text or "")):  # declarations: no entity is expanded
+            return None
         try:
             root = ET.fromstring(text or "")
         except ET.ParseError:
@@ -220,7 +242,8 @@ def property_observations(observed: DataFrame, definitions: DataFrame) -> DataFr
 
 
 def property_stats(rows: DataFrame) -> DataFrame:
-    return rows.agg(F.countDistinct("item_id").alias("items"), F.count("*").alias("observations"), F.count_if("missing").alias("missing"), F.count_if("definition_missing").alias("undefined"), F.countDistinct(F.when(F.col("definition_missing"), F.col("property_id"))).alias("undefined_properties"))
+    known = ~F.col("missing") & ~F.col("definition_missing")
+    return rows.agg(F.countDistinct("property_id").alias("properties"), F.count_if(known).alias("known_values"), F.countDistinct(F.when(known, F.col("item_id"))).alias("items_with_values"), F.countDistinct("item_id").alias("items"), F.count("*").alias("observations"), F.count_if("missing").alias("missing"), F.count_if("definition_missing").alias("undefined"), F.countDistinct(F.when(F.col("definition_missing"), F.col("property_id"))).alias("undefined_properties"))
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
@@ -229,7 +252,7 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     The header is read first: names must be non-blank, unique, unpadded and hold the required ones.
     """
     head = spark.read.text(path).first()
-    names = [x.strip('"') for x in (head[0] if head else "").removeprefix("﻿").split(",")]
+    names = next(csv.reader([(head[0] if head else "").removeprefix("﻿")]), [])
     if any(not n or n != n.strip() for n in names) or len(set(names)) != len(names):
         raise ValueError("catalogue header has blank, padded or repeated names")
     if lacking := [h for h in CATALOG_HEADERS if h not in names]:

@@ -56,7 +56,8 @@ def star(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
 
-def _with(spark: SparkSession, sf_dir: str, sql: str, names: tuple[str, ...]) -> DataFrame:
+def derived(spark: SparkSession, sf_dir: str, sql: str, names: tuple[str, ...]) -> DataFrame:
+    """A query over star-schema tables, which it names."""
     tables = star(spark, sf_dir, *names)
     for n in names:
         sql = re.sub(rf"\b(FROM|JOIN) {n}\b", rf"\1 {{{n}}}", sql)
@@ -64,16 +65,16 @@ def _with(spark: SparkSession, sf_dir: str, sql: str, names: tuple[str, ...]) ->
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with(spark, sf_dir, OFFERS_SQL, ("lineitem", "part"))
+    return derived(spark, sf_dir, OFFERS_SQL, ("lineitem", "part"))
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with(spark, sf_dir, CATALOG_SQL, ("lineitem", "part"))
+    return derived(spark, sf_dir, CATALOG_SQL, ("lineitem", "part"))
 
 
 def seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with(spark, sf_dir, SEEN_SQL, ("lineitem",))
+    return derived(spark, sf_dir, SEEN_SQL, ("lineitem",))
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with(spark, sf_dir, CATEGORIES_SQL, ("region", "nation", "supplier"))
+    return derived(spark, sf_dir, CATEGORIES_SQL, ("region", "nation", "supplier"))

@@ -5,8 +5,9 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from tallybridge.plans.catalogue import QUERIES
+from tallybridge.plans import catalogue, landing
 
+QUERIES = catalogue.QUERIES | landing.QUERIES
 duckdb = pytest.importorskip("duckdb")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
