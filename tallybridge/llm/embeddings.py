@@ -247,13 +247,16 @@ def _compare(dtype: str, min_cosine: float, wanted: float):
                 if not len(q):
                     continue
                 met.append(np.stack([q, s], 1))
-                some, at_some = np.unique(np.concatenate([q, s]), return_inverse=True)
-                code = _codes(raw[some], wanted)
-                once = _counted_here(code[at_some[: len(q)]], code[at_some[len(q) :]], table, ids[q] < ids[s])
-                np.add.at(count, q[once], weights[s[once]])
-                np.add.at(count, s[once], weights[q[once]])
             if met:
-                links.append(ids[_spanning(np.concatenate(met))])
+                pairs = np.concatenate(met)
+                links.append(ids[_spanning(pairs)])
+                some, place = np.unique(pairs, return_inverse=True)
+                place, code = place.reshape(-1, 2), _codes(raw[some], wanted)
+                for at in range(0, len(pairs), 1 << 16):
+                    (q, s), (i, j) = pairs[at : at + (1 << 16)].T, place[at : at + (1 << 16)].T
+                    once = _counted_here(code[i], code[j], table, ids[q] < ids[s])
+                    np.add.at(count, q[once], weights[s[once]])
+                    np.add.at(count, s[once], weights[q[once]])
         who, at = np.unique(ids, return_inverse=True)
         total = np.zeros(len(who), np.int64)
         np.add.at(total, at, count)
