@@ -59,23 +59,26 @@ def dictionary(path: str | None = None) -> dict[int, str]:
 
 
 def _covered(value: Column) -> Column:
-    """Characters of a value that words of the dictionary cover, read from left to right with
-    the longest word first."""
-    text = F.lower(value)
+    """Characters of a value that words of the dictionary cover: each run of letters is read from
+    left to right, the longest word first."""
 
-    def longest(at: Column) -> Column:
-        found = F.lit(0)
-        for n in reversed(WORD_LENGTHS):
-            part = F.substring(text, at, F.lit(n))
-            found = F.when(part.rlike(f"^[a-z]{{{n}}}$") & F.contains(F.lit(dictionary()[n]), F.concat(F.lit(" "), part, F.lit(" "))), n).otherwise(found)
-        return found
+    def of_run(run: Column) -> Column:
+        def longest(at: Column) -> Column:
+            found = F.lit(0)
+            for n in reversed(WORD_LENGTHS):
+                fits = at + n - 1 <= F.length(run)
+                found = F.when(fits & F.contains(F.lit(dictionary()[n]), F.concat(F.lit(" "), F.substring(run, at, F.lit(n)), F.lit(" "))), n).otherwise(found)
+            return found
 
-    def step(acc: Column, at: Column) -> Column:
-        n = F.when(at < acc["next"], 0).otherwise(longest(at))
-        return F.struct(F.greatest(acc["next"], at + n).alias("next"), (acc["sum"] + n).alias("sum"))
+        def step(acc: Column, at: Column) -> Column:
+            n = F.when(at < acc["next"], 0).otherwise(longest(at))
+            return F.struct(F.greatest(acc["next"], at + n).alias("next"), (acc["sum"] + n).alias("sum"))
 
-    start = F.struct(F.lit(1).alias("next"), F.lit(0).alias("sum"))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text))), start, step, lambda a: a["sum"])
+        start = F.struct(F.lit(1).alias("next"), F.lit(0).alias("sum"))
+        return F.aggregate(F.sequence(F.lit(1), F.length(run) - 3), start, step, lambda a: a["sum"])
+
+    runs = F.regexp_extract_all(F.lower(value), F.lit("[a-z]{4,}"), F.lit(0))
+    return F.aggregate(runs, F.lit(0), lambda acc, run: acc + of_run(run))
 
 
 def _share(value: Column, pattern: str) -> Column:
@@ -221,8 +224,9 @@ def scan(docs: DataFrame, forest: list, id_col: str = "doc_id", text_col: str =
     Null and empty texts hold none; a null path says nothing; null ids stay null; rows that repeat
     are scanned each; other columns are ignored; an empty table gives an empty result.
     """
-    found = describe(docs, [id_col], text_col, path_col, only=True).select(id_col, F.explode("__found").alias("c"))
-    scored = found.select(id_col, "c.word_no", "c.secret", F.round(vote(forest, F.col("c.f")), 6).alias("score"))
+    # explode would be given a filter on __found, which describes every candidate once more.
+    found = describe(docs, [id_col], text_col, path_col, only=True).select(F.col(f"`{id_col}`"), F.explode_outer("__found").alias("c")).where("c is not null")
+    scored = found.select(F.col(f"`{id_col}`"), "c.word_no", "c.secret", F.round(vote(forest, F.col("c.f")), 6).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
