@@ -1,7 +1,7 @@
 """Benchmark decontamination by size-partitioned MinHash containment search (operator 2).
 
-The test items are partitioned by the number of their shingles.  Each partition has a sketch size:
-an item keeps its s smallest shingle hashes (a bottom-s MinHash).  A document that holds the wanted
+The test items are partitioned by the number of their shingles.  Each partition has a sketch size
+and an index of its own: an item keeps its s smallest shingle hashes (a bottom-s MinHash).  A document that holds the wanted
 share of an item's shingles can lack at most m of them, m following from the partition's largest
 size; with s = 2 m + 2 it must hold at least s - m of the sketch.  So nothing is missed however
 long the document is, and few others become candidates.  Candidates are verified by exact
@@ -46,57 +46,78 @@ def _spelled(raw: bytes, w: Words, at: int, k: int) -> bytes:
     return b" ".join([raw[w.starts[i] : w.ends[i]] for i in range(at, at + k)])
 
 
+class Partition:
+    """The items of one size range: sketches of one length, and how much of one must be met."""
+
+    def __init__(self, upper: int, share: float):
+        self.upper, self.lack = upper, may_lack(upper, share)
+        self.length = 2 * self.lack + 2
+        self._sketches: list[np.ndarray] = []
+        self._items: list[int] = []
+        self._needed: list[int] = []
+
+    def add(self, item: int, hashes: np.ndarray, share: float) -> None:
+        """The smallest hashes of an item, mixed anew: a bottom-s MinHash."""
+        self._sketches.append(hashes[np.argsort(mix(hashes))[: self.length]])
+        self._items.append(item)
+        self._needed.append(max(1, len(self._sketches[-1]) - may_lack(len(hashes), share)))
+
+    def close(self) -> None:
+        owner = np.repeat(np.arange(len(self._items)), [len(x) for x in self._sketches])
+        flat = np.concatenate(self._sketches).astype(np.uint64)
+        order = np.argsort(flat)
+        self.sketch, self.owner = flat[order], owner[order]
+        self.items, self.needed = np.array(self._items), np.array(self._needed)
+
+    def candidates(self, doc: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """(document, item) pairs that meet enough of a sketch; doc, key: hashes of documents."""
+        lo, hi = np.searchsorted(self.sketch, key, "left"), np.searchsorted(self.sketch, key, "right")
+        n = hi - lo
+        entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        met = np.unique(np.stack([np.repeat(doc, n), entry], 1), axis=0)  # each sketch entry once a document
+        both, hits = np.unique(np.stack([met[:, 0], self.owner[met[:, 1]]], 1), axis=0, return_counts=True)
+        both = both[hits >= self.needed[both[:, 1]]]
+        return np.stack([both[:, 0], self.items[both[:, 1]]], 1)
+
+
 class Index:
-    """Sketches of a block of items, and their shingles for the exact check."""
+    """The size partitions of a block of items, and the items' shingles for the exact check."""
 
     def __init__(self, ids: list, texts: list[str], ngram: int, share: float):
         data, offsets = text_buffers(pa.array([_folded(t) for t in texts], pa.string()))
         w = words(data, offsets, fold_case=False)
         raw = w.data.tobytes()
         self.ngram, self.share = ngram, share
-        self.ids, self.sets, self.lengths, self.needed = [], [], [], []
-        sketch, owner = [], []
+        self.ids, self.sets, self.lengths = [], [], []
+        parts: dict[tuple[int, int], Partition] = {}
         for i, (a, b) in enumerate(zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)):
             if a == b:
                 continue
             k = min(ngram, b - a)
-            shingles = {_spelled(raw, w, at, k) for at in range(a, b - k + 1)}
             hashes = np.unique(windows(w.hashes[a:b], k))
-            lack = may_lack(partition(len(hashes)), share)
-            chosen = hashes[np.argsort(mix(hashes))[: 2 * lack + 2]]
-            sketch.append(chosen)
-            owner.append(np.full(len(chosen), len(self.ids)))
+            upper = partition(len(hashes))
+            parts.setdefault((k, upper), Partition(upper, share)).add(len(self.ids), hashes, share)
             self.ids.append(ids[i])
-            self.sets.append(shingles)
+            self.sets.append({_spelled(raw, w, at, k) for at in range(a, b - k + 1)})
             self.lengths.append(k)
-            self.needed.append(max(1, len(chosen) - may_lack(len(hashes), share)))
-        self.ks = sorted(set(self.lengths))
-        flat, owner = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (sketch, owner))
-        order = np.argsort(flat)
-        self.sketch, self.owner = flat[order].astype(np.uint64), owner[order]
-        self.needed = np.array(self.needed, np.int64)
+        self.partitions: dict[int, list[Partition]] = {}
         self.sieve = np.zeros(_SIEVE, bool)
-        self.sieve[(self.sketch % np.uint64(_SIEVE)).astype(np.int64)] = True
+        for (k, _), part in sorted(parts.items()):
+            part.close()
+            self.partitions.setdefault(k, []).append(part)
+            self.sieve[(part.sketch % np.uint64(_SIEVE)).astype(np.int64)] = True
 
     def candidates(self, w: Words) -> list[tuple[int, int]]:
-        """(document, item) pairs with enough of the sketch in common."""
-        if not len(self.sketch):
-            return []
+        """(document, item) pairs with enough of the sketch in common, partition by partition."""
         last = np.repeat(w.first[1:], np.diff(w.first))
         doc = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
-        pairs = []
-        for k in self.ks:
+        pairs = [np.zeros((0, 2), np.int64)]
+        for k, parts in self.partitions.items():
             every = windows(w.hashes, k)
             at = np.flatnonzero(self.sieve[(every % np.uint64(_SIEVE)).astype(np.int64)])
             at = at[at + k <= last[at]]
-            key = every[at]
-            lo, hi = np.searchsorted(self.sketch, key, "left"), np.searchsorted(self.sketch, key, "right")
-            n = hi - lo
-            entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-            pairs.append(np.stack([doc[np.repeat(at, n)], entry], 1))
-        found = np.unique(np.concatenate(pairs), axis=0)  # each sketch entry once a document
-        both, hits = np.unique(np.stack([found[:, 0], self.owner[found[:, 1]]], 1), axis=0, return_counts=True)
-        return list(map(tuple, both[hits >= self.needed[both[:, 1]]].tolist())) if len(both) else []
+            pairs += [part.candidates(doc[at], every[at]) for part in parts]
+        return sorted(map(tuple, np.concatenate(pairs).tolist()))
 
     def find(self, w: Words) -> Iterator[tuple[int, object, int, int]]:
         """(document, item id, shared shingles, shingles of the item), verified."""
@@ -125,7 +146,8 @@ def _folded_bytes(data: np.ndarray) -> bytes:
 
 
 def _blocks(items: DataFrame, item_col: str, text_col: str, block_chars: int) -> Iterator[pa.Table]:
-    some = items.where(F.col(text_col).isNotNull()).select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
+    # A repeated item row counts once, so no block grows by repeats.
+    some = items.where(F.col(text_col).isNotNull()).select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{text_col}`").alias("text")).distinct()
     chars = some.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-2 * chars // block_chars)) if chars > block_chars else 1
     for i in range(n):
@@ -152,8 +174,8 @@ def find_contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", it
     null ids stay null; rows that repeat are found each (a document once for each distinct
     item row); other columns are ignored; empty tables give an empty result.
     """
-    picked = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    kinds = f"{id_col} {dict(docs.dtypes)[id_col]}, {item_col} {dict(items.dtypes)[item_col]}, n_shared int, n_item int"
+    picked = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text"))
+    kinds = f"`{id_col}` {dict(docs.dtypes)[id_col]}, `{item_col}` {dict(items.dtypes)[item_col]}, n_shared int, n_item int"
     out = None
     for sent in _indexes(docs, items, item_col, text_col, ngram, share, block_chars):
         one = picked.mapInArrow(_finder(sent, items.schema[item_col].dataType, [id_col, item_col]), kinds)
