@@ -35,12 +35,6 @@ def required(df: DataFrame, columns: list[str], key: str) -> DataFrame:
     return df.select("supplier", F.explode(blank).alias("rule"), F.col(key).cast("string").alias("row_key"))
 
 
-def item_bounds(df: DataFrame, policy: DataFrame) -> DataFrame:
-    n = df.groupBy("supplier").agg(F.count("*").alias("n")).join(policy.select("supplier", "min_items", "max_items"), "supplier", "right")
-    outside = n.where((F.coalesce("n", F.lit(0)) < F.col("min_items")) | (F.col("n") > F.col("max_items")))
-    return _rows(outside, "item_count", F.coalesce("n", F.lit(0)))
-
-
 def catalog_rows(df: DataFrame) -> DataFrame:
     """Rules of raw catalogue text rows (all columns strings)."""
     integer = lambda c: F.when(strip(F.col(c)).rlike("^-?[0-9]+$"), strip(F.col(c)).try_cast("long"))

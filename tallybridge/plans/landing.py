@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybridge.functions import text as T
-from tallybridge.functions.store import fresh_folder, stored
+from tallybridge.functions.store import fresh_folder
 from tallybridge.operators import audit, gates, match, missing, pricing, rejects, summary
 from tallybridge.plans import catalogue
-from tallybridge.plans.oracle import BASE, CATALOG, MATCH, MISSING, RUN_SUMMARY
+from tallybridge.plans.oracle import BASE, CATALOG, CATEGORY, MATCH, MISSING, PRICES, RUN_SUMMARY
 from tallybridge.sinks import export
 from tallybridge.sources import feeds, views
 from tallybridge.sources.views import OFFERS_SQL
+from tallybridge.streaming import missing_stream
 
 SNAPSHOTS_SQL = """
 SELECT k AS supplier, CASE WHEN k % 10 = 1 THEN '0' ELSE CAST(k AS STRING) END AS adapter,
@@ -284,6 +285,61 @@ def jsonl_file(spark, sf):
     return back.select("supplier", "supplier_item_id", F.array_join("category_path", "/").alias("path"), "ean")
 
 
+def _broken_checks(spark, sf) -> DataFrame:
+    """The checks of a run whose tables are spoiled, another one for each remainder of the supplier by 7."""
+    r = catalogue._Run(spark, sf)
+    turn = F.col("supplier") % 7
+    matches = r.matches.where(~((turn == 1) & (F.col("feed_pos") % 9 == 0))).withColumn("warnings", F.when(turn == 2, F.array().cast("array<string>")).otherwise(F.col("warnings")))
+    priced = F.when((turn == 3) & (F.col("status") == "blocked_match"), F.lit(1)).when((turn == 5) & (F.col("status") == "ready_for_review"), F.lit(-1)).otherwise(F.col("proposed_price"))
+    mapped = r.mapped().withColumn("publication_eligible", turn == 4)
+    return audit.verify(r.offers, matches, r.proposals().withColumn("proposed_price", priced.cast("decimal(38,8)")), mapped)
+
+
+def verify_broken(spark, sf):
+    """Which checks fail where."""
+    return _broken_checks(spark, sf).where("not passed").select("supplier", "name")
+
+
+def batch_status_broken(spark, sf):
+    offers = catalogue.offers_of(spark, sf)
+    return rejects.batch_status(offers, catalogue._price_rejects(offers).where("supplier % 2 = 0"), _broken_checks(spark, sf))
+
+
+def completeness_ratios(spark, sf):
+    r = catalogue._Run(spark, sf)
+    rows = summary.completeness(r.offers, r.catalog, r.missing())
+    return rows.select("supplier", *[F.round(F.col(c) * 1_000_000).cast("long").alias(c) for c in ("source_ratio", "covered_ratio")])
+
+
+def category_alternatives(spark, sf):
+    """Every target of a category in its rank, and the share of the first in hundredths of a per cent."""
+    mapped = catalogue._Run(spark, sf).mapped()
+    rows = mapped.select("supplier", F.col("category_path")[0].alias("category_1"), F.col("category_path")[1].alias("category_2"), (F.col("dominance_pct") * 100).cast("decimal(20,2)").cast("long").alias("dominance"), F.posexplode("alternatives").alias("rank", "a"))
+    return rows.select("supplier", "category_1", "category_2", "dominance", F.col("rank").cast("long").alias("rank"), "a.category_ids", "a.categories", "a.support")
+
+
+def landing_stream(spark, sf):
+    """Landings as a stream of files, the second of which repeats content of the first."""
+    folder = fresh_folder(spark, "landings")
+    rows = views.star(spark, sf, "orders")["orders"].select(F.col("o_custkey").cast("long").alias("supplier"), (F.col("o_orderkey") % 5).cast("string").alias("content_sha256"), F.to_timestamp("o_orderdate").alias("landed_at"), (F.col("o_orderkey") % 2).alias("half"))
+    for half in (0, 1):
+        rows.where(F.col("half") == half).drop("half").write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.drop("half").schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/in")
+    once = missing_stream.dedupe_landing(stream, "10000 days")
+    once.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(rows.drop("half").schema).parquet(f"{folder}/out").select("supplier", "content_sha256")
+
+
+def committed_runs(spark, sf):
+    """Rows written by run, of which only runs with a manifest row are read."""
+    folder = fresh_folder(spark, "runs")
+    rows = views.star(spark, sf, "nation")["nation"].select(F.col("n_nationkey").cast("long").alias("n"), "n_name")
+    for run in ("a", "b", "a"):
+        export.write_run(rows.where("n % 2 = 0") if run == "a" else rows, f"{folder}/rows", run)
+    export.write_manifest(spark.createDataFrame([("a",)], "run_id string"), f"{folder}/manifest")
+    return export.read_committed(spark.read.parquet(f"{folder}/rows"), spark.read.parquet(f"{folder}/manifest")).select("run_id", "n", "n_name")
+
+
 def landed_bytes(spark, sf):
     """Files as landed, by name: their bytes and hash, two copies of one content alike."""
     folder = fresh_folder(spark, "bytes")
@@ -297,6 +353,7 @@ _ALL = [
     snapshot_gates, accepted_run, currency_gates, refused_values, catalog_scope, sku_prefix_gate, category_keys, policy_gates, policy_hashes, policy_labels,
     state_rejects, approvals, promoted_state, batch_exit, run_reports, missing_in_order, categories_in_order, actions_in_order, offers_in_feed_order,
     copies_parity, sku_audit, manifest_audit, feed_files_11, feed_files_31, catalog_file, jsonl_file, landed_bytes,
+    verify_broken, batch_status_broken, completeness_ratios, category_alternatives, landing_stream, committed_runs,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in _ALL}
@@ -311,6 +368,12 @@ _POLICY_RULES = _unnest([
     ("publication_must_be_off", "publication"), ("approved_markup_needs_vat_included", "approved AND vat_basis <> 'included'"),
     ("approved_markup_needs_rub_parity", "approved AND (currency NOT IN ('RUB', 'RUR') OR rub_per_unit <> 1)"), ("approved_markup_multiplier", "approved AND multiplier <> 1.10"), ("item_bounds", "min_items > max_items"),
 ])
+_BROKEN = f"""{PRICES}, failed AS (
+  SELECT DISTINCT supplier, 'a_match_per_offer' AS name FROM offers WHERE supplier % 7 = 1 AND feed_pos % 9 = 0
+  UNION SELECT supplier, 'conflicts_say_why' FROM matches WHERE supplier % 7 = 2 AND status = 'conflict'
+  UNION SELECT supplier, 'no_price_when_blocked' FROM proposals WHERE supplier % 7 = 3 AND status = 'blocked_match'
+  UNION SELECT supplier, 'prices_positive' FROM proposals WHERE supplier % 7 = 5 AND status = 'ready_for_review'
+  UNION SELECT supplier, 'categories_not_published' FROM offers WHERE supplier % 7 = 4)"""
 _STOCK = "CASE WHEN feed_pos % 4 = 1 THEN feed_pos % 5 - 2 END"
 
 ORACLE: dict[str, str] = {
@@ -342,5 +405,11 @@ ORACLE: dict[str, str] = {
   concat_ws(',', CASE WHEN feed_pos % 6 = 1 THEN 'available_token' END, CASE WHEN price_cents <= 0 THEN 'price_not_positive' END, CASE WHEN feed_pos % 4 = 2 THEN 'stock_number' END) AS refused FROM offers""",
     "catalog_file": f"{BASE} SELECT product_id, sku, price_cents AS price, quantity FROM catalog WHERE product_id % 53 <> 0",
     "jsonl_file": f"{BASE} SELECT supplier, supplier_item_id, category_1 || '/' || category_2 AS path, ean FROM offers",
+    "verify_broken": f"{_BROKEN} SELECT supplier, name FROM failed",
+    "batch_status_broken": f"{_BROKEN}, bad AS (SELECT DISTINCT supplier FROM offers WHERE price_cents = 0 AND currency = 'USD' AND supplier % 2 = 0) SELECT supplier, CASE WHEN supplier IN (SELECT supplier FROM bad) THEN 'BLOCKED' WHEN supplier IN (SELECT supplier FROM failed) THEN 'FAIL' ELSE 'PASS' END AS status FROM (SELECT DISTINCT supplier FROM offers)",
+    "completeness_ratios": f"{MISSING} SELECT supplier, CAST(round(1000000.0 * (SELECT count(*) FROM offers o WHERE o.supplier = c.supplier) / count(*)) AS BIGINT) AS source_ratio, CAST(round(1000000.0 * (count(*) - (SELECT count(*) FROM missing m WHERE m.supplier = c.supplier)) / count(*)) AS BIGINT) AS covered_ratio FROM catalog c GROUP BY supplier",
+    "category_alternatives": f"{CATEGORY} SELECT supplier, category_1, category_2, CAST(round_even(10000.0 * max(support) OVER (PARTITION BY supplier, category_1, category_2) / tsup, 0) AS BIGINT) AS dominance, rn - 1 AS rank, category_ids, categories, support FROM rk",
+    "landing_stream": "SELECT DISTINCT CAST(o_custkey AS BIGINT) AS supplier, CAST(o_orderkey % 5 AS VARCHAR) AS content_sha256 FROM orders",
+    "committed_runs": "SELECT 'a' AS run_id, CAST(n_nationkey AS BIGINT) AS n, n_name FROM nation WHERE n_nationkey % 2 = 0",
     "landed_bytes": "SELECT CAST(n_nationkey AS BIGINT) AS name, CAST(length(n_name) + 1 AS BIGINT) AS size, sha256(n_name || chr(10)) AS sha256 FROM nation",
 }

@@ -38,6 +38,7 @@ def run(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def dedupe_landing(stream: DataFrame) -> DataFrame:
-    """The same content landing twice in a stream counts once (per supplier)."""
-    return stream.dropDuplicates(["supplier", "content_sha256"])
+def dedupe_landing(stream: DataFrame, within: str = "90 days") -> DataFrame:
+    """Content of a supplier that lands again within a time of its first landing counts once; what is
+    older leaves the state. The ledger, not the stream, knows content for ever."""
+    return stream.withWatermark("landed_at", within).dropDuplicatesWithinWatermark(["supplier", "content_sha256"])
