@@ -2,14 +2,19 @@
 
 1. Every text is parsed by rounds that name runs and pairs (``recompress``).  The distinct names
    of each document go to buckets by name; a bucket tells every document which of its names other
-   documents hold too.
-2. A window that holds a decided symbol of no other document cannot repeat.  The windows that
-   are left are the candidates; they are verified by fingerprints of their whole word sequence (64
-   bits, and a second one that deals them out), again in buckets, which tell each document the
-   windows that start in a smaller one.
-3. The words those windows cover are removed.
-
-What crosses the network is packed (``exchange``); buckets follow the session's shuffle partitions.
+   documents hold too.  With them go the long symbols, which stand for a window of words or more;
+   a bucket tells every document which of those a smaller document holds: they are verified
+   repeats, and none of their windows goes any further.
+2. Of the other windows, one that holds a decided symbol of no other document cannot repeat.  What
+   is left are the edges of repeats and their first occurrences; they are verified by fingerprints of
+   their whole word sequence, again in buckets, which tell each document the windows that start in
+   a smaller one.
+3. The words that verified symbols and windows cover are removed.
+
+What crosses the network is packed (``exchange``); buckets follow the bytes of the texts.  Names are
+fingerprints of what they stand for, which makes them global without a dictionary; the words that
+they and the windows are made of have 64 bits, and equal windows agree in 64 bits and in the bucket
+that a second fingerprint names.
 """
 
 from __future__ import annotations
@@ -22,12 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybridge.llm import exchange, recompress
-from tallybridge.llm.common import parts
-from tallybridge.llm.kernels import steps, windows, words
+from tallybridge.llm.common import buckets
+from tallybridge.llm.kernels import mix, steps, windows, words
 
 WINDOW, ROUNDS = 13, 3
 _STEP = 1 << 20
-_LOW = np.uint64(0xFFFFFFFF)
+_LOW = np.uint64(0x7FFFFFFF)
+#: Marks the answer for a name; one without it is a verified symbol: four times its first word, plus its step.
+_NAME = np.uint32(1 << 31)
+_LONG = np.dtype([("more", "<u8"), ("at", "<u4")])
 
 
 def _repeated(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -55,7 +63,7 @@ def _send_names(n_buckets: int, window: int, rounds: int):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for a, b, data, offsets in steps(batch, "text", _STEP):
-                _, _, s = _parsed(data, offsets, rounds)
+                w, _, s = _parsed(data, offsets, rounds)
                 use = recompress.decided(s, window)
                 name, doc = s.name[use], s.doc[use]
                 order = np.lexsort((name, doc))
@@ -63,15 +71,33 @@ def _send_names(n_buckets: int, window: int, rounds: int):
                 once = np.ones(len(name), bool)
                 once[1:] = (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])
                 yield exchange.scatter(ids[a:b], np.bincount(doc[once], minlength=b - a), name[once], n_buckets)
+                if rounds:
+                    name, more, doc, begin, _, step = recompress.long_symbols(s, window, len(w.hashes))
+                    sent = np.empty(len(name), _LONG)
+                    sent["more"], sent["at"] = more, 4 * (begin - w.first[:-1][doc]) + step
+                    yield _later(exchange.scatter(ids[a:b], np.bincount(doc, minlength=b - a), name, n_buckets, sent), n_buckets)
 
     return run
 
 
+def _later(rows: pa.RecordBatch, n_buckets: int) -> pa.RecordBatch:
+    """The same rows in buckets of their own, after the others."""
+    return rows.set_column(0, "bucket", pa.array(rows.column(0).to_numpy() + n_buckets, pa.int32()))
+
+
 def _shared_names(n_buckets: int):
     def run(rows: pa.Table) -> pa.Table:
-        keys, owner, _ = exchange.gather(rows)
-        hit = np.flatnonzero(_repeated(keys, owner)[0])
-        return exchange.answer(owner[hit], (keys[hit] & _LOW).astype(np.uint32), n_buckets)
+        if rows.column("bucket")[0].as_py() < n_buckets:
+            keys, owner, _ = exchange.gather(rows)
+            hit = np.flatnonzero(_repeated(keys, owner)[0])
+            return exchange.answer(owner[hit], (keys[hit] & _LOW).astype(np.uint32) | _NAME, n_buckets)
+        keys, owner, sent = exchange.gather(rows, _LONG)
+        order = np.lexsort((owner, sent["more"], keys))
+        k, m, o = keys[order], sent["more"][order], owner[order]
+        new = np.ones(len(k), bool)
+        new[1:] = (k[1:] != k[:-1]) | (m[1:] != m[:-1])
+        hit = order[o > o[np.flatnonzero(new)][np.cumsum(new) - 1]] if len(k) else order
+        return exchange.answer(owner[hit], sent["at"][hit], n_buckets)
 
     return run
 
@@ -85,14 +111,29 @@ def _send_windows(n_buckets: int, window: int, rounds: int):
                 w, doc, s = _parsed(data, offsets, rounds)
                 n = len(w.hashes)
                 use = recompress.decided(s, window)
-                shared = [np.frombuffer(x.as_py(), np.uint32) if x.is_valid else np.zeros(0, np.uint32) for x in told[a:b]]
-                of = np.repeat(np.arange(b - a, dtype=np.uint64), [len(x) for x in shared])
-                known = np.sort(of << np.uint64(32) | np.concatenate(shared).astype(np.uint64)) if len(of) else np.zeros(0, np.uint64)
+                answers = [np.frombuffer(x.as_py(), np.uint32) if x.is_valid else np.zeros(0, np.uint32) for x in told[a:b]]
+                of = np.repeat(np.arange(b - a), [len(x) for x in answers])
+                answers = np.concatenate(answers) if len(of) else np.zeros(0, np.uint32)
+                named = answers >= _NAME
+                known = np.sort(of[named].astype(np.uint64) << np.uint64(32) | (answers[named] ^ _NAME).astype(np.uint64))
                 asked = s.doc[use].astype(np.uint64) << np.uint64(32) | (s.name[use] & _LOW)
                 at = np.searchsorted(known, asked)
                 there = known[np.minimum(at, max(len(known) - 1, 0))] == asked if len(known) else np.zeros(len(asked), bool)
                 fits = np.arange(n) + window <= w.first[1:][doc] if n else np.zeros(0, bool)
-                start = np.flatnonzero(fits & ~recompress.windows_with(s, use[~there], window, n)) if n else np.zeros(0, np.int64)
+                verified = np.zeros(n, bool)
+                if rounds and n and not named.all():
+                    _, _, of_long, begin, end, step = recompress.long_symbols(s, window, n)
+                    held = np.isin(4 * begin + step, answers[~named].astype(np.int64) + 4 * w.first[:-1][of[~named]])
+                    of_long, begin, end = of_long[held], begin[held], end[held]
+                    change = np.bincount(begin, minlength=n + 1) - np.bincount(end - window + 1, minlength=n + 1)
+                    verified = np.cumsum(change)[:n] > 0
+                    # Every window-th start, and the last one, tell what a verified symbol covers.
+                    some = [np.append(np.arange(x, y - window, window), y - window) for x, y in zip(begin.tolist(), end.tolist(), strict=True)]
+                    if some:
+                        who = np.repeat(of_long, [len(x) for x in some])
+                        at = (np.concatenate(some) - w.first[:-1][who]).astype(np.uint32)
+                        yield _later(exchange.scatter(ids[a:b], np.bincount(who, minlength=b - a), mix(at.astype(np.uint64)), n_buckets, at), n_buckets)
+                start = np.flatnonzero(fits & ~verified & ~recompress.windows_with(s, use[~there], window, n)) if n else np.zeros(0, np.int64)
                 if len(start):
                     at = (start - w.first[:-1][doc[start]]).astype(np.uint32)
                     deal = windows(w.hashes, window, 1)[start]
@@ -104,7 +145,8 @@ def _send_windows(n_buckets: int, window: int, rounds: int):
 def _repeated_windows(n_buckets: int):
     def run(rows: pa.Table) -> pa.Table:
         keys, owner, at = exchange.gather(rows, "<u4")
-        hit = np.flatnonzero(_repeated(keys, owner)[1])
+        told = rows.column("bucket")[0].as_py() >= n_buckets
+        hit = np.arange(len(keys)) if told else np.flatnonzero(_repeated(keys, owner)[1])
         return exchange.answer(owner[hit], at[hit], n_buckets)
 
     return run
@@ -136,8 +178,9 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
     """(owner, answer): for each document with repeated windows, the stretches of words they cover, as
     pairs of uint32 (first word, end)."""
-    n = parts(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
+    # Names and windows take about as many bytes as the texts at most; buckets follow them.
+    n = buckets(docs.sparkSession, texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
     known = texts.where(F.col("owner").isNotNull() & F.col("text").isNotNull())
     names = _told(known.mapInArrow(_send_names(n, window, rounds), exchange.PACKED), _shared_names(n))
     asked = texts.join(names, "owner", "left").select("owner", "text", "answer")
