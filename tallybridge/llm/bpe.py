@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybridge.llm.common import bounded
+
 #: Split of a byte-level vocabulary into pieces that merges never cross (fixed value).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces that a worker remembers at most in each of two generations.
@@ -159,7 +161,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                     made.append(pa.array([bpe.decode(x.tolist()) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(made, names=[id_col, "n_tokens", "ids", "decoded"][: len(made)])
 
-    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids array<int>" + (", decoded string" if decoded else ""))
+    return bounded(docs).select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids array<int>" + (", decoded string" if decoded else ""))
 
 
 def digest_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,7 +180,7 @@ def digest_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                 of_text.append(hashlib.sha256(bpe.decode(ids.tolist()).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return bounded(docs).select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -61,6 +62,24 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows and bytes of one batch that goes to a Python worker; whole texts, but few at a time.
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+
+
+def bounded(docs: DataFrame) -> DataFrame:
+    """docs, and a session whose batches to Python workers are small: workers and the JVM hold
+    some copies of a batch each.  Smaller settings of the session are kept."""
+    conf = docs.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        try:
+            now = re.fullmatch(r"([0-9]+)[bB]?", conf.get(key))
+        except Exception:  # a version of Spark without this setting
+            continue
+        if now is None or not 0 < int(now[1]) <= most:
+            conf.set(key, str(most))
+    return docs
+
+
 def parts(spark: SparkSession, least: int = 12) -> int:
     """Number of shuffle partitions that the session asks for."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))

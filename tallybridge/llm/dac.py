@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.llm.common import fresh_path, parts
+from tallybridge.llm.common import bounded, fresh_path, parts
 
 MAGIC = b"TBDAC1\0\0"
 #: A shard is closed at the first document that brings it to so many ids.
@@ -233,7 +233,7 @@ def write_shards(docs: DataFrame, out: str, path: str, end_id: int, id_col: str
             yield shard()
 
     (
-        docs.select(id_col, text_col)
+        bounded(docs).select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
         .repartitionByRange(parts(spark), id_col)
         .sortWithinPartitions(id_col, text_col)
         .select(F.spark_partition_id().alias("part"), id_col, text_col)
@@ -274,7 +274,7 @@ def tokenise(docs: DataFrame, path: str, end_id: int, out: str | None = None, id
 
 def count_documents(docs: DataFrame, path: str, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` and n_tokens of every whole text (null and empty texts: 0)."""
-    chosen = docs.select(*keep, text_col)
+    chosen = bounded(docs).select(*keep, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybridge.llm.common import bounded
 from tallybridge.llm.kernels import Words, mix, steps, text_buffers, windows, words
 
 NGRAM, SHARE = 5, 0.8
@@ -159,8 +160,8 @@ def _indexes(docs: DataFrame, items: DataFrame, item_col: str, text_col: str, ng
         yield docs.sparkSession.sparkContext.broadcast(Index(block.column(0).to_pylist(), block.column(1).to_pylist(), ngram, share))
 
 
-def _found(index: Index, batch: pa.RecordBatch) -> Iterator[tuple[int, object, int, int]]:
-    for a, _, data, offsets in steps(batch, "__text", _STEP):
+def _found(index: Index, batch: pa.RecordBatch, text_at: int = 1) -> Iterator[tuple[int, object, int, int]]:
+    for a, _, data, offsets in steps(batch, text_at, _STEP):
         for doc, item, shared, size in index.find(words(data, offsets, fold_case=True)):
             yield a + doc, item, shared, size
 
@@ -174,7 +175,7 @@ def find_contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", it
     null ids stay null; rows that repeat are found each (a document once for each distinct
     item row); other columns are ignored; empty tables give an empty result.
     """
-    picked = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text"))
+    picked = bounded(docs).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text"))
     kinds = f"`{id_col}` {dict(docs.dtypes)[id_col]}, `{item_col}` {dict(items.dtypes)[item_col]}, n_shared int, n_item int"
     out = None
     for sent in _indexes(docs, items, item_col, text_col, ngram, share, block_chars):
@@ -204,18 +205,17 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, item_col: str = "item_i
 
     Rows are dropped where they are read: no row is shuffled.
     """
-    columns = docs.columns
+    columns = bounded(docs).columns
     for sent in _indexes(docs, items, item_col, text_col, ngram, share, block_chars):
-        whole = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(text_col).alias("__text"))
-        docs = whole.mapInArrow(_dropper(sent, len(columns)), docs.schema)
+        docs = docs.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(_dropper(sent, columns.index(text_col)), docs.schema)
     return docs
 
 
-def _dropper(sent, n_columns: int) -> Callable:
+def _dropper(sent, text_at: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
-            keep[[row for row, *_ in _found(sent.value, batch)]] = False
-            yield batch.select(range(n_columns)).filter(pa.array(keep))
+            keep[[row for row, *_ in _found(sent.value, batch, text_at)]] = False
+            yield batch.filter(pa.array(keep))
 
     return run

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybridge.llm.common import buckets, cut, discard, stored
+from tallybridge.llm.common import bounded, buckets, cut, discard, stored
 from tallybridge.llm.components import components
 from tallybridge.llm.kernels import mix
 
@@ -282,7 +282,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """
     spark = vectors.sparkSession
     number = "double" if "double" in dict(vectors.dtypes)[vector_col] else "float"
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(f"array<{number}>").alias("v"))
+    rows = bounded(vectors).select(F.col(id_col).alias("id"), F.col(vector_col).cast(f"array<{number}>").alias("v"))
     fine = F.col("id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     good = rows.where(fine)
     classes = stored(good.groupBy("v").agg(F.min("id").cast("long").alias("rep"), F.count("*").alias("weight")).select("rep", "weight", "v"), "vector-classes")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybridge.llm.common import cut, discard, stored
+from tallybridge.llm.common import bounded, cut, discard, stored
 
 LOW, DAMPING = 0.1, 0.9
 #: Share of the pages with its node, weighed, from which a single block counts as repeated.
@@ -374,9 +374,10 @@ def importance(seen: DataFrame) -> DataFrame:
     styles = seen.where("kind = 1")
     total = styles.groupBy("host", "node").agg(F.sum("n").alias("all"), F.count("*").alias("n_styles"))
     presentation = styles.join(total, ["host", "node"]).groupBy("host", "node", "n_styles", "all").agg((-F.sum(share * F.log(share))).alias("entropy"))
-    texts = seen.where("kind = 2").join(nodes.select("host", "node", "m"), ["host", "node"]).groupBy("host", "node").agg(F.avg(1 - F.col("n") / F.col("m")).alias("content"))
+    # The mean of n / m over a node's blocks needs m once: blocks are summed before they meet it.
+    texts = seen.where("kind = 2").groupBy("host", "node").agg(F.avg("n").alias("mean_n"))
     below = nodes.groupBy("host", F.col("parent").alias("node")).agg(F.sum("m").alias("m_below"))
-    joined = nodes.join(presentation, ["host", "node"], "left").join(texts, ["host", "node"], "left").join(below, ["host", "node"], "left")
+    joined = nodes.join(presentation, ["host", "node"], "left").join(texts, ["host", "node"], "left").withColumn("content", 1 - F.col("mean_n") / F.col("m")).join(below, ["host", "node"], "left")
     # A node may have several style nodes on one page: the logarithm is to the base of all of them.
     own = joined.select(
         "host", "node", "parent", "depth", "m",
@@ -404,7 +405,7 @@ def low_parts(seen: DataFrame, low: float = LOW) -> DataFrame:
     """(host, part): nodes, and blocks as node xor block number, of low importance on their host."""
     branches = importance(seen).where(F.col("importance") <= low).select("host", F.col("node").alias("part"))
     pages_with = seen.where("kind = 0").groupBy("host", "node").agg(F.sum("n").alias("m"))
-    blocks = seen.where("kind = 2").join(pages_with, ["host", "node"])
+    blocks = seen.where("kind = 2 and n > 1").join(pages_with, ["host", "node"])
     repeated = blocks.where(weighed(1 - F.col("n") / F.col("m"), F.col("m")) <= 1 - REPEATED).select("host", F.expr("node ^ value").alias("part"))
     return branches.union(repeated)
 
@@ -418,7 +419,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     columns are ignored; an empty table gives an empty result.  Without ``tree`` the priors act alone.
     """
     types = dict(pages.dtypes)
-    rows = pages.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{url_col}`").alias("__url"), F.col(f"`{html_col}`").alias("__html")).withColumn("__host", _host(F.col("__url")))
+    rows = bounded(pages).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{url_col}`").alias("__url"), F.col(f"`{html_col}`").alias("__html")).withColumn("__host", _host(F.col("__url")))
     names, kinds = [id_col, url_col, "text", "n_chars"], f"`{id_col}` {types[id_col]}, `{url_col}` {types[url_col]}, text string, n_chars long"
 
     def finished(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:

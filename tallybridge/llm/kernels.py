@@ -137,7 +137,7 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), offsets
 
 
-def steps(batch: pa.RecordBatch, text: str, step_bytes: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def steps(batch: pa.RecordBatch, text: str | int, step_bytes: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Row ranges of a batch of about step_bytes of text: first row, last row, bytes, bounds."""
     data, offsets = text_buffers(batch.column(text))
     row = 0

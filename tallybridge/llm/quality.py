@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybridge.llm.common import bounded
 from tallybridge.llm.kernels import steps, text_buffers
 
 WIDTH, STRIDE, BLOCK = 8, 4, 64  # bytes of a window, bytes between windows, windows of half a chunk
@@ -200,16 +201,19 @@ def classify(docs: DataFrame, net: Network, keep: list[str], text_col: str = "te
     Null and empty texts are scored as an empty text; rows that repeat are scored each; an empty
     table gives an empty result; columns called like ours are left out unless kept.
     """
-    picked = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text"))
+    # The text goes to the tasks once, whether it is kept or not.
+    own = [F.col(f"`{c}`") for c in keep]
+    picked = bounded(docs).select(*own, *([] if text_col in keep else [F.col(f"`{text_col}`").alias("__text")]))
+    text_at = keep.index(text_col) if text_col in keep else len(keep)
     sent = docs.sparkSession.sparkContext.broadcast(net)  # some 50 kB, whatever the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [score(sent.value, data, offsets) for _, _, data, offsets in steps(batch, "__text", _STEP)]
+            scores = [score(sent.value, data, offsets) for _, _, data, offsets in steps(batch, text_at, _STEP)]
             s = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], names=[*keep, "score", "predicted"])
 
-    fields = ", ".join(f"`{c}` {t}" for c, t in picked.select(*keep).dtypes)
+    fields = ", ".join(f"`{c}` {t}" for c, t in picked.select(*own).dtypes)
     return picked.mapInArrow(run, f"{fields + ', ' if fields else ''}score double, predicted int")
 
 
