@@ -62,8 +62,8 @@ def pack(ids: np.ndarray, ends: np.ndarray) -> bytes:
 class Shard:
     """Reader of one shard: ``shard[i]`` is random access, ``decode()`` gives all ids."""
 
-    def __init__(self, payload: bytes):
-        if payload[:8] != MAGIC:
+    def __init__(self, payload: bytes | pa.Buffer):
+        if bytes(memoryview(payload)[:8]) != MAGIC:
             raise ValueError("not a token-id shard")
         n_docs, self.n_ids, levels = struct.unpack_from("<QQQ", payload, 8)
         self.ends = np.frombuffer(payload, "<u8", n_docs, 32).astype(np.int64)
@@ -265,6 +265,36 @@ def read_shards(spark: SparkSession, out: str, id_col: str = "doc_id") -> DataFr
     return shards.select("part", "local_start", "keys", "payload").mapInArrow(run, f"{id_col} {kind}, start long, n_tokens long, ids_crc32 long")
 
 
+def read_tokens(spark: SparkSession, out: str, wanted: DataFrame, position_col: str = "position") -> DataFrame:
+    """(position, token) of single ids, by their number (from 0) over all documents of a shard table.
+
+    Numbers are sent to the shard that holds them and read there by rank, a few bytes each; no
+    shard is decoded.  Numbers outside the table, and nulls, give no row; repeats count once.
+    """
+    shards = spark.read.parquet(out)
+    starts, total = [], 0
+    for part, n in sorted(map(tuple, shards.groupBy("part").agg(F.sum("n_ids")).collect())):
+        starts, total = [*starts, (part, total)], total + n
+    if not starts:
+        return spark.createDataFrame([], "position long, token long")
+    first = spark.createDataFrame(starts, "part int, part_start long")
+    placed = shards.join(F.broadcast(first), "part").withColumn("start", F.col("part_start") + F.col("local_start"))
+    # A number meets the shards of its stretch of SHARD_IDS numbers; a shard lies in a few stretches.
+    stretch = lambda c: F.floor(c / SHARD_IDS).cast("long")
+    spans = placed.where("n_ids > 0").select("part", "seq", "start", "n_ids", F.explode(F.sequence(stretch(F.col("start")), stretch(F.col("start") + F.col("n_ids") - 1))).alias("stretch"))
+    asked = wanted.select(F.col(f"`{position_col}`").cast("long").alias("position")).where("position >= 0").distinct().withColumn("stretch", stretch(F.col("position")))
+    held = asked.join(spans, "stretch").where("position >= start and position < start + n_ids")
+    by_shard = held.groupBy("part", "seq", "start").agg(F.sort_array(F.collect_list("position")).alias("positions"))  # at most a shard's ids
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, positions, payload in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                shard, positions = Shard(payload.as_buffer()), positions.as_py()
+                yield pa.RecordBatch.from_arrays([pa.array(positions, pa.int64()), pa.array([shard[p - start] for p in positions], pa.int64())], names=["position", "token"])
+
+    return by_shard.join(shards.select("part", "seq", "payload"), ["part", "seq"]).select("start", "positions", "payload").mapInArrow(run, "position long, token long")
+
+
 def tokenise(docs: DataFrame, path: str, end_id: int, out: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the shard table (in the shared folder unless ``out`` is given) and read it back."""
     out = out or fresh_path(docs.sparkSession, "token-ids")

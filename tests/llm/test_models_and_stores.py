@@ -108,7 +108,7 @@ def test_quality_edge_cases(spark):
 def test_a_long_text_scores_as_in_one_piece(monkeypatch):
     rng = np.random.default_rng(5)
     texts = ["".join(rng.choice(list("abc de\n"), n)) for n in (0, 255, 256, 5000, 70_000)]
-    net = quality.learn([t.encode() for t in texts], np.array([1, 0, 1, 0, 1]), epochs=1)
+    net = quality.learn([b"abc", b"de"], np.array([1, 0]), epochs=1)
     whole = quality.score_texts(net, texts)
     monkeypatch.setattr(quality, "_PIECE", 1024)
     assert np.allclose(quality.score_texts(net, texts), whole)

@@ -103,6 +103,18 @@ def test_token_files(docs, rows, empty, tmp_path):
     assert dac.tokenise(empty, path, 2, out=str(tmp_path / "e")).count() == 0
 
 
+def test_single_tokens_by_their_number(spark, docs, rows, tmp_path, monkeypatch):
+    path = tokenizer("word_bpe_49k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    dac.write_shards(docs, str(tmp_path / "t"), path, 2, shard_ids=500)
+    every = [i for r in sorted(rows + [rows[6]], key=lambda r: r[0]) for i in [*library.encode(r[1] or "", add_special_tokens=False).ids, 2]]
+    some = [*range(0, len(every), 7), len(every) - 1]
+    for grid in (1 << 17, 64):
+        monkeypatch.setattr(dac, "SHARD_IDS", grid)
+        wanted = spark.createDataFrame([(i,) for i in [*some, some[1], len(every), -1, None]], "position long")
+        assert {tuple(r) for r in dac.read_tokens(spark, str(tmp_path / "t"), wanted).collect()} == {(i, every[i]) for i in some}
+
+
 def test_codes_give_random_access():
     ids = np.random.default_rng(1).integers(0, 1 << 32, 5000, dtype=np.uint64).astype(np.uint32) >> np.random.default_rng(2).integers(0, 32, 5000).astype(np.uint32)
     shard = dac.Shard(dac.pack(ids, np.array([0, 10, 10, 5000])))
