@@ -23,7 +23,7 @@ from tallybridge.llm.common import bounded
 #: Split of a byte-level vocabulary into pieces that merges never cross (fixed value).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces that a worker remembers at most in each of two generations.
-CACHE_ENTRIES = 80_000
+CACHE_ENTRIES = 160_000
 
 
 class _Cache(dict):
