@@ -97,4 +97,66 @@ SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)
 FROM documents AS d LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE = {"op2_decontaminate": OP2, "op4_ngram_join": OP4, "op7_embeddings": OP7, "op8_substrings": OP8}
+OP12 = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS alike, list_inner_product(a.q, r.q)::BIGINT AS score
+    FROM rows AS a JOIN rows AS r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+_HEX = "'0123456789ABCDEF'"
+OP13 = f"""
+WITH RECURSIVE crc_steps(i, v, k) AS (
+    SELECT i, i, 0 FROM range(256) AS t(i)
+    UNION ALL
+    SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM crc_steps WHERE k < 8
+), crc_table AS (
+    SELECT list(v ORDER BY i) AS t FROM crc_steps WHERE k = 8
+), runs AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), '{_UPPER}', '{_LOWER}') AS run FROM documents
+), counted AS (
+    SELECT doc_id, run, count(*) AS n, hex(encode(doc_id || ':' || run)) AS x FROM runs GROUP BY doc_id, run
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(x)::BIGINT, 2), lambda i: (16 * (strpos({_HEX}, x[i + 1]) - 1) + strpos({_HEX}, x[i + 2]) - 1)::BIGINT)), lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1]))) AS h
+    FROM counted, crc_table
+), spelt AS (
+    SELECT CASE WHEN h % 97 = 0 THEN run[: h % len(run)] || run[h % len(run) + 2 :] ELSE run END AS word, n FROM hashed
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE len(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), less AS (
+    SELECT word, n, p, word[: p - 1] || word[p + 1 :] AS rest FROM words, unnest(range(1, len(word) + 1)) AS t(p)
+), pairs AS (
+    SELECT a.word, b.word AS near, b.n FROM less AS a JOIN less AS b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+    UNION
+    SELECT a.word, b.word, b.n FROM words AS a JOIN less AS b ON a.word = b.rest
+    UNION
+    SELECT b.word, a.word, a.n FROM words AS a JOIN less AS b ON a.word = b.rest
+), best AS (
+    SELECT word, count(*) AS n_near, max(n) AS form_n, arg_min(near, (-n, near)) AS form FROM pairs GROUP BY word
+), formed AS (
+    SELECT words.word, words.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= 2 * words.n THEN form END AS form, CASE WHEN form_n >= 2 * words.n THEN form_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+), walk(word, place) AS (
+    SELECT word, word FROM formed
+    UNION ALL
+    SELECT walk.word, formed.form FROM walk JOIN formed ON walk.place = formed.word WHERE formed.form IS NOT NULL
+), ends AS (
+    SELECT walk.word, walk.place AS root FROM walk JOIN formed ON walk.place = formed.word WHERE formed.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
+ORACLE = {"op2_decontaminate": OP2, "op4_ngram_join": OP4, "op7_embeddings": OP7, "op8_substrings": OP8, "op12_hard_negatives": OP12, "op13_spelling_variants": OP13}
