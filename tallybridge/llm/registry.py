@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.llm import bpe, dac, decontaminate, embeddings, html_text, mining, ngram_join, quality, secrets, spelling, substrings, token_counts
+from tallybridge.llm import bpe, dac, decontaminate, embeddings, html_text, mining, ngram_join, pii, quality, secrets, spelling, substrings, token_counts
 from tallybridge.llm.common import fresh_path, stored, table
 from tallybridge.llm.oracle import ORACLE
 
@@ -65,6 +65,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.maintained_totals(spark, counted, fresh_path(spark, "token-rollup"), "word_bpe_49k")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"), pii.fit(spark))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec_id, label = F.col("vec_id"), F.col("label")
     moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_token_counts": op10_token_counts,
+    "op11_personal_data": op11_personal_data,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_spelling_variants": op13_spelling_variants,
 }
