@@ -1,0 +1,234 @@
+"""Personal data, hard negatives and spelling variants against plain Python."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallybridge.llm import labelled_pii, mining, pii, spelling
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return pii.fit(spark)
+
+
+def _passes_luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def _base_spans(text):
+    digits = lambda m: re.sub("[^0-9]", "", m.group())
+    found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m.group().split("."))]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if 14 <= len(digits(m)) <= 19 and _passes_luhn(digits(m))]
+    found += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 10 <= len(digits(m)) <= 15]
+    return sorted(found)
+
+
+def _told(spans):
+    return ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+def _odd_texts(n, seed):
+    rng = random.Random(seed)
+    parts = ["a@b.cd", "x@y", "@", ".", "_", "-", " ", "+", "(", ")", "4111 1111 1111 1111", "41111111-11111111", "1.2.3.4", "300.1.1.1", "0001.02.3.004", "+1 (017) 555-7713", "+44 20 7946 0958", "12", "7", "é", "日本", "😀", "Ä", "\n", "q", "%", "e.f@g-h.i.j", "--", "5", "0", "99"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(n)]
+
+
+def test_base_spans_are_those_of_the_plain_patterns(spark, model):
+    texts = _odd_texts(400, 3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.report(docs, model).collect():
+        base = _base_spans(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for _, k, _ in base) for i in range(4)], texts[r.doc_id]
+        assert r.base_sha256 == hashlib.sha256(_told(base).encode()).hexdigest()
+        assert set(filter(None, _told(base).split(","))) <= set(r.spans.split(","))
+
+
+def test_added_spans_overlap_nothing(spark, model):
+    texts = _odd_texts(300, 9) + [t for t, _, _ in labelled_pii.labelled_texts(2, seed=77)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    some = 0
+    for r in pii.find(docs, model, ["doc_id"]).collect():
+        for s in r["__added"]:
+            some += 1
+            others = [(o.start, o.end) for o in [*r["__base"], *r["__added"]] if o is not s]
+            assert all(s.end <= a or s.start >= b for a, b in others)
+    assert some > 50
+
+
+def test_unseen_values_are_found_and_what_looks_like_them_is_not(spark, model):
+    rows = labelled_pii.labelled_texts(6, seed=1234)
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(rows)], "doc_id long, text string")
+    hits = wrong = wanted = 0
+    for r in pii.report(docs, model).collect():
+        text, _, truth = rows[r.doc_id]
+        truth = {f"{k}:{a}:{b}" for k, a, b in truth}
+        got = set(filter(None, r.spans.split(","))) - set(_told(_base_spans(text)).split(","))
+        truth -= set(_told(_base_spans(text)).split(","))
+        hits, wrong, wanted = hits + len(got & truth), wrong + len(got - truth), wanted + len(truth)
+    assert hits > 0.8 * wanted and wrong < 0.05 * hits, (hits, wrong, wanted)
+
+
+def test_labelled_texts_of_the_caller_train_as_well(spark):
+    rows = [(f"badge {i:03d}-11-{1000 + i} of it", i % 4, [("id", 6, 17)]) for i in range(120)] + [(f"room {i:03d}-11-{1000 + i} of it", i % 4, []) for i in range(120)]
+    texts = spark.createDataFrame(rows, "text string, fold int, spans array<struct<kind:string,start:int,end:int>>")
+    other = pii.fit(spark, texts)
+    # The words before it are no feature, so badge and room are told apart by nothing: no id is added.
+    assert other.thresholds[pii.KINDS.index("id")] > 1
+
+
+def test_long_texts_with_many_spans(spark, model):
+    text = " ".join(f"u{i}@h{i % 7}.org 10.0.{i % 256}.1" for i in range(1500))
+    docs = spark.createDataFrame([(1, text), (2, None), (3, ""), (None, "a@b.cd"), (3, "")], "doc_id long, text string").withColumn("__base", F.lit(1)).withColumn("c0", F.lit("x"))
+    rows = {(r.doc_id, i): r for i, r in enumerate(pii.report(docs, model).collect())}
+    assert [r.n_email for r in rows.values()] == [1500, 0, 0, 1, 0] and [r.spans for r in rows.values()][1:] == ["", "", "email:0:6", ""]
+    assert rows[1, 0].spans == _told(_base_spans(text))
+    back = [r.text for r in pii.redact(docs, model).collect()]
+    assert back[0] == " ".join(["[EMAIL] [IP]"] * 1500) and back[1:] == [None, "", "[EMAIL]", ""]
+    assert pii.redact(docs, model).columns == docs.columns
+    assert pii.report(docs.limit(0), model).count() == 0
+
+
+def test_personal_data_runs_no_python(spark, model):
+    docs = spark.createDataFrame([(1, "a@b.cd")], "doc_id long, text string")
+    plan = pii.report(docs, model)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def _mined(rows, positives=5, negatives=3):
+    rows = {(i, lab, None if v is None else tuple(v)) for i, lab, v in rows}
+    rows = [(i, lab, [int(np.floor(256 * x)) for x in v]) for i, lab, v in rows if None not in (i, lab, v) and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for i, lab, v in rows:
+        if i % 50:
+            continue
+        scored = [(-sum(a * b for a, b in zip(v, w, strict=True)), j, m) for j, m, w in rows if len(w) == len(v)]
+        for s, p, _ in sorted(x for x in scored if x[2] == lab and x[1] != i)[:positives]:
+            fits = sorted(x for x in scored if x[2] != lab and 50 * -s <= 100 * -x[0] <= 95 * -s)[:negatives]
+            out += [(i, p, k + 1, n, -s, -t) for k, (t, n, _) in enumerate(fits)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("group_numbers", [1 << 20, 300])
+def test_hard_negatives_equal_brute_force(spark, group_numbers):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(700):
+        v = np.round(rng.normal(0.3, 0.4, 4), 1 if i % 3 else 3).astype(np.float32).tolist()
+        rows.append((i - 100, int(rng.integers(0, 3)) if i % 31 else None, None if i % 37 == 0 else [*v[:3], None] if i % 41 == 0 else [*v[:3], float("nan")] if i % 43 == 0 else v[: 2 + i % 3] if i % 11 == 0 else v))
+    rows += rows[150:250] + [(None, 1, [1.0, 1.0, 1.0, 1.0]), (50, 2, [0.5, 0.5, 0.5, 0.5]), (0, 1, []), (7, 1, [])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").withColumn("score", F.lit("x")).withColumn("id", F.lit(None).cast("int"))
+    got = sorted(tuple(r) for r in mining.hard_negatives(df, F.col("vec_id") % 50 == 0, group_numbers=group_numbers).collect())
+    assert got == _mined(rows) and len(got) > 50
+
+
+def test_hard_negatives_of_large_numbers_and_of_nothing(spark):
+    big = [(0, 0, [3e12, 1.0]), (1, 0, [3e12, 2.0]), (2, 1, [2.5e12, 5.0]), (3, 1, [2.0e12, 0.5]), (4, 1, [1e300, 0.0])]
+    df = spark.createDataFrame(big, "vec_id long, label int, embedding array<double>")
+    got = [tuple(r)[:4] for r in mining.hard_negatives(df, F.col("vec_id") == 0).collect()]
+    assert got == []  # every score is beyond a long, so all are equal and none is below 95 hundredths
+    assert mining.hard_negatives(df.limit(0), F.col("vec_id") == 0).count() == 0
+    fine = [(i, lab, [x / 2**30 for x in v]) for i, lab, v in big[:4]]
+    df = spark.createDataFrame(fine, "vec_id long, label int, embedding array<double>")
+    assert sorted(tuple(r) for r in mining.hard_negatives(df, F.col("vec_id") % 50 == 0).collect()) == _mined(fine)
+
+
+def _variants(rows):
+    counts = collections.Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{i}:{run}".encode())
+            if i is not None and h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+        short, long = sorted((a, b), key=len)
+        return len(long) == len(short) + 1 and any(long[:p] + long[p + 1 :] == short for p in range(len(long)))
+
+    around = {w: [x for x in words if abs(len(x) - len(w)) < 2 and near(w, x)] for w in words}
+    form = {}
+    for w, others in around.items():
+        best = min(others, key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best and words[best] >= 2 * words[w] else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n, len(around[w]), words[form[w]] if form[w] else None))
+    return sorted(out)
+
+
+def _spelling_rows(seed=4):
+    rng = random.Random(seed)
+    letters = "abcdeéÿ×"
+    base = ["".join(rng.choice(letters) for _ in range(rng.randint(4, 8))) for _ in range(60)]
+    rows = []
+    for i in range(400):
+        words = []
+        for _ in range(20):
+            w = rng.choice(base[: 1 + rng.randint(0, 59)])
+            if rng.random() < 0.4:
+                p = rng.randrange(len(w) + 1)
+                w = rng.choice([w[:p] + rng.choice(letters) + w[p:], w[:p] + w[p + 1 :], w[:p] + rng.choice(letters) + w[p + 1 :]])
+            words.append(w.upper() if rng.random() < 0.1 else w)
+        rows.append((i, rng.choice([" ", "\n", "1", "_"]).join(words)))
+    return rows + [(None, rows[0][1]), (5, None), (6, ""), rows[1], (7, "aaaaa" * 3000 + " €" + "bcdea " * 5), (8, "é" * 70 + " " + "é" * 69), (9, "é" * 70 + " " + "é" * 69), (10, "é" * 70 + " " + "é" * 69)]
+
+
+@pytest.mark.parametrize("class_words", [50_000, 40, 2])
+def test_spelling_variants_equal_brute_force(spark, class_words):
+    rows = _spelling_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumn("word", F.lit(1)).withColumn("n", F.lit(2))
+    got = spelling.group_variants(docs, class_words=class_words)
+    assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    want = _variants(rows)
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 200
+
+
+def test_spelling_of_nothing_and_forms_of_forms(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert spelling.group_variants(none).count() == 0
+    # Each word is near the next only, and half as frequent: 12 steps to the root.
+    chain = ["abcdefghijklmn"[: 5 + k] for k in range(9)]
+    text = " ".join(" ".join([w] * (3 << k)) for k, w in enumerate(chain))
+    docs = spark.createDataFrame([(None, text)], "doc_id long, text string")
+    rows = {r.word: r for r in spelling.group_variants(docs).collect()}
+    assert [rows[w].form for w in chain] == [*chain[1:], None] and {r.root for r in rows.values()} == {chain[-1]}
+
+
+def test_one_leaf_larger_than_a_task_is_dealt_in_pieces(spark):
+    rng = random.Random(1)
+    # All of one vector: the same letters in other orders.
+    words = {"".join(rng.sample("etaoinsr", 8)) for _ in range(400)}
+    words |= {w[:3] + w[4:] for w in list(words)[:60]} | {w[:2] + "q" + w[3:] for w in list(words)[60:120]}
+    docs = spark.createDataFrame([(None, " ".join(sorted(words) * 3))], "doc_id long, text string")
+    want = _variants([(None, " ".join(sorted(words) * 3))])
+    assert sorted(map(tuple, spelling.group_variants(docs, class_words=20).collect())) == want
+    assert sum(r[4] for r in want) > 100
+
+
+def test_crc_of_ranges_is_that_of_zlib():
+    rng = np.random.default_rng(0)
+    data = rng.integers(0, 256, 5000).astype(np.uint8)
+    begin = rng.integers(0, 4000, 300)
+    length = np.concatenate([rng.integers(0, 12, 280), rng.integers(40, 900, 20)])
+    seeds = rng.integers(0, 2**32, 300, dtype=np.uint32)
+    got = spelling.crc32(seeds, data, begin, length)
+    assert got.tolist() == [zlib.crc32(data[b : b + n].tobytes(), int(s)) for s, b, n in zip(seeds, begin, length, strict=True)]
