@@ -75,17 +75,20 @@ def leading_text(x: Column) -> Column:
     return strip(F.regexp_replace(x, rf"(?s){TAG}.*$", ""))
 
 
-def plain_text(x: Column) -> Column:
-    """Text of raw markup: CDATA unwrapped, tags off, references decoded once, stripped."""
+def unwrapped(x: Column) -> Column:
+    """Markup without comments, and with CDATA sections as text: their own marks are references then."""
     kept = F.regexp_replace(x, r"(?s)<!--.*?-->", "")
-    # What stands in CDATA is text: its own marks are turned into references before tags go.
     cdata = F.regexp_extract_all(kept, F.lit(r"(?s)<!\[CDATA\[(.*?)\]\]>"), F.lit(1))
 
     def unwrap(text: Column, inner: Column) -> Column:
         escaped = F.replace(F.replace(F.replace(inner, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
         return F.replace(text, F.concat(F.lit("<![CDATA["), inner, F.lit("]]>")), escaped)
 
-    x = F.regexp_replace(F.aggregate(cdata, kept, unwrap), TAG, "")
+    return F.aggregate(cdata, kept, unwrap)
+
+
+def decoded(x: Column) -> Column:
+    """Text with its character references decoded once."""
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")):
         x = F.replace(x, F.lit(entity), F.lit(char))
     references = F.array_distinct(F.regexp_extract_all(x, F.lit("&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(0)))
@@ -96,7 +99,12 @@ def plain_text(x: Column) -> Column:
         code = F.lpad(F.when(hexadecimal, digits).otherwise(F.hex(digits.try_cast("long"))), 8, "0")
         return F.replace(text, reference, F.coalesce(F.decode(F.unhex(code), "UTF-32"), reference))
 
-    return strip(F.replace(F.aggregate(references, x, decode), F.lit("&amp;"), F.lit("&")))
+    return F.replace(F.aggregate(references, x, decode), F.lit("&amp;"), F.lit("&"))
+
+
+def plain_text(x: Column) -> Column:
+    """Text of raw markup: CDATA unwrapped, tags off, references decoded once, stripped."""
+    return strip(decoded(F.regexp_replace(unwrapped(x), TAG, "")))
 
 
 def category_key(x: Column) -> Column:

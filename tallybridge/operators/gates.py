@@ -1,6 +1,6 @@
 """Gates of a snapshot: what must hold of a feed as a whole before any of its rows is used.
 
-A snapshot is a row of facts (``FACTS``), counted by row-tag scans of the landed file.  Every gate
+A snapshot is a row of facts (``FACTS``), counted in the landed file (``sources.structure``).  Every gate
 gives (supplier, rule, row_key) like the row rules, so that one supplier's broken feed blocks
 that supplier and no other.
 """
@@ -22,7 +22,7 @@ def snapshot_gates(snapshots: DataFrame, policy: DataFrame) -> DataFrame:
 
     snapshots: FACTS, with ``root_wanted`` and ``adapter`` as the adapter has them; policy:
     (supplier, min_items, max_items, max_bytes).  A fact that is null does not pass its gate;
-    a snapshot without a policy row is rejected as such.
+    a snapshot without a policy row is rejected as such.  Facts that come from a file also have ``broken``.
     """
     rows = snapshots.join(policy.select("supplier", "min_items", "max_items", "max_bytes"), "supplier", "left")
     one = lambda c: F.col(c) == 1
@@ -41,6 +41,8 @@ def snapshot_gates(snapshots: DataFrame, policy: DataFrame) -> DataFrame:
         ("content_hash_form", F.col("content_sha256").rlike(SHA256_HEX)),
         ("content_hash_equal", F.col("content_sha256") == F.col("source_sha256")),
     ]
+    if "broken" in snapshots.columns:
+        gates.append(("well_formed", ~F.col("broken")))
     failed = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in gates]))
     return rows.select("supplier", F.explode(failed).alias("rule"), F.col("content_sha256").alias("row_key"))
 

@@ -10,15 +10,15 @@ from __future__ import annotations
 import csv
 import io
 import re
-import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallybridge.functions import markup
 from tallybridge.functions.text import available, boolean_token, element_text, images, leading_text, one_or_conflict, plain_text, quantity, strict_decimal, strip
 
 #: Header names a catalogue file must have (fixed value).
@@ -64,8 +64,8 @@ def read_offers(spark: SparkSession, path: str, m: Mapping, encoding: str = "utf
     return spark.read.format("xml").option("rowTag", "offer").option("encoding", encoding).schema(offer_schema(m)).load(path).withColumn("source_file", F.input_file_name())
 
 
-def normalise(raw: DataFrame, m: Mapping) -> DataFrame:
-    """Typed offers of raw ones; ``conflicts``, the fields whose repeated elements differ; and
+def normalise(raw: DataFrame, m: Mapping, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed offers of raw ones, after the columns ``keep``; ``conflicts``, the fields whose repeated elements differ; and
     ``refused``, the rules that a value breaks: a token or a number that is none, a price that
     is not above 0 (type 1: an absent price is 0), a blank or unclean id."""
 
@@ -102,6 +102,7 @@ def normalise(raw: DataFrame, m: Mapping) -> DataFrame:
     refused = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules]))
     warnings = F.when(several, F.array(F.lit("ambiguous_ean"))).otherwise(F.array().cast("array<string>")) if m.ean_conflict_warns else F.array().cast("array<string>")
     return raw.select(
+        *keep,
         F.col("_id").alias("supplier_item_id"),
         F.concat(F.lit(m.sku_prefix), "_id").alias("catalog_sku"),
         *[found[k][0].alias(k) for k in ("name", "manufacturer", "mpn")],
@@ -148,28 +149,29 @@ def read_fragments(spark: SparkSession, path: str, closing: str = "</offer>") ->
 def fragment_elements(fragments: DataFrame, text_col: str = "fragment") -> DataFrame:
     """Adds ``elements``: array<struct<key, value>> in document order, names as in the raw map:
     @attr of the offer, child tag, tag@attr, and param:<name>; unparsable fragments give null."""
-    schema = "elements array<struct<key:string,value:string>>"
-
-    def parse(text: str | None):
-        if re.search(r"<!(?!--)", re.sub(r"(?s)<!\[CDATA\[.*?\]\]>", "", text or "")):  # declarations: no entity is expanded
-            return None
-        try:
-            root = ET.fromstring(text or "")
-        except ET.ParseError:
-            return None
-        out = [{"key": f"@{k}", "value": v} for k, v in root.attrib.items()]
-        for child in root:
-            key = f"param:{child.attrib.get('name') or 'unnamed'}" if child.tag == "param" else child.tag
-            out.append({"key": key, "value": "".join(child.itertext()).strip()})
-            out += [{"key": f"{key}@{k}", "value": v} for k, v in child.attrib.items() if child.tag != "param"]
-        return out
+    return fragments.withColumn("elements", markup.elements(F.col(f"`{text_col}`")))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf["elements"] = [parse(t) for t in pdf[text_col]]
-            yield pdf
 
-    return fragments.mapInPandas(run, ", ".join([*(f"`{c}` {t}" for c, t in fragments.dtypes), schema]))
+def read_placed(spark: SparkSession, path: str, tag: str = "offer") -> DataFrame:
+    """(source_file, position, fragment, supplier partition columns if the folders have them): the elements of a tag with their place
+    in the file, from 1.
+
+    Files are cut at the closing tag and may have any number of splits: a piece's place is its number in the split,
+    after the pieces of the splits before, which are counted first.  The pieces themselves are not shuffled.  A closing tag in
+    CDATA or a comment cuts an element in two, which then cannot be parsed (its elements are null).
+    """
+    closing = f"</{tag}>"
+    pieces = spark.read.option("lineSep", closing).text(path)
+    more = [c for c in pieces.columns if c != "value"]
+    split = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("__start")]
+    pieces = pieces.select(*split, F.monotonically_increasing_id().alias("__at"), *more, "value")
+    sizes = pieces.groupBy("source_file", "__start").agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
+    earlier = Window.partitionBy("source_file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("source_file", "__start", "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    placed = pieces.join(before, ["source_file", "__start"])
+    start = F.regexp_extract("value", rf"(?s)<{tag}\b.*$", 0)
+    position = F.col("__before") + F.col("__at") - F.col("__first") + 1
+    return placed.where(start != "").select("source_file", position.alias("position"), *more, F.concat(start, F.lit(closing)).alias("fragment"))
 
 
 def attribute_map(elements: Column) -> Column:
