@@ -82,7 +82,7 @@ def ledger_append(ledger: DataFrame, landed: DataFrame, contract: list[str]) ->
     """(new rows, conflicts): content that is not in the ledger yet, once; and content that is,
     with other contract columns."""
     key = ["supplier", "content_sha256"]
-    first = Window.partitionBy(*key).orderBy("feed_date", *contract)
+    first = Window.partitionBy(*key).orderBy("feed_date", *contract, *[c for c in landed.columns if c not in (*key, "feed_date", *contract)])
     once = landed.withColumn("turn", F.row_number().over(first)).where("turn = 1").drop("turn")
     new = once.join(ledger.select(*key), key, "left_anti")
     pairs = landed.alias("n").join(ledger.alias("o"), key)
