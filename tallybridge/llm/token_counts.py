@@ -7,108 +7,88 @@ the signed count of every document the batch touched, in buckets of the document
 sum of the deltas; a batch looks up its own documents in their buckets only, so its cost follows the
 batch and not the history.  After COMPACT_AFTER batches the tables are summed into one.
 
-A batch is committed by one small file, created under a name that only one writer can create and
-naming the folder it wrote.  A batch that is already there changes nothing, so a retried or replayed
-batch counts once, and of two writers of one batch one counts; what a broken run left without a
-commit is never read.
+Batches and compactions are versions of a commit log (``functions.commits``): a folder counts once a version names it,
+a version is published whole or not at all, and a batch that is already there changes nothing.  Another writer's
+batch that came in between may have touched the same documents, so the batch is then worked out anew; a compaction changes no
+sum and lets it stand.  A compaction whose folders another one has replaced is worked out anew as well.  What a
+broken run left without a version is never read.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
-import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybridge.functions.commits import CommitLog, Part, State, fresh_part
 from tallybridge.llm.common import discard, stored
 
 KEYS = ["source", "lang", "tokenizer"]
 SUMS = ["n_docs", "n_tokens"]
-BUCKETS, COMPACT_AFTER = 32, 32
+#: Documents of a batch that a bucket of its ledger is to hold, and the fewest buckets.
+BUCKET_DOCS, LEAST_BUCKETS = 500_000, 8
+COMPACT_AFTER = 32
 #: A group of copies of more than one row in so many (and of 64) is joined by a broadcast: at most so many.
 LARGE_GROUP = 10_000
 _LEDGER = "doc_id long, source string, lang string, tokenizer string, n_docs long, n_tokens long, bucket int"
 _DELTAS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
-_COMMITS = "batch string, folder string, replaces array<string>"
+
+
+def _bucket(n: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")
 
 
 class Rollup:
     """Token totals in the folder ``path`` of a store that driver and executors share."""
 
-    def __init__(self, spark: SparkSession, path: str, n_buckets: int = BUCKETS, compact_after: int = COMPACT_AFTER):
-        self.spark, self.path, self.n_buckets, self.compact_after = spark, path.rstrip("/"), n_buckets, compact_after
-
-    def _at(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def _exists(self, name: str) -> bool:
-        fs, path = self._at(name)
-        return fs.exists(path)
-
-    def _bucket(self) -> Column:
-        """Documents without an id are never looked up: they are dealt by what else they have."""
-        return F.pmod(F.coalesce(F.xxhash64(F.col("doc_id")) + F.when(F.col("doc_id").isNotNull(), 0), F.xxhash64(*KEYS, "n_tokens")), F.lit(self.n_buckets)).cast("int")
-
-    def _commit_name(self, batch: str) -> str:
-        return f"commits/{hashlib.sha256(batch.encode()).hexdigest()}.json"
-
-    def _commit(self, batch: str, folder: str, replaces: list[str]) -> bool:
-        fs, path = self._at(self._commit_name(batch))
-        if fs.exists(path):
-            return False
-        try:
-            out = fs.create(path, False)
-        except Exception:  # another writer was first
-            if fs.exists(path):
-                return False
-            raise
-        out.write(json.dumps({"batch": batch, "folder": folder, "replaces": replaces}).encode())
-        out.close()
-        return True
-
-    def commits(self) -> DataFrame:
-        if not self._exists("commits"):
-            return self.spark.createDataFrame([], _COMMITS)
-        return self.spark.read.schema(_COMMITS).json(f"{self.path}/commits")
+    def __init__(self, spark: SparkSession, path: str, n_buckets: int | None = None, compact_after: int = COMPACT_AFTER, snapshot_every: int = 16):
+        self.spark, self.n_buckets, self.compact_after = spark, n_buckets, compact_after
+        self.log = CommitLog(spark, path, snapshot_every)
 
     def folders(self) -> list[str]:
-        """Folders that count: committed and not summed up in another (COMPACT_AFTER or so)."""
-        every = self.commits()
-        gone = every.select(F.explode("replaces").alias("folder"))
-        return sorted(r[0] for r in every.join(gone, "folder", "left_anti").select("folder").collect())
-
-    def _table(self, name: str, schema: str) -> DataFrame:
-        paths = [f"{self.path}/{f}/{name}" for f in self.folders()]
-        if not paths:
+        """Folders that count."""
+        return [p.folder for p in self.log.state().parts]
+
+    def _table(self, name: str, schema: str, parts: tuple[Part, ...]) -> DataFrame:
+        if not parts:
             return self.spark.createDataFrame([], schema)
-        parts = [self.spark.read.schema(schema).parquet(p) for p in paths]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.union(p)
-        return out
+        return reduce(DataFrame.union, [self.spark.read.schema(schema).parquet(self.log.place(f"{p.folder}/{name}")) for p in parts])
 
-    def held(self, rows: DataFrame) -> DataFrame:
+    def held(self, rows: DataFrame, state: State) -> DataFrame:
         """(doc_id, source, lang, tokenizer, n_docs, n_tokens): what the ledger holds of the documents
         and tokenizers in ``rows``; only their buckets are read."""
-        asked = rows.where("doc_id is not null").select(F.col("doc_id").alias("d"), F.col("tokenizer").alias("t"), self._bucket().alias("b")).distinct()
-        some = [r[0] for r in asked.select("b").distinct().collect()]  # at most n_buckets
-        ledger = self._table("ledger", _LEDGER).where(F.col("bucket").isin(some))
-        found = ledger.join(asked, (ledger["doc_id"] == asked["d"]) & ledger["tokenizer"].eqNullSafe(asked["t"]), "left_semi")
-        return found.groupBy("doc_id", *KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where("n_docs <> 0 or n_tokens <> 0")
+        asked = rows.where("doc_id is not null").select("doc_id", F.col("tokenizer").alias("t")).distinct()
+        found = []
+        for n in sorted({p.note["buckets"] for p in state.parts}):
+            some = [r[0] for r in asked.select(_bucket(n)).distinct().collect()]  # at most n
+            found.append(self._table("ledger", _LEDGER, tuple(p for p in state.parts if p.note["buckets"] == n)).where(F.col("bucket").isin(some)))
+        ledger = reduce(DataFrame.union, found)
+        asked = asked.withColumnRenamed("doc_id", "d")
+        mine = ledger.join(asked, (ledger["doc_id"] == asked["d"]) & ledger["tokenizer"].eqNullSafe(asked["t"]), "left_semi")
+        return mine.groupBy("doc_id", *KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where("n_docs <> 0 or n_tokens <> 0")
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) over the committed batches; groups of no
         document are left out."""
-        return self._table("deltas", _DELTAS).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where("n_docs <> 0 or n_tokens <> 0")
+        return self._table("deltas", _DELTAS, self.log.state().parts).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where("n_docs <> 0 or n_tokens <> 0")
 
     def _write(self, folder: str, signed: DataFrame) -> None:
-        at = f"{self.path}/{folder}"
-        signed.withColumn("bucket", self._bucket()).repartition("bucket").write.partitionBy("bucket").parquet(f"{at}/ledger")
-        written = self.spark.read.schema(_LEDGER).parquet(f"{at}/ledger")
-        written.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).write.parquet(f"{at}/deltas")
+        signed.repartition("bucket").write.partitionBy("bucket").parquet(self.log.place(f"{folder}/ledger"))
+        signed.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).write.parquet(self.log.place(f"{folder}/deltas"))
+
+    def _written(self, signed: DataFrame) -> tuple[str, dict]:
+        """The signed rows in a folder of their own, in buckets that follow their number."""
+        rows = stored(signed, "token-signed")
+        n = self.n_buckets
+        if n is None:
+            n, wanted = LEAST_BUCKETS, rows.count() / BUCKET_DOCS
+            while n < wanted:
+                n *= 2
+        folder = fresh_part()
+        self._write(folder, rows.withColumn("bucket", _bucket(n)))
+        discard(rows)
+        return folder, {"buckets": n}
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
         """Commit a batch of (change, doc_id, source, lang, tokenizer, n_tokens); False if it was
@@ -120,32 +100,45 @@ class Rollup:
         that is inserted again counts once, by its last insert.  Rows of a document that repeat
         within a batch count once; rows of one document that differ are added each.  A null doc_id
         is a document of its own on every row, which cannot be found again: it can be inserted,
-        not deleted or revised.  Null keys are groups of their own; a null n_tokens adds 0; other
+        not deleted or revised, and the ledger keeps the sums of such rows.  Null keys are groups of their own; a null n_tokens adds 0; other
         columns are ignored; an empty batch is committed without effect; a batch may have any name.
+
+        A writer that is lost before its version is published leaves the batch to be committed by the next; of
+        several writers of one batch one counts; batches of several writers count in the order of their versions.
         """
-        if self._exists(self._commit_name(batch)):
-            return False
         rows = changes.where("change in ('insert', 'delete', 'revise')").select("change", F.col("doc_id").cast("long").alias("doc_id"), *[F.col(k).cast("string").alias(k) for k in KEYS], F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)).alias("n_tokens"))
         known = rows.where("doc_id is not null").distinct()
-        added = known.where("change <> 'delete'").drop("change").distinct().union(rows.where("doc_id is null and change = 'insert'").drop("change"))
-        signed = added.select("doc_id", *KEYS, F.lit(1).cast("long").alias("n_docs"), "n_tokens")
-        if self._exists("commits"):
-            signed = signed.union(self.held(known).select("doc_id", *KEYS, -F.col("n_docs"), -F.col("n_tokens")))
-        folder = f"data-{uuid.uuid4().hex}"
-        self._write(folder, signed)
-        done = self._commit(batch, folder, [])
+        added = known.where("change <> 'delete'").drop("change").distinct().select("doc_id", *KEYS, F.lit(1).cast("long").alias("n_docs"), "n_tokens")
+        nameless = rows.where("doc_id is null and change = 'insert'").groupBy(*KEYS).agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        signed = added.union(nameless.select(F.lit(None).cast("long").alias("doc_id"), *KEYS, *SUMS))
+
+        def make(state: State) -> tuple[list[tuple[str, dict]], list[str]]:
+            if not state.parts:
+                return [self._written(signed)], []
+            return [self._written(signed.union(self.held(known, state).select("doc_id", *KEYS, -F.col("n_docs"), -F.col("n_tokens"))))], []
+
+        def holds(before: State, after: State) -> bool:
+            kinds = after.since(before.version)
+            return kinds is not None and all(kind == "compact" for kind in kinds)
+
+        done = self.log.update(batch, make, holds)
         if done and len(self.folders()) > self.compact_after:
             self.compact()
         return done
 
     def compact(self) -> bool:
-        """Sum the folders that count into one; batches stay known by name."""
-        folders, folder = self.folders(), f"data-{uuid.uuid4().hex}"
-        ledger = self._table("ledger", _LEDGER)
-        known = ledger.where("doc_id is not null").groupBy("doc_id", *KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where("n_docs <> 0 or n_tokens <> 0")
-        self._write(folder, known.union(ledger.where("doc_id is null").drop("bucket")))
-        # Two writers that sum the same folders make the same name, and one of them counts.
-        return self._commit("compact " + " ".join(folders), folder, folders)
+        """Sum the folders that count into one; batches stay known by name.  False if there is nothing to sum."""
+
+        def make(state: State) -> tuple[list[tuple[str, dict]], list[str]] | None:
+            if len(state.parts) < 2:
+                return None
+            every = self._table("ledger", _LEDGER, state.parts).groupBy("doc_id", *KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where("n_docs <> 0 or n_tokens <> 0")
+            return [self._written(every)], [p.folder for p in state.parts]
+
+        def holds(before: State, after: State) -> bool:
+            return {p.folder for p in before.parts} <= {p.folder for p in after.parts}
+
+        return self.log.update(None, make, holds, kind="compact")
 
 
 def marked_copies(counted: DataFrame) -> DataFrame:

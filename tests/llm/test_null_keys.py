@@ -78,3 +78,82 @@ def test_copies_are_marked_alike_by_broadcast_and_shuffle(spark, monkeypatch, la
         first.setdefault(c, i)
     got = {(r["doc_id"], r["copy"]): r["is_copy"] for r in token_counts.marked_copies(spark.createDataFrame(rows, "doc_id long, copy string")).collect()}
     assert got == {(i, c): None if i is None else i > first[c] if c else False for i, c in rows}
+
+
+def _inserted(spark, *ids):
+    return spark.createDataFrame([("insert", i, "a", "en", "t", 5) for i in ids], KIND)
+
+
+def test_overlapping_compactions_count_once(spark, tmp_path, monkeypatch):
+    one, two = (token_counts.Rollup(spark, str(tmp_path / "r")) for _ in range(2))
+    for i in range(3):
+        assert one.apply(f"b{i}", _inserted(spark, i))
+    write, done = one._write, []
+
+    def late(folder, signed):
+        write(folder, signed)
+        if not done:  # while this compaction is under way another batch and another compaction are committed
+            done.append(two.apply("b3", _inserted(spark, 3)))
+            done.append(two.compact())
+
+    monkeypatch.setattr(one, "_write", late)
+    one.compact()
+    assert done == [True, True]
+    assert [tuple(r) for r in two.totals().collect()] == [("a", "en", "t", 4, 20)]
+    assert two.apply("b4", spark.createDataFrame([("delete", i, None, None, "t", None) for i in range(4)], KIND)) and two.totals().count() == 0
+
+
+def test_a_batch_worked_out_before_another_of_the_same_documents_is_worked_out_anew(spark, tmp_path, monkeypatch):
+    one, two = (token_counts.Rollup(spark, str(tmp_path / "r")) for _ in range(2))
+    one.apply("b0", _inserted(spark, 1))
+    revise = lambda n: spark.createDataFrame([("revise", 1, "a", "en", "t", n)], KIND)
+    write, done = one._write, []
+
+    def late(folder, signed):
+        write(folder, signed)
+        if not done:
+            done.append(two.apply("b1", revise(7)))
+
+    monkeypatch.setattr(one, "_write", late)
+    assert one.apply("b2", revise(9)) and done == [True]
+    assert [tuple(r) for r in one.totals().collect()] == [("a", "en", "t", 1, 9)]
+
+
+def test_a_compaction_in_between_lets_a_batch_stand(spark, tmp_path, monkeypatch):
+    one, two = (token_counts.Rollup(spark, str(tmp_path / "r")) for _ in range(2))
+    for i in range(2):
+        one.apply(f"b{i}", _inserted(spark, i))
+    write, done = one._write, []
+
+    def late(folder, signed):
+        write(folder, signed)
+        done.append(two.compact())
+
+    monkeypatch.setattr(one, "_write", late)
+    assert one.apply("b2", _inserted(spark, 1, 2)) and done == [True]
+    assert [tuple(r) for r in one.totals().collect()] == [("a", "en", "t", 3, 15)]
+
+
+def test_a_writer_lost_before_its_version_leaves_the_batch_to_the_next(spark, tmp_path, monkeypatch):
+    rollup = token_counts.Rollup(spark, str(tmp_path / "r"))
+
+    def lost(name, content):
+        (tmp_path / "r" / "_log").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "r" / "_log" / f"aside-{name[-9:-5]}").write_text('{"version": 1, "ba')
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(rollup.log, "publish", lost)
+        with pytest.raises(RuntimeError):
+            rollup.apply("b", _inserted(spark, 1))
+    assert rollup.totals().count() == 0
+    assert rollup.apply("b", _inserted(spark, 1)) and not rollup.apply("b", _inserted(spark, 1))
+    assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "t", 1, 5)]
+
+
+def test_batches_behind_a_snapshot_are_known(spark, tmp_path):
+    rollup = token_counts.Rollup(spark, str(tmp_path / "r"), snapshot_every=2, compact_after=2)
+    for i in range(5):
+        assert rollup.apply(f"b{i}", _inserted(spark, i, i + 1))
+    assert not any(rollup.apply(f"b{i}", _inserted(spark, 99)) for i in range(5))
+    assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "t", 6, 30)] and len(rollup.folders()) <= 3
