@@ -13,7 +13,7 @@ from tallybridge.operators import audit, categories, match, missing, pricing, re
 from tallybridge.plans.oracle import CATALOG as ORACLE
 from tallybridge.sinks import export
 from tallybridge.sources import feeds, views
-from tallybridge.streaming import missing_stream
+from tallybridge.streaming import keyed_missing, missing_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -238,6 +238,22 @@ def missing_state_stream(spark, sf):
     return _states(rows, missing_stream.read_state(spark, f"{folder}/state", number))
 
 
+def missing_keyed_stream(spark, sf):
+    """The same with the state kept by key: the stream has missing rows only, and is stopped and started again between parts."""
+    folder = fresh_folder(spark, "missing-keyed")
+    seen = stored(views.seen(spark, sf), "seen")
+    products, complete = seen.select("supplier", "product_id").distinct(), stored(_complete_runs(seen), "runs")
+    every = products.join(F.broadcast(complete))  # the missing lists of all runs, as a feed would bring them
+    gone = every.join(seen, ["supplier", "product_id", "run"], "left_anti")
+    rows = gone.select("supplier", "product_id", F.concat_ws("-", "supplier", "product_id").alias("sku"), "run", F.col("place").cast("long").alias("place"))
+    rows = rows.withColumn("part", F.floor(F.col("place") / 24).cast("int"))
+    rows.write.partitionBy("part").parquet(f"{folder}/all")
+    for part in range(complete.agg(F.max("place")).first()[0] // 24 + 1):
+        spark.read.schema(rows.schema).parquet(f"{folder}/all").where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{folder}/landed")
+        keyed_missing.run(spark.readStream.schema(rows.drop("part").schema).parquet(f"{folder}/landed"), f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
+    return _states(products, keyed_missing.current(keyed_missing.changes(spark, f"{folder}/state"), complete))
+
+
 def missing_state_step_all(spark, sf):
     return missing_state_step(spark, sf)
 
@@ -402,7 +418,7 @@ def verify_checks(spark, sf):
 _ALL = [
     match_cascade, match_status_counts, catalog_missing, match_key_multiplicity, own_key_counts, price_proposals, proposal_status_counts, price_compare,
     availability_compare, category_mapping, product_category_proposals, category_summary, review_queue, source_only, identity_coverage, feed_completeness,
-    run_summary, missing_streaks, missing_state_step, missing_state_step_all, missing_state_stream, missing_state_stream_all, quarantine_proposals, category_paths, reject_duplicates, reject_referential,
+    run_summary, missing_streaks, missing_state_step, missing_state_step_all, missing_state_stream, missing_state_stream_all, missing_keyed_stream, quarantine_proposals, category_paths, reject_duplicates, reject_referential,
     reject_row_rules, blocked_snapshots, batch_status, xml_offer_roundtrip, xml_attribute_map, property_long, property_stats, availability_resolve,
     token_parse, table_digest, seal_diff, ledger_dedupe, latest_snapshot, csv_safe_text, inline_secret_scan, url_allowlist, verify_checks,
 ]

@@ -111,6 +111,7 @@ CATALOG: dict[str, str] = {
     "missing_state_step_all": _STATE,
     "missing_state_stream": _STATE,
     "missing_state_stream_all": _STATE,
+    "missing_keyed_stream": _STATE,
     "quarantine_proposals": f"{STREAK} SELECT supplier, product_id, CAST(n AS BIGINT) AS n FROM streaks WHERE run = (SELECT max(run) FROM streaks) AND n >= 70",
     "category_paths": f"WITH RECURSIVE cats AS ({CATEGORIES_SQL}), walk AS (SELECT id, name AS path FROM cats WHERE parent_id IS NULL UNION ALL SELECT c.id, w.path || '/' || c.name FROM cats c JOIN walk w ON c.parent_id = w.id) SELECT id, path FROM walk",
     "reject_duplicates": "SELECT l_suppkey AS supplier, 'duplicate_product' AS rule, CAST(l_partkey AS VARCHAR) AS row_key FROM lineitem GROUP BY l_suppkey, l_partkey HAVING count(*) > 1",
