@@ -160,6 +160,3 @@ def canonical_json(columns: list[str]) -> Column:
     """Compact JSON of a row with its names in order."""
     return F.to_json(F.struct(*[F.col(c) for c in sorted(columns)]), {"ignoreNullFields": "false"})
 
-
-def canonical_map(m: Column) -> Column:
-    return F.map_from_entries(F.array_sort(F.map_entries(m)))

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybridge.functions.canonical import canonical_row
 from tallybridge.functions.store import stored
-from tallybridge.functions.text import canonical_json
 
 
 #: Distinct rows that a bucket of a digest is to hold in the mean, and hex digits folded at once.
@@ -31,7 +31,7 @@ def table_digest(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     follow the number of distinct rows, so what a task sorts is bounded; a row that repeats
     often is one line.
     """
-    counted = df.select(F.sha2(canonical_json(columns or df.columns), 256).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    counted = df.select(F.sha2(canonical_row(df, columns), 256).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
     counted = stored(counted, "digest")
     n_distinct, n_rows = counted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     width = digest_width(n_distinct)

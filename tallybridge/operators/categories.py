@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,31 +9,40 @@ from tallybridge.functions.store import checkpointed
 
 
 def paths(categories: DataFrame) -> DataFrame:
-    """(id, path array root first, broken): walk of the parent pointers, a join for each level.
+    """(id, path array root first, broken): walk of the parent pointers by doubled steps.
 
-    broken is unknown_parent or cycle; a sound walk may have any number of levels.  Categories
+    Every round joins the walks with themselves, so a chain of k levels takes about log2(k) rounds.  A walk that has
+    not ended after as many rounds as all ids would need leads into a cycle: it is broken (cycle) and has its own
+    name as path.  A walk that ends at a parent that is not there is broken (unknown_parent).  Ids are unique; categories
     of other suppliers or snapshots need an id that tells them apart.
     """
-    parents = categories.select(F.col("id").alias("p_id"), F.col("name").alias("p_name"), F.col("parent_id").alias("p_parent"))
-    walk = categories.select("id", F.array("name").alias("path"), F.array("id").alias("seen"), F.col("parent_id").alias("up"), F.lit(None).cast("string").alias("broken"))
-    done = None
-    for level in count(1):
-        ended = walk.where("up is null or broken is not null")
-        done = ended if done is None else done.union(ended)
-        open_ = walk.where("up is not null and broken is null")
-        if open_.isEmpty():
-            return done.select("id", "path", "broken")
-        step = open_.join(parents, F.col("up") == F.col("p_id"), "left")
-        cycle, unknown = F.array_contains("seen", F.col("up")), F.col("p_id").isNull()
-        walk = step.select(
-            "id",
-            F.when(unknown | cycle, F.col("path")).otherwise(F.concat(F.array("p_name"), "path")).alias("path"),
-            F.when(unknown | cycle, F.col("seen")).otherwise(F.concat(F.array("up"), "seen")).alias("seen"),
-            F.col("p_parent").alias("up"),
-            F.when(cycle, "cycle").when(unknown, "unknown_parent").alias("broken"),
-        )
-        if level % 8 == 0:  # a deep walk is not planned anew from its start
-            walk = checkpointed(walk)
+    rows = categories.select("id", "name", F.col("parent_id").alias("parent"))
+    known = rows.select(F.col("id").alias("__p"))
+    first = rows.join(known, F.col("parent") == F.col("__p"), "left")
+    # up: where the walk stands, null when it has ended; lost: it ended at a parent that is not there.
+    walk = checkpointed(first.select("id", "name", F.col("__p").alias("up"), (F.col("parent").isNotNull() & F.col("__p").isNull()).alias("lost"), F.lit(False).alias("endless")))
+    steps = walk.drop("name", "endless")
+    for _ in range(walk.count().bit_length()):
+        if steps.where("up is not null").isEmpty():
+            break
+        on = steps.select(F.col("id").alias("__at"), F.col("up").alias("__to"), F.col("lost").alias("__lost"))
+        steps = checkpointed(steps.join(on, F.col("up") == F.col("__at"), "left").select("id", F.col("__to").alias("up"), (F.col("lost") | F.coalesce("__lost", F.lit(False))).alias("lost")))
+    ended = steps.select(F.col("id").alias("__id"), F.col("up").isNotNull().alias("endless"), "lost")
+    known = walk.drop("endless", "lost").join(ended, F.col("id") == F.col("__id"))
+    # Names are gathered on the walks that end.
+    named = checkpointed(known.select("id", F.array("name").alias("path"), F.when(~F.col("endless"), F.col("up")).alias("up"), "endless", "lost"))
+    while not named.where("up is not null").isEmpty():
+        on = named.select(F.col("id").alias("__at"), F.col("up").alias("__to"), F.col("path").alias("__path"))
+        onward = named.join(on, F.col("up") == F.col("__at"), "left")
+        named = checkpointed(onward.select("id", F.concat(F.coalesce("__path", F.array().cast("array<string>")), "path").alias("path"), F.col("__to").alias("up"), "endless", "lost"))
+    return named.select("id", "path", F.when(F.col("endless"), "cycle").when(F.col("lost"), "unknown_parent").alias("broken"))
+
+
+def path_rejects(walked: DataFrame, used: DataFrame | None = None) -> DataFrame:
+    """(id, rule) of the broken walks of ``paths``; with ``used`` (id), the categories that offers name, only of those: the
+    dialects that look up a path when an offer needs it refuse nothing else."""
+    broken = walked.where("broken is not null").select("id", F.when(F.col("broken") == "cycle", "category_cycle").otherwise("unknown_parent").alias("rule"))
+    return broken if used is None else broken.join(used.select("id").distinct(), "id", "left_semi")
 
 
 def mapping(offers: DataFrame, matches: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -48,19 +48,21 @@ def availability_compare(offers: DataFrame, matches: DataFrame, catalog: DataFra
 
 def identity_coverage(offers: DataFrame) -> DataFrame:
     filled = lambda c: F.coalesce(c, F.lit("")) != ""
-    return offers.groupBy("supplier").agg(F.count("*").alias("source_items"), F.count_if(filled("ean")).alias("with_ean"), F.count_if(filled("mpn")).alias("with_mpn"), F.count_if(filled("manufacturer")).alias("with_manufacturer"))
+    images = [F.count_if(F.size(F.coalesce("image_urls", F.array())) > 0).alias("with_image")] if "image_urls" in offers.columns else []
+    return offers.groupBy("supplier").agg(F.count("*").alias("source_items"), *images, F.count_if(filled("ean")).alias("with_ean"), F.count_if(filled("mpn")).alias("with_mpn"), F.count_if(filled("manufacturer")).alias("with_manufacturer"))
 
 
 def completeness(offers: DataFrame, catalog: DataFrame, missing: DataFrame) -> DataFrame:
-    """Feed against catalogue scope; an empty catalogue is covered in full."""
+    """Feed against catalogue scope, ratios as decimals; an empty catalogue is covered in full."""
     rows = (
         catalog.groupBy("supplier").agg(F.count("*").alias("scope"))
         .join(offers.groupBy("supplier").agg(F.count("*").alias("source_items")), "supplier", "full")
         .join(missing.groupBy("supplier").agg(F.count("*").alias("missing")), "supplier", "left")
         .na.fill(0, ["scope", "source_items", "missing"])
     )
-    ratio = lambda n: F.when(F.col("scope") == 0, 1.0).otherwise(n / F.col("scope"))
-    return rows.select("supplier", "source_items", "scope", "missing", ratio(F.col("source_items")).alias("source_ratio"), ratio(F.col("scope") - F.col("missing")).alias("covered_ratio"), F.when(F.col("missing") == 0, "complete").otherwise("incomplete").alias("feed_status"))
+    ratio = lambda n: F.when(F.col("scope") == 0, F.lit(1).cast("decimal(38,18)")).otherwise((n.cast("decimal(18,0)") / F.col("scope").cast("decimal(18,0)")).cast("decimal(38,18)"))
+    whole = F.col("missing") == 0
+    return rows.select("supplier", "source_items", "scope", "missing", ratio(F.col("source_items")).alias("source_ratio"), ratio(F.col("scope") - F.col("missing")).alias("covered_ratio"), F.when(whole, "complete").otherwise("incomplete").alias("feed_status"), F.when(whole, "all_catalog_scope_items_seen").otherwise("source_does_not_cover_catalog_scope").alias("reason"))
 
 
 def run_summary(offers: DataFrame, matches: DataFrame, proposals: DataFrame, missing: DataFrame) -> DataFrame:

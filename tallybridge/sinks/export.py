@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybridge.functions.canonical import canonical_cell
 from tallybridge.functions.store import stored
 from tallybridge.functions.text import csv_safe
 
 
 def csv_cells(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Chosen fields as text cells: nested values as JSON, formulas neutralised."""
+    """Chosen fields as text cells: nested values as canonical JSON, formulas neutralised."""
     kinds = dict(df.dtypes)
-    cell = lambda c: F.to_json(c) if kinds[c].startswith(("array", "map", "struct")) else F.col(c).cast("string")
+    cell = lambda c: canonical_cell(df, c) if kinds[c].startswith(("array", "map", "struct")) else F.col(c).cast("string")
     return df.select(*[csv_safe(cell(c)).alias(c) for c in fields])
 
 
