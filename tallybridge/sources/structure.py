@@ -254,18 +254,19 @@ def _composed(splits: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"file": [splits["file"].iloc[0]], "size": [size], "n_splits": [len(starts)], "root": [next(iter(roots), None)], "attributes": [whole.root], "roots": [sum(roots.values())], "declares": [whole.declares], "broken": [broken], "counts": [counts]})
 
 
-def _empty_files(spark: SparkSession, path: str) -> Iterator[str]:
+def _empty_files(spark: SparkSession, path: str | list[str]) -> Iterator[str]:
     """Files of no byte, which no scan gives a row for.  The listing is walked, not kept."""
-    top = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = top.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(top, True)
-    while files.hasNext():
-        status = files.next()
-        if status.getLen() == 0 and not status.getPath().getName().startswith(("_", ".")):
-            yield status.getPath().toString()
+    for name in [path] if isinstance(path, str) else path:
+        top = spark._jvm.org.apache.hadoop.fs.Path(name)
+        files = top.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(top, True)
+        while files.hasNext():
+            status = files.next()
+            if status.getLen() == 0 and not status.getPath().getName().startswith(("_", ".")):
+                yield status.getPath().toString()
 
 
-def file_structure(spark: SparkSession, path: str) -> DataFrame:
-    """(file, size, n_splits, root, attributes, roots, declares, broken, counts) of every file under ``path``.
+def file_structure(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, size, n_splits, root, attributes, roots, declares, broken, counts) of every file under ``path``, or under each of a list.
 
     counts: how often each path of at most DEPTH names occurs (``shop/offers`` below the root ``r`` as ``r/shop/offers``);
     attributes: the text of the root's start tag; declares: is there a DOCTYPE or an entity declaration; broken: tags

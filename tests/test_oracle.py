@@ -5,9 +5,9 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from tallybridge.plans import catalogue, committed, landed, landing
+from tallybridge.plans import bundles, catalogue, committed, landed, landing
 
-QUERIES = catalogue.QUERIES | landing.QUERIES | landed.QUERIES | committed.QUERIES
+QUERIES = catalogue.QUERIES | landing.QUERIES | landed.QUERIES | committed.QUERIES | bundles.QUERIES
 duckdb = pytest.importorskip("duckdb")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
