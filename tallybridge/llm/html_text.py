@@ -8,15 +8,18 @@ features are the text blocks right below it.  Importance is an entropy over the
 * content, 1 - mean of k / m over its blocks, for a block on k of m pages;
 * composite, CompImp(E) = (1 - g^l) NodeImp(E) + g^l * mean of what is below (l style nodes, g = 0.9).
 
-What m pages say weighs (m - 1) / m: one page says nothing, and there is no least number of pages.
+What m pages say weighs (m - 1) / m, so one page says nothing.  With LOW and REPEATED as they are, a branch that is the same on
+all pages of its host goes from 10 pages on, a single block from 7.
 The importance of a branch is the largest composite importance in it.  Times its prior - 0 for
 what markup itself declares (menus, footers, adverts, comments ... and, on a page with an article,
 what lies beside it), 1 for the rest - it must exceed LOW for the branch to stay; a single block
-must not stand on nearly all pages of the host.  Nothing inside an article goes for being repeated.
+must not stand on nearly all pages of the host.  Inside an article two weak signs are asked for: a block goes for low
+importance only where a word of the class, id or role around it hints at noise; text that merely repeats stays.
 
-A class, id or role declares something by the word it is, or the head of its compound (site-footer;
-not post-with-ads, related-work); it declares nothing on html, body, main and article, nor where the
-branch holds the page's only article or most of its text.  Pages of one host with the same
+A class, id or role declares something by the word it is, or the head of its compound (site-footer, comment-body, commentlist;
+not post-with-ads, related-work), and hints at it by any of its words; it does neither on html, body, main and article, nor where the
+branch holds the page's only article or most of its text.  An article inside an article is a comment on it or a teaser,
+unless the outer one has no text of its own; a header inside an article is the article's.  Pages of one host with the same
 blocks are copies and count as one page.  The tree is summed in Spark by (host, node): composites go up it
 by doubled steps, so no task holds a host.
 """
@@ -46,11 +49,11 @@ BROADCAST_ROWS = 20_000
 NOISE_TAGS = frozenset("nav header footer aside script style noscript template iframe button select option textarea svg canvas object embed dialog menu input head title math audio video map label".split())
 SOFT_TAGS = frozenset("form fieldset".split())
 NOISE_WORDS = frozenset(
-    "nav navbar navigation menu menubar header masthead footer sidebar aside ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription social share sharing breadcrumb breadcrumbs comment comments disqus reply replies related recommended recommendations widget toolbar pagination pager login signup search skip copyright legal alert complementary contentinfo hidden".split()
+    "nav navbar navigation menu menubar header masthead footer sidebar aside ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription social share sharing breadcrumb breadcrumbs comment comments disqus reply replies related recommended recommendations widget toolbar pagination pager login signup search skip copyright legal alert complementary contentinfo hidden adsbygoogle".split()
 )
 #: Words after which a compound has no other meaning, words that only modify a layout, and those
 #: whose header belongs to the text.
-QUALIFIERS = frozenset("area bar block bottom box container content fixed group inner item items left link links list main outer panel primary right secondary section top wrap wrapper".split())
+QUALIFIERS = frozenset("area bar block body bottom box button buttons container content fixed group inner item items left link links list main outer panel post posts primary right secondary section slot thread top unit wrap wrapper".split())
 MODIFIERS = frozenset("has with without no is not closed disabled enabled layout off on open opened".split())
 TEXT_WORDS = frozenset("article entry post story".split())
 #: Elements whose class, id or role declares nothing.
@@ -70,6 +73,11 @@ _MASK = (1 << 62) - 1
 _ROOT = 1
 
 
+def _noisy(word: str) -> bool:
+    """Is it a word of noise, or one run together with a qualifier (commentlist)?"""
+    return word in NOISE_WORDS or any(word.endswith(q) and word[: -len(q)] in NOISE_WORDS for q in QUALIFIERS if len(q) > 3)
+
+
 def declares(name: str) -> bool:
     """Does a class, id or role say that its element is no main text?"""
     said = [w.lower() for w in _WORDS.findall(name)]
@@ -77,12 +85,18 @@ def declares(name: str) -> bool:
         return False
     while len(said) > 1 and said[-1] in QUALIFIERS:
         said.pop()
-    return bool(said) and said[-1] in NOISE_WORDS and not (said[-1] == "header" and len(said) > 1 and said[-2] in TEXT_WORDS)
+    return bool(said) and _noisy(said[-1]) and not (said[-1] == "header" and len(said) > 1 and said[-2] in TEXT_WORDS)
+
+
+def hints(name: str) -> bool:
+    """Does any word of a class, id or role speak of noise?"""
+    said = [w.lower() for w in _WORDS.findall(name)]
+    return MODIFIERS.isdisjoint(said) and TEXT_WORDS.isdisjoint(said) and any(map(_noisy, said))
 
 
-def _signature(tag: str, attrs: str, memo: dict = {}) -> tuple[int, bool, bool]:  # noqa: B006
-    """Number of a tag with its class and id, whether it is no main text, and whether a form or
-    a word of its class, id or role says so."""
+def _signature(tag: str, attrs: str, memo: dict = {}) -> tuple[int, bool, bool, bool]:  # noqa: B006
+    """Number of a tag with its class and id, whether it is no main text, whether a form or
+    a word of its class, id or role says so, and whether one hints at it."""
     key = (tag, attrs)
     found = memo.get(key)
     if found is None:
@@ -92,7 +106,7 @@ def _signature(tag: str, attrs: str, memo: dict = {}) -> tuple[int, bool, bool]:
         noise = tag in NOISE_TAGS
         noise |= named.get("aria-hidden") == "true" or "display:none" in named.get("style", "").replace(" ", "") or re.search(r"(?:^|\s)hidden(?:$|[\s=])", attrs) is not None
         shown = re.sub(r"\d+", "0", f"{tag} {named.get('class', '')} {named.get('id', '')}")
-        found = crc32(shown.encode()), noise, soft
+        found = crc32(shown.encode()), noise, soft, tag not in FRAME_TAGS and any(map(hints, said.split()))
         if len(memo) < 50_000 and len(attrs) < 1000:
             memo[key] = found
     return found
@@ -105,10 +119,10 @@ def _text_id(text: str) -> int:
 class _Frame:
     """An open element."""
 
-    __slots__ = ("tag", "node", "noise", "inside", "article", "soft", "last", "style")
+    __slots__ = ("tag", "node", "noise", "inside", "article", "soft", "hinted", "last", "style")
 
-    def __init__(self, tag, node, noise, inside, article, soft):
-        self.tag, self.node, self.noise, self.inside, self.article, self.soft = tag, node, noise, inside, article, soft
+    def __init__(self, tag, node, noise, inside, article, soft, hinted):
+        self.tag, self.node, self.noise, self.inside, self.article, self.soft, self.hinted = tag, node, noise, inside, article, soft, hinted
         self.last, self.style = 0, 0  # the child before, and the sequence of children so far
 
 
@@ -119,13 +133,14 @@ class Page:
     """
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[int, str, bool, bool, bool]] = []  # node, text, noise, in an article or main element, in an article
+        self.blocks: list[tuple[int, str, bool, bool, bool]] = []  # node, text, noise, in an article or main element, in an article and not hinted at
         self.nodes: dict[int, tuple[int, int]] = {}  # node -> parent, depth
         self.styles: set[tuple[int, int]] = set()
-        self._open = [_Frame("#root", _ROOT, False, False, False, 0)]
+        self._open = [_Frame("#root", _ROOT, False, False, False, 0, False)]
         self._solid = [0]  # places of the open elements that are not inline
         self._at: dict[str, list[int]] = {}  # places of the open elements of each tag
         self._text: list[str] = []
+        self._nested: set[int] = set()  # branches that are articles inside an article
         self._softs = [0]  # of each branch that a word declares as noise, the one around it
         self._soft_of: list[int] = []  # of each block, the innermost such branch
         self._parse(source)
@@ -136,7 +151,7 @@ class Page:
             self._text = []
             if text:
                 own = self._open[self._solid[-1]]
-                self.blocks.append((own.node, text, own.noise, own.inside, own.article))
+                self.blocks.append((own.node, text, own.noise, own.inside, own.article and not own.hinted))
                 self._soft_of.append(own.soft)
 
     def _close(self, upto: int) -> None:
@@ -166,14 +181,20 @@ class Page:
             self._text.append(" ")
         if tag in VOID_TAGS:
             return
-        sign, noise, soft = _signature(tag, attrs)
+        sign, noise, soft, hinted = _signature(tag, attrs)
         above = self._open[-1]
+        if above.article:
+            soft |= tag == "article"
+            if tag == "header":  # hidden ones are found by their attributes
+                noise = _signature("section", attrs)[1]
         around = above.soft
         if soft:
             self._softs.append(around)
             around = len(self._softs) - 1
+            if above.article and tag == "article":
+                self._nested.add(around)
         if inline:
-            self._push(tag, _Frame(tag, above.node, above.noise or noise or soft, above.inside, above.article, above.soft))
+            self._push(tag, _Frame(tag, above.node, above.noise or noise or soft, above.inside, above.article, above.soft, above.hinted))
             return
         solid = self._open[self._solid[-1]]
         node = (solid.node * 0x5851F42D4C957F2D + sign) & _MASK
@@ -183,7 +204,7 @@ class Page:
         noise = noise or above.noise
         self.nodes.setdefault(node, (solid.node, len(self._solid)))
         self._solid.append(len(self._open))
-        self._push(tag, _Frame(tag, node, noise, above.inside or (tag in ("article", "main") and not noise), above.article or (tag == "article" and not noise), around))
+        self._push(tag, _Frame(tag, node, noise, above.inside or (tag in ("article", "main") and not noise), above.article or (tag == "article" and not noise), around, above.hinted or hinted))
 
     def _end_of(self, tags: tuple, stop: tuple) -> None:
         at = self._place(tags)
@@ -272,7 +293,7 @@ class Page:
         for s in range(len(held) - 1, 0, -1):
             held[self._softs[s]] += held[s]
         for s in range(1, len(held)):
-            lost[s] = lost[self._softs[s]] or 2 * held[s] <= size
+            lost[s] = lost[self._softs[s]] or 2 * held[s] <= size and not (size and s in self._nested)
         self.blocks = [(node, text, noise or lost[s], inside, article) for (node, text, noise, inside, article), s in zip(self.blocks, self._soft_of, strict=True)]
 
     def kept(self) -> list[tuple[int, str, bool]]:

@@ -42,6 +42,46 @@ def test_evidence_grows_with_the_pages(spark):
     assert removed == sorted(removed) and not removed[0] and removed[-1]
 
 
+def hinted_site(i: int) -> tuple:
+    """Inside the article a branch that a word only hints at and that repeats, one that only hints, and text that only repeats."""
+    page = f"<article><p>{story(i)}</p><div class=widget-z9><p>Join our circle of readers</p></div><div class=promo-story-x><p>{story(i + 5000)}</p></div><p>As we always say</p></article>"
+    return i, f"https://h.example/{i}", f"<html><body>{page}</body></html>"
+
+
+def test_inside_an_article_a_branch_goes_for_two_weak_signs_together(spark):
+    df = spark.createDataFrame([hinted_site(i) for i in range(30)], KIND)
+    for r in html_text.extract(df).collect():
+        i = r["page_id"]
+        assert r["text"] == f"{story(i)}\n{story(i + 5000)}\nAs we always say"
+    assert all("circle" in r["text"] for r in html_text.extract(df, tree=False).collect())
+
+
+def _generated_page(rng, host: int, i: int) -> tuple[str, list[str], list[str]]:
+    """A page with what a reader wants, and boilerplate in the article: declared, hinted at, or only repeated beside it."""
+    good = [story(1000 * host + 10 * i + k, rng.randint(5, 20)) for k in range(3)]
+    bad = [f"Site {host} asks you to join its list", f"Host {host} shows you more of this", f"What readers of {host} said {i}"]
+    parts = [f"<p>{g}</p>" for g in good]
+    parts.insert(rng.randint(0, 3), f'<div class="{rng.choice(["newsletter-z", "promo-k2", "subscribe-now-x"])}"><p>{bad[0]}</p></div>')
+    parts.append(f'<div class="{rng.choice(["commentlist", "comment-body", "comments"])}"><p>{bad[2]}</p></div>')
+    return f"<html><body><div class=q{host}><p>{bad[1]}</p></div><main class=c>{''.join(parts)}</main></body></html>" if host % 2 else f"<html><body><article>{''.join(parts)}</article><div class=q>{bad[1]}</div></body></html>", good, bad
+
+
+def test_precision_and_recall_on_sites_it_has_not_seen(spark):
+    import random
+
+    rng = random.Random(12)
+    pages = [(host * 100 + i, f"https://h{host}.example/{i}", *_generated_page(rng, host, i)) for host in range(6) for i in range(25)]
+    df = spark.createDataFrame([p[:3] for p in pages], KIND)
+    rates = {}
+    for tree in (True, False):
+        got = {r["page_id"]: set(r["text"].split("\n")) for r in html_text.extract(df, tree=tree).collect()}
+        kept = sum(len(got[p[0]]) for p in pages)
+        right = sum(len(got[p[0]] & set(p[3])) for p in pages)
+        rates[tree] = right / kept, right / sum(len(p[3]) for p in pages)
+    assert rates[True][1] == rates[False][1] == 1.0  # nothing a reader wants is lost
+    assert rates[True][0] > 0.95 > rates[False][0]
+
+
 def brute_importance(pages: list[html_text.Page]) -> dict[int, float]:
     """The definition, by recursion over one host."""
     parent, m, styles, texts = {html_text._ROOT: 0}, collections.Counter(), collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
@@ -99,6 +139,17 @@ def test_importance_is_as_defined(spark):
     ('<div class="comments-section">they said</div><p>told in full here</p>', "told in full here"),
     ("<p>a <span hidden>no</span> b</p>", "a b"),
     ("x < y &amp;&lt; <b>z</b>&nbsp;<!-- c --> é&#233;&eacute;", "x < y &< z ééé"),
+    ('<article><p>first</p><article class="comment"><p>reader says</p></article></article>', "first"),
+    ('<article><p>t</p><ol class="commentlist"><li>c</li></ol></article>', "t"),
+    ('<article><p>t</p><div class="comment-body">c</div></article>', "t"),
+    ('<article><p>t</p><div id="disqus_thread">c</div></article>', "t"),
+    ('<article><p>t</p><div class="ad-slot">c</div></article>', "t"),
+    ('<article><p>t</p><ins class="adsbygoogle">c</ins></article>', "t"),
+    ('<article><p>t</p><div class="share-buttons">c</div></article>', "t"),
+    ('<article><p>t</p><div class="related-posts">c</div></article>', "t"),
+    ('<header>site</header><article><header><h1>Headline</h1></header><p>t</p></article>', "Headline\nt"),
+    ('<main><article><article>a</article><article>b</article></article></main>', "a\nb"),
+    ('<article class="comment">told</article>', "told"),
     ("", ""), ("<", "<"), ("<p", "<p"), ("</", "</"), ("<p>a<p>b</div>c", "a\nb\nc"), ("<!-- never closed", ""), ("<script>x", ""),
 ])
 def test_priors_and_markup(source, text):
