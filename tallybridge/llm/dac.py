@@ -236,7 +236,7 @@ def write_shards(docs: DataFrame, out: str, path: str, end_id: int, id_col: str
         bounded(docs).select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
         .repartitionByRange(parts(spark), id_col)
         .sortWithinPartitions(id_col, text_col)
-        .select(F.spark_partition_id().alias("part"), id_col, text_col)
+        .select(F.spark_partition_id().alias("part"), F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
         .mapInArrow(run, f"part int, seq int, local_start long, n_ids long, keys array<{kind}>, payload binary")
         .write.option("compression", "none").option("parquet.block.size", 16 << 20).parquet(out)
     )
@@ -262,7 +262,7 @@ def read_shards(spark: SparkSession, out: str, id_col: str = "doc_id") -> DataFr
                 crc = [zlib.crc32(x.astype("<u4")) for x in shard.documents()]
                 yield pa.RecordBatch.from_arrays([keys, pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], names=[id_col, "start", "n_tokens", "ids_crc32"])
 
-    return shards.select("part", "local_start", "keys", "payload").mapInArrow(run, f"{id_col} {kind}, start long, n_tokens long, ids_crc32 long")
+    return shards.select("part", "local_start", "keys", "payload").mapInArrow(run, f"`{id_col}` {kind}, start long, n_tokens long, ids_crc32 long")
 
 
 def read_tokens(spark: SparkSession, out: str, wanted: DataFrame, position_col: str = "position") -> DataFrame:

@@ -20,6 +20,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,8 @@ from tallybridge.llm.kernels import mix
 MIN_COSINE = 0.95
 #: Vectors that a bucket is to hold in the mean, and entries of one that are compared in one piece.
 BUCKET_ROWS, UNIT_ROWS = 16, 2000
-#: At most so many buckets (16 bytes each) are told to the tasks as large: those of more than
-#: UNIT_ROWS entries and of more than one entry in so many.
+#: At most so many buckets (16 bytes each) are told to the tasks as large at once, in the mean; where more have over
+#: UNIT_ROWS entries, the buckets are dealt in several passes, a share of them in each.
 LARGE_BUCKETS = 100_000
 #: A class of more than one row in so many (and of 64) is joined by a broadcast: at most so many.
 LARGE_CLASS = 10_000
@@ -160,14 +161,17 @@ def _count(n: float):
 _UNITS = "pack int, width int, unit binary, ids binary, weights binary, role binary, vectors binary"
 
 
-def _deal(wanted: float, n_packs: int, hot):
-    """Send every vector to the units of work of its buckets: role 1 stored, 2 probing, 3 both."""
+def _deal(wanted: float, n_packs: int, hot, passes: int = 1, turn: int = 0):
+    """Send every vector to the units of work of its buckets of this pass: role 1 stored, 2 probing, 3 both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, blocks = hot.value
         for batch in batches:
             for ids, weights, v in _by_width(batch):
-                key, row, own, table = _entries(v, wanted)
+                mine = _entries(v, wanted)
+                key, row, own, table = (x[mine[0].view(np.int64) % passes == turn] for x in mine) if passes > 1 else mine
+                if not len(key):
+                    continue
                 at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
                 n = np.where(keys[at] == key, blocks[at], 1) if len(keys) else np.ones(len(key), np.int64)
                 place = (mix(ids[row].astype(np.uint64)) % n.astype(np.uint64)).astype(np.int64)
@@ -282,7 +286,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """
     spark = vectors.sparkSession
     number = "double" if "double" in dict(vectors.dtypes)[vector_col] else "float"
-    rows = bounded(vectors).select(F.col(id_col).alias("id"), F.col(vector_col).cast(f"array<{number}>").alias("v"))
+    rows = bounded(vectors).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector_col}`").cast(f"array<{number}>").alias("v"))
     fine = F.col("id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     good = rows.where(fine)
     classes = stored(good.groupBy("v").agg(F.min("id").cast("long").alias("rep"), F.count("*").alias("weight")).select("rep", "weight", "v"), "vector-classes")
@@ -291,13 +295,17 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     at = setting(wanted, width or 1)
     n = buckets(spark, n_classes * at.tables * at.probes * (32 + (width or 1) * (8 if number == "double" else 4)), 64 << 20)
     sizes = classes.mapInArrow(_count(wanted), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    most = max(UNIT_ROWS, n_classes * at.tables * at.probes // LARGE_BUCKETS)
-    large = sizes.where(F.col("n") > most).toArrow()
-    keys = large.column(0).to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    blocks = -(-large.column(1).to_numpy()[order] // UNIT_ROWS)
-    hot = spark.sparkContext.broadcast((keys[order], blocks))
-    found = stored(classes.mapInArrow(_deal(wanted, n, hot), _UNITS).groupBy("pack", "width").applyInArrow(_compare("<f8" if number == "double" else "<f4", min_cosine, wanted), "a long, b long, n long"), "vector-links")
+    large = stored(sizes.where(F.col("n") > UNIT_ROWS), "large-buckets")
+    passes = max(1, -(-large.count() // LARGE_BUCKETS))
+    parts = []
+    for turn in range(passes):
+        told = large.where(F.pmod("bucket", F.lit(passes)) == turn).toArrow()
+        keys = told.column(0).to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        hot = spark.sparkContext.broadcast((keys[order], -(-told.column(1).to_numpy()[order] // UNIT_ROWS)))
+        compared = classes.mapInArrow(_deal(wanted, n, hot, passes, turn), _UNITS).groupBy("pack", "width").applyInArrow(_compare("<f8" if number == "double" else "<f4", min_cosine, wanted), "a long, b long, n long")
+        parts.append(stored(compared, "vector-links"))
+    found = reduce(DataFrame.union, parts)
     counts = found.where("n is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     joined = components(found.where("b is not null"))
     placed = cut(
@@ -305,7 +313,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         .join(joined, F.col("rep") == F.col("node"), "left")
         .select(F.col("v").alias("__v"), "weight", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     )
-    discard(found, classes)
+    discard(*parts, large, classes)
     # Vectors that a large share of the rows repeat are few; those rows are not shuffled.
     bound = max(64, (n_rows or 0) // LARGE_CLASS)
     often = placed.where(F.col("weight") > bound).select(F.col("__v").alias("__often"), F.col("n_links").alias("n_often"), F.col("component_id").alias("of_often"))

@@ -339,7 +339,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram:
     with that same set.
     """
     spark = docs.sparkSession
-    rows = bounded(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = bounded(docs).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = dict(rows.dtypes)["id"]
     first = stored(rows.mapInArrow(_describe(ngram), f"id {kind}, n_shingles long, set_id long, more_id long, profile binary, some array<long>"), "ngram-sets")
     # Two sets of the same first 64 bits: about n * n / 2 ** 65 such rows among n sets.

@@ -172,7 +172,7 @@ def _told(packed: DataFrame, stage, fold=bytes) -> DataFrame:
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(owner, text). Both joins below read it in this one form, so Spark shuffles the texts once."""
-    return bounded(docs).select(F.col(id_col).cast("long").alias("owner"), F.col(text_col).alias("text"))
+    return bounded(docs).select(F.col(f"`{id_col}`").cast("long").alias("owner"), F.col(f"`{text_col}`").alias("text"))
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:

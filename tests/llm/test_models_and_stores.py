@@ -238,6 +238,17 @@ def test_embedding_recall_on_the_table(spark, sf):
     assert want > 0 and want * 0.99 <= got <= want
 
 
+def test_many_large_buckets_are_dealt_in_passes(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    v = (rng.normal(size=(8, 16))[rng.integers(0, 8, 400)] + rng.normal(size=(400, 16)) * 0.12).astype(np.float32)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "`vec.id` long, `the vector` array<float>")
+    run = lambda: sorted(tuple(r) for r in embeddings.near_duplicates(df, "vec.id", "the vector").collect())
+    once = run()
+    monkeypatch.setattr(embeddings, "UNIT_ROWS", 10)
+    monkeypatch.setattr(embeddings, "LARGE_BUCKETS", 20)
+    assert run() == once and sum(r[1] for r in once) > 1000
+
+
 def test_hadamard_keeps_length():
     x = np.random.default_rng(1).normal(size=(5, 64))
     y = embeddings.hadamard(x)
