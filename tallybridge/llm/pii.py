@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybridge.llm import labelled_pii
+from tallybridge.llm.folds import let, scan
 from tallybridge.llm.secrets import _tree
 
 #: Kinds in their order; the first four have a base pattern (fixed values).
@@ -66,39 +67,9 @@ FEATURES = [*(f"is_{k}" for k in KINDS), "length", "digits", "letters", "others"
 SAMPLE_ROWS, ITERATIONS, DEPTH, STEP = 20_000, 24, 4, 0.3
 #: What a threshold has to reach on the texts that were held back.
 PRECISION = 0.98
-#: Elements of a list that one step of a scan appends to.
-SCAN_BLOCK = 256
 _PLACED = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), with the value made once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def scan(items: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
-    """What step (state, item) -> (state, output) gives for every item in order: array<kind>.
-
-    In blocks, so that appending an item copies a block and not all that came before.
-    """
-    none = F.array().cast(f"array<{kind}>")
-    first = F.struct(start.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("all"))
-
-    def item(acc: Column, x: Column) -> Column:
-        state, out = step(acc["state"], x)
-        return F.struct(state.alias("state"), F.concat(acc["out"], F.array(out.cast(kind))).alias("out"))
-
-    def over(xs: Column) -> Column:
-        def block(acc: Column, at: Column) -> Column:
-            here = F.aggregate(F.slice(xs, at, SCAN_BLOCK), F.struct(acc["state"].alias("state"), none.alias("out")), item)
-            return let(here, lambda h: F.struct(h["state"].alias("state"), F.concat(acc["all"], F.array(h["out"])).alias("all")))
-
-        begins = F.when(F.size(xs) > 0, F.sequence(F.lit(1), F.size(xs), F.lit(SCAN_BLOCK))).otherwise(F.array().cast("array<int>"))
-        return F.flatten(F.aggregate(begins, first, block, lambda acc: acc["all"]))
-
-    return let(items, over)
-
-
 def matches(text: Column, pattern: str) -> Column:
     """array<struct<start, end, value, before, after>> of the leftmost matches that do not overlap, by code points."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -326,17 +297,18 @@ def redact(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     columns = [f"c{i}" for i in range(len(docs.columns))]
     place = dict(zip(docs.columns, columns, strict=True))
     found = find(docs.toDF(*columns), model, columns, place[text_col])
-    # Four bytes a code point: a piece is taken out without counting from the start.
-    wide = F.encode(F.col(place[text_col]), "UTF-32")
-    names = F.array(*[F.lit(k.upper()) for k in KINDS])
+    text, names = F.col(place[text_col]), F.array(*[F.lit(k.upper()) for k in KINDS])
+
+    def cut_out(spans: Column, wide: Column) -> Column:
+        piece = lambda a, b: F.decode(F.substr(wide, 4 * a + 1, 4 * (b - a)), "UTF-32")
 
-    def piece(a: Column, b: Column) -> Column:
-        return F.decode(F.substr(wide, 4 * a + 1, 4 * (b - a)), "UTF-32")
+        def step(at: Column, s: Column) -> tuple[Column, Column]:
+            return F.greatest(at, s["end"]), F.when(s["start"] >= at, F.concat(piece(at, s["start"]), F.lit("["), names[s["kind"]], F.lit("]"))).otherwise("")
 
-    def step(at: Column, s: Column) -> tuple[Column, Column]:
-        return F.greatest(at, s["end"]), F.when(s["start"] >= at, F.concat(piece(at, s["start"]), F.lit("["), names[s["kind"]], F.lit("]"))).otherwise("")
+        last = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(scan(spans, F.lit(0), step, "string"), ""), piece(last, F.length(text)))
 
-    spans = F.array_sort(F.concat("__base", "__added"))
-    cut = F.array_max(F.transform(spans, lambda s: s["end"]))
-    cleaned = F.concat(F.array_join(scan(spans, F.lit(0), step, "string"), ""), piece(cut, F.length(F.col(place[text_col]))))
-    return found.select(*[(F.when(F.size(spans) > 0, cleaned).otherwise(F.col(c)) if name == text_col else F.col(c)).alias(name) for name, c in place.items()])
+    # Four bytes a code point, made once: a piece is taken out without counting from the start.
+    cleaned = let(F.array_sort(F.concat("__base", "__added")), lambda spans: let(F.encode(text, "UTF-32"), lambda wide: cut_out(spans, wide)))
+    some = F.size("__base") + F.size("__added") > 0
+    return found.select(*[(F.when(some, cleaned).otherwise(text) if name == text_col else F.col(c)).alias(name) for name, c in place.items()])

@@ -19,7 +19,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.llm import labelled_secrets
+from tallybridge.llm import folds, labelled_secrets
+from tallybridge.llm.folds import let
 
 #: A candidate: 16 or more characters of keys and digests, with a digit among them (fixed value).
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
@@ -126,13 +127,18 @@ def _described(text: Column, words: Column, path: Column) -> Column:
         values = F.regexp_extract_all(s["w"], F.lit(CANDIDATE), F.lit(0))
         return F.transform(values, lambda v: F.struct(s["i"].alias("word_no"), v.alias("secret"), F.array(*_features(v, s["w"], F.get(words, s["i"] - 1), F.get(words, s["i"] - 2), path)).alias("f"), F.lit(0).alias("at"), F.lit(0).alias("lead"), v.alias("span")))
 
-    none = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<at:int,span:string>>").alias("all"))
+    # Places and word numbers are running sums over the spans and what lies between them: one pass, however many there are.
+    # A span begins and ends with no white space, so no run of it is counted twice.
+    runs = lambda x: F.size(F.split(x, r"[\x20\x09-\x0D]+")) - 1
+    found = F.regexp_extract_all(text, F.lit(SPAN), F.lit(0))
+    pairs = let(F.split(text, SPAN, -1), lambda between: F.arrays_zip(found.alias("span"), F.slice(between, 1, F.size(between) - 1).alias("gap")))
 
-    def place(acc: Column, span: Column) -> Column:
-        at = F.call_function("locate", span, text, acc["next"])
-        return F.struct((at + F.length(span)).alias("next"), F.concat(acc["all"], F.array(F.struct(at.alias("at"), span.alias("span")))).alias("all"))
+    def place(before: Column, x: Column) -> tuple[Column, Column]:
+        at, words_before = before["at"] + F.length(x["gap"]), before["words"] + runs(x["gap"])
+        after = F.struct((at + F.length(x["span"])).alias("at"), (words_before + runs(x["span"])).alias("words"))
+        return after, F.struct(at.alias("at"), x["span"].alias("span"), words_before.alias("words"))
 
-    spans = F.aggregate(F.regexp_extract_all(text, F.lit(SPAN), F.lit(0)), none, place)["all"]
+    spans = F.when(text.rlike(SPAN), folds.scan(pairs, F.struct(F.lit(1).alias("at"), F.lit(0).alias("words")), place, "struct<at:int,span:string,words:int>")).otherwise(F.array().cast("array<struct<at:int,span:string,words:int>>"))
 
     def of_span(p: Column) -> Column:
         groups = F.concat(*[F.regexp_extract(p["span"], f"(?i)^{ASSIGNED}$", g) for g in (1, 2, 3, 4)])
@@ -141,11 +147,11 @@ def _described(text: Column, words: Column, path: Column) -> Column:
         value = F.when(groups == "", p["span"]).otherwise(groups)
         close = F.length(F.regexp_extract(p["span"], "[\"'`@]$", 0))
         lead = F.when(groups == "", 0).otherwise(F.length(p["span"]) - F.length(value) - F.when(p["span"].endswith(value), 0).otherwise(close))
-        return F.struct(p["at"].alias("at"), lead.alias("lead"), p["span"].alias("span"), value.alias("v"))
+        return F.struct(p["at"].alias("at"), lead.alias("lead"), p["span"].alias("span"), value.alias("v"), p["words"].alias("words"))
 
     def told(p: Column) -> Column:
-        word_no = F.size(F.split(F.substring(text, F.lit(1), p["at"] + p["lead"] - 1), r"[\x20\x09-\x0D]+")) - 1
         lead = F.substring(p["span"], F.lit(1), p["lead"])
+        word_no = p["words"] + runs(lead)
         f = F.array(*_features(p["v"], F.concat(lead, p["v"]), F.lit(""), F.lit(""), path, lead))
         return F.struct(word_no.alias("word_no"), p["v"].alias("secret"), f.alias("f"), p["at"].alias("at"), p["lead"].alias("lead"), p["span"].alias("span"))
 
@@ -236,15 +242,23 @@ def redact(docs: DataFrame, forest: list, text_col: str = "text", path_col: str
     columns = [f"c{i}" for i in range(len(docs.columns))]
     place = dict(zip(docs.columns, columns, strict=True))
     at = describe(docs.toDF(*columns), columns, place[text_col], place.get(path_col))
-    text, of = F.col(place[text_col]), lambda spans: F.filter(F.filter("__found", lambda c: (c["at"] > 0) == spans), lambda c: vote(forest, c["f"]) >= threshold)
+    text = F.col(place[text_col])
+    of = lambda spans: F.filter(F.filter("__found", lambda c: (c["at"] > 0) == spans), lambda c: vote(forest, c["f"]) >= threshold)
 
     # Spans by their place, for their secrets may be short; then the others wherever they are.
-    def put(acc: Column, c: Column) -> Column:
-        before = F.substring(text, acc["next"], c["at"] + c["lead"] - acc["next"])
-        return F.struct((c["at"] + c["lead"] + F.length(c["secret"])).alias("next"), F.concat(acc["out"], before, F.lit(mark)).alias("out"))
+    def cut_out(found: Column, wide: Column) -> Column:
+        piece = lambda a, b: F.decode(F.substr(wide, 4 * a - 3, 4 * (b - a)), "UTF-32")
 
-    start = F.struct(F.lit(1).alias("next"), F.lit("").alias("out"))
-    spans = F.aggregate(of(True), start, put, lambda a: F.concat(a["out"], F.substring(text, a["next"], F.length(text))))
+        def put(at: Column, c: Column) -> tuple[Column, Column]:
+            begin = c["at"] + c["lead"]
+            return begin + F.length(c["secret"]), F.concat(piece(at, begin), F.lit(mark))
+
+        last = F.element_at(found, -1)
+        rest = piece(last["at"] + last["lead"] + F.length(last["secret"]), F.length(text) + 1)
+        return F.concat(F.array_join(folds.scan(found, F.lit(1), put, "string"), ""), rest)
+
+    # Four bytes a code point, made once: a piece is taken out without counting from the start.
+    spans = let(of(True), lambda found: F.when(F.size(found) > 0, let(F.encode(text, "UTF-32"), lambda wide: cut_out(found, wide))).otherwise(text))
     longest = F.array_sort(F.transform(of(False), lambda c: F.struct((-F.length(c["secret"])).alias("n"), c["secret"].alias("v"))))
     cleaned = F.when(F.size("__found") > 0, F.aggregate(longest, spans, lambda t, c: F.replace(t, c["v"], F.lit(mark)))).otherwise(text)
     return at.select(*[(cleaned if name == text_col else F.col(c)).alias(name) for name, c in place.items()])
