@@ -144,5 +144,20 @@ def verify(offers: DataFrame, matches: DataFrame, proposals: DataFrame, mapped:
     return all_.select("supplier", F.inline(cells))
 
 
+def source_audits(offers: DataFrame, proposals: DataFrame, currencies: tuple[str, ...] = ("RUR",)) -> DataFrame:
+    """(supplier, name, passed, detail) of a run that may calculate no price: every source price above 0, no currency but the
+    known ones, and no proposal with a price (a supplier without proposals has none)."""
+    source = offers.groupBy("supplier").agg(F.min("source_price").alias("least"), F.array_sort(F.collect_set("currency")).alias("currencies"))
+    priced = proposals.groupBy("supplier").agg(F.bool_and(F.col("proposed_price").isNull()).alias("none"), F.count("proposed_price").alias("n_priced"))
+    known = F.size(F.array_except("currencies", F.array(*[F.lit(c) for c in currencies]))) == 0
+    rules = [
+        ("source_prices_positive", F.col("least") > 0, F.col("least").cast("string")),
+        ("source_currency_known", known, F.array_join("currencies", ",")),
+        ("no_calculated_prices", F.coalesce("none", F.lit(True)), F.coalesce("n_priced", F.lit(0)).cast("string")),
+    ]
+    cells = F.array(*[F.struct(F.lit(n).alias("name"), F.coalesce(p, F.lit(False)).alias("passed"), d.alias("detail")) for n, p, d in rules])
+    return source.join(priced, "supplier", "left").select("supplier", F.inline(cells))
+
+
 def roll_up(checks: DataFrame) -> DataFrame:
     return checks.groupBy("supplier").agg(F.when(F.bool_and("passed"), "PASS").otherwise("FAIL").alias("status"), F.count_if("passed").alias("n_passed"), F.count_if(~F.col("passed")).alias("n_failed"))

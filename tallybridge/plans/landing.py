@@ -305,6 +305,14 @@ def verify_broken(spark, sf):
     return _broken_checks(spark, sf).where("not passed").select("supplier", "name")
 
 
+def source_audits(spark, sf):
+    """Audits of a run's sources and prices; some suppliers have only roubles, some a price of 0."""
+    r = catalogue._Run(spark, sf)
+    offers = r.offers.where("supplier % 3 <> 0 or currency = 'RUR'").where("supplier % 2 <> 0 or price_cents > 0")
+    proposals = r.proposals().where("supplier % 5 <> 0 or proposed_price is null")
+    return audit.source_audits(offers, proposals).withColumn("detail", F.when(F.col("name") == "source_prices_positive", (F.col("detail").cast("decimal(20,4)") * 100).cast("long").cast("string")).otherwise(F.col("detail")))
+
+
 def batch_status_broken(spark, sf):
     offers = catalogue.offers_of(spark, sf)
     return rejects.batch_status(offers, catalogue._price_rejects(offers).where("supplier % 2 = 0"), _broken_checks(spark, sf))
@@ -358,7 +366,7 @@ _ALL = [
     snapshot_gates, accepted_run, currency_gates, refused_values, catalog_scope, sku_prefix_gate, category_keys, policy_gates, policy_hashes, policy_labels,
     state_rejects, approvals, promoted_state, batch_exit, run_reports, missing_in_order, categories_in_order, actions_in_order, offers_in_feed_order,
     copies_parity, sku_audit, manifest_audit, feed_files_11, feed_files_31, catalog_file, jsonl_file, landed_bytes,
-    verify_broken, batch_status_broken, completeness_ratios, category_alternatives, landing_stream, committed_runs,
+    verify_broken, source_audits, batch_status_broken, completeness_ratios, category_alternatives, landing_stream, committed_runs,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in _ALL}
@@ -411,6 +419,11 @@ ORACLE: dict[str, str] = {
     "catalog_file": f"{BASE} SELECT product_id, sku, price_cents AS price, quantity FROM catalog WHERE product_id % 53 <> 0",
     "jsonl_file": f"{BASE} SELECT supplier, supplier_item_id, category_1 || '/' || category_2 AS path, ean FROM offers",
     "verify_broken": f"{_BROKEN} SELECT supplier, name FROM failed",
+    "source_audits": f"""{PRICES}, kept AS (SELECT * FROM offers WHERE (supplier % 3 <> 0 OR currency = 'RUR') AND (supplier % 2 <> 0 OR price_cents > 0)),
+priced AS (SELECT supplier, count(proposed_e4) AS n FROM proposals WHERE supplier % 5 <> 0 OR proposed_e4 IS NULL GROUP BY supplier)
+SELECT supplier, 'source_prices_positive' AS name, min(price_cents) > 0 AS passed, CAST(min(price_cents) AS VARCHAR) AS detail FROM kept GROUP BY supplier
+UNION ALL SELECT supplier, 'source_currency_known', bool_and(currency = 'RUR'), array_to_string(list_sort(list(DISTINCT currency)), ',') FROM kept GROUP BY supplier
+UNION ALL SELECT supplier, 'no_calculated_prices', coalesce(n, 0) = 0, CAST(coalesce(n, 0) AS VARCHAR) FROM (SELECT DISTINCT supplier FROM kept) LEFT JOIN priced USING (supplier)""",
     "batch_status_broken": f"{_BROKEN}, bad AS (SELECT DISTINCT supplier FROM offers WHERE price_cents = 0 AND currency = 'USD' AND supplier % 2 = 0) SELECT supplier, CASE WHEN supplier IN (SELECT supplier FROM bad) THEN 'BLOCKED' WHEN supplier IN (SELECT supplier FROM failed) THEN 'FAIL' ELSE 'PASS' END AS status FROM (SELECT DISTINCT supplier FROM offers)",
     "completeness_ratios": f"{MISSING} SELECT supplier, CAST(round(1000000.0 * (SELECT count(*) FROM offers o WHERE o.supplier = c.supplier) / count(*)) AS BIGINT) AS source_ratio, CAST(round(1000000.0 * (count(*) - (SELECT count(*) FROM missing m WHERE m.supplier = c.supplier)) / count(*)) AS BIGINT) AS covered_ratio FROM catalog c GROUP BY supplier",
     "category_alternatives": f"{CATEGORY} SELECT supplier, category_1, category_2, CAST(round_even(10000.0 * max(support) OVER (PARTITION BY supplier, category_1, category_2) / tsup, 0) AS BIGINT) AS dominance, rn - 1 AS rank, category_ids, categories, support FROM rk",
