@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallybridge.functions.store import fresh_folder
 from tallybridge.plans.landing import _spark
 from tallybridge.sinks.ledger import SnapshotLedger, StateTable
+from tallybridge.streaming import landed_feeds
 
 #: Content of a supplier lands again in other batches (an order's priority is its batch), some with another contract or without metadata.
 LANDINGS_SQL = """
@@ -18,6 +19,11 @@ SELECT CAST(o_custkey AS BIGINT) AS supplier, concat('h', CAST(o_orderkey % 7 AS
   CAST(o_orderkey % 4 AS BIGINT) AS batch
 FROM orders"""
 
+LANDED_SQL = """
+SELECT CAST(o_custkey AS BIGINT) AS supplier, concat('h', CAST(o_orderkey % 5 AS STRING)) AS content_sha256, CAST(o_orderdate AS STRING) AS feed_date, 'v1' AS contract,
+  CAST(NULL AS STRING) AS metadata, CAST(o_orderdate AS TIMESTAMP) AS landed_at, CAST(year(o_orderdate) AS INT) AS year
+FROM orders"""
+
 STATES_SQL = """
 SELECT DISTINCT l_suppkey AS supplier, l_partkey AS product_id, CAST(l_linenumber % 3 AS BIGINT) AS turn FROM lineitem"""
 
@@ -45,6 +51,19 @@ def ledger_conflicts(spark, sf):
     return ledger.conflicts(landings.where("batch <> 0").drop("batch"))
 
 
+def landing_ledger(spark, sf):
+    """Landings as a stream, a year in each micro-batch: content comes again within 90 days, and long after these."""
+    folder = fresh_folder(spark, "landing-ledger")
+    rows = _spark(spark, sf, LANDED_SQL, "orders")
+    years = range(*rows.agg(F.min("year"), F.max("year") + 1).first())
+    for year in years:
+        rows.where(F.col("year") == year).drop("year").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(rows.drop("year").schema).parquet(f"{folder}/in")
+        ledger = SnapshotLedger(spark, f"{folder}/ledger")
+        landed_feeds.land(stream, ledger, f"{folder}/checkpoint").awaitTermination()
+    return ledger.rows().select("supplier", "content_sha256")
+
+
 def state_promotions(spark, sf):
     """The current state after three runs, each of which replaces the suppliers that passed and no others."""
     table = StateTable(spark, fresh_folder(spark, "state"), "supplier long, product_id long, run long")
@@ -60,7 +79,7 @@ def state_promotions(spark, sf):
     return table.rows().groupBy("supplier", "run").agg(F.count("*").alias("n"))
 
 
-_ALL = [ledger_commits, ledger_conflicts, state_promotions]
+_ALL = [ledger_commits, ledger_conflicts, landing_ledger, state_promotions]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in _ALL}
 
@@ -77,6 +96,7 @@ SELECT h.supplier, h.content_sha256, h.feed_date, h.contract, coalesce(h.metadat
   SELECT * FROM landings WHERE batch = 0 QUALIFY row_number() OVER (PARTITION BY supplier, content_sha256 ORDER BY feed_date, contract, metadata NULLS FIRST) = 1)
 SELECT DISTINCT supplier, content_sha256, CASE WHEN l.contract <> h.contract THEN 'contract' ELSE 'metadata' END AS reason
 FROM landings AS l JOIN held AS h USING (supplier, content_sha256) WHERE l.batch <> 0 AND (l.contract <> h.contract OR l.metadata <> h.metadata)""" % LANDINGS_SQL,
+    "landing_ledger": "SELECT DISTINCT CAST(o_custkey AS BIGINT) AS supplier, concat('h', CAST(o_orderkey % 5 AS VARCHAR)) AS content_sha256 FROM orders",
     "state_promotions": f"""WITH state AS ({STATES_SQL}), suppliers AS (SELECT DISTINCT supplier FROM state),
 last AS (SELECT supplier, max(r) AS run FROM suppliers, range({RUNS}) AS t(r) WHERE (supplier + r) % 4 <> 0 GROUP BY supplier)
 SELECT supplier, run::BIGINT AS run, count(*) AS n FROM state JOIN last USING (supplier) WHERE turn = run AND NOT (run = {RUNS - 1} AND supplier % 9 = 0) GROUP BY ALL""",

@@ -16,6 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallybridge.functions.commits import CommitLog, State, fresh_part
 from tallybridge.functions.store import stored
+from tallybridge.sinks.ledger import SnapshotLedger
+from tallybridge.streaming.missing_stream import dedupe_landing
 
 MAX_FILES = 64
 
@@ -48,6 +50,19 @@ def run(stream: DataFrame, judge: Callable[[SparkSession, list[str]], tuple[Data
     return stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def land(stream: DataFrame, ledger: SnapshotLedger, checkpoint: str, within: str = "90 days") -> StreamingQuery:
+    """Landings (supplier, content_sha256, feed_date, the ledger's contract, metadata, landed_at) into the ledger.
+
+    Content that lands again within a time is dropped by the stream, whose state leaves it out after that; content that
+    lands again later is found in the ledger.  landed_at is the time of landing, so no row is later than the watermark allows.
+    """
+
+    def commit(batch: DataFrame, number: int) -> None:
+        ledger.append(f"micro-batch {number}", batch.drop("landed_at"))
+
+    return dedupe_landing(stream, within).writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """rows or rejects that are committed."""
     log = CommitLog(spark, path)
