@@ -19,9 +19,15 @@ _REFUSED = r"<!|&(?!(?:lt|gt|amp|quot|apos|#[0-9]+|#[xX][0-9A-Fa-f]+);)"
 
 def attributes(x: Column) -> Column:
     """array<struct<name, value>> of the text of a start tag, in its order."""
-    group = lambda n: F.regexp_extract_all(x, F.lit(_ATTRIBUTE), F.lit(n))
-    pairs = F.arrays_zip(group(1).alias("name"), group(2).alias("a"), group(3).alias("b"))
-    return F.transform(pairs, lambda p: F.struct(p["name"].alias("name"), decoded(F.concat(p["a"], p["b"])).alias("value")))
+
+    def of(text: Column) -> Column:
+        group = lambda n: F.regexp_extract_all(text, F.lit(_ATTRIBUTE), F.lit(n))
+        pairs = F.arrays_zip(group(1).alias("name"), group(2).alias("a"), group(3).alias("b"))
+        made = F.transform(pairs, lambda p: F.struct(p["name"].alias("name"), decoded(F.concat(p["a"], p["b"])).alias("value")))
+        # Most children have none.
+        return F.when(text == "", F.array().cast("array<struct<name:string,value:string>>")).otherwise(made)
+
+    return F.get(F.transform(F.array(x), of), F.lit(0))
 
 
 def parsed(fragment: Column) -> Column:
