@@ -1,39 +1,29 @@
-"""Missing-product state over a stream of snapshots, with the batch step in foreachBatch."""
+"""Missing-product state over a stream of runs: each micro-batch writes the products that its runs saw."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallybridge.operators.missing import STATE, step
+from tallybridge.operators.missing import stretches
 
+STRETCHES = "supplier long, product_id long, first int, last int"
 
-def read_state(spark: SparkSession, path: str, version: int) -> DataFrame:
-    if version < 0:
-        return spark.createDataFrame([], STATE)
-    return spark.read.schema(STATE).parquet(f"{path}/v={version}")
+
+def read_stretches(spark: SparkSession, path: str) -> DataFrame:
+    """The last stretch of each product over all micro-batches."""
+    return stretches(spark.read.schema(STRETCHES).parquet(f"{path}/v=*"))
 
 
 def run(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Apply each micro-batch of (supplier, run, complete, product_id, sku, missing) to the state.
+    """Write the stretches of each micro-batch of spans (see ``operators.missing.stretches``).
 
-    A micro-batch may hold several runs; they are applied in order.  State version b is written
-    for batch b from version b - 1 only, so a batch that is retried gives the same version again.
-    The runs of one micro-batch are the only thing the driver sees.
+    A micro-batch may hold several runs, in any order.  What batch b writes depends on its rows only and goes to its own folder, so a
+    batch that is retried gives the same again; stretches of one batch join on to those before when the state is read.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        state = read_state(spark, path, number - 1)
-        rows = batch.persist()
-        for r in rows.select("run").distinct().orderBy("run").collect():
-            one = rows.where(F.col("run") == r["run"])
-            runs = one.groupBy("supplier", "run").agg(F.bool_and("complete").alias("complete"))
-            gone = one.where("missing").select("supplier", "product_id", "sku").distinct()
-            state = step(state, gone, runs)
-        state.write.mode("overwrite").parquet(f"{path}/v={number}")
-        rows.unpersist()
+        stretches(batch).write.mode("overwrite").parquet(f"{path}/v={number}")
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
