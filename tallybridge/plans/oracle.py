@@ -131,11 +131,12 @@ CATALOG: dict[str, str] = {
     "csv_safe_text": "SELECT doc_id, CASE WHEN regexp_matches(t, '^[ \\t\\r\\n]*[=+\\-@]') THEN '''' || t ELSE t END AS cell FROM (SELECT doc_id, text AS t FROM documents UNION ALL SELECT doc_id, concat(CASE doc_id % 5 WHEN 0 THEN '=' WHEN 1 THEN ' +' WHEN 2 THEN chr(9) || '-' WHEN 3 THEN '@' ELSE '' END, text) FROM documents)",
     "inline_secret_scan": "SELECT doc_id, regexp_matches(replace(text, '\"', ': '), '(^|\\n)\\s*(?i:password|passwd|token|api[_-]?key|secret)\\s*:\\s*[''\"]?\\S+') AS has_secret FROM documents",
     "url_allowlist": "SELECT page_id, regexp_matches(url, '^https://(?:www\\.ththhe\\.example\\.com|thther\\.example\\.org)(?::443)?/[^?#]*$') AS allowed FROM pages",
-    "table_digest": """WITH rows_ AS (SELECT sha256('{"l_linenumber":' || l_linenumber || ',"l_orderkey":' || l_orderkey || ',"l_partkey":' || l_partkey || ',"l_returnflag":"' || l_returnflag || '"}') AS h FROM lineitem),
-counted AS (SELECT h, count(*) AS n FROM rows_ GROUP BY h), wide AS (SELECT CAST(greatest(0, ceil(log(count(*) / 1024.0) / log(16))) AS INTEGER) AS w FROM counted),
-buckets AS (SELECT substring(h, 1, w) AS b, sha256(string_agg(h || ':' || n, chr(10) ORDER BY h)) AS d, any_value(w) AS w FROM counted, wide GROUP BY substring(h, 1, w)),
-root AS (SELECT CASE WHEN max(w) = 0 THEN max(d) ELSE sha256(string_agg(b || ':' || d, chr(10) ORDER BY b)) END AS digest FROM buckets)
-SELECT copy, (SELECT CAST(sum(n) AS BIGINT) FROM counted) AS n_rows, digest FROM root, (SELECT 'stored' AS copy UNION ALL SELECT 'dealt anew')""",
+    # Buckets of as many first digits of the hash as hold 1024 rows each in the mean; then three digits fewer at a time, until none is left.
+    "table_digest": """WITH RECURSIVE rows_ AS (SELECT sha256('{"l_linenumber":' || l_linenumber || ',"l_orderkey":' || l_orderkey || ',"l_partkey":' || l_partkey || ',"l_returnflag":"' || l_returnflag || '"}') AS h FROM lineitem),
+counted AS (SELECT h, count(*) AS n FROM rows_ GROUP BY h), wide AS (SELECT min(k) AS w FROM range(16) AS r(k) WHERE CAST(1024 AS HUGEINT) * CAST(16 AS HUGEINT) ** k >= (SELECT count(*) FROM counted)),
+folded AS (SELECT w, substring(h, 1, w) AS b, sha256(string_agg(h || ':' || n, chr(10) ORDER BY h)) AS d FROM counted, wide GROUP BY w, substring(h, 1, w)
+  UNION ALL SELECT greatest(0, w - 3), substring(b, 1, greatest(0, w - 3)), sha256(string_agg(b || ':' || d, chr(10) ORDER BY b)) FROM folded WHERE w > 0 GROUP BY w, substring(b, 1, greatest(0, w - 3)))
+SELECT copy, (SELECT CAST(sum(n) AS BIGINT) FROM counted) AS n_rows, d AS digest FROM folded, (SELECT 'stored' AS copy UNION ALL SELECT 'dealt anew') WHERE w = 0""",
     "verify_checks": f"{BASE} SELECT DISTINCT supplier, 'PASS' AS status, CAST(10 AS BIGINT) AS n_passed, CAST(0 AS BIGINT) AS n_failed FROM offers",
 }
 
