@@ -71,10 +71,15 @@ def elements(fragment: Column) -> Column:
 def row_hash(fragment: Column) -> Column:
     """SHA-256 of an element's canonical form: attributes by name, children in order, no comments, references and
     CDATA as the text they stand for.  So the order and the quotes of attributes do not matter; null if unparsable."""
+    return parsed_hash(parsed(fragment))
+
+
+def parsed_hash(element: Column) -> Column:
+    """``row_hash`` of an element that ``parsed`` has read."""
 
     def of(p: Column) -> Column:
         children = F.transform(p["children"], lambda c: F.struct(c["name"].alias("name"), F.array_sort(c["attributes"]).alias("attributes"), c["text"].alias("text")))
         canonical = F.struct(p["name"].alias("name"), F.array_sort(p["attributes"]).alias("attributes"), children.alias("children"))
         return F.when(p.isNotNull(), F.sha2(F.to_json(canonical), 256))
 
-    return F.get(F.transform(F.array(parsed(fragment)), of), F.lit(0))
+    return F.get(F.transform(F.array(element), of), F.lit(0))

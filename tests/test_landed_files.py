@@ -4,6 +4,7 @@ import hashlib
 import random
 import xml.etree.ElementTree as ET
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +158,19 @@ def test_each_gate_sees_its_fault_in_the_file(spark, tmp_path, spoil, rule):
     policy = spark.createDataFrame([(11, 5, 20, 9000)], "supplier int, min_items int, max_items int, max_bytes int")
     said = [r["rule"] for r in gates.snapshot_gates(rows, policy).collect()]
     assert rule in said and (rule == "root_element" or len(said) == 1 or said == ["item_count", "well_formed"])
+
+
+def test_first_split_of_a_file_is_read_one_way(monkeypatch):
+    """The first split of a file can only begin as text."""
+    read = []
+    plain = structure.Reader.read
+    monkeypatch.setattr(structure.Reader, "read", lambda self, data: read.append(len(data)) or plain(self, data))
+    pieces = [b"<a"] + [b"<b", b"x</b"] * 4000
+    size = sum(map(len, pieces)) + len(pieces)
+    names = ["file", "size", "start", "value"]
+    for start, ways in ((0, 1), (500, len(structure.ENTRIES))):
+        columns = [pa.array(["f"] * len(pieces)), pa.array([size] * len(pieces)), pa.array([start] * len(pieces)), pa.array(pieces, pa.binary())]
+        read.clear()
+        rows = [r for b in structure._reduced(iter([pa.RecordBatch.from_arrays(columns, names=names)])) for r in b.to_pylist()]
+        assert sum(read) == ways * size
+        assert [r["n_bytes"] for r in rows] == [size] * len(rows) and {r["entry"] for r in rows} == (set(structure.ENTRIES) if start else {"text"})
