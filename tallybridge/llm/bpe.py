@@ -141,8 +141,8 @@ def load(path: str) -> ByteBpe:
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = True) -> DataFrame:
-    """(id, n_tokens, ids array<int>) of every whole text, and the text decoded from its ids
-    unless that is not wanted.
+    """(id, n_tokens, ids array<int>) of every whole text, and the text decoded from its ids; where that
+    column is not wanted, the ids are decoded too and held against the text, and one that differs is an error.
 
     Null and empty texts give no ids and an empty text; a null id stays null; rows that repeat
     are encoded each; other columns are ignored, whatever their names; no row, no result.
@@ -153,12 +153,16 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         bpe = load(path)
         for batch in batches:
             for rows in _slices(batch):
-                ids = [bpe.encode(t) for t in rows.column(1).to_pylist()]
+                texts = rows.column(1).to_pylist()
+                ids = [bpe.encode(t) for t in texts]
+                back = [bpe.decode(x.tolist()) for x in ids]
                 ends = np.cumsum([0, *map(len, ids)])
                 flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32))
                 made = [rows.column(0), pa.array(np.diff(ends), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)]
                 if decoded:
-                    made.append(pa.array([bpe.decode(x.tolist()) for x in ids], pa.string()))
+                    made.append(pa.array(back, pa.string()))
+                elif any(b != (t or "") for b, t in zip(back, texts, strict=True)):
+                    raise ValueError("ids do not decode to their text")
                 yield pa.RecordBatch.from_arrays(made, names=[id_col, "n_tokens", "ids", "decoded"][: len(made)])
 
     return bounded(docs).select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids array<int>" + (", decoded string" if decoded else ""))
