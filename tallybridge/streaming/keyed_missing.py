@@ -3,10 +3,12 @@
 The stream has the missing products of complete runs only: (supplier, product_id, sku, run, place), place numbering the
 complete runs of a supplier 1, 2 ...  A product that is not missing in a run has no row; its absence shows when it is next
 missing, or when the state is read, by the places that lie between.  So a run touches the products it lacks and no others.
+With a column ``first`` a row tells of adjoining runs at once: the product is missing at all places from first to place
+(``absences``), so the rows follow the sightings and not products times runs.
 
-The state store (RocksDB) holds the products of a supplier in buckets, so that a call of Python serves many of them, and
-keeps its own versions; the rows that a micro-batch has changed are
-appended to a table under the commit log, under the number of the micro-batch, so that one that is retried after a
+The state store (RocksDB) holds the products in buckets, so that a call of Python serves many of them, and keeps its own
+versions; how many buckets there are follows the products and is fixed for a checkpoint.  The rows that a micro-batch has
+changed are appended to a table under the commit log, under the number of the micro-batch, so that one that is retried after a
 restart counts once.
 """
 
@@ -27,33 +29,52 @@ from tallybridge.functions.commits import CommitLog, State, fresh_part
 _STATE = "sku string, streak int, last_place long, last_missing_run long, seen_place long"
 CHANGED = f"supplier long, product_id long, {_STATE}"
 CHANGED_NAMES = [c.split()[0] for c in CHANGED.split(", ")]
-#: Buckets of a supplier's products: a key of the state store holds the products of one that were ever missing.
-BUCKETS = 16
+#: Buckets of products: a key of the state store holds those of a bucket that were ever missing, some PRODUCTS_A_BUCKET.
+BUCKETS, PRODUCTS_A_BUCKET = 256, 4000
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def count_missing(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Counts consecutive places at which the products of a bucket are missing; a place of 0 is none.  The rows that have
-    changed come out."""
+    """Counts consecutive places at which the products of a bucket are missing; a place of 0 is none.  A row without ``first``
+    has one place.  The rows that have changed come out."""
     held = json.loads(state.get[0]) if state.exists else {}
     changed = set()
-    found = sorted(t for pdf in rows for t in zip(pdf["place"].tolist(), pdf["product_id"].tolist(), pdf["sku"].tolist(), pdf["run"].tolist(), strict=True))
-    for place, product, new_sku, run in found:
-        _, streak, last_place, _, seen_place = held.get(str(product), (None, 0, 0, 0, 0))
+    names = ["place", "supplier", "product_id", "sku", "run"]
+    found = sorted(t for pdf in rows for t in zip(*[pdf[c].tolist() for c in names], pdf["first" if "first" in pdf else "place"].tolist(), strict=True))
+    for place, supplier, product, new_sku, run, first in found:
+        name = f"{supplier} {product}"
+        _, streak, last_place, _, seen_place = held.get(name, (None, 0, 0, 0, 0))
         if place <= last_place:
             continue  # a run that is told again
-        if last_place and place > last_place + 1:
-            streak, seen_place = 0, place - 1
-        held[str(product)] = (new_sku, streak + 1, place, run, seen_place)
-        changed.add(product)
+        first = max(first, last_place + 1)
+        if last_place and first > last_place + 1:
+            streak, seen_place = 0, first - 1
+        held[name] = (new_sku, streak + place - first + 1, place, run, seen_place)
+        changed.add((supplier, product))
     state.update((json.dumps(held),))
     if changed:
-        out = pd.DataFrame([(key[0], p, *held[str(p)]) for p in sorted(changed)], columns=CHANGED_NAMES)
+        out = pd.DataFrame([(s, p, *held[f"{s} {p}"]) for s, p in sorted(changed)], columns=CHANGED_NAMES)
         yield out
 
 
-def run(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the state of the missing rows of ``stream``; the changed rows of each micro-batch go to the table at ``path``."""
+def absences(seen_at: DataFrame, runs: DataFrame, low: int, high: int) -> DataFrame:
+    """(supplier, product_id, sku, run, place, first): the stretches of the places low to high at which products were missing, a
+    row each; seen_at: supplier, product_id, at (the sorted places at which it was seen); runs: (run, place)."""
+    inside = F.filter("at", lambda x: (x >= low) & (x <= high))
+    edges = F.concat(F.array(F.lit(low - 1)), inside, F.array(F.lit(high + 1)))
+    between = F.zip_with(F.slice(edges, 1, F.size(edges) - 1), F.slice(edges, 2, F.size(edges) - 1), lambda a, b: F.struct((a + 1).alias("first"), (b - 1).alias("place")))
+    rows = seen_at.select("supplier", "product_id", F.inline(F.filter(between, lambda g: g["first"] <= g["place"])))
+    named = rows.join(F.broadcast(runs.select("run", "place")), "place")  # as many rows as runs
+    return named.select("supplier", "product_id", F.concat_ws("-", "supplier", "product_id").alias("sku"), "run", F.col("place").cast("long").alias("place"), F.col("first").cast("long").alias("first"))
+
+
+def buckets_for(n_products: int) -> int:
+    return max(16, -(-n_products // PRODUCTS_A_BUCKET))
+
+
+def run(stream: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """Keep the state of the missing rows of ``stream``; the changed rows of each micro-batch go to the table at ``path``.
+    ``buckets`` must stay the same for a checkpoint."""
     spark = stream.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     log = CommitLog(spark, path)
@@ -66,7 +87,7 @@ def run(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
         log.update(f"micro-batch {number}", make, holds=lambda before, after: True)
 
-    changed = stream.withColumn("bucket", F.pmod(F.xxhash64("product_id"), F.lit(BUCKETS))).groupBy("supplier", "bucket").applyInPandasWithState(count_missing, CHANGED, "held string", "update", GroupStateTimeout.NoTimeout)
+    changed = stream.withColumn("bucket", F.pmod(F.xxhash64("supplier", "product_id"), F.lit(buckets))).groupBy("bucket").applyInPandasWithState(count_missing, CHANGED, "held string", "update", GroupStateTimeout.NoTimeout)
     return changed.writeStream.foreachBatch(commit).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 

@@ -1,11 +1,13 @@
 """Missing-product state kept by key, against a plain loop, with restarts and replays."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallybridge.operators import missing
+from tallybridge.plans import catalogue
 from tallybridge.streaming import keyed_missing
 
 KIND = "supplier long, product_id long, sku string, run long, place long"
@@ -60,3 +62,29 @@ def test_nothing_and_one(spark, tmp_path, rows):
     spark.createDataFrame(rows, KIND).write.parquet(str(tmp_path / "in"))
     keyed_missing.run(spark.readStream.schema(KIND).parquet(str(tmp_path / "in")), str(tmp_path / "s"), str(tmp_path / "cp")).awaitTermination()
     assert keyed_missing.changes(spark, str(tmp_path / "s")).count() == len(rows)
+
+
+def test_stretches_of_absence_give_the_state_of_a_walk(spark, tmp_path):
+    rng = random.Random(8)
+    runs = [(10 * i + 3, i) for i in range(1, 13)]
+    seen = {p: sorted(i for _, i in runs if rng.random() < rng.choice([0.1, 0.5, 0.95])) for p in range(60)} | {60: [], 61: list(range(1, 13))}
+    table, at = spark.createDataFrame(runs, "run long, place int"), spark.createDataFrame([(1, p, a) for p, a in seen.items()], "supplier long, product_id long, at array<int>")
+    landed, state, checkpoint = str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "cp")
+    for low, high in ((1, 5), (6, 9), (6, 9), (10, 12)):  # a part that lands twice changes nothing
+        part = keyed_missing.absences(at, table, low, high)
+        assert part.count() <= sum(len([i for i in a if low <= i <= high]) + 1 for a in seen.values())
+        part.write.mode("append").parquet(landed)
+        keyed_missing.run(spark.readStream.schema(part.schema).parquet(landed), state, checkpoint).awaitTermination()
+    got = {tuple(r) for r in keyed_missing.current(keyed_missing.changes(spark, state), table).collect()}
+    assert got == _stepped([(1, p, f"1-{p}", run, i) for p, a in seen.items() for run, i in runs if i not in a], runs)
+
+
+def test_what_the_query_lands_follows_the_sightings(spark, sf):
+    folder = Path(catalogue.fresh_folder(spark, "any")).parent
+    before = set(folder.glob("*"))
+    catalogue.missing_keyed_stream(spark, sf)
+    seen = catalogue.views.seen(spark, sf)
+    n_seen, n_products = seen.count(), seen.select("supplier", "product_id").distinct().count()
+    (made,) = [f for f in set(folder.glob("*")) - before if f.name.startswith("missing-keyed")]
+    landed = sum(spark.read.parquet(str(f)).count() for f in {p.parent for p in made.glob("**/*.parquet") if "state" not in p.parts})
+    assert 0 < landed <= n_seen + 3 * n_products
