@@ -51,16 +51,21 @@ def mapping(offers: DataFrame, matches: DataFrame, catalog: DataFrame) -> DataFr
     The dominant target has most support, ties going to the one met first in feed order.
     """
     rows = offers.select("supplier", "supplier_item_id", "category_path", "feed_pos").join(matches.select("supplier", "supplier_item_id", "status", "catalog_product_id"), ["supplier", "supplier_item_id"])
-    key = ["supplier", "category_path"]
-    total = rows.groupBy(*key).agg(F.count("*").alias("source_total"), F.count_if(F.col("status") == "unmatched").alias("source_only_products"))
-    targets = (
-        rows.where("status = 'exact' and catalog_product_id is not null")
-        .join(catalog.select("supplier", F.col("product_id").alias("catalog_product_id"), F.coalesce("category_ids", F.lit("")).alias("category_ids"), F.coalesce("categories", F.lit("")).alias("categories")), ["supplier", "catalog_product_id"])
-        .groupBy(*key, "category_ids", "categories")
-        .agg(F.count("*").alias("support"), F.min("feed_pos").alias("first_pos"))
-    )
-    ranked = targets.groupBy(*key).agg(F.sum("support").alias("exact_support"), F.array_sort(F.collect_list(F.struct((-F.col("support")).alias("order"), "first_pos", "category_ids", "categories", "support"))).alias("ranked"))
-    out = total.join(ranked, key, "left").withColumn("exact_support", F.coalesce("exact_support", F.lit(0))).withColumn("top", F.get("ranked", F.lit(0)))
+    products = catalog.select("supplier", F.col("product_id").alias("catalog_product_id"), "category_ids", "categories", F.lit(True).alias("there"))
+    return map_rows(rows.join(products, ["supplier", "catalog_product_id"], "left").withColumn("exact", (F.col("status") == "exact") & F.col("there")))
+
+
+def map_rows(rows: DataFrame) -> DataFrame:
+    """The same from rows (supplier, category_path, feed_pos, status, exact, category_ids, categories): a row of an exact match has the
+    categories of its product."""
+    key, exact = ["supplier", "category_path"], F.coalesce("exact", F.lit(False))
+    target = [F.when(exact, F.coalesce(c, F.lit(""))).alias(c) for c in ("category_ids", "categories")]
+    # An offer without a target counts for its category only; supports and totals come from one pass.
+    each = rows.groupBy(*key, *target).agg(F.count("*").alias("n"), F.count_if(F.col("status") == "unmatched").alias("new"), F.min("feed_pos").alias("first_pos"))
+    has = F.col("category_ids").isNotNull()
+    ranked = F.array_sort(F.collect_list(F.when(has, F.struct((-F.col("n")).alias("order"), "first_pos", "category_ids", "categories", F.col("n").alias("support")))))
+    out = each.groupBy(*key).agg(F.sum("n").alias("source_total"), F.sum("new").alias("source_only_products"), F.coalesce(F.sum(F.when(has, F.col("n"))), F.lit(0)).alias("exact_support"), ranked.alias("ranked"))
+    out = out.withColumn("top", F.get("ranked", F.lit(0)))
     top = F.coalesce("top.support", F.lit(0))
     status = (
         F.when((F.col("exact_support") >= 3) & (top == F.col("exact_support")), "strong_candidate")
@@ -87,7 +92,11 @@ def mapping(offers: DataFrame, matches: DataFrame, catalog: DataFrame) -> DataFr
 
 def product_proposals(offers: DataFrame, matches: DataFrame, mapped: DataFrame) -> DataFrame:
     """Category proposals of the offers that match no product."""
-    new = offers.join(matches.where("status = 'unmatched'").select("supplier", "supplier_item_id"), ["supplier", "supplier_item_id"])
+    return propose_rows(offers.join(matches.where("status = 'unmatched'").select("supplier", "supplier_item_id"), ["supplier", "supplier_item_id"]), mapped)
+
+
+def propose_rows(new: DataFrame, mapped: DataFrame) -> DataFrame:
+    """The same from the offers that match no product."""
     rows = new.join(mapped.select("supplier", "category_path", "suggested_category_ids", "suggested_categories", "mapping_status"), ["supplier", "category_path"])
     proposal = F.when(F.col("mapping_status").isin("strong_candidate", "review_candidate"), "review_only").when(F.col("mapping_status") == "ambiguous", "blocked_ambiguous_category").otherwise("blocked_unmapped")
     return rows.select("supplier", "supplier_item_id", "catalog_sku", "name", "category_path", "suggested_category_ids", "suggested_categories", "mapping_status", proposal.alias("proposal_status"), F.lit(False).alias("publication_eligible"))

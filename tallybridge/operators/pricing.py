@@ -30,7 +30,14 @@ def propose(offers: DataFrame, matches: DataFrame, catalog: DataFrame, policy: D
         offers.select("supplier", "supplier_item_id", "source_price", "currency")
         .join(matches.select("supplier", "supplier_item_id", "catalog_product_id", F.col("status").alias("match_status")), ["supplier", "supplier_item_id"])
         .join(catalog.select("supplier", F.col("product_id").alias("catalog_product_id"), "current_price"), ["supplier", "catalog_product_id"], "left")
-        .join(policy, "supplier", "left")
+    )
+    return propose_rows(rows, policy, rates)
+
+
+def propose_rows(rows: DataFrame, policy: DataFrame, rates: DataFrame) -> DataFrame:
+    """The same from rows (supplier, supplier_item_id, source_price, currency, catalog_product_id, match_status, current_price)."""
+    rows = (
+        rows.join(policy, "supplier", "left")
         .join(rates.select("supplier", "currency", "rub_per_unit"), ["supplier", "currency"], "left")
         .withColumn("current_price", F.coalesce("current_price", F.lit(0).cast("decimal(20,4)")))
     )

@@ -35,7 +35,11 @@ def _exact(offers: DataFrame, matches: DataFrame, catalog: DataFrame) -> DataFra
 
 def price_compare(offers: DataFrame, matches: DataFrame, catalog: DataFrame) -> DataFrame:
     """Exact matches by how the source price stands to the shop price, before any markup."""
-    rows = _exact(offers, matches, catalog)
+    return price_counts(_exact(offers, matches, catalog))
+
+
+def price_counts(rows: DataFrame) -> DataFrame:
+    """The same from the rows (supplier, source_price, currency, current_price) of exact matches."""
     rub, a, b = F.col("currency").isin("RUB", "RUR"), F.col("source_price"), F.col("current_price")
     return rows.groupBy("supplier").agg(F.count_if(rub & (a == b)).alias("equal"), F.count_if(rub & (a > b)).alias("source_higher"), F.count_if(rub & (a < b)).alias("source_lower"), F.count_if(~rub).alias("not_comparable"))
 

@@ -5,7 +5,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tallybridge.functions.text import identity_key
 from tallybridge.operators import audit, categories, match, missing, pricing, rejects
+from tallybridge.plans import catalogue
 
 OFFER = "supplier long, supplier_item_id string, feed_pos long, catalog_sku string, manufacturer string, mpn string, model string, ean string, identity_warnings array<string>"
 PRODUCT = "supplier long, product_id long, sku string, model string, ean string, manufacturer string"
@@ -166,3 +168,33 @@ def test_seal_and_ledger(spark):
     assert sorted((r["supplier"], r["content_sha256"]) for r in new.collect()) == [(1, "b"), (2, "a")] and clash.count() == 0
     _, clash = audit.ledger_append(spark.createDataFrame([(1, "a", "d", "x")], kind), spark.createDataFrame([(1, "a", "d", "y")], kind), ["contract"])
     assert clash.count() == 1
+
+
+def test_identity_key_is_what_the_pattern_leaves(spark):
+    texts = [None, "", "  ", "ab-12", "Ёж №7 \U0001f600x\U0001f600", "ßtraße", "а.Б/я", "a\u0000b", "--", "ÀÉ1", "\ud7ff!9", "\u0410\u042f\u0430\u044f\u0451"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.regexp_replace(F.upper(F.coalesce("t", F.lit(""))), "[^0-9A-ZА-Я]+", "")
+    assert rows.where(identity_key(F.col("t")) != plain).count() == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_suppliers_are_dealt_once_and_match_the_same(spark, sf):
+    run = catalogue._Run(spark, sf)
+    assert match.small_suppliers(run.offers, run.catalog)
+    once, by_key = match.match(run.offers, run.catalog, by_supplier=True), match.match(run.offers, run.catalog)
+    assert _plan(once).count("Exchange hashpartitioning") == 1 and "Join" not in _plan(once)
+    assert _plan(by_key).count("Exchange hashpartitioning") == 4
+    assert once.exceptAll(by_key).isEmpty() and by_key.exceptAll(once).isEmpty() and once.count() == run.offers.count()
+
+
+def test_carried_columns_are_those_of_the_joins(spark, sf):
+    run = catalogue._Run(spark, sf, catalogue._PRICES, catalogue._CATEGORIES)
+    joined = pricing.propose(run.offers, run.matches, run.catalog, *catalogue._policy(run.offers))
+    assert joined.exceptAll(run.proposals()).isEmpty() and run.proposals().exceptAll(joined).isEmpty()
+    mapped = categories.mapping(run.offers, run.matches, run.catalog)
+    assert mapped.exceptAll(run.mapped()).isEmpty() and run.mapped().exceptAll(mapped).isEmpty()
+    products = categories.product_proposals(run.offers, run.matches, run.mapped())
+    assert products.exceptAll(run.products()).isEmpty() and run.products().exceptAll(products).isEmpty()
