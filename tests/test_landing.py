@@ -1,12 +1,14 @@
 """Gates, digests, order and audits on rows that break them."""
 
 import hashlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallybridge.functions import store
 from tallybridge.operators import audit, gates, match, missing
+from tallybridge.plans import landing
 from tallybridge.sinks import export
 
 
@@ -78,3 +80,12 @@ def test_parity_and_manifest(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y"), (3, None), (4, "z")], "position int, id string")
     b = spark.createDataFrame([(1, "x"), (2, "w"), (3, None), (5, "z")], "position int, id string")
     assert {tuple(r) for r in audit.parity(a, b).collect()} == {(2, "differs"), (4, "only_first"), (5, "only_second")}
+
+
+def test_feed_files_are_bounded(spark, sf, monkeypatch):
+    monkeypatch.setattr(landing, "OFFERS_A_FILE", 300)
+    rows = spark.range(0, 2000, 1, 2).selectExpr("id AS _id", "concat('n', id) AS name")
+    folder = landing._files(rows, "bounded")
+    files = [p.read_text() for p in Path(folder).glob("part-*")]
+    counts = [t.count("<offer ") for t in files]
+    assert sum(counts) == 2000 and max(counts) <= 300
