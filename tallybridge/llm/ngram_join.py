@@ -19,8 +19,9 @@ its own, and the heads are joined; the sample changes the cost, never the result
 
 A group of sets with one signature is first joined as a star.  Members that are then in different
 components are compared with each other inside tasks, block by block, by a profile of counts that
-bounds their difference from below; what it leaves open is verified as well.  To verify is to
-compare the words of the shingles themselves.
+bounds their difference from below.  The members of pairs that it leaves open are sent again with
+their words, and the tasks verify such pairs and pass on only links between what no link has joined
+before: fewer than members.  To verify is to compare the words of the shingles themselves.
 """
 
 from __future__ import annotations
@@ -52,10 +53,13 @@ LARGE_CLASS = 10_000
 RATE_SAMPLE = 128
 #: Ids of sets to rebuild that are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 250_000
-#: Slots of the profile that rules out pairs before they become rows, members of a group that are
+#: Slots of the profile that rules out pairs before words are sent, members of a group that are
 #: compared in one piece (of a larger group every pair of pieces is a unit of work), and rows that
 #: the units of one head may bring to one task.
 PROFILE, COARSE, UNIT_ROWS, PACK_ROWS = 512, 64, 4096, 8192
+#: Bytes of words of one piece, of what the units of one head bring to one task, and pairs that a
+#: task remembers as not similar (overlapping groups ask for them again).
+UNIT_BYTES, PACK_BYTES, REFUTED_MOST = 16 << 20, 32 << 20, 500_000
 #: Bytes that a signature takes on the wire, and a word of a text that is verified.
 SIGNATURE_BYTES, WORD_BYTES = 20, 7
 _STEP = 1 << 20
@@ -298,28 +302,39 @@ def _shingles(folded: bytes, ngram: int) -> frozenset:
     return frozenset(b" ".join(spelled[i : i + k]) for i in range(len(spelled) - k + 1))
 
 
-def _verify(ngram: int, percent: int):
-    """Pairs whose sets are similar enough: first by fingerprints, then by the words of both."""
+def _sets_of(texts: list[bytes], ngram: int) -> list[np.ndarray]:
+    """Sets of fingerprints of folded texts."""
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    return list(document_sets(words(data, offsets, fold_case=False), ngram))
+
+
+def _similar(ngram: int, percent: int):
+    """Whether two sets are similar enough: first by fingerprints, then by the words of both."""
+    known = functools.lru_cache(64)(lambda folded: _shingles(folded, ngram))
+
+    def enough(both: int, x, y) -> bool:
+        return 100 * both >= percent * (len(x) + len(y) - both)
 
-    def sets_of(column: pa.Array) -> list[np.ndarray]:
-        data, offsets = np.frombuffer(b"".join(column.to_pylist()), np.uint8), np.cumsum([0, *(len(x) for x in column.to_pylist())])
-        return list(document_sets(words(data, offsets, fold_case=False), ngram))
+    def run(x: np.ndarray, y: np.ndarray, of_x: bytes, of_y: bytes) -> bool:
+        x, y = (x, y) if len(x) <= len(y) else (y, x)
+        at = np.searchsorted(y, x)
+        if not enough(int((y[np.minimum(at, len(y) - 1)] == x).sum()), x, y):
+            return False
+        left, right = known(of_x), known(of_y)
+        return enough(len(left & right), left, right)
+
+    return run
+
+
+def _verify(ngram: int, percent: int):
+    """Pairs whose sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = functools.lru_cache(64)(lambda folded: _shingles(folded, ngram))
+        similar = _similar(ngram, percent)
         for batch in batches:
             for some in (batch.slice(at, 64) for at in range(0, batch.num_rows, 64)):
-                keep = []
-                for x, y, of_x, of_y in zip(sets_of(some.column(2)), sets_of(some.column(3)), some.column(2).to_pylist(), some.column(3).to_pylist(), strict=True):
-                    x, y = (x, y) if len(x) <= len(y) else (y, x)
-                    at = np.searchsorted(y, x)
-                    both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                    ok = 100 * both >= percent * (len(x) + len(y) - both)
-                    if ok:
-                        left, right = known(of_x), known(of_y)
-                        both = len(left & right)
-                        ok = 100 * both >= percent * (len(left) + len(right) - both)
-                    keep.append(ok)
+                of_x, of_y = (some.column(c).to_pylist() for c in (2, 3))
+                keep = [similar(*both) for both in zip(_sets_of(of_x, ngram), _sets_of(of_y, ngram), of_x, of_y, strict=True)]
                 yield pa.RecordBatch.from_arrays(some.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -375,17 +390,16 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram:
     known = spark.sparkContext.broadcast(plan)
     checked = _checked(star.union(heads).distinct(), described, texts, known)
     joined = components(checked)
-    rest = _across(groups, joined, described, percent, n)
+    rest = _across(groups, joined, described, texts, known, n)
     if rest is not None:
-        checked = checked.union(_checked(rest, described, texts, known))
+        checked = checked.union(rest)
     discard(groups)
     return described.select("id", "n_shingles", "set_id"), checked
 
 
-def _checked(pairs: DataFrame, described: DataFrame, rows: DataFrame, plan) -> DataFrame:
-    """The pairs of set ids that are similar enough. Only texts of some pair are read again and sent."""
-    pairs = stored(pairs, "ngram-pairs")
-    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+def _texts_of(wanted: DataFrame, described: DataFrame, rows: DataFrame, plan) -> tuple[DataFrame, DataFrame]:
+    """(set_id, folded) of the wanted set ids, and the table behind it that the caller discards.
+    Only texts of those are read again and sent."""
     first = described.where("id is not null").groupBy("set_id").agg(F.min("id").alias("id")).join(wanted, "set_id", "left_semi").select("id")
     first = stored(first, "ngram-wanted")
     few = first.count() <= BROADCAST_IDS
@@ -393,52 +407,84 @@ def _checked(pairs: DataFrame, described: DataFrame, rows: DataFrame, plan) -> D
     # Rows that repeat an id may have other texts: of each class one is enough, of any other none is asked for.
     sets = stored(chosen.select("id", "text").mapInArrow(_folded(plan), "set_id long, folded binary"), "ngram-texts")
     once = sets.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("folded").alias("folded")) if first.count() < sets.count() else sets
+    discard(first)
+    return once, sets
+
+
+def _checked(pairs: DataFrame, described: DataFrame, rows: DataFrame, plan) -> DataFrame:
+    """The pairs of set ids that are similar enough."""
+    pairs = stored(pairs, "ngram-pairs")
+    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    once, sets = _texts_of(wanted, described, rows, plan)
     with_b = pairs.join(once.select(F.col("set_id").alias("b"), F.col("folded").alias("of_b")), "b")
     with_both = with_b.join(once.select(F.col("set_id").alias("a"), F.col("folded").alias("of_a")), "a").select("a", "b", "of_a", "of_b")
     out = cut(with_both.mapInArrow(_verify(plan.value.ngram, plan.value.percent), "a long, b long"))
-    discard(pairs, first, sets)
+    discard(pairs, sets)
     return out
 
 
-def _across(groups: DataFrame, joined: DataFrame, described: DataFrame, percent: int, n_packs: int) -> DataFrame | None:
-    """Pairs of one group whose members are in different components and whose profiles allow the
-    similarity; its first member has been compared with all.  None if there is no such pair.
+def _across(groups: DataFrame, joined: DataFrame, described: DataFrame, texts: DataFrame, plan, n_packs: int) -> DataFrame | None:
+    """Links between members of one group that are in different components; its first member has
+    been compared with all.  None if no profiles allow one.
 
-    Members are compared in tasks, in units of at most two blocks; only pairs that the profiles
-    leave open become rows, each once.
+    Members are compared in tasks, in units of at most two blocks: by their profiles, and those of
+    some pair that these leave open by their words.  Rows are members, never pairs.
     """
+    percent = plan.value.percent
+    facts = described.groupBy("set_id").agg(F.first("n_shingles").alias("size"), F.first("profile").alias("profile"))
     # Groups of the same members count once, whatever buckets they come from.
     lists = groups.groupBy("signature").agg(F.min("head").alias("head"), F.sum(F.xxhash64("members").cast("decimal(38,0)")).alias("of"), F.sum(F.size("members")).alias("n"))
     one = lists.where("n > 2").groupBy("head", "of", "n").agg(F.min("signature").alias("signature")).select("signature", "head", "n")
+    # Sizes in a group are alike; its head tells how many members fill a block.
+    one = one.join(facts.select(F.col("set_id").alias("head"), (F.col("size") * WORD_BYTES).alias("width")), "head")
+    one = one.withColumn("piece", F.greatest(F.lit(1), F.least(F.lit(UNIT_ROWS), F.floor(UNIT_BYTES / F.col("width")))))
     # Rows of a head are dealt out once they are many; groups of near copies overlap, and together
-    # in a task they pass on a pair once.
-    width = one.groupBy("head").agg(F.ceil(F.sum("n") / PACK_ROWS).alias("split"))
-    one = one.join(width, "head").select("signature", F.col("head").alias("top"), F.pmod(F.xxhash64("signature"), F.col("split")).alias("turn"))
-    open_ = groups.join(one, "signature").select(F.col("signature").alias("g"), "top", "turn", F.explode("members").alias("node"))
-    placed = open_.join(joined, "node", "left").select("g", "top", "turn", "node", F.coalesce("component", "node").alias("part"))
-    several = placed.groupBy("g").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count("*").alias("n")).where("x <> y").select("g", F.ceil(F.col("n") / UNIT_ROWS).alias("blocks"))
+    # in a task they compare a pair once.
+    split = one.groupBy("head").agg(F.ceil(F.greatest(F.sum("n") / PACK_ROWS, F.sum(F.col("n") * F.col("width")) / PACK_BYTES)).alias("split"))
+    one = one.join(split, "head").select("signature", "piece", F.col("head").alias("top"), F.pmod(F.xxhash64("signature"), F.col("split")).alias("turn"))
+    open_ = groups.join(one, "signature").select(F.col("signature").alias("g"), "piece", "top", "turn", F.explode("members").alias("node"))
+    placed = open_.join(joined, "node", "left").select("g", "piece", "top", "turn", "node", F.coalesce("component", "node").alias("part"))
+    several = placed.groupBy("g").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.ceil(F.count("*") / F.first("piece")).alias("blocks")).where("x <> y").select("g", "blocks")
     placed = placed.join(several, "g")
-    facts = described.groupBy("set_id").agg(F.first("n_shingles").alias("size"), F.first("profile").alias("profile"))
     rows = placed.join(facts, F.col("node") == F.col("set_id"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = rows.withColumn("own", own).select("g", "top", "turn", "node", "part", "size", "profile", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     blocks = [F.least("own", "other"), F.greatest("own", "other")]
-    units = dealt.select(F.xxhash64("g", *blocks).alias("unit"), F.pmod(F.xxhash64("top", "turn", *blocks), F.lit(n_packs)).cast("int").alias("pack"), "node", "part", "size", "profile", (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high"))
-    pairs = cut(units.groupBy("pack").applyInArrow(_allowed(percent), "a long, b long").distinct())
-    return None if pairs.isEmpty() else pairs
+    key = F.xxhash64("top", "turn", *blocks)
+    units = dealt.select(F.xxhash64("g", *blocks).alias("unit"), key.alias("deal"), F.pmod(key, F.lit(n_packs)).cast("int").alias("pack"), "node", "part", "size", "profile", (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high"))
+    left = cut(units.groupBy("pack").applyInArrow(_undecided(percent), "unit long, deal long, node long, part long, size long, low boolean, high boolean"))
+    n_bytes = left.agg(F.sum("size")).first()[0]
+    if n_bytes is None:
+        return None
+    n_packs = max(n_packs, -(-n_bytes * WORD_BYTES // PACK_BYTES))
+    asked = left.withColumn("pack", F.pmod("deal", F.lit(n_packs)).cast("int"))
+    once, sets = _texts_of(left.select(F.col("node").alias("set_id")).distinct(), described, texts, plan)
+    sent = asked.select(F.col("pack").alias("to"), F.col("node").alias("set_id")).distinct().join(once, "set_id").select("to", F.col("set_id").alias("node"), "folded")
+    out = cut(asked.groupBy("pack").cogroup(sent.groupBy("to")).applyInArrow(_linked(plan.value.ngram, percent), "a long, b long").distinct())
+    discard(sets)
+    return out
+
+
+def _coarse(profile: np.ndarray) -> np.ndarray:
+    return profile.reshape(len(profile), COARSE, -1).sum(2, dtype=np.int16)  # sums bound no less
+
 
+def _units(unit: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the rows of each unit."""
+    order = np.argsort(unit, kind="stable")
+    return iter(np.split(order, np.flatnonzero(np.diff(unit[order])) + 1) if len(order) else [])
+
+
+def _undecided(percent: int):
+    """The members of a unit that are in some pair of different components whose profiles allow the similarity."""
 
-def _allowed(percent: int):
     def run(rows: pa.Table) -> pa.Table:
-        unit, node, part, size = (rows.column(c).to_numpy() for c in ("unit", "node", "part", "size"))
+        unit, part, size = (rows.column(c).to_numpy() for c in ("unit", "part", "size"))
         low, high = (rows.column(c).to_numpy() for c in ("low", "high"))
         profile = np.frombuffer(b"".join(rows.column("profile").to_pylist()), np.uint8).reshape(-1, PROFILE).astype(np.int16)
-        coarse = profile.reshape(len(profile), COARSE, -1).sum(2, dtype=np.int16)  # sums bound no less
-        order = np.argsort(unit, kind="stable")
-        cut_at = np.flatnonzero(np.diff(unit[order], prepend=~unit[order][:1]) != 0).tolist()
-        found = []
-        for a, b in zip(cut_at, [*cut_at[1:], len(order)], strict=True):
-            here = order[a:b]
+        coarse = _coarse(profile)
+        wanted = np.zeros(len(unit), bool)
+        for here in _units(unit):
             left, right = here[low[here]], here[high[here]]
             for at in range(0, len(left), 64):
                 some = left[at : at + 64]
@@ -447,12 +493,57 @@ def _allowed(percent: int):
                 for k in range(0, len(i), 1 << 16):
                     x, y = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
                     for level in (coarse, profile):
+                        new = ~(wanted[x] & wanted[y])
+                        x, y = x[new], y[new]
                         least = np.abs(level[x] - level[y]).sum(1, dtype=np.int64)
                         ok = least * (100 + percent) <= (size[x] + size[y]) * (100 - percent)
                         x, y = x[ok], y[ok]
-                    found.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], 1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.Table.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
+                    wanted[x] = True
+                    wanted[y] = True
+        return rows.select(["unit", "deal", "node", "part", "size", "low", "high"]).filter(pa.array(wanted))
+
+    return run
+
+
+def _linked(ngram: int, percent: int):
+    """Links between members of a unit by their words, each of which joins two components of the
+    pack that no link before it has joined: fewer than there are components."""
+
+    def run(rows: pa.Table, texts: pa.Table) -> pa.Table:
+        folded = texts.column("folded").to_pylist()
+        sets = [x for at in range(0, len(folded), 64) for x in _sets_of(folded[at : at + 64], ngram)]
+        size = np.array([len(x) for x in sets], np.int64)
+        profile = np.frombuffer(b"".join(map(_profile, sets)), np.uint8).reshape(-1, PROFILE).astype(np.int16)
+        coarse = _coarse(profile)
+        ids = texts.column("node").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        at = order[np.searchsorted(ids, rows.column("node").to_numpy(), sorter=order)]  # of each row, its text
+        _, of_row = np.unique(rows.column("part").to_numpy(), return_inverse=True)
+        part = np.zeros(len(ids), np.int64)
+        part[at] = of_row  # a node has one component
+        low, high = (rows.column(c).to_numpy() for c in ("low", "high"))
+        similar, refuted, links = _similar(ngram, percent), set(), []
+        for here in _units(rows.column("unit").to_numpy()):
+            left, right = at[here[low[here]]], at[here[high[here]]]
+            for x in left.tolist():
+                y = right[part[right] != part[x]]
+                y = y[(100 - percent) * (size[y] + size[x]) >= (100 + percent) * np.abs(size[y] - size[x])]
+                for level in (coarse, profile):
+                    if len(y):
+                        y = y[np.abs(level[y] - level[x]).sum(1, dtype=np.int64) * (100 + percent) <= (size[y] + size[x]) * (100 - percent)]
+                for z in y.tolist():
+                    pair = (min(x, z), max(x, z))
+                    if part[x] == part[z] or pair in refuted:
+                        continue
+                    if similar(sets[x], sets[z], folded[x], folded[z]):
+                        links.append((min(ids[x], ids[z]), max(ids[x], ids[z])))
+                        part[part == part[z]] = part[x]
+                        continue
+                    if len(refuted) >= REFUTED_MOST:
+                        refuted.clear()
+                    refuted.add(pair)
+        a, b = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.Table.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return run
 

@@ -61,3 +61,37 @@ def test_any_allocation_finds_similar_pairs(rate):
         if 100 * both >= 80 * (len(a) + len(b) - both):
             sign, of = ngram_join.signatures([a, b], 80, np.zeros(0, np.uint64), rate)
             assert set(sign[of == 0].tolist()) & set(sign[of == 1].tolist())
+
+
+def test_open_groups_pass_on_fewer_links_than_members(monkeypatch):
+    """Near copies that no link joins yet, and texts that are alike by their counts only: rows are members or links, never pairs."""
+    import pyarrow as pa
+
+    base = [f"w{i}" for i in range(200)]
+    near = [" ".join([*base[:k], f"x{k}", *base[k + 1 :]]).encode() for k in range(2, 122)]
+    other = [" ".join(f"{k}y{i}" for i in range(40)).encode() for k in range(30)]
+    folded, n = near + other, len(near) + len(other)
+    sets = ngram_join._sets_of(folded, 4)
+    here = {"node": np.arange(n), "part": np.arange(n), "size": np.array([len(x) for x in sets]), "low": [True] * n, "high": [True] * n}
+    twice = pa.concat_tables([pa.table({"unit": [u] * n, "deal": [0] * n, **here, "profile": pa.array([ngram_join._profile(x) for x in sets], pa.binary())}) for u in (1, 2)])
+    left = ngram_join._undecided(85)(twice)
+    assert set(range(len(near))) <= set(left.column("node").to_pylist()) and left.num_rows <= twice.num_rows
+    asked, judged = sorted(set(left.column("node").to_pylist())), []
+    similar = ngram_join._similar
+    monkeypatch.setattr(ngram_join, "_similar", lambda *a: lambda *x: judged.append(1) or similar(*a)(*x))
+    links = ngram_join._linked(4, 85)(left, pa.table({"node": asked, "folded": [folded[i] for i in asked]}))
+    assert links.num_rows == len(near) - 1 and len(judged) < n * n // 4
+    assert {*links.column("a").to_pylist(), *links.column("b").to_pylist()} == set(range(len(near)))
+
+
+def test_groups_alone_connect_near_copies(monkeypatch, spark):
+    """What the first members of the groups would join is left to the comparison inside the groups."""
+    monkeypatch.setattr(ngram_join, "_checked", lambda pairs, *_: pairs.where("false"))
+    monkeypatch.setattr(ngram_join, "UNIT_ROWS", 4)
+    some = []
+    for c in range(3):
+        base = [f"{c}w{i}" for i in range(200)]
+        some += [(10 * c + k, " ".join([*base[: 20 * k + 3], f"x{c}{k}", *base[20 * k + 4 :]])) for k in range(9)]
+    table = spark.createDataFrame(some, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.similar_components(table).collect()}
+    assert got == brute_components(some, 4, 85)
