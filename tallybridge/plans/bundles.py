@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.functions.store import fresh_folder
+from tallybridge.functions.store import fresh_folder, stored
 from tallybridge.plans import catalogue
 from tallybridge.plans.landing import _spark
 from tallybridge.plans.oracle import BASE
@@ -124,18 +124,21 @@ def adapter_offers(spark, sf):
     """Feeds of three dialects read by the adapters that the registry names; those of others are not read."""
     folder = fresh_folder(spark, "adapters")
     registry = _registry(spark, sf)
-    rows = catalogue.offers_of(spark, sf).join(registry.select("supplier", "adapter"), "supplier")
+    ours = catalogue.offers_of(spark, sf).select("supplier", "feed_pos", "supplier_item_id", "manufacturer", "price_cents", "available")
+    rows = stored(ours.join(registry.select("supplier", "adapter"), "supplier"), "adapter-offers")
     old, third = F.col("adapter") == "31", F.col("adapter") == "41"
     tag = lambda name, c, when: F.when(when & c.isNotNull(), F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>"))).otherwise("")
     price, item = F.col("price_cents").cast("string"), F.col("supplier_item_id")
     stated = F.when(F.col("feed_pos") % 2 == 0, F.concat(F.lit('" available="'), F.col("available").cast("string"))).otherwise("")
     body = [tag("price", price, ~old), tag("priceE", price, old), tag("vendor", F.col("manufacturer"), ~old), tag("Vendor", F.col("manufacturer"), old), tag("quantity", (F.col("feed_pos") % 5 - 2).cast("string"), third), tag("count", F.lit("***"), old), tag("barcode", item, ~old), tag("barcode", F.lit("2"), ~old)]
     line = F.concat(F.lit('<offer id="'), item, stated, F.lit('">'), *body, F.lit("</offer>"))
-    lines = rows.select("supplier", F.col("feed_pos").alias("pos"), line.alias("value"))
+    lines = rows.select("adapter", "supplier", F.col("feed_pos").alias("pos"), line.alias("value"))
     for pos, text in ((-1, "<feed><shop><offers>"), (1 << 40, "</offers></shop></feed>")):
-        lines = lines.union(rows.select("supplier").distinct().select("supplier", F.lit(pos).cast("long"), F.lit(text)))
-    lines.repartition("supplier").sortWithinPartitions("supplier", "pos").select("supplier", "value").write.partitionBy("supplier").text(folder)
-    offers, _ = adapters.read(spark, registry, folder)
+        lines = lines.union(rows.select("adapter", "supplier").distinct().select("adapter", "supplier", F.lit(pos).cast("long"), F.lit(text)))
+    feed = lines.repartition("supplier").sortWithinPartitions("adapter", "supplier", "pos").select("adapter", "supplier", "value")
+    # A file for each supplier: tasks move their own files to their places, not the driver all of them.
+    feed.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("adapter", "supplier").text(folder)
+    offers, _ = adapters.read(spark, registry, folder, by_adapter=True)
     return offers.select("supplier", "adapter", "supplier_item_id", "catalog_sku", "manufacturer", (F.col("source_price")).cast("long").alias("price"), "quantity", "available", F.array_join("identity_warnings", ",").alias("warnings"), F.array_join(F.array_sort("refused"), ",").alias("refused"))
 
 

@@ -33,13 +33,26 @@ def rejects(registry: DataFrame) -> DataFrame:
     return registry.select("supplier", F.explode(F.array_compact(F.array(*rules))).alias("rule"), adapter.cast("string").alias("row_key")).union(twice)
 
 
-def read(spark: SparkSession, registry: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(offers with supplier and adapter, rejects): the feeds of ``folder``/supplier=<id>/ by the dialects that the registry names."""
+def _raw(spark: SparkSession, folder: str, mapping: feeds.Mapping) -> DataFrame:
+    """Raw offers of ``folder``/supplier=<id>/; none where there is no such folder."""
+    schema = f"{feeds.offer_schema(mapping)}, supplier long"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.format("xml").option("rowTag", "offer").schema(schema).load(folder)
+
+
+def read(spark: SparkSession, registry: DataFrame, folder: str, by_adapter: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(offers with supplier and adapter, rejects): the feeds of ``folder``/supplier=<id>/ by the dialects that the registry names.
+
+    ``by_adapter``: they lie in ``folder``/adapter=<adapter>/supplier=<id>/, so each folder is listed for one dialect and not for
+    all; what lies under another adapter than the registry's is not read.
+    """
     bad = rejects(registry)
     served = registry.join(bad.select("supplier").distinct(), "supplier", "left_anti").select("supplier", "adapter")
     parts = []
     for adapter, mapping in feeds.DIALECTS.items():
-        raw = spark.read.format("xml").option("rowTag", "offer").schema(f"{feeds.offer_schema(mapping)}, supplier long").load(folder)
+        raw = _raw(spark, f"{folder}/adapter={adapter}" if by_adapter else folder, mapping)
         mine = raw.join(served.where(F.col("adapter") == adapter), "supplier")
         parts.append(feeds.normalise(mine, mapping, ("supplier", "adapter")).select("supplier", "adapter", *COMMON))
     return reduce(DataFrame.unionByName, parts), bad

@@ -110,3 +110,16 @@ def test_adapters_fail_closed(spark, tmp_path):
     offers, bad = adapters.read(spark, registry, str(tmp_path))
     assert sorted((r["supplier"], r["catalog_sku"], int(r["source_price"]), r["quantity"]) for r in offers.collect()) == [(1, "111", 5, None), (2, "312", 7, None), (7, "417", 5, 2)]
     assert sorted((r["supplier"], r["rule"]) for r in bad.collect()) == [(3, "unknown_adapter"), (4, "adapter_prefix"), (5, "unknown_adapter"), (6, "adapter_root"), (8, "adapter_twice")]
+
+
+def test_adapters_by_their_own_folders(spark, tmp_path):
+    """Each dialect lists its own folder alone; a feed under another adapter than its supplier's is not read, a dialect may have no feed."""
+    registry = spark.createDataFrame([(1, "11", "11", "yml_catalog"), (2, "31", "31", "xml_catalog"), (3, "11", "11", "yml_catalog"), (4, "41", "41", "yml_catalog")], "supplier long, adapter string, prefix string, root string")
+    for adapter, s in (("11", 1), ("31", 2), ("31", 3)):
+        folder = tmp_path / f"adapter={adapter}" / f"supplier={s}"
+        folder.mkdir(parents=True)
+        (folder / "f.xml").write_text(f'<c><offer id="{s}" available="yes"><price>5</price><priceE>7</priceE><name>n</name></offer></c>')
+    offers, bad = adapters.read(spark, registry, str(tmp_path), by_adapter=True)
+    assert sorted((r["supplier"], r["catalog_sku"]) for r in offers.collect()) == [(1, "111"), (2, "312")] and bad.isEmpty()
+    listed = {f.split("/adapter=")[1][:2] for f in offers.inputFiles()}
+    assert listed == {"11", "31"} and len(offers.inputFiles()) == 3
