@@ -89,3 +89,8 @@ def test_feed_files_are_bounded(spark, sf, monkeypatch):
     files = [p.read_text() for p in Path(folder).glob("part-*")]
     counts = [t.count("<offer ") for t in files]
     assert sum(counts) == 2000 and max(counts) <= 300
+
+
+def test_batch_status_reads_the_offers_of_its_run(spark, sf):
+    """The offers are made once, not again for the suppliers and their rejects."""
+    assert not [f for f in landing.QUERIES["batch_status_broken"](spark, sf).inputFiles() if "lineitem" in f]
