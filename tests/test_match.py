@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallybridge.functions.text import identity_key
 from tallybridge.operators import audit, categories, match, missing, pricing, rejects
 from tallybridge.plans import catalogue
+from tallybridge.sources import views
 
 OFFER = "supplier long, supplier_item_id string, feed_pos long, catalog_sku string, manufacturer string, mpn string, model string, ean string, identity_warnings array<string>"
 PRODUCT = "supplier long, product_id long, sku string, model string, ean string, manufacturer string"
@@ -198,3 +199,25 @@ def test_carried_columns_are_those_of_the_joins(spark, sf):
     assert mapped.exceptAll(run.mapped()).isEmpty() and run.mapped().exceptAll(mapped).isEmpty()
     products = categories.product_proposals(run.offers, run.matches, run.mapped())
     assert products.exceptAll(run.products()).isEmpty() and run.products().exceptAll(products).isEmpty()
+
+
+def test_offers_and_catalogue_come_from_one_pass_over_the_lines(spark, sf):
+    pairs = views.pairs(spark, sf)
+    plan = _plan(pairs)
+    # Dealt by part once: neither the grouping nor the join deals the lines again, and no size of part makes it a merge join.
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") == 2 and "ShuffledHashJoin" in plan
+    for one, other in ((views.offers(spark, sf), views.offers_from(pairs)), (views.catalog(spark, sf), views.catalog_from(pairs))):
+        assert one.schema == other.schema and one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
+def test_a_run_deals_its_rows_before_it_makes_their_columns(spark, sf):
+    run = catalogue._Run(spark, sf, catalogue._PRICES, catalogue._CATEGORIES)
+    plan = _plan(run.matched())
+    # One deal for each side, below the union; the windows take the rows as they lie.
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.index("Union") < plan.index("Exchange hashpartitioning")
+    plain = match.match(run.offers, run.catalog)
+    mine = run.matches.select(plain.columns)
+    assert mine.exceptAll(plain).isEmpty() and plain.exceptAll(mine).isEmpty()
+    assert match.supplier_rows(run.offers, run.catalog)[1] == run.offers.count() + run.catalog.count()
+    cores = spark.sparkContext.defaultParallelism
+    assert match.tasks_for(10, spark) == cores and match.tasks_for(1_000 * match.TASK_ROWS + 1, spark) == 1_001
