@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallybridge.functions import store
 from tallybridge.operators import audit, gates, match, missing
-from tallybridge.plans import landing
+from tallybridge.plans import catalogue, landing
 from tallybridge.sinks import export
 
 
@@ -33,6 +33,13 @@ def test_positions_are_those_of_the_order(spark):
     assert export.with_positions(df.limit(0), ["k"]).count() == 0
 
 
+def test_categories_are_ordered_without_a_match(spark, sf, monkeypatch):
+    mapped = catalogue.category_mapping(spark, sf).select("supplier", "category_1", "category_2")
+    monkeypatch.setattr(match, "match", None)
+    got = landing.categories_in_order(spark, sf)
+    assert got.drop("position").exceptAll(mapped).isEmpty() and mapped.exceptAll(got.drop("position")).isEmpty()
+
+
 def test_gates_reject_null_facts(spark):
     good = dict(supplier=1, adapter="1", root="a", root_wanted="a", shops=1, offer_lists=1, currency_lists=1, category_lists=0, items=5, bytes=9, head="<?xml?>", feed_date="2031-02-28 10:00", content_sha256=hashlib.sha256(b"").hexdigest(), source_sha256=hashlib.sha256(b"").hexdigest())
     kind = "supplier int, adapter string, root string, root_wanted string, shops int, offer_lists int, currency_lists int, category_lists int, items int, bytes int, head string, feed_date string, content_sha256 string, source_sha256 string"
