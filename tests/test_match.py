@@ -221,3 +221,9 @@ def test_a_run_deals_its_rows_before_it_makes_their_columns(spark, sf):
     assert match.supplier_rows(run.offers, run.catalog)[1] == run.offers.count() + run.catalog.count()
     cores = spark.sparkContext.defaultParallelism
     assert match.tasks_for(10, spark) == cores and match.tasks_for(1_000 * match.TASK_ROWS + 1, spark) == 1_001
+
+
+def test_the_summary_of_categories_maps_them_once(spark, sf, monkeypatch):
+    made, plain = [], categories.map_rows
+    monkeypatch.setattr(categories, "map_rows", lambda rows: made.append(1) or plain(rows))
+    assert catalogue.category_summary(spark, sf).count() > 0 and len(made) == 1
