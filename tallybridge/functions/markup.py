@@ -9,19 +9,20 @@ from tallybridge.functions.text import TAG, decoded, strip, unwrapped
 
 _NAME = r"[A-Za-z_][\w:.-]*+"
 _ATTRIBUTES = rf"""((?:\s+{_NAME}\s*=\s*(?:"[^"<]*"|'[^'<]*'))*+)"""
-_ATTRIBUTE = rf"""({_NAME})\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+ATTRIBUTE = rf"""({_NAME})\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 #: An element with its name, attributes and content; one inside another of its name is not told apart.
-_ELEMENT = rf"(?s)<({_NAME}){_ATTRIBUTES}\s*+(?:/>|>(.*?)</\1\s*>)"
-_WHOLE = rf"(?s)^\s*<({_NAME}){_ATTRIBUTES}\s*+(?:/>|>(.*)</\1\s*>)\s*$"
+ELEMENT = rf"(?s)<({_NAME}){_ATTRIBUTES}\s*+(?:/>|>(.*?)</\1\s*>)"
+WHOLE = rf"(?s)^\s*<({_NAME}){_ATTRIBUTES}\s*+(?:/>|>(.*)</\1\s*>)\s*$"
 #: What no fragment may hold once CDATA and comments are gone: declarations, and references to entities of its own.
-_REFUSED = r"<!|&(?!(?:lt|gt|amp|quot|apos|#[0-9]+|#[xX][0-9A-Fa-f]+);)"
+REFUSED_REFERENCE = r"&(?!(?:lt|gt|amp|quot|apos|#[0-9]+|#[xX][0-9A-Fa-f]+);)"
+REFUSED = rf"<!|{REFUSED_REFERENCE}"
 
 
 def attributes(x: Column) -> Column:
     """array<struct<name, value>> of the text of a start tag, in its order."""
 
     def of(text: Column) -> Column:
-        group = lambda n: F.regexp_extract_all(text, F.lit(_ATTRIBUTE), F.lit(n))
+        group = lambda n: F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(n))
         pairs = F.arrays_zip(group(1).alias("name"), group(2).alias("a"), group(3).alias("b"))
         made = F.transform(pairs, lambda p: F.struct(p["name"].alias("name"), decoded(F.concat(p["a"], p["b"])).alias("value")))
         # Most children have none.
@@ -39,12 +40,12 @@ def parsed(fragment: Column) -> Column:
     """
 
     def of(plain: Column) -> Column:
-        group = lambda n: F.regexp_extract_all(F.regexp_extract(plain, _WHOLE, 3), F.lit(_ELEMENT), F.lit(n))
+        group = lambda n: F.regexp_extract_all(F.regexp_extract(plain, WHOLE, 3), F.lit(ELEMENT), F.lit(n))
         rows = F.arrays_zip(group(1).alias("name"), group(2).alias("a"), group(3).alias("x"))
         child = lambda c: F.struct(c["name"].alias("name"), attributes(c["a"]).alias("attributes"), strip(decoded(F.regexp_replace(c["x"], TAG, ""))).alias("text"))
-        between = F.regexp_replace(F.regexp_extract(plain, _WHOLE, 3), _ELEMENT, "")
-        whole = plain.rlike(_WHOLE) & ~plain.rlike(_REFUSED) & ~F.contains(between, F.lit("<"))
-        made = F.struct(F.regexp_extract(plain, _WHOLE, 1).alias("name"), attributes(F.regexp_extract(plain, _WHOLE, 2)).alias("attributes"), F.transform(rows, child).alias("children"))
+        between = F.regexp_replace(F.regexp_extract(plain, WHOLE, 3), ELEMENT, "")
+        whole = plain.rlike(WHOLE) & ~plain.rlike(REFUSED) & ~F.contains(between, F.lit("<"))
+        made = F.struct(F.regexp_extract(plain, WHOLE, 1).alias("name"), attributes(F.regexp_extract(plain, WHOLE, 2)).alias("attributes"), F.transform(rows, child).alias("children"))
         return F.when(whole, made)
 
     # The fragment without comments and CDATA is made once.

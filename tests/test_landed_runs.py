@@ -5,10 +5,40 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from tallybridge.functions import elements, markup
 from tallybridge.sinks import feed_files
 from tallybridge.sources import feeds, files, structure
 from tallybridge.streaming import landed_feeds
 
+FRAGMENTS = [
+    "<offer id=\"1\" available='true'><name lang='a' x=\"b\">A &amp; B</name><p/></offer>",
+    "<offer available=\"true\" id='1'><!-- c --><name x='b' lang='a'><![CDATA[A & <B>]]></name><p></p></offer>",
+    "<offer id='2'>  <a> x &amp;lt; &#65;&#x42;&apos;  </a>\n<a> y \"q\" \\u00ab \t z</a><b k='&quot;&#10;'>1 <i>in</i> <u/> > 2</b> text </offer>",
+    "<offer id='3'><a>1</a > <b:c d.e=\"x > y\"/>\x0b\x1f&#31;</offer>",
+    "<offer id='3'><a>\x1f &#31;   \U0001f600</a></offer>",
+    "<offer  id = '4' ><a><a>in itself</a></a></offer>",
+    "<offer id='5'><a>&own;</a></offer>",
+    "<offer id='6'><a>open</offer>",
+    "<offer id='7'><!ENTITY a 'b'></offer>",
+    "<offer id='8'>a < b</offer>",
+    "<offer id='9'><a>x</a>&<b>y</b></offer>",
+    "<offer/>",
+    "<offer>only text &gt;</offer>",
+    "<offer id='10' id='11'><a x='2' x='1'>&amp;#65; &#0065;&#65;</a></offer>",
+    "<offer><a>1</a><b>2</c></offer>",
+    "<offer",
+    "",
+    None,
+]
+
+
+def test_hash_in_tasks_is_that_of_the_columns(spark):
+    rows = spark.createDataFrame([(i, i, x) for i, x in enumerate(FRAGMENTS)], "supplier int, position long, fragment string")
+    want = {r[0]: tuple(r)[1:] for r in rows.select("supplier", F.get(F.filter(markup.parsed(F.col("fragment"))["attributes"], lambda a: a["name"] == "id"), F.lit(0))["value"], markup.row_hash(F.col("fragment"))).collect()}
+    got = {r[0]: tuple(r)[2:] for r in elements.hashed(rows).collect()}
+    assert got == want and sum(h is None for _, h in got.values()) > 5
+
+
 def _feed(n, inner=""):
     offers = "".join(f'<offer id="{i}"><name>{inner} n &gt; {i}</name></offer>\n' for i in range(n))
     return f'<?xml version="1.0"?>\n<yml_catalog date="2031-02-28 10:00"><shop>\n<offers>\n{offers}</offers></shop></yml_catalog>\n'
@@ -48,6 +78,13 @@ def test_whole_files_are_counted_without_a_shuffle(spark, landed_folder):
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_offers_hashed_in_files_are_those_that_are_placed(spark, landed_folder):
+    found = files.list_files(spark, landed_folder)
+    in_files = elements.hashed_in_files(found.whole.select("file", "content")).collect()
+    placed = elements.hashed(feeds.read_placed(spark, found).select(F.col("source_file").alias("file"), "position", "fragment")).collect()
+    assert {tuple(r) for r in in_files} == {tuple(r) for r in placed} and len(placed) == 43
+
+
 def _lines(spark, feeds_of):
     rows = [(s, i, line) for s, text in feeds_of.items() for i, line in enumerate(text.splitlines())]
     return spark.createDataFrame(rows, "supplier long, i int, line string").repartition(3, "supplier").sortWithinPartitions("supplier", "i").select("supplier", "line")
