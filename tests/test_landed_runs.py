@@ -1,11 +1,13 @@
 """Feeds that land: written and read whole, hashed against what was sent, and no gate left out of a run."""
 
 import hashlib
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallybridge.functions import elements, markup
+from tallybridge.plans import landed
 from tallybridge.sinks import feed_files
 from tallybridge.sources import feeds, files, structure
 from tallybridge.streaming import landed_feeds
@@ -99,6 +101,21 @@ def test_written_feeds_are_whole_and_their_hashes_known(spark, tmp_path):
     assert told == {s: hashlib.sha256(text.encode()).hexdigest() for s, text in sent.items()}
 
 
+def test_a_file_that_is_not_what_was_sent_is_rejected(spark, sf, tmp_path):
+    sent = feed_files.write_feeds(_lines(spark, {2: _feed(3), 4: _feed(3)}), f"{tmp_path}/out")
+    path = next((tmp_path / "out").rglob("supplier=4.xml"))
+    path.write_text(path.read_text().replace(" n ", " m "))
+    bad = landed._gate_rejects(spark, sf, files.list_files(spark, f"{tmp_path}/out"), sent).where("rule = 'content_hash_equal'")
+    assert [r["supplier"] for r in bad.collect()] == [4]
+
+
+def test_no_supplier_that_a_gate_rejects_is_in_the_run(spark, sf):
+    sf = os.path.join(os.path.dirname(sf.rstrip("/")), "sf0.01")
+    bad = {r["supplier"] for r in landed.landed_gates(spark, sf).select("supplier").distinct().collect()}
+    run = {r["supplier"] for r in landed.landed_run(spark, sf).select("supplier").distinct().collect()}
+    assert run and not run & bad
+
+
 def test_stream_leaves_the_session_as_it_was(spark, landed_folder, tmp_path_factory):
     before, out = spark.conf.get(landed_feeds._LISTING), str(tmp_path_factory.mktemp("stream"))
     seen = []
