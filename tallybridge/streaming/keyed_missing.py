@@ -15,9 +15,11 @@ restart counts once.
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,41 +33,77 @@ CHANGED = f"supplier long, product_id long, {_STATE}"
 CHANGED_NAMES = [c.split()[0] for c in CHANGED.split(", ")]
 #: Buckets of products: a key of the state store holds those of a bucket that were ever missing, some PRODUCTS_A_BUCKET.
 BUCKETS, PRODUCTS_A_BUCKET = 256, 4000
+COMPRESSION = "zstd"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+_NUMBERS = ["supplier", "product_id", "streak", "last_place", "last_missing_run", "seen_place"]
+
+
+def _packed(held: pd.DataFrame) -> bytes:
+    """The rows of a bucket column by column, in order of their keys; the skus are left out where none is given."""
+    skus = json.dumps(held["sku"].tolist()).encode() if held["sku"].notna().any() else b""
+    numbers = np.array([held[c].to_numpy(np.int64) for c in _NUMBERS]).reshape(len(_NUMBERS), len(held))
+    numbers[:2, 1:] = np.diff(numbers[:2])
+    return zlib.compress(len(held).to_bytes(8, "big") + numbers.tobytes() + skus, 1)
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    data = zlib.decompress(data)
+    n = int.from_bytes(data[:8], "big")
+    end = 8 + 8 * n * len(_NUMBERS)
+    numbers = np.frombuffer(data[8:end], np.int64).reshape(len(_NUMBERS), n).copy()
+    numbers[:2] = np.cumsum(numbers[:2], axis=1)
+    return pd.DataFrame(dict(zip(_NUMBERS, numbers, strict=True)) | {"sku": np.array(json.loads(data[end:]) if data[end:] else [None] * n, object)})
+
+
 def count_missing(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Counts consecutive places at which the products of a bucket are missing; a place of 0 is none.  A row without ``first``
-    has one place.  The rows that have changed come out."""
-    held = json.loads(state.get[0]) if state.exists else {}
-    changed = set()
-    names = ["place", "supplier", "product_id", "sku", "run"]
-    found = sorted(t for pdf in rows for t in zip(*[pdf[c].tolist() for c in names], pdf["first" if "first" in pdf else "place"].tolist(), strict=True))
-    for place, supplier, product, new_sku, run, first in found:
-        name = f"{supplier} {product}"
-        _, streak, last_place, _, seen_place = held.get(name, (None, 0, 0, 0, 0))
-        if place <= last_place:
-            continue  # a run that is told again
-        first = max(first, last_place + 1)
-        if last_place and first > last_place + 1:
-            streak, seen_place = 0, first - 1
-        held[name] = (new_sku, streak + place - first + 1, place, run, seen_place)
-        changed.add((supplier, product))
-    state.update((json.dumps(held),))
-    if changed:
-        out = pd.DataFrame([(s, p, *held[f"{s} {p}"]) for s, p in sorted(changed)], columns=CHANGED_NAMES)
-        yield out
+    has one place.  The rows that have changed come out.
+
+    What is held of a product is the stretch that ends at its last place; the rows come after it in order of place.  Those that are told again
+    are left out, the others join on to the stretch before or begin one, and the last one that begins counts.
+    """
+    told = [pdf.assign(first=pdf["first"] if "first" in pdf else pdf["place"]) for pdf in rows]
+    new = pd.concat(told).rename(columns={"place": "last_place", "run": "last_missing_run"}).assign(new=True, seen_place=0)
+    if state.exists:
+        held = _unpacked(state.get[0])
+        new = pd.concat([held.assign(new=False, first=held["last_place"] - held["streak"] + 1), new])
+    rows = new.sort_values(["supplier", "product_id", "new", "last_place", "first"], kind="stable", ignore_index=True)
+
+    def begins(rows: pd.DataFrame) -> np.ndarray:
+        s, p = rows["supplier"].to_numpy(), rows["product_id"].to_numpy()
+        return np.concatenate([[True], (s[1:] != s[:-1]) | (p[1:] != p[:-1])])[: len(rows)]
+
+    most = rows.groupby(np.cumsum(begins(rows)))["last_place"].cummax().to_numpy()
+    before = np.where(begins(rows), 0, np.concatenate([[0], most[:-1]])[: len(rows)])
+    keep = ~rows["new"].to_numpy() | (rows["last_place"].to_numpy() > before)
+    rows, before = rows[keep].reset_index(drop=True), before[keep]
+    if rows.empty:
+        return
+    starts = begins(rows)
+    first = np.where(rows["new"], np.maximum(rows["first"].to_numpy(), before + 1), rows["first"].to_numpy())
+    gap = (before > 0) & (first > before + 1)
+    seen = np.where(gap, first - 1, rows["seen_place"].to_numpy())
+    begun = np.maximum.accumulate(np.where(starts | gap, np.arange(len(rows)), 0))
+    ends = np.concatenate([starts[1:], [True]])
+    now = rows.assign(streak=rows["last_place"].to_numpy() - first[begun] + 1, seen_place=seen[begun])[ends]
+    state.update((_packed(now),))
+    changed = now[now["new"].to_numpy(bool)]
+    if len(changed):
+        yield changed[CHANGED_NAMES].astype({"streak": "int32"})
 
 
 def absences(seen_at: DataFrame, runs: DataFrame, low: int, high: int) -> DataFrame:
     """(supplier, product_id, sku, run, place, first): the stretches of the places low to high at which products were missing, a
-    row each; seen_at: supplier, product_id, at (the sorted places at which it was seen); runs: (run, place)."""
+    row each; no sku is given (see ``run``); seen_at: supplier, product_id, at (the sorted places at which it was seen); runs: (run, place)."""
     inside = F.filter("at", lambda x: (x >= low) & (x <= high))
-    edges = F.concat(F.array(F.lit(low - 1)), inside, F.array(F.lit(high + 1)))
-    between = F.zip_with(F.slice(edges, 1, F.size(edges) - 1), F.slice(edges, 2, F.size(edges) - 1), lambda a, b: F.struct((a + 1).alias("first"), (b - 1).alias("place")))
-    rows = seen_at.select("supplier", "product_id", F.inline(F.filter(between, lambda g: g["first"] <= g["place"])))
+    # The edges are made once, for all that is asked of them.
+    edges = seen_at.select("supplier", "product_id", F.concat(F.array(F.lit(low - 1)), inside, F.array(F.lit(high + 1))).alias("edges"))
+    between = F.transform(F.slice("edges", F.lit(2), F.size("edges") - 1), lambda b, i: F.struct((F.get("edges", i) + 1).alias("first"), (b - 1).alias("place")))
+    rows = edges.select("supplier", "product_id", F.inline(F.filter(between, lambda g: g["first"] <= g["place"])))
     named = rows.join(F.broadcast(runs.select("run", "place")), "place")  # as many rows as runs
-    return named.select("supplier", "product_id", F.concat_ws("-", "supplier", "product_id").alias("sku"), "run", F.col("place").cast("long").alias("place"), F.col("first").cast("long").alias("first"))
+    return named.select("supplier", "product_id", F.lit(None).cast("string").alias("sku"), "run", F.col("place").cast("long").alias("place"), F.col("first").cast("long").alias("first"))
 
 
 def buckets_for(n_products: int) -> int:
@@ -74,7 +112,8 @@ def buckets_for(n_products: int) -> int:
 
 def run(stream: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
     """Keep the state of the missing rows of ``stream``; the changed rows of each micro-batch go to the table at ``path``.
-    ``buckets`` must stay the same for a checkpoint."""
+    ``buckets`` must stay the same for a checkpoint.  A row without a sku has the one that is made of supplier and product_id, which is
+    neither shuffled nor kept (``current`` makes it)."""
     spark = stream.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     log = CommitLog(spark, path)
@@ -82,12 +121,12 @@ def run(stream: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS) -
     def commit(batch: DataFrame, number: int) -> None:
         def make(state: State) -> tuple[list[tuple[str, dict]], list[str]]:
             folder = fresh_part()
-            batch.write.parquet(log.place(folder))
+            batch.write.option("compression", COMPRESSION).parquet(log.place(folder))
             return [(folder, {})], []
 
         log.update(f"micro-batch {number}", make, holds=lambda before, after: True)
 
-    changed = stream.withColumn("bucket", F.pmod(F.xxhash64("supplier", "product_id"), F.lit(buckets))).groupBy("bucket").applyInPandasWithState(count_missing, CHANGED, "held string", "update", GroupStateTimeout.NoTimeout)
+    changed = stream.withColumn("bucket", F.pmod(F.xxhash64("supplier", "product_id"), F.lit(buckets))).groupBy("bucket").applyInPandasWithState(count_missing, CHANGED, "held binary", "update", GroupStateTimeout.NoTimeout)
     return changed.writeStream.foreachBatch(commit).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
@@ -106,6 +145,7 @@ def current(changed: DataFrame, runs: DataFrame) -> DataFrame:
     last = runs.agg(F.max("place").alias("now"))
     rows = rows.join(F.broadcast(last))  # one row
     gone = F.col("last_place") == F.col("now")
-    at = rows.select("supplier", "product_id", "sku", F.when(gone, F.col("streak")).otherwise(0).alias("consecutive_missing_runs"), F.when(gone, F.col("seen_place")).otherwise(F.col("now")).alias("place"), "last_missing_run")
+    sku = F.coalesce("sku", F.concat_ws("-", "supplier", "product_id")).alias("sku")
+    at = rows.select("supplier", "product_id", sku, F.when(gone, F.col("streak")).otherwise(0).alias("consecutive_missing_runs"), F.when(gone, F.col("seen_place")).otherwise(F.col("now")).alias("place"), "last_missing_run")
     seen = runs.select(F.col("run").alias("last_seen_run"), F.col("place").alias("p"))
     return at.join(F.broadcast(seen), F.col("place") == F.col("p"), "left").select("supplier", "product_id", "sku", "consecutive_missing_runs", "last_seen_run", "last_missing_run")  # as many rows as runs
