@@ -65,31 +65,31 @@ def count_missing(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -
     are left out, the others join on to the stretch before or begin one, and the last one that begins counts.
     """
     told = [pdf.assign(first=pdf["first"] if "first" in pdf else pdf["place"]) for pdf in rows]
-    new = pd.concat(told).rename(columns={"place": "last_place", "run": "last_missing_run"}).assign(new=True, seen_place=0)
+    new = pd.concat(told).rename(columns={"place": "last_place", "run": "last_missing_run"}).assign(new=True, seen_place=0, streak=0)
     if state.exists:
         held = _unpacked(state.get[0])
         new = pd.concat([held.assign(new=False, first=held["last_place"] - held["streak"] + 1), new])
-    rows = new.sort_values(["supplier", "product_id", "new", "last_place", "first"], kind="stable", ignore_index=True)
-
-    def begins(rows: pd.DataFrame) -> np.ndarray:
-        s, p = rows["supplier"].to_numpy(), rows["product_id"].to_numpy()
-        return np.concatenate([[True], (s[1:] != s[:-1]) | (p[1:] != p[:-1])])[: len(rows)]
-
-    most = rows.groupby(np.cumsum(begins(rows)))["last_place"].cummax().to_numpy()
-    before = np.where(begins(rows), 0, np.concatenate([[0], most[:-1]])[: len(rows)])
-    keep = ~rows["new"].to_numpy() | (rows["last_place"].to_numpy() > before)
-    rows, before = rows[keep].reset_index(drop=True), before[keep]
-    if rows.empty:
+    col = {c: new[c].to_numpy() for c in ("supplier", "product_id", "new", "last_place", "first")}
+    order = np.lexsort([col[c] for c in ("first", "last_place", "new", "product_id", "supplier")])
+    supplier, product, is_new, place, first = (c[order] for c in col.values())
+    begins = lambda s, p: np.concatenate([[True], (s[1:] != s[:-1]) | (p[1:] != p[:-1])])[: len(s)]
+    starts = begins(supplier, product)
+    # The last place before each row: products are told apart by what is added to their places.
+    apart = np.cumsum(starts) * (int(place.max(initial=0)) + 1)
+    before = np.where(starts, 0, np.concatenate([[0], (np.maximum.accumulate(place + apart) - apart)[:-1]])[: len(place)])
+    keep = ~is_new | (place > before)
+    order, supplier, product, is_new, place, first, before = (c[keep] for c in (order, supplier, product, is_new, place, first, before))
+    if not len(order):
         return
-    starts = begins(rows)
-    first = np.where(rows["new"], np.maximum(rows["first"].to_numpy(), before + 1), rows["first"].to_numpy())
+    starts = begins(supplier, product)
+    first = np.where(is_new, np.maximum(first, before + 1), first)
     gap = (before > 0) & (first > before + 1)
-    seen = np.where(gap, first - 1, rows["seen_place"].to_numpy())
-    begun = np.maximum.accumulate(np.where(starts | gap, np.arange(len(rows)), 0))
-    ends = np.concatenate([starts[1:], [True]])
-    now = rows.assign(streak=rows["last_place"].to_numpy() - first[begun] + 1, seen_place=seen[begun])[ends]
+    seen = np.where(gap, first - 1, new["seen_place"].to_numpy()[order])
+    begun = np.maximum.accumulate(np.where(starts | gap, np.arange(len(order)), 0))
+    ends = np.flatnonzero(np.concatenate([starts[1:], [True]]))
+    now = new.iloc[order[ends]].assign(streak=(place - first[begun] + 1)[ends], seen_place=seen[begun][ends])
     state.update((_packed(now),))
-    changed = now[now["new"].to_numpy(bool)]
+    changed = now[is_new[ends]]
     if len(changed):
         yield changed[CHANGED_NAMES].astype({"streak": "int32"})
 
