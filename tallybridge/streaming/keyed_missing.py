@@ -65,10 +65,12 @@ def count_missing(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -
     are left out, the others join on to the stretch before or begin one, and the last one that begins counts.
     """
     told = [pdf.assign(first=pdf["first"] if "first" in pdf else pdf["place"]) for pdf in rows]
-    new = pd.concat(told).rename(columns={"place": "last_place", "run": "last_missing_run"}).assign(new=True, seen_place=0, streak=0)
+    new = pd.concat([pdf.drop(columns="sku") for pdf in told]).rename(columns={"place": "last_place", "run": "last_missing_run"}).assign(new=True, seen_place=0, streak=0)
     if state.exists:
         held = _unpacked(state.get[0])
-        new = pd.concat([held.assign(new=False, first=held["last_place"] - held["streak"] + 1), new])
+        told.insert(0, held)
+        new = pd.concat([held.drop(columns="sku").assign(new=False, first=held["last_place"] - held["streak"] + 1), new])
+    skus = np.concatenate([pdf["sku"].to_numpy(object) for pdf in told])  # beside the rest: pandas looks at each null of a column it joins
     col = {c: new[c].to_numpy() for c in ("supplier", "product_id", "new", "last_place", "first")}
     order = np.lexsort([col[c] for c in ("first", "last_place", "new", "product_id", "supplier")])
     supplier, product, is_new, place, first = (c[order] for c in col.values())
@@ -87,7 +89,7 @@ def count_missing(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -
     seen = np.where(gap, first - 1, new["seen_place"].to_numpy()[order])
     begun = np.maximum.accumulate(np.where(starts | gap, np.arange(len(order)), 0))
     ends = np.flatnonzero(np.concatenate([starts[1:], [True]]))
-    now = new.iloc[order[ends]].assign(streak=(place - first[begun] + 1)[ends], seen_place=seen[begun][ends])
+    now = new.iloc[order[ends]].assign(streak=(place - first[begun] + 1)[ends], seen_place=seen[begun][ends], sku=skus[order[ends]])
     state.update((_packed(now),))
     changed = now[is_new[ends]]
     if len(changed):
